@@ -145,3 +145,133 @@ union all
 select product_id, 'right_only' as side from (select product_id from stored except select product_id from fresh)""")
 def q_id_set_ops(spark, d):
     return planning.id_membership(tb.fresh_catalog(spark, d), tb.stored_catalog(spark, d), key="product_id")
+
+
+# --- catalog refresh -------------------------------------------------------
+
+from ..operators import catalog as cat_ops  # noqa: E402
+from ..sources import catalog_store, listing  # noqa: E402
+from ..session import staging_dir  # noqa: E402
+
+
+@register("merge_catalog", f"""{CTES}
+select f.*, s.last_ingestion_date from fresh f left join stored s on f.product_id = s.product_id""")
+def q_merge_catalog(spark, d):
+    return cat_ops.merge_metadata(tb.fresh_catalog(spark, d), tb.stored_catalog(spark, d), key="product_id")
+
+
+@register("merge_first_run", f"""{CTES}
+select f.*, cast(null as timestamp) as last_ingestion_date from fresh f""")
+def q_merge_first_run(spark, d):
+    """First run: no stored catalog exists yet, so the read falls back to an
+    empty frame and every date is null."""
+    stored_schema = tb.stored_catalog(spark, d).schema
+    missing = catalog_store.read_catalog(spark, staging_dir(spark, "no-catalog-yet"), stored_schema)
+    return cat_ops.merge_metadata(tb.fresh_catalog(spark, d), missing, key="product_id")
+
+
+_STAMPED_SQL = f"""{CTES}
+select f.*, case when exists (select 1 from lineitem l where l.l_partkey = f.product_id
+                              and l.l_returnflag = 'R' and l.l_quantity = 50)
+                 then timestamp '{AS_OF}' else s.last_ingestion_date end as last_ingestion_date
+from fresh f left join stored s on f.product_id = s.product_id"""
+
+
+def _returned_full_lines(spark, d):
+    li = tb.table(spark, d, "lineitem")
+    return li.where((F.col("l_returnflag") == "R") & (F.col("l_quantity") == 50)).select("l_partkey")
+
+
+@register("stamp_dates", _STAMPED_SQL)
+def q_stamp_dates(spark, d):
+    merged = cat_ops.merge_metadata(tb.fresh_catalog(spark, d), tb.stored_catalog(spark, d), key="product_id")
+    return cat_ops.stamp_dates(merged, _returned_full_lines(spark, d), AS_OF, key="product_id", id_col="l_partkey")
+
+
+@register("availability", f"""{CTES}
+select f.*, exists (select 1 from stored s where s.product_id = f.product_id) as available from fresh f""")
+def q_availability(spark, d):
+    return cat_ops.mark_available(tb.fresh_catalog(spark, d), tb.stored_catalog(spark, d), key="product_id")
+
+
+@register("availability_summary", f"""{CTES}
+select count(*) filter (where exists (select 1 from stored s where s.product_id = f.product_id)) as n_available,
+       count(*) as n_total
+from fresh f""")
+def q_availability_summary(spark, d):
+    flagged = cat_ops.mark_available(tb.fresh_catalog(spark, d), tb.stored_catalog(spark, d), key="product_id")
+    return cat_ops.availability_summary(flagged)
+
+
+# --- listing flatten ------------------------------------------------------
+
+def _orders_as_cubes(spark, d):
+    """One JSON cube object per order; null fields are left out of the JSON
+    text, so some objects lack the title or the dimension list."""
+    o = tb.table(spark, d, "orders")
+    cube = F.struct(
+        F.col("o_orderkey").alias("productId"),
+        F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("Orders of customer "), F.col("o_custkey").cast("string")))
+         .alias("cubeTitleEn"),
+        F.col("o_orderpriority").alias("subjectEn"),
+        F.col("o_orderstatus").alias("frequencyCode"),
+        F.date_format(F.col("o_orderdate"), "yyyy-MM-dd").alias("releaseTime"),
+        F.when(F.col("o_orderstatus") != "F", F.split(F.col("o_orderpriority"), "[- ]")).alias("dimensions"),
+        (F.col("o_custkey") * 10).alias("nbDatapointsCube"),
+    )
+    return o.select(F.to_json(cube).alias("json"), F.col("o_orderkey").alias("pos"))
+
+
+@register("catalog_flatten", """
+select o_orderkey as productId,
+       case when o_orderstatus <> 'P' then concat('Orders of customer ', o_custkey) end as title,
+       o_orderpriority as subject, o_orderstatus as frequency, strftime(o_orderdate, '%Y-%m-%d') as releaseTime,
+       cast(case when o_orderstatus <> 'F' then len(string_split_regex(o_orderpriority, '[- ]')) else 0 end as integer)
+         as dimensions,
+       o_custkey * 10 as nbDatapoints, o_orderkey as ordinal
+from orders""")
+def q_catalog_flatten(spark, d):
+    return listing.flatten_cubes(_orders_as_cubes(spark, d), "json", "pos")
+
+
+# --- names and symbols ----------------------------------------------------
+
+from ..functions import names as nm  # noqa: E402
+from ..functions.nulls import NULL_SYMBOLS, map_null_symbols  # noqa: E402
+
+_SYMBOLS_SQL = ", ".join("'" + s.replace("'", "''") + "'" for s in NULL_SYMBOLS)
+
+
+@register("null_symbols", f"""
+select l_orderkey, l_linenumber,
+       case when l_returnflag in ({_SYMBOLS_SQL}) then null else l_returnflag end as l_returnflag,
+       case when l_linestatus in ({_SYMBOLS_SQL}) then null else l_linestatus end as l_linestatus
+from lineitem""")
+def q_null_symbols(spark, d):
+    li = tb.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return map_null_symbols(li, ["l_returnflag", "l_linestatus"])
+
+
+@register("sanitize_names", f"""{CTES}
+select product_id, translate(title, ' /-', '___') as clean_name from fresh""")
+def q_sanitize_names(spark, d):
+    f = tb.fresh_catalog(spark, d)
+    return f.select("product_id", nm.sanitize_col("title").alias("clean_name"))
+
+
+_SLUG_SQL = ("concat({i}, '-', regexp_replace(trim(lower(regexp_replace(coalesce({t}, ''), "
+             "'[^\\p{{L}}\\p{{N}} \\-]', '', 'g'))), ' +', '-', 'g'))")
+
+
+@register("folder_slug", f"""{CTES}
+select product_id, {_SLUG_SQL.format(i='product_id', t='title')} as folder from fresh""")
+def q_folder_slug(spark, d):
+    f = tb.fresh_catalog(spark, d)
+    return f.select("product_id", nm.folder_slug("product_id", "title").alias("folder"))
+
+
+@register("folder_slug_text", f"""
+select doc_id, {_SLUG_SQL.format(i='doc_id', t='text')} as folder from documents""")
+def q_folder_slug_text(spark, d):
+    docs = tb.table(spark, d, "documents")
+    return docs.select("doc_id", nm.folder_slug("doc_id", "text").alias("folder"))
