@@ -275,3 +275,318 @@ select doc_id, {_SLUG_SQL.format(i='doc_id', t='text')} as folder from documents
 def q_folder_slug_text(spark, d):
     docs = tb.table(spark, d, "documents")
     return docs.select("doc_id", nm.folder_slug("doc_id", "text").alias("folder"))
+
+
+# --- folders, tables, registration -----------------------------------------
+
+from ..operators import register as reg  # noqa: E402
+
+
+def _slugs(spark, d):
+    f = tb.fresh_catalog(spark, d)
+    return f.select("product_id", "ordinal", nm.folder_slug("product_id", "title").alias("slug"))
+
+
+@register("folder_ids", f"""{CTES},
+named as (
+  select product_id, case p_size % 10 when 0 then concat(lower(p_type), '-', p_partkey)
+                                      when 1 then cast(p_partkey as varchar)
+                                      when 2 then 'catalog'
+                                      else {_SLUG_SQL.format(i='product_id', t='title')} end as folder
+  from fresh join part on p_partkey = product_id)
+select folder, case when regexp_matches(folder, '^[0-9]+-') then try_cast(split_part(folder, '-', 1) as bigint) end
+       as product_id
+from named""")
+def q_folder_ids(spark, d):
+    s = _slugs(spark, d).join(tb.table(spark, d, "part"), F.col("product_id") == F.col("p_partkey"))
+    k = F.col("p_size") % 10
+    folder = (F.when(k == 0, F.concat(F.lower("p_type"), F.lit("-"), F.col("p_partkey").cast("string")))
+              .when(k == 1, F.col("p_partkey").cast("string"))
+              .when(k == 2, F.lit("catalog")).otherwise(F.col("slug")))
+    return s.select(folder.alias("folder")).select("folder", nm.folder_product_id("folder").alias("product_id"))
+
+
+@register("existing_ids", f"""{CTES},
+named as (
+  select case p_size % 10 when 0 then concat(lower(p_type), '-', p_partkey)
+                          when 1 then cast(p_partkey as varchar)
+                          when 2 then 'catalog'
+                          else {_SLUG_SQL.format(i='product_id', t='title')} end as folder
+  from fresh join part on p_partkey = product_id)
+select distinct try_cast(split_part(folder, '-', 1) as bigint) as productId
+from named where regexp_matches(folder, '^[0-9]+-')""")
+def q_existing_ids(spark, d):
+    from ..sources.inventory import existing_ids
+    return existing_ids(q_folder_ids(spark, d).select("folder"))
+
+
+@register("table_ids", f"""{CTES},
+named as (
+  select case p_size % 10 when 0 then 'catalog'
+                          when 1 then concat(p_partkey, 'x')
+                          when 2 then concat(replace(lower(p_type), ' ', '_'), '_', p_partkey)
+                          else translate({_SLUG_SQL.format(i='product_id', t='title')}, '-', '_') end as table_name
+  from fresh join part on p_partkey = product_id)
+select table_name, case when table_name <> 'catalog' and contains(table_name, '_')
+                        then try_cast(split_part(table_name, '_', 1) as bigint) end as product_id
+from named""")
+def q_table_ids(spark, d):
+    s = _slugs(spark, d).join(tb.table(spark, d, "part"), F.col("product_id") == F.col("p_partkey"))
+    k = F.col("p_size") % 10
+    name = (F.when(k == 0, F.lit("catalog"))
+            .when(k == 1, F.concat(F.col("p_partkey").cast("string"), F.lit("x")))
+            .when(k == 2, F.concat(F.replace(F.lower("p_type"), F.lit(" "), F.lit("_")), F.lit("_"),
+                                   F.col("p_partkey").cast("string")))
+            .otherwise(F.translate("slug", "-", "_")))
+    return s.select(name.alias("table_name")).select("table_name", nm.table_product_id("table_name").alias("product_id"))
+
+
+def _landed_folders(spark, d):
+    """Dataset folders: parts with an open line, named by their title slug."""
+    open_parts = (tb.table(spark, d, "lineitem").where(F.col("l_linestatus") == "O")
+                  .select(F.col("l_partkey").alias("product_id")).distinct())
+    return _slugs(spark, d).join(open_parts, "product_id").select(F.col("slug").alias("folder"), "ordinal")
+
+
+def _registered_tables(spark, d):
+    """Tables of the stored datasets; parts whose size is a multiple of 3 were
+    registered under an older title (their name only)."""
+    p = tb.table(spark, d, "part")
+    f = tb.fresh_catalog(spark, d)
+    s = tb.stored_catalog(spark, d).select("product_id")
+    j = s.join(f, "product_id").join(p, F.col("product_id") == F.col("p_partkey"))
+    old = F.col("p_size") % 3 == 0
+    slug = F.when(old, nm.folder_slug("product_id", "p_name")).otherwise(nm.folder_slug("product_id", "title"))
+    return j.select(F.translate(slug, "-", "_").alias("table_name"))
+
+
+_FOLDERS_SQL = f"""
+landed as (select {_SLUG_SQL.format(i='f.product_id', t='f.title')} as folder, f.ordinal, f.product_id
+           from fresh f where f.product_id in (select l_partkey from lineitem where l_linestatus = 'O')),
+tables as (select translate(case when p.p_size % 3 = 0 then {_SLUG_SQL.format(i='s.product_id', t='p.p_name')}
+                                 else {_SLUG_SQL.format(i='s.product_id', t='f.title')} end, '-', '_') as table_name,
+                  s.product_id
+           from stored s join fresh f on s.product_id = f.product_id join part p on p.p_partkey = s.product_id)"""
+
+
+@register("new_folders", f"""{CTES}, {_FOLDERS_SQL}
+select folder, ordinal from landed l
+where not exists (select 1 from tables t where t.product_id = l.product_id)""")
+def q_new_folders(spark, d):
+    return reg.new_folders(_landed_folders(spark, d), _registered_tables(spark, d))
+
+
+DATA_PREFIX = "warehouse/data/"
+CATALOG_LOCATION = "warehouse/catalog/"
+
+
+@register("register_plan", f"""{CTES}, {_FOLDERS_SQL}
+select coalesce(l.product_id, t.product_id) as product_id, l.folder, t.table_name,
+       case when t.table_name is null then 'create' when l.folder is null then 'deprecate'
+            when t.table_name = translate(l.folder, '-', '_') then 'keep' else 'relocated' end as action,
+       case when l.folder is not null then concat('{DATA_PREFIX}', l.folder, '/') end as path
+from landed l full join tables t on l.product_id = t.product_id
+union all
+select null, 'catalog', 'catalog', 'refresh', '{CATALOG_LOCATION}'""")
+def q_register_plan(spark, d):
+    return reg.register_plan(_landed_folders(spark, d), _registered_tables(spark, d), DATA_PREFIX, CATALOG_LOCATION)
+
+
+# --- manifest and publishing ----------------------------------------------
+
+from ..operators import publish as pub  # noqa: E402
+
+
+@register("manifest_status", f"""
+select c_mktsegment as segment, n_rows, message is null as is_valid, message from (
+  select c_mktsegment, count(*) filter (where c_acctbal > 9900) as n_rows,
+         case when count(*) filter (where c_acctbal < -990) = 0 then '{pub.MSG_NOT_FOUND}'
+              when count(*) filter (where c_acctbal > 9900) = 0 then '{pub.MSG_EMPTY}' end as message
+  from customer group by c_mktsegment)""")
+def q_manifest_status(spark, d):
+    """Each market segment stands for one run's manifest: it exists when the
+    segment has a deeply negative balance, its rows are the top balances."""
+    c = tb.table(spark, d, "customer")
+    per = c.groupBy(F.col("c_mktsegment").alias("segment")).agg(
+        F.count_if(F.col("c_acctbal") > 9900).alias("n_rows"),
+        (F.count_if(F.col("c_acctbal") < -990) > 0).alias("exists"))
+    valid, message = pub.manifest_check(F.col("exists"), F.lit(None).cast("string"), F.col("n_rows"))
+    return per.select("segment", "n_rows", valid.alias("is_valid"), message.alias("message"))
+
+
+PUBLISH_PREFIX = "warehouse/data/"
+
+
+@register("publish_plan", f"""
+select o_orderkey as productId, concat('Orders of customer ', o_custkey) as title,
+       o_totalprice as size_mb, concat(o_orderkey, '-orders/', o_orderkey, '.parquet') as file_path,
+       case when exists (select 1 from lineitem where l_orderkey = o_orderkey) then 'publish' else 'skip_missing' end
+         as action,
+       concat('{PUBLISH_PREFIX}', o_orderkey, '-orders/', o_orderkey, '.parquet') as target
+from orders""")
+def q_publish_plan(spark, d):
+    """Manifest = one converted dataset per order; landed = the datasets of
+    orders that have lines."""
+    o = tb.table(spark, d, "orders")
+    fp = F.concat(F.col("o_orderkey").cast("string"), F.lit("-orders/"), F.col("o_orderkey").cast("string"),
+                  F.lit(".parquet"))
+    manifest = o.select(F.col("o_orderkey").alias("productId"),
+                        F.concat(F.lit("Orders of customer "), F.col("o_custkey").cast("string")).alias("title"),
+                        F.col("o_totalprice").alias("size_mb"), fp.alias("file_path"))
+    li = tb.table(spark, d, "lineitem").select("l_orderkey")
+    landed = li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit("-orders/"),
+                                F.col("l_orderkey").cast("string"), F.lit(".parquet")).alias("rel_dir"))
+    return pub.publish_plan(manifest, landed, PUBLISH_PREFIX)
+
+
+# --- archives ---------------------------------------------------------------
+
+from ..sources import archives as arc  # noqa: E402
+
+_MEMBER_LISTS = {
+    0: "{k}_MetaData.csv|{k}.csv",
+    1: "{k}.csv|{k}_MetaData.csv",
+    2: "{k}_MetaData.csv",
+    3: "{k}_metadata.csv|{k}.txt",
+    4: "tables/{k}.CSV|readme.txt",
+    5: "{k}.txt|notes.md",
+}
+
+
+def _members_expr_spark():
+    k = F.col("p_partkey").cast("string")
+    expr = None
+    for i, pattern in _MEMBER_LISTS.items():
+        parts = pattern.split("{k}")
+        text = F.concat(*[x for j, part in enumerate(parts) for x in ([k] if j else []) + [F.lit(part)]])
+        cond = F.col("p_size") % 6 == i
+        expr = F.when(cond, text) if expr is None else expr.when(cond, text)
+    return F.when(F.col("p_size") == 50, F.array().cast("array<string>")).otherwise(F.split(expr, r"\|"))
+
+
+def _members_expr_sql():
+    def concat_sql(pattern):
+        pieces = []
+        for j, part in enumerate(pattern.split("{k}")):
+            if j:
+                pieces.append("p_partkey")
+            pieces.append(f"'{part}'")
+        return "concat(" + ", ".join(pieces) + ")"
+    cases = " ".join(f"when {i} then {concat_sql(p)}" for i, p in _MEMBER_LISTS.items())
+    return f"case when p_size = 50 then []::varchar[] else string_split(case p_size % 6 {cases} end, '|') end"
+
+
+@register("archive_member", f"""
+select p_partkey as product_id, names,
+  case when len(names) > 0 then coalesce(list_filter(list_filter(names, lambda x: lower(x) like '%.csv'),
+                                                 lambda x: not contains(x, 'MetaData'))[1],
+                                     list_filter(names, lambda x: lower(x) like '%.csv')[1]) end as member,
+  case when len(names) = 0 then 'ZIP archive is empty'
+       when len(list_filter(names, lambda x: lower(x) like '%.csv')) = 0
+       then concat('No CSV file found in ZIP. Files: [', array_to_string(list_transform(names, lambda x: concat('''', x, '''')), ', '), ']')
+  end as error
+from (select p_partkey, {_members_expr_sql()} as names from part)""")
+def q_archive_member(spark, d):
+    p = tb.table(spark, d, "part").select("p_partkey", _members_expr_spark().alias("names"))
+    member, error = arc.choose_member(F.col("names"))
+    return p.select(F.col("p_partkey").alias("product_id"), "names", member.alias("member"), error.alias("error"))
+
+
+def _page_bytes_spark():
+    html = F.encode(F.col("html"), "UTF-8")
+    return (F.when(F.col("url").startswith("https://m."), F.lit(b"", ).cast("binary"))
+            .when(F.col("url").startswith("https"), F.concat(F.unhex(F.lit("504B0304")), html))
+            .when(F.col("url").contains(".org"), F.substring(html, 1, 3))
+            .otherwise(html))
+
+
+@register("archive_signature", """
+select page_id, magic = '504b0304' as valid, magic,
+       case when magic <> '504b0304' then concat('Not a valid ZIP file (magic bytes: ', magic,
+            '). The source may have returned an error page instead of the dataset.') end as reason
+from (select page_id,
+        case when url like 'https://m.%' then 'empty'
+             when url like 'https%' then '504b0304'
+             when url like '%.org%' then lower(hex(encode(left(html, 3))))
+             else lower(hex(encode(left(html, 4)))) end as magic
+      from pages)""")
+def q_archive_signature(spark, d):
+    """Downloads from the pages table: some are real archives (signature
+    first), some short, empty, or an HTML error page."""
+    pg = tb.table(spark, d, "pages").select("page_id", _page_bytes_spark().alias("content"))
+    m = pg.select("page_id", arc.magic_hex(F.col("content")).alias("magic"))
+    valid, reason = arc.signature_check(F.col("magic"))
+    return m.select("page_id", valid.alias("valid"), "magic", reason.alias("reason"))
+
+
+# --- conversion report --------------------------------------------------------
+
+from ..operators import convert as conv  # noqa: E402
+from ..schemas import INGEST_REPORT  # noqa: E402
+
+
+def _report_from_parts(spark, d):
+    p = tb.table(spark, d, "part")
+    failed = F.col("p_type") == "PROMO"
+    return p.select(
+        F.col("p_partkey").alias("productId"), F.col("p_name").alias("title"),
+        F.when(failed, F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
+        F.when(~failed, F.col("p_size") * F.lit(1.5)).alias("size_mb"),
+        F.when(~failed, F.concat(F.col("p_partkey").cast("string"), F.lit("/"), F.col("p_partkey").cast("string"),
+                                 F.lit(".parquet"))).alias("file_path"),
+        F.when(failed, F.lit("ValueError")).alias("error_class"),
+        F.when(failed, F.concat(F.lit("conversion of "), F.col("p_name"), F.lit(" failed in brand "),
+                                F.col("p_brand"))).alias("error_message"),
+    ).select([F.col(f.name).cast(f.dataType) for f in INGEST_REPORT.fields])
+
+
+@register("ingest_summary", """
+select count(*) filter (where p_type <> 'PROMO') as n_ok, count(*) filter (where p_type = 'PROMO') as n_failed,
+       coalesce(sum(p_size * 1.5) filter (where p_type <> 'PROMO'), 0.0) as total_mb,
+       coalesce(sum(p_size * 1.5) filter (where p_type <> 'PROMO'), 0.0) / 1000.0 as total_gb
+from part""")
+def q_ingest_summary(spark, d):
+    return conv.ingest_summary(_report_from_parts(spark, d))
+
+
+@register("error_labels", """
+select p_partkey as productId, status,
+       case when length(msg) > 50 then 'ValueError' else msg end as error_label
+from (select p_partkey, case when p_type = 'PROMO' then 'failed' else 'ok' end as status,
+             case when p_type = 'PROMO' then concat('conversion of ', p_name, ' failed in brand ', p_brand) end as msg
+      from part)""")
+def q_error_labels(spark, d):
+    return conv.with_error_labels(_report_from_parts(spark, d)).select("productId", "status", "error_label")
+
+
+@register("display_title", """
+select doc_id, concat('[', doc_id, '] ', case when length(text) > 50 then concat(left(text, 50), '...') else text end)
+       as display
+from documents""")
+def q_display_title(spark, d):
+    docs = tb.table(spark, d, "documents")
+    return docs.select("doc_id", nm.display_title("doc_id", "text").alias("display"))
+
+
+@register("error_label", """
+select doc_id, case when length(text) > 50 then concat(upper(lang), 'Error') else text end as label
+from documents""")
+def q_error_label(spark, d):
+    docs = tb.table(spark, d, "documents")
+    return docs.select("doc_id", nm.error_label(F.concat(F.upper("lang"), F.lit("Error")), "text").alias("label"))
+
+
+# --- query-time typing and ad-hoc SQL ---------------------------------------
+
+from ..functions.typed import typed_view  # noqa: E402
+
+
+@register("typed_view", """
+select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k,
+       try_cast(props as double) as props_number, try_cast(event_type as double) as type_number
+from events""")
+def q_typed_view(spark, d):
+    ev = tb.table(spark, d, "events").select(
+        "event_id", F.get_json_object("props", "$.k").alias("k"),
+        F.col("props").alias("props_number"), F.col("event_type").alias("type_number"))
+    return typed_view(ev, {"k": "bigint", "props_number": "double", "type_number": "double"})
