@@ -590,3 +590,47 @@ def q_typed_view(spark, d):
         "event_id", F.get_json_object("props", "$.k").alias("k"),
         F.col("props").alias("props_number"), F.col("event_type").alias("type_number"))
     return typed_view(ev, {"k": "bigint", "props_number": "double", "type_number": "double"})
+
+from .sql import sql_strings  # noqa: E402
+
+_NATION_SQL = """
+select n.n_nationkey, n.n_name, r.r_name,
+       case when n.n_nationkey % 5 = 0 then null else n.n_regionkey end as region_key,
+       count(distinct c.c_custkey) as customers, count(o.o_orderkey) as orders
+from {nation} n join {region} r on n.n_regionkey = r.r_regionkey
+     left join {customer} c on c.c_nationkey = n.n_nationkey
+     left join {orders} o on o.o_custkey = c.c_custkey
+group by n.n_nationkey, n.n_name, r.r_name, n.n_regionkey"""
+
+
+@register("sql_strings", """
+select cast(n_nationkey as varchar) as n_nationkey, n_name, r_name, coalesce(cast(region_key as varchar), '') as region_key,
+       cast(customers as varchar) as customers, cast(orders as varchar) as orders
+from (""" + _NATION_SQL.replace("{nation}", "nation").replace("{region}", "region")
+      .replace("{customer}", "customer").replace("{orders}", "orders") + ")")
+def q_sql_strings(spark, d):
+    return sql_strings(spark, _NATION_SQL, nation=tb.table(spark, d, "nation"), region=tb.table(spark, d, "region"),
+                       customer=tb.table(spark, d, "customer"), orders=tb.table(spark, d, "orders"))
+
+
+# --- CSV conversion ----------------------------------------------------------
+
+@register("csv_to_strings", f"""
+select cast(o_orderkey as varchar) as Order_Key, cast(o_custkey as varchar) as Cust_Key,
+       case when o_orderstatus in ({_SYMBOLS_SQL}) then null else o_orderstatus end as Order_Status,
+       cast(cast(o_orderdate as date) as varchar) as Order_Date, o_orderpriority as Priority,
+       concat(o_orderkey, ' / ', o_orderpriority) as Order_Key_2
+from orders""")
+def q_csv_to_strings(spark, d):
+    """Orders exported as a CSV dataset with awkward headers ('Order Key',
+    'Cust/Key', 'Order-Status', and 'Order/Key' which collides with the first
+    after cleaning), converted, and read back."""
+    stage = staging_dir(spark, "csv-dataset")
+    o = tb.table(spark, d, "orders")
+    o.select(F.col("o_orderkey").alias("Order Key"), F.col("o_custkey").alias("Cust/Key"),
+             F.col("o_orderstatus").alias("Order-Status"), F.to_date("o_orderdate").alias("Order Date"),
+             F.col("o_orderpriority").alias("Priority"),
+             F.concat(F.col("o_orderkey").cast("string"), F.lit(" / "), F.col("o_orderpriority")).alias("Order/Key"),
+             ).write.option("header", "true").option("escape", '"').csv(f"{stage}/csv")
+    conv.convert_csv(spark, f"{stage}/csv", f"{stage}/parquet")
+    return spark.read.parquet(f"{stage}/parquet")
