@@ -6,3 +6,8 @@ from pyspark.sql import functions as F
 
 def as_col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
+
+
+def qcol(name: str) -> Column:
+    """Column by exact name (dots, spaces and backticks are not parsed)."""
+    return F.col("`" + name.replace("`", "``") + "`")

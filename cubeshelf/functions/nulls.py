@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .._compat import as_col
+from .._compat import as_col, qcol
 
 # Cells equal to one of these (exact, case-sensitive, untrimmed)
 # are missing values.
@@ -32,4 +32,4 @@ def map_null_symbols(df: DataFrame, columns: list[str] | None = None) -> DataFra
     """Apply `null_symbol` to `columns` (default: every column), keeping
     column order and names."""
     targets = set(df.columns if columns is None else columns)
-    return df.select([null_symbol(c).alias(c) if c in targets else F.col(c) for c in df.columns])
+    return df.select([null_symbol(qcol(c)).alias(c) if c in targets else qcol(c) for c in df.columns])

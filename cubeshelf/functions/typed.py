@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .._compat import qcol
+
 
 def typed_view(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Apply `try_cast` to the named columns, keep the others as they are."""
-    return df.select([F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    return df.select([qcol(c).try_cast(types[c]).alias(c) if c in types else qcol(c) for c in df.columns])

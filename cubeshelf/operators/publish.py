@@ -53,6 +53,7 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int = 8) -> DataFra
                         sel = pafs.FileSelector(src, recursive=True)
                         files = [i for i in src_fs.get_file_info(sel) if i.type == pafs.FileType.File]
                         nbytes = sum(i.size for i in files)
+                        dst_fs.create_dir(dst, recursive=True)
                         pafs.copy_files(src, dst, source_filesystem=src_fs, destination_filesystem=dst_fs)
                     else:
                         dst_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)

@@ -70,7 +70,9 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
         counts[r.action] = counts.get(r.action, 0) + 1
         if r.action in ("create", "relocated"):
             name = r.folder.replace("-", "_")
-            spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` USING {fmt} LOCATION '{r.path}'")
+            # a dataset folder holds `<id>.parquet/` part-file folders
+            spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` USING {fmt} "
+                      f"OPTIONS (recursiveFileLookup 'true') LOCATION '{r.path}'")
         elif r.action == "deprecate":
             spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET TBLPROPERTIES ('deprecated' = 'true')")
         elif r.action == "refresh":
