@@ -53,6 +53,9 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int = 8) -> DataFra
                         sel = pafs.FileSelector(src, recursive=True)
                         files = [i for i in src_fs.get_file_info(sel) if i.type == pafs.FileType.File]
                         nbytes = sum(i.size for i in files)
+                        # a re-ingest replaces the dataset: part-file names differ per write
+                        if dst_fs.get_file_info(dst).type == pafs.FileType.Directory:
+                            dst_fs.delete_dir(dst)
                         dst_fs.create_dir(dst, recursive=True)
                         pafs.copy_files(src, dst, source_filesystem=src_fs, destination_filesystem=dst_fs)
                     else:

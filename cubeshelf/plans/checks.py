@@ -634,3 +634,35 @@ def q_csv_to_strings(spark, d):
              ).write.option("header", "true").option("escape", '"').csv(f"{stage}/csv")
     conv.convert_csv(spark, f"{stage}/csv", f"{stage}/parquet")
     return spark.read.parquet(f"{stage}/parquet")
+
+
+# --- landing archives and the whole refresh ----------------------------------
+
+from . import landing_build  # noqa: E402
+from .refresh import RefreshConfig, run_refresh  # noqa: E402
+
+
+@register("archive_expand", f"""
+select {landing_build.ID_BASE} + c_nationkey as productId, concat({landing_build.ID_BASE} + c_nationkey, '.csv') as member,
+       cast(null as varchar) as error, true as extracted
+from (select distinct c_nationkey from customer)""")
+def q_archive_expand(spark, d):
+    stage = staging_dir(spark, "archives")
+    made = landing_build.build_landing(spark, d, f"{stage}/landing")
+    plan = arc.plan_extraction(arc.inspect_archives(made))
+    out = arc.extract_members(plan, f"{stage}/extracted")
+    return out.select("productId", "member", "error", F.col("csv_path").isNotNull().alias("extracted"))
+
+
+@register("warehouse_refresh", f"""
+select cast(c_custkey as varchar) as Customer_Key, c_name as Name, cast(c_nationkey as varchar) as Nation_Key,
+       case when c_mktsegment in ({_SYMBOLS_SQL}) then null else c_mktsegment end as Segment
+from customer""")
+def q_warehouse_refresh(spark, d):
+    """Landing folder from the customer table -> full refresh -> every
+    ingested dataset read back from the warehouse."""
+    stage = staging_dir(spark, "warehouse")
+    landing_build.build_landing(spark, d, f"{stage}/landing")
+    db = "wh_" + stage.rsplit("-", 1)[-1][:12]
+    run_refresh(spark, RefreshConfig(landing=f"{stage}/landing", root=f"{stage}/wh", db=db, as_of=AS_OF))
+    return spark.read.option("recursiveFileLookup", "true").parquet(f"{stage}/wh/data")
