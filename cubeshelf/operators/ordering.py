@@ -35,33 +35,43 @@ def _block_expr(order_col: str, bounds: list[float]):
 
 
 def running_total_before(df: DataFrame, value: str, order: str, out: str = "total_before",
-                         n_blocks: int | None = None, rel_error: float = 0.001) -> DataFrame:
+                         n_blocks: int | None = None, rel_error: float = 0.001,
+                         materialize: bool = True) -> DataFrame:
     """Adds `out` = sum of `value` over all rows strictly before each row in
     `order` (0 for the first row). `order` must be numeric and unique.
 
     Two-level prefix sum: rows are cut into ~n_blocks ranges of `order` using
-    approximate quantiles (n_blocks numbers reach the driver), each block
-    computes its own running sum (a window partitioned by block), and block
-    offsets come from a tiny window over the per-block totals, broadcast back.
-    No task ever holds more than one block.
+    approximate quantiles (n_blocks numbers reach the driver); one shuffle by
+    block feeds both the in-block running sum and the block totals (the
+    exchange is reused), and block offsets come from a tiny window over the
+    per-block totals, broadcast back. No task ever holds more than one block.
+
+    The quantile pass reads the input a second time; with `materialize` the
+    input is written once to the shared folder first, so an expensive
+    upstream (a join over a large table) runs once.
     """
     spark = df.sparkSession
+    if materialize:
+        from ..session import materialize as write_once
+        df = write_once(df, "running-total-input")
     if n_blocks is None:
         n_blocks = max(2, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     probs = [i / n_blocks for i in range(1, n_blocks)]
     bounds = sorted(set(b for b in df.approxQuantile(order, probs, rel_error) if b is not None))
     blocked = df.withColumn("_blk", _block_expr(order, bounds))
 
-    totals = blocked.groupBy("_blk").agg(F.sum(value).alias("_blk_total"))
+    in_block = Window.partitionBy("_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    whole_block = Window.partitionBy("_blk")
+    windowed = (blocked.withColumn("_local", F.coalesce(F.sum(value).over(in_block), F.lit(0)))
+                .withColumn("_blk_total", F.sum(value).over(whole_block)))
+
+    totals = windowed.groupBy("_blk").agg(F.max("_blk_total").alias("_blk_total"))
     # At most n_blocks rows: a single-partition window is fine here.
     offsets = totals.select(
         "_blk",
         F.coalesce(F.sum("_blk_total").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0).cast(totals.schema["_blk_total"].dataType)).alias("_blk_offset"))
-
-    within = Window.partitionBy("_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = blocked.withColumn("_local", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    joined = local.join(F.broadcast(offsets), "_blk")
+    joined = windowed.join(F.broadcast(offsets), "_blk")
     return joined.select(*df.columns, (F.col("_blk_offset") + F.col("_local")).alias(out))
 
 

@@ -58,3 +58,12 @@ def shared_root(spark: SparkSession, fallback: str = "/tmp/cubeshelf-checkpoints
 def staging_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused folder under the shared root."""
     return f"{shared_root(spark)}/cubeshelf-staging/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df, purpose: str = "materialized"):
+    """Write `df` once to a fresh folder under the shared root and read it
+    back: later reads start from these files (no upstream recomputation, and
+    a lost executor cannot force one)."""
+    path = staging_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
