@@ -57,17 +57,24 @@ def register_plan(folders: DataFrame, tables: DataFrame, prefix: str, catalog_pa
     return plan.unionByName(catalog_row)
 
 
-def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str = "parquet") -> dict:
+def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str = "parquet",
+                        workers: int = 8) -> dict:
     """Issue the catalog DDL for every action except `keep`.
 
     Only changed datasets reach the driver (DDL is a driver-side call
-    anyway). Returns counts per action.
+    anyway); statements for different tables go out from a small pool, since
+    each one lists its folder and reads parquet footers. Returns counts per
+    action.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     todo = plan.where(F.col("action") != "keep").select("folder", "table_name", "action", "path").collect()
     counts: dict[str, int] = {}
     for r in todo:
         counts[r.action] = counts.get(r.action, 0) + 1
+
+    def one(r) -> None:
         if r.action in ("create", "relocated"):
             name = r.folder.replace("-", "_")
             # a dataset folder holds `<id>.parquet/` part-file folders
@@ -82,4 +89,7 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
             else:
                 spark.sql(f"CREATE TABLE `{db}`.`{r.table_name}` USING {fmt} LOCATION '{loc}'")
             spark.sql(f"REFRESH TABLE `{db}`.`{r.table_name}`")
+
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        list(pool.map(one, todo))
     return counts
