@@ -40,18 +40,17 @@ def build_session(master: str = "local[*]", app: str = "cubeshelf",
 def shared_root(spark: SparkSession, fallback: str = "/tmp/cubeshelf-checkpoints") -> str:
     """Shared folder for staging and lineage cuts.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a folder every executor
-    sees). A fallback is only installed when the setting is absent, as in
-    local tests.
+    On a cluster this is `spark.checkpoint.dir` (a folder every executor
+    sees), read from the session. Only when it is unset, as in local tests, a
+    fallback is installed as the context's checkpoint folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
+        current = spark.sparkContext.getCheckpointDir()
+        if current:
+            return current.rstrip("/")
+        spark.sparkContext.setCheckpointDir(fallback)
         root = fallback
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
