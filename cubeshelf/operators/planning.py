@@ -88,12 +88,15 @@ def reason_counts(work: DataFrame, reason: str = "reason") -> DataFrame:
 
 
 def plan_summary(before: DataFrame, after: DataFrame, reason: str = "reason") -> DataFrame:
-    """One row: new before/after the limit and the number of due updates."""
-    b = before.agg(F.count_if(F.col(reason) == REASON_NEW).alias("new_before"),
-                   F.count_if(F.col(reason) == REASON_DUE).alias("update_due"))
-    a = after.agg(F.count_if(F.col(reason) == REASON_NEW).alias("new_after"),
-                  F.count(F.lit(1)).alias("total"))
-    return b.crossJoin(a)  # 1 row x 1 row
+    """One row: new before/after the limit and the number of due updates,
+    from one aggregation over both lists (tagged and unioned)."""
+    tagged = (before.select(F.col(reason), F.lit(True).alias("_before"))
+              .unionByName(after.select(F.col(reason), F.lit(False).alias("_before"))))
+    is_new, is_due = F.col(reason) == REASON_NEW, F.col(reason) == REASON_DUE
+    return tagged.agg(F.count_if(F.col("_before") & is_new).alias("new_before"),
+                      F.count_if(F.col("_before") & is_due).alias("update_due"),
+                      F.count_if(~F.col("_before") & is_new).alias("new_after"),
+                      F.count_if(~F.col("_before")).alias("total"))
 
 
 def legacy_filter(catalog: DataFrame, existing_ids: DataFrame, skip_invisible: bool = True,

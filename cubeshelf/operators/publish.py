@@ -77,3 +77,25 @@ def _uri(path: str) -> str:
     if path.startswith("file:"):
         return "file://" + "/" + path[5:].lstrip("/")
     return "file://" + path if path.startswith("/") else path
+
+
+def manifest_status(spark, path: str):
+    """Check a manifest on disk: (is_valid, message, manifest DataFrame).
+
+    A missing file, a zero-byte file (no header even) and a header-only file
+    give the three messages, in that order of checks."""
+    from ..schemas import MANIFEST
+    from ..sources import fs
+    if not fs.exists(spark, path):
+        df = spark.createDataFrame([], MANIFEST)
+        exists, err = False, None
+    else:
+        empty = fs.du(spark, path) == 0
+        df = (spark.createDataFrame([], MANIFEST) if empty
+              else spark.read.schema(MANIFEST).option("header", "true").csv(path))
+        exists, err = True, (EMPTY_DATA_ERROR if empty else None)
+    n = df.count() if exists and err is None else 0
+    probe = spark.createDataFrame([(exists, err, n)], "exists boolean, err string, n long")
+    valid, message = manifest_check(F.col("exists"), F.col("err"), F.col("n"))
+    row = probe.select(valid, message).first()
+    return bool(row[0]), row[1], df

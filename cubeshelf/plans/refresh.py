@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import folder_slug
+from ..functions.sizes import mb
 from ..operators import catalog as cat_ops
 from ..operators import convert, planning, publish, register
 from ..operators.ordering import within_budget
@@ -115,7 +116,7 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
                         F.concat(F.lit(f"{landing}/archives/"), F.col("productId").cast("string"),
                                  F.lit(".zip")).alias("archive_path"))
     facts = _materialize(archives.inspect_archives(items.repartition(cfg.workers * 2)), f"{run}/archives")
-    sized = facts.withColumn("archive_mb", F.coalesce(F.col("length"), F.lit(0)) / F.lit(1e6))
+    sized = facts.withColumn("archive_mb", mb(F.coalesce(F.col("length"), F.lit(0))))
     started = within_budget(sized, "archive_mb", "ordinal", cfg.max_total_gb * 1000.0).where("started")
     extracted = _materialize(
         archives.extract_members(archives.plan_extraction(started).drop("mb_before", "started"),
