@@ -542,8 +542,9 @@ def _report_from_parts(spark, d):
 
 @register("ingest_summary", """
 select count(*) filter (where p_type <> 'PROMO') as n_ok, count(*) filter (where p_type = 'PROMO') as n_failed,
-       coalesce(sum(p_size * 1.5) filter (where p_type <> 'PROMO'), 0.0) as total_mb,
-       coalesce(sum(p_size * 1.5) filter (where p_type <> 'PROMO'), 0.0) / 1000.0 as total_gb
+       coalesce(sum(p_size * cast(1.5 as double)) filter (where p_type <> 'PROMO'), cast(0 as double)) as total_mb,
+       coalesce(sum(p_size * cast(1.5 as double)) filter (where p_type <> 'PROMO'), cast(0 as double))
+         / cast(1000 as double) as total_gb
 from part""")
 def q_ingest_summary(spark, d):
     return conv.ingest_summary(_report_from_parts(spark, d))
@@ -643,7 +644,7 @@ from .refresh import RefreshConfig, run_refresh  # noqa: E402
 
 
 @register("archive_expand", f"""
-select {landing_build.ID_BASE} + c_nationkey as productId, concat({landing_build.ID_BASE} + c_nationkey, '.csv') as member,
+select cast({landing_build.ID_BASE} + c_nationkey as bigint) as productId, concat({landing_build.ID_BASE} + c_nationkey, '.csv') as member,
        cast(null as varchar) as error, true as extracted
 from (select distinct c_nationkey from customer)""")
 def q_archive_expand(spark, d):

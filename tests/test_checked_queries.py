@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
+from type_check import SPARK_TO_DUCK  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,8 +38,12 @@ def test_entry_runs(spark):
 def test_query_matches_sql(name, spark, con):
     df = E.queries()[name](spark, SF)
     rows, cols = [tuple(r) for r in df.collect()], df.columns
-    rel = con.execute(E.oracle_sql()[name])
-    ocols, orows = [d[0] for d in rel.description], rel.fetchall()
+    rel = con.sql(E.oracle_sql()[name])
+    types = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+    for f in df.schema:
+        t = f.dataType.simpleString()
+        assert SPARK_TO_DUCK.get(t, t) == types[f.name.lower()], (f.name, t, types[f.name.lower()])
+    ocols, orows = rel.columns, rel.fetchall()
     assert sorted(cols) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(cols, rows) == digest(ocols, orows)
