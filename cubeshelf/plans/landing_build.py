@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources import fs
+from ..sources import fs, listing
 from . import testbed as tb
 
 ID_BASE = 10000
@@ -75,10 +75,7 @@ def build_landing(spark: SparkSession, sf_dir: str, landing: str, n_tasks: int =
                               F.lit("2001-08-01T08:30").alias("releaseTime"),
                               F.array(F.lit("GEO"), F.lit("Segment")).alias("dimensions"),
                               (F.col("n") * 4).alias("nbDatapointsCube")).alias("cube")))
-    # The listing is one JSON document, one element per dataset (metadata,
-    # as large as the number of datasets).
-    (cubes.agg(F.to_json(F.array_sort(F.collect_list("cube"))).alias("value"))
-     .coalesce(1).write.text(f"{landing}/listing.json"))
+    listing.write_listing(cubes.select("cube.*"), f"{landing}/listing.json", parts=n_tasks)
     return made
 
 

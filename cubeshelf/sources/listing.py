@@ -7,7 +7,7 @@ element position is kept as `ordinal` (listing order decides "first").
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CUBE, LISTING
@@ -43,9 +43,40 @@ def flatten_cubes(rows: DataFrame, text: str, ordinal: str) -> DataFrame:
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
-    """A listing file (one JSON array) -> fresh catalog. The document is one
-    record, so parsing it is one task; the exploded rows are spread out
-    again for the joins that follow."""
-    docs = spark.read.text(path, wholetext=True)
+    """Listing file(s) -> fresh catalog.
+
+    `path` is one JSON array document or a folder of them (a large listing
+    split into parts, in file-name order). Each document is parsed by one
+    task; `ordinal` is the global position: the position inside the document
+    plus the number of elements in all earlier documents (an offset table
+    with one row per file, broadcast back)."""
+    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_doc"), "value")
+    exploded = docs.select("_doc", F.posexplode(F.from_json(F.col("value"), LISTING)).alias("pos", "cube"))
+    sizes = exploded.groupBy("_doc").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per listing file: a single-partition window is fine here
+    offsets = sizes.select("_doc", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_doc").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    placed = exploded.join(F.broadcast(offsets), "_doc")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return flatten_listing(docs).repartition(n, "productId")
+    return placed.select(_project(F.col("cube"), F.col("_off") + F.col("pos"))).repartition(n, "productId")
+
+
+def write_listing(cubes: DataFrame, path: str, order: str = "productId", parts: int = 8) -> None:
+    """Write cube rows (CUBE fields) as JSON array documents: rows are
+    range-partitioned on `order`, and each task writes its own slice as one
+    array, so file-name order is listing order and no task holds more than
+    its slice."""
+    ranged = cubes.repartitionByRange(parts, order).sortWithinPartitions(order)
+
+    def as_array(batches):
+        import json
+        import pandas as pd
+        rows = []
+        for pdf in batches:
+            rows.extend(pdf.to_dict("records"))
+        if rows:
+            clean = [{k: (v.tolist() if hasattr(v, "tolist") else v) for k, v in r.items()
+                      if v is not None and not (isinstance(v, float) and v != v)} for r in rows]
+            yield pd.DataFrame({"value": [json.dumps(clean)]})
+
+    ranged.mapInPandas(as_array, "value string").write.text(path)

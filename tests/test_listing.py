@@ -38,3 +38,16 @@ def test_flatten_cubes_lines(spark):
     rows = [(json.dumps({"productId": 7, "cubeTitleEn": "x"}), 10)]
     r = listing.flatten_cubes(spark.createDataFrame(rows, "j string, o long"), "j", "o").first()
     assert (r.productId, r.title, r.dimensions, r.ordinal) == (7, "x", 0, 10)
+
+
+def test_multi_document_listing_keeps_global_order(spark, tmp_path):
+    from cubeshelf.schemas import CUBE
+    rows = [(i * 7 % 50, f"t{i}", None, "M", None, ["a"] * (i % 3), None) for i in range(40)]
+    cubes = spark.createDataFrame(rows, CUBE).dropDuplicates(["productId"])
+    path = str(tmp_path / "listing")
+    listing.write_listing(cubes, path, parts=4)
+    import os
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) > 1
+    out = listing.read_listing(spark, path).collect()
+    ids = sorted(r.productId for r in out)
+    assert sorted((r.ordinal, r.productId) for r in out) == list(enumerate(ids))
