@@ -8,6 +8,8 @@ they are separate jobs; a small driver-side pool submits several at once
 from __future__ import annotations
 
 import math
+import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,7 @@ CSV_OPTIONS = {
     "inferSchema": "false",
 }
 BOM = "\ufeff"
+CONVERSION_TIMEOUT_S = 600.0
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -110,7 +113,7 @@ def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: in
 def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers: int = 4,
                   key: str = "productId", title: str = "title", folder: str = "folder",
                   csv_path: str = "csv_path", size_bytes: str = "length",
-                  error: str = "error") -> DataFrame:
+                  error: str = "error", timeout_s: float | None = CONVERSION_TIMEOUT_S) -> DataFrame:
     """Convert every item; one failure never stops the others.
 
     `items` carries one row per dataset with its extracted CSV path (or an
@@ -126,13 +129,31 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
         if r[error] is not None or r[csv_path] is None:
             return (r[key], r[title], "failed", None, None, "ArchiveError", r[error] or "no data member")
         rel = f"{r[folder]}/{r[key]}.parquet"
+        group = f"ingest-{r[key]}-{uuid.uuid4().hex[:8]}"
+        expired = threading.Event()
+
+        def expire():
+            expired.set()
+            sc.cancelJobGroup(group)
+
+        timer = threading.Timer(timeout_s, expire) if timeout_s is not None else None
         try:
             sc.setLocalProperty("spark.scheduler.pool", "ingest")
-            sc.setJobGroup(f"ingest-{r[key]}", f"convert dataset {r[key]}")
+            sc.setJobGroup(group, f"convert dataset {r[key]}", interruptOnCancel=True)
+            if timer:
+                timer.start()
             convert_csv(spark, r[csv_path], f"{data_root}/{rel}", r[size_bytes])
+            if expired.is_set():
+                raise TimeoutError(f"conversion exceeded {timeout_s} s")
             return (r[key], r[title], "ok", fs.du(spark, f"{data_root}/{rel}") / 1e6, rel, None, None)
         except Exception as e:  # noqa: BLE001 - isolated per dataset
+            if expired.is_set():
+                return (r[key], r[title], "failed", None, None, "ConversionTimeout",
+                        f"Conversion timeout (>{timeout_s:g}s)")
             return (r[key], r[title], "failed", None, None, type(e).__name__, str(e).split("\n")[0])
+        finally:
+            if timer:
+                timer.cancel()
 
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         results = list(pool.map(one, rows))

@@ -89,3 +89,14 @@ def test_batch_isolates_failures(spark, tmp_path):
     labels = {r.productId: r.error_label for r in C.with_error_labels(report).collect()}
     assert labels[1] is None and labels[3] == "Not a valid ZIP file (magic bytes: empty)"
     assert labels[2] == got[2].error_class or len(labels[2]) <= 50
+
+
+def test_batch_timeout_is_reported(spark, tmp_path):
+    rows = "\n".join(f"{i},{'v' * 50}" for i in range(200_000))
+    big = _write(tmp_path, "big.csv", "a,b\n" + rows + "\n")
+    items = spark.createDataFrame([(1, "big", "1-big", big, 10, None)],
+                                  "productId long, title string, folder string, csv_path string, length long, error string")
+    report = C.convert_batch(spark, items, str(tmp_path / "data"), timeout_s=0.01).first()
+    assert report.status == "failed" and report.error_class == "ConversionTimeout"
+    ok = C.convert_batch(spark, items, str(tmp_path / "data2")).first()
+    assert ok.status == "ok"
