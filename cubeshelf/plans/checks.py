@@ -667,3 +667,30 @@ def q_warehouse_refresh(spark, d):
     db = "wh_" + stage.rsplit("-", 1)[-1][:12]
     run_refresh(spark, RefreshConfig(landing=f"{stage}/landing", root=f"{stage}/wh", db=db, as_of=AS_OF))
     return spark.read.option("recursiveFileLookup", "true").parquet(f"{stage}/wh/data")
+
+
+# --- incremental planning on Structured Streaming ------------------------------
+
+from ..schemas import STORED_CATALOG  # noqa: E402
+from ..streaming.listing_watch import watch_listings  # noqa: E402
+
+
+@register("incremental_plan", IDENTIFY_SQL + """
+select product_id as productId, title, frequency, reason from classified where reason is not null""")
+def q_incremental_plan(spark, d):
+    """The fresh catalog lands as listing documents; a file stream
+    (availableNow) classifies what landed against a stored snapshot."""
+    stage = staging_dir(spark, "listing-stream")
+    fresh = tb.fresh_catalog(spark, d)
+    cubes = fresh.select(F.col("product_id").alias("productId"), F.col("title").alias("cubeTitleEn"),
+                         F.col("subject").alias("subjectEn"), F.col("frequency").alias("frequencyCode"),
+                         F.lit(None).cast("string").alias("releaseTime"),
+                         F.lit(None).cast("array<string>").alias("dimensions"),
+                         F.lit(None).cast("bigint").alias("nbDatapointsCube"))
+    listing.write_listing(cubes, f"{stage}/listings")
+    stored = tb.stored_catalog(spark, d).withColumnRenamed("product_id", "productId")
+    snapshot = stored.select([F.col(f.name).cast(f.dataType) if f.name in stored.columns
+                              else F.lit(None).cast(f.dataType).alias(f.name) for f in STORED_CATALOG.fields])
+    catalog_store.write_catalog(snapshot, f"{stage}/catalog")
+    watch_listings(spark, f"{stage}/listings", f"{stage}/catalog", f"{stage}/out", f"{stage}/checkpoint", as_of=AS_OF)
+    return spark.read.parquet(f"{stage}/out").select("productId", "title", "frequency", "reason")

@@ -42,23 +42,30 @@ def flatten_cubes(rows: DataFrame, text: str, ordinal: str) -> DataFrame:
     return parsed.select(_project(F.col("cube"), F.col("_ord")))
 
 
+def flatten_documents(docs: DataFrame, doc: str = "_doc", text: str = "value") -> DataFrame:
+    """Rows of (document name, JSON array text) -> catalog rows with a global
+    `ordinal`: position inside the document plus the number of elements in
+    all documents whose name sorts earlier (an offset table with one row per
+    document, broadcast back)."""
+    exploded = docs.select(F.col(doc).alias("_doc"),
+                           F.posexplode(F.from_json(F.col(text), LISTING)).alias("pos", "cube"))
+    sizes = exploded.groupBy("_doc").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per listing document: a single-partition window is fine here
+    offsets = sizes.select("_doc", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_doc").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    placed = exploded.join(F.broadcast(offsets), "_doc")
+    return placed.select(_project(F.col("cube"), F.col("_off") + F.col("pos")))
+
+
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
     """Listing file(s) -> fresh catalog.
 
     `path` is one JSON array document or a folder of them (a large listing
     split into parts, in file-name order). Each document is parsed by one
-    task; `ordinal` is the global position: the position inside the document
-    plus the number of elements in all earlier documents (an offset table
-    with one row per file, broadcast back)."""
+    task; `ordinal` is the global position across documents."""
     docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_doc"), "value")
-    exploded = docs.select("_doc", F.posexplode(F.from_json(F.col("value"), LISTING)).alias("pos", "cube"))
-    sizes = exploded.groupBy("_doc").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per listing file: a single-partition window is fine here
-    offsets = sizes.select("_doc", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_doc").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    placed = exploded.join(F.broadcast(offsets), "_doc")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return placed.select(_project(F.col("cube"), F.col("_off") + F.col("pos"))).repartition(n, "productId")
+    return flatten_documents(docs).repartition(n, "productId")
 
 
 def write_listing(cubes: DataFrame, path: str, order: str = "productId", parts: int = 8) -> None:

@@ -23,15 +23,17 @@ from ..sources import catalog_store, listing
 
 def watch_listings(spark: SparkSession, listings_dir: str, catalog_dir: str, out_dir: str,
                    checkpoint: str | None = None, as_of: str | None = None, limit: int | None = None,
-                   available_now: bool = True, processing_time: str = "10 minutes"):
+                   available_now: bool = True, processing_time: str = "10 minutes",
+                   max_files_per_batch: int = 1000):
     """Start the stream; returns the StreamingQuery (already finished when
     `available_now`)."""
     checkpoint = checkpoint or f"{shared_root(spark)}/cubeshelf-streams/listing-watch"
     docs = (spark.readStream.format("text").option("wholetext", "true")
-            .option("maxFilesPerTrigger", 1).load(listings_dir))
+            .option("maxFilesPerTrigger", max_files_per_batch).load(listings_dir)
+            .select(F.input_file_name().alias("_doc"), "value"))
 
     def plan_batch(batch: DataFrame, epoch: int) -> None:
-        fresh = listing.flatten_listing(batch)
+        fresh = listing.flatten_documents(batch)
         stored = catalog_store.read_catalog(batch.sparkSession, catalog_dir, STORED_CATALOG)
         work, _ = plan_run(fresh, stored, _now(as_of), limit)
         work.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
