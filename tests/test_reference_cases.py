@@ -61,3 +61,28 @@ def test_manifest_status_on_files(spark, tmp_path):
     assert ok and msg is None and df.count() == 100
     (tmp_path / "one.csv").write_text("productId,title,size_mb,file_path\n1,a,0.5,1-a/1.parquet\n")
     assert publish.manifest_status(spark, str(tmp_path / "one.csv"))[0] is True
+
+
+def test_typed_view_over_string_table(spark, tmp_path):
+    from cubeshelf.functions.typed import create_typed_view, typed_view
+    path = str(tmp_path / "ds")
+    spark.createDataFrame([("2020", "Canada", "4680"), ("2021", "Ontario", "4680, 4690"), ("2022", "x", None)],
+                          "REF_DATE string, GEO string, VALUE string").write.parquet(path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS typed_db")
+    spark.sql(f"CREATE TABLE typed_db.ds USING parquet LOCATION '{path}'")
+    name = create_typed_view(spark, "typed_db.ds", {"REF_DATE": "int", "VALUE": "double"})
+    rows = sorted(tuple(r) for r in spark.table(name).collect())
+    assert rows == [(2020, "Canada", 4680.0), (2021, "Ontario", None), (2022, "x", None)]
+    assert [f.dataType.simpleString() for f in spark.table(name).schema] == ["int", "string", "double"]
+    df = typed_view(spark.table("typed_db.ds"), {"VALUE": "bigint"})
+    assert sorted(r.VALUE for r in df.collect() if r.VALUE is not None) == [4680]
+    spark.sql("DROP DATABASE typed_db CASCADE")
+
+
+def test_quoted_symbols_and_padded_values(spark, tmp_path):
+    p = tmp_path / "q.csv"
+    p.write_text('GEO,VALUE,STATUS\n"x","..","E"\n"A"," x ",""\n"Canada","12",F\n')
+    out = str(tmp_path / "q.parquet")
+    convert.convert_csv(spark, str(p), out)
+    rows = sorted((tuple(r) for r in spark.read.parquet(out).collect()), key=str)
+    assert rows == sorted([(None, None, None), (None, " x ", None), ("Canada", "12", None)], key=str)
