@@ -81,14 +81,31 @@ def read_all_string(spark: SparkSession, csv_path: str, names: list[str], multil
     return r.schema(schema).csv(csv_path)
 
 
+def has_quoted_newlines(spark: SparkSession, csv_path: str) -> bool:
+    """True when some physical line holds an odd number of quote characters.
+
+    With '"' as quote and '""' as escape, a line that starts outside quotes
+    and ends inside them has an odd count; if no line does, by induction no
+    quoted value spans lines and the file can be parsed line by line, split
+    across tasks. One parallel pass; stops at the first odd line."""
+    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    return spark.read.text(csv_path).where(quotes % 2 == 1).limit(1).count() > 0
+
+
 def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: int | None = None,
-                multiline: bool = True, quarantine: bool = False) -> dict:
+                multiline: bool | None = None, quarantine: bool = False,
+                split_threshold: int = TARGET_FILE_BYTES) -> dict:
     """One dataset: header -> clean unique names -> all-string read ->
     missing-value symbols to null -> parquet folder (overwritten).
 
-    The multi-line reader cannot split a file, so the rows are spread over
-    ~128 MB output files before the write."""
-    original = read_header(spark, csv_path, multiline)
+    `multiline=None` decides per file: files larger than one split are
+    checked with `has_quoted_newlines` and parsed line by line (in parallel)
+    when that is safe; otherwise the multi-line reader parses the file in one
+    task and the rows are spread over ~128 MB output files before the
+    write."""
+    if multiline is None:
+        multiline = not (size_bytes and size_bytes > split_threshold) or has_quoted_newlines(spark, csv_path)
+    original = read_header(spark, csv_path, True)
     positional = [f"c{i}" for i in range(len(original))]
     clean, renamed = unique_names(sanitize_names(original))
     df = read_all_string(spark, csv_path, positional, multiline, quarantine)
@@ -102,12 +119,12 @@ def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: in
         df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     out = map_null_symbols(df.toDF(*clean))
     n_files = max(1, math.ceil((size_bytes or 0) / TARGET_FILE_BYTES))
-    if n_files > 1:
+    if multiline and n_files > 1:
         out = out.repartition(n_files)
     out.write.mode("overwrite").parquet(out_dir)
     if quarantine:
         df.unpersist()
-    return {"columns": clean, "renamed": renamed, "rejects": rejects}
+    return {"columns": clean, "renamed": renamed, "rejects": rejects, "multiline": multiline}
 
 
 def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers: int = 4,

@@ -100,3 +100,16 @@ def test_batch_timeout_is_reported(spark, tmp_path):
     assert report.status == "failed" and report.error_class == "ConversionTimeout"
     ok = C.convert_batch(spark, items, str(tmp_path / "data2")).first()
     assert ok.status == "ok"
+
+
+def test_line_mode_chosen_only_when_safe(spark, tmp_path):
+    plain = _write(tmp_path, "plain.csv", "a,b\n" + "".join(f'{i},"v, {i}"\n' for i in range(2000)))
+    quoted = _write(tmp_path, "quoted.csv", "a,b\n" + "".join(f'{i},"line\n{i}"\n' for i in range(2000)))
+    assert not C.has_quoted_newlines(spark, plain) and C.has_quoted_newlines(spark, quoted)
+    for path, expect_multi in ((plain, False), (quoted, True)):
+        out = path + ".parquet"
+        info = C.convert_csv(spark, path, out, size_bytes=10_000, split_threshold=1_000)
+        assert info["multiline"] is expect_multi
+        rows = {r.a: r.b for r in spark.read.parquet(out).collect()}
+        assert len(rows) == 2000
+        assert rows["7"] == ("v, 7" if path == plain else "line\n7")
