@@ -123,7 +123,7 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
                                  f"{run}/extracted", n_tasks=cfg.workers * 2),
         f"{run}/extracted_index")
 
-    report = convert.convert_batch(spark, extracted, f"{run}/data", workers=cfg.workers)
+    report = convert.convert_batch(spark, extracted, f"{run}/data", workers=cfg.workers, size_bytes="csv_bytes")
     report = _materialize(report, f"{run}/report")
     manifest = convert.manifest_of(report)
     manifest.coalesce(1).write.option("header", "true").csv(f"{run}/manifest")

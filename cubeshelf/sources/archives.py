@@ -99,18 +99,20 @@ def plan_extraction(facts: DataFrame) -> DataFrame:
 def extract_members(plan: DataFrame, staging: str, path: str = "archive_path", key: str = "productId",
                     n_tasks: int = 8) -> DataFrame:
     """Stream each chosen member to `staging/<key>/<member file>` on the
-    executors. Returns the plan rows with `csv_path` (null on failure)."""
+    executors. Returns the plan rows with `csv_path` and `csv_bytes` (null on
+    failure)."""
     staging = staging.rstrip("/")
 
     def extract(batches):
         import shutil
+        import pandas as pd
         import zipfile
         from pyarrow import fs as pafs
         for pdf in batches:
-            outs, errs = [], []
+            outs, errs, sizes = [], [], []
             for k, p, m, err in zip(pdf[key], pdf[path], pdf["member"], pdf["error"]):
                 if err is not None or m is None:
-                    outs.append(None); errs.append(err)
+                    outs.append(None); errs.append(err); sizes.append(None)
                     continue
                 try:
                     src_fs, rel = pafs.FileSystem.from_uri(_uri(p))
@@ -120,15 +122,18 @@ def extract_members(plan: DataFrame, staging: str, path: str = "archive_path", k
                     with src_fs.open_input_file(rel) as fh, zipfile.ZipFile(fh) as z, \
                             z.open(m) as src, dst_fs.open_output_stream(dst) as out:
                         shutil.copyfileobj(src, out, 1 << 20)
-                    outs.append(target); errs.append(None)
+                        size = out.tell()
+                    outs.append(target); errs.append(None); sizes.append(size)
                 except Exception as e:  # noqa: BLE001 - reported per archive
-                    outs.append(None); errs.append(f"{type(e).__name__}: {e}")
+                    outs.append(None); errs.append(f"{type(e).__name__}: {e}"); sizes.append(None)
             res = pdf.copy()
             res["csv_path"] = outs
             res["error"] = errs
+            res["csv_bytes"] = pd.array(sizes, dtype="Int64")
             yield res
 
-    schema = T.StructType(plan.schema.fields + [T.StructField("csv_path", T.StringType())])
+    schema = T.StructType(plan.schema.fields + [T.StructField("csv_path", T.StringType()),
+                                                T.StructField("csv_bytes", T.LongType())])
     return plan.repartition(n_tasks).mapInPandas(extract, schema)
 
 

@@ -59,7 +59,7 @@ def test_inspect_and_extract(spark, tmp_path):
     plan = A.plan_extraction(A.inspect_archives(arch))
     out = {r.productId: r for r in A.extract_members(plan, str(tmp_path / "staging"), n_tasks=2).collect()}
     assert out[1].member == "1.csv" and out[1].error is None
-    assert open(out[1].csv_path).read() == "a,b\n1,2\n"
+    assert open(out[1].csv_path).read() == "a,b\n1,2\n" and out[1].csv_bytes == 8
     assert out[2].error.startswith("No CSV file found")
     assert "3c68746d" in out[3].error
     assert out[4].magic == "empty" and out[4].length == 0 and "empty" in out[4].error
