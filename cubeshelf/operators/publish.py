@@ -40,6 +40,7 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int = 8) -> DataFra
     src_root = src_root.rstrip("/")
 
     def copy(batches):
+        import uuid
         import pandas as pd
         from pyarrow import fs as pafs
         for pdf in batches:
@@ -53,11 +54,14 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int = 8) -> DataFra
                         sel = pafs.FileSelector(src, recursive=True)
                         files = [i for i in src_fs.get_file_info(sel) if i.type == pafs.FileType.File]
                         nbytes = sum(i.size for i in files)
-                        # a re-ingest replaces the dataset: part-file names differ per write
+                        # copy next to the target, then swap it in: readers never
+                        # see a half-copied dataset, and a retry starts clean
+                        tmp = f"{dst.rstrip('/')}.publishing-{uuid.uuid4().hex[:8]}"
+                        dst_fs.create_dir(tmp, recursive=True)
+                        pafs.copy_files(src, tmp, source_filesystem=src_fs, destination_filesystem=dst_fs)
                         if dst_fs.get_file_info(dst).type == pafs.FileType.Directory:
                             dst_fs.delete_dir(dst)
-                        dst_fs.create_dir(dst, recursive=True)
-                        pafs.copy_files(src, dst, source_filesystem=src_fs, destination_filesystem=dst_fs)
+                        dst_fs.move(tmp, dst)
                     else:
                         dst_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
                         pafs.copy_files(src, dst, source_filesystem=src_fs, destination_filesystem=dst_fs)

@@ -52,11 +52,23 @@ def build_landing(spark: SparkSession, sf_dir: str, landing: str, n_tasks: int =
                     with z.open(f"{pid}.csv", "w", force_zip64=True) as member:
                         for i, name in enumerate(names):
                             with local.open_input_stream(f"{base}/{name}") as src:
-                                lines = src.read().split(b"\n", 1)
+                                # every part file starts with the header line:
+                                # keep it once, then stream the rest in chunks
+                                head = b""
+                                while b"\n" not in head:
+                                    chunk = src.read(1 << 16)
+                                    if not chunk:
+                                        break
+                                    head += chunk
+                                header, _, rest = head.partition(b"\n")
                                 if i == 0:
-                                    member.write(lines[0] + b"\n")
-                                if len(lines) > 1:
-                                    member.write(lines[1])
+                                    member.write(header + b"\n")
+                                member.write(rest)
+                                while True:
+                                    chunk = src.read(1 << 20)
+                                    if not chunk:
+                                        break
+                                    member.write(chunk)
                 out.append((pid, f"{landing}/archives/{pid}.zip"))
             yield pd.DataFrame(out, columns=["productId", "archive_path"])
 
