@@ -26,11 +26,14 @@ def new_folders(folders: DataFrame, tables: DataFrame, folder: str = "folder",
 
 
 def register_plan(folders: DataFrame, tables: DataFrame, prefix: str, catalog_path: str,
-                  folder: str = "folder", table: str = "table_name") -> DataFrame:
+                  folder: str = "folder", table: str = "table_name",
+                  refreshed: DataFrame | None = None, refreshed_key: str = "productId") -> DataFrame:
     """One action per dataset id plus the catalog:
 
     * create     - folder without a table
     * keep       - table named after the folder
+    * update     - same, but the dataset was re-published in this run
+                   (`refreshed` ids): its schema may have changed
     * relocated  - table exists for the id but under another folder's name
                    (the title, hence the slug, changed)
     * deprecate  - table whose folder is gone (never dropped)
@@ -45,9 +48,17 @@ def register_plan(folders: DataFrame, tables: DataFrame, prefix: str, catalog_pa
          .where(F.col("product_id").isNotNull())
          .groupBy("product_id").agg(F.min("table_name").alias("table_name")))
     j = f.join(t, "product_id", "full_outer")
+    if refreshed is not None:
+        r = (refreshed.select(F.col(refreshed_key).cast("bigint").alias("product_id"))
+             .where(F.col("product_id").isNotNull()).distinct().withColumn("_refreshed", F.lit(True)))
+        j = j.join(r, "product_id", "left")
+    else:
+        j = j.withColumn("_refreshed", F.lit(None).cast("boolean"))
+    same = F.col("table_name") == table_name_for("folder")
     action = (F.when(F.col("table_name").isNull(), F.lit("create"))
               .when(F.col("folder").isNull(), F.lit("deprecate"))
-              .when(F.col("table_name") == table_name_for("folder"), F.lit("keep"))
+              .when(same & F.coalesce(F.col("_refreshed"), F.lit(False)), F.lit("update"))
+              .when(same, F.lit("keep"))
               .otherwise(F.lit("relocated")))
     plan = j.select("product_id", "folder", "table_name", action.alias("action"),
                     F.when(F.col("folder").isNotNull(), target_path(prefix, F.col("folder"))).alias("path"))
@@ -80,6 +91,12 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
             # a dataset folder holds `<id>.parquet/` part-file folders
             spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` USING {fmt} "
                       f"OPTIONS (recursiveFileLookup 'true') LOCATION '{r.path}'")
+        elif r.action == "update":
+            # external table: dropping the entry leaves the files; recreating it
+            # picks up the schema of the re-published data
+            spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{r.table_name}`")
+            spark.sql(f"CREATE TABLE `{db}`.`{r.table_name}` USING {fmt} "
+                      f"OPTIONS (recursiveFileLookup 'true') LOCATION '{r.path}'")
         elif r.action == "deprecate":
             spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET TBLPROPERTIES ('deprecated' = 'true')")
         elif r.action == "refresh":

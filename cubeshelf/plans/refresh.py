@@ -70,13 +70,16 @@ def refresh_catalog(fresh: DataFrame, stored: DataFrame, stamped_ids: DataFrame,
     return flagged.select([F.col(f.name).cast(f.dataType) for f in STORED_CATALOG.fields])
 
 
-def sync_tables(spark: SparkSession, data_root: str, catalog_path: str, db: str) -> dict:
-    """Register folders that have no table yet, flag vanished ones, and
-    point the catalog table at the newest snapshot."""
+def sync_tables(spark: SparkSession, data_root: str, catalog_path: str, db: str,
+                refreshed: DataFrame | None = None) -> dict:
+    """Register folders that have no table yet, re-register re-published
+    ones (their schema may have changed), flag vanished ones, and point the
+    catalog table at the newest snapshot."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     folders = inventory.folder_inventory(spark, data_root)
     tables = inventory.table_inventory(spark, db)
-    plan = register.register_plan(folders, tables, data_root.rstrip("/") + "/", catalog_path)
+    plan = register.register_plan(folders, tables, data_root.rstrip("/") + "/", catalog_path,
+                                  refreshed=refreshed)
     return register.apply_register_plan(spark, plan, db)
 
 
@@ -143,7 +146,9 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
     catalog = refresh_catalog(fresh, stored, stamped_ids, folder_ids, as_of)
     catalog_path = catalog_store.write_catalog(catalog, catalog_dir)
 
-    registered = sync_tables(spark, data_root, catalog_path, cfg.db)
+    republished = manifest.join(published.where(F.col("status") == "published").select("file_path"),
+                                "file_path").select("productId")
+    registered = sync_tables(spark, data_root, catalog_path, cfg.db, refreshed=republished)
     counts = convert.ingest_summary(report).first().asDict()
     return {"run": run, "as_of": as_of, "plan": summary, "ingest": counts, "registered": registered,
             "catalog_path": catalog_path, "report": report}

@@ -32,6 +32,7 @@ def test_three_runs(spark, tmp_path):
     # A month later every monthly dataset is due; re-ingest replaces, never duplicates.
     third = run_refresh(spark, RefreshConfig(landing, root, db=db, as_of="2001-10-02 00:00:00", limit=0))
     assert third["plan"]["update_due"] == n_ds and third["ingest"]["n_ok"] == n_ds
+    assert third["registered"] == {"update": n_ds, "refresh": 1}
     assert spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data").count() == n_customers
     cat3 = catalog_store.read_catalog(spark, f"{root}/catalog", STORED_CATALOG)
     assert cat3.agg(F.min("last_ingestion_date")).first()[0].month == 10

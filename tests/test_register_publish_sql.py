@@ -81,3 +81,25 @@ def test_sql_strings_and_render(spark):
     assert [f.dataType.simpleString() for f in out.schema] == ["string"] * 3
     assert render(out) == {"columns": ["a", "b", "c"], "data": [["1", "", "2.5"]]}
     assert len(render(sql_strings(spark, "select id from range(5)"), max_rows=2)["data"]) == 2
+
+
+def test_update_action_picks_up_new_schema(spark, tmp_path):
+    data = tmp_path / "data"
+    spark.createDataFrame([("1", "x")], "a string, b string").write.parquet(str(data / "1-t" / "1.parquet"))
+    cat = str(tmp_path / "catalog" / "v=1")
+    spark.createDataFrame([(1, "t")], "productId long, title string").write.parquet(cat)
+    db = "cubeshelf_update_db"
+    folders = inventory.folder_inventory(spark, str(data))
+    R.apply_register_plan(spark, R.register_plan(folders, inventory.table_inventory(spark, "default"),
+                                                 str(data) + "/", cat), db)
+    assert spark.table(f"{db}.`1_t`").columns == ["a", "b"]
+    # re-published with an extra column
+    spark.createDataFrame([("1", "x", "new")], "a string, b string, c string").write.mode("overwrite") \
+        .parquet(str(data / "1-t" / "1.parquet"))
+    ids = spark.createDataFrame([(1,)], "productId long")
+    plan = R.register_plan(folders, inventory.table_inventory(spark, db), str(data) + "/", cat,
+                           refreshed=ids)
+    assert {r.action for r in plan.collect()} == {"update", "refresh"}
+    R.apply_register_plan(spark, plan, db)
+    assert spark.table(f"{db}.`1_t`").columns == ["a", "b", "c"]
+    spark.sql(f"DROP DATABASE {db} CASCADE")
