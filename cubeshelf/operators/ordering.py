@@ -76,8 +76,9 @@ def running_total_before(df: DataFrame, value: str, order: str, out: str = "tota
 
 
 def within_budget(df: DataFrame, size_mb: str, order: str, cap_mb: float,
-                  out_total: str = "mb_before", out_flag: str = "started") -> DataFrame:
+                  out_total: str = "mb_before", out_flag: str = "started",
+                  materialize: bool = True) -> DataFrame:
     """Size cap: an item is started while the total of the items before it is
     below the cap, so the item that crosses the line is still included."""
-    with_total = running_total_before(df, size_mb, order, out_total)
+    with_total = running_total_before(df, size_mb, order, out_total, materialize=materialize)
     return with_total.withColumn(out_flag, F.col(out_total) < F.lit(cap_mb))

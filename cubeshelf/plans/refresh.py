@@ -120,7 +120,9 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
                                  F.lit(".zip")).alias("archive_path"))
     facts = _materialize(archives.inspect_archives(items.repartition(cfg.workers * 2)), f"{run}/archives")
     sized = facts.withColumn("archive_mb", mb(F.coalesce(F.col("length"), F.lit(0))))
-    started = within_budget(sized, "archive_mb", "ordinal", cfg.max_total_gb * 1000.0).where("started")
+    # facts are already written once, so the budget reads them directly
+    started = within_budget(sized, "archive_mb", "ordinal", cfg.max_total_gb * 1000.0,
+                            materialize=False).where("started")
     extracted = _materialize(
         archives.extract_members(archives.plan_extraction(started).drop("mb_before", "started"),
                                  f"{run}/extracted", n_tasks=cfg.workers * 2),
