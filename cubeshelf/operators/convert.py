@@ -30,6 +30,10 @@ CSV_OPTIONS = {
     "inferSchema": "false",
 }
 BOM = "\ufeff"
+# Names given to blank and repeated header cells
+# ('Unnamed: 4'; 'a', 'a.1', 'a.2').
+BLANK_NAME = "Unnamed: {i}"
+REPEAT_NAME = "{name}.{k}"
 CONVERSION_TIMEOUT_S = 600.0
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -57,10 +61,10 @@ def read_header(spark: SparkSession, csv_path: str, multiline: bool = True) -> l
         raw[0] = raw[0][len(BOM):]
     names, counts = [], {}
     for i, n in enumerate(raw):
-        n = n if n != "" else f"Unnamed: {i}"
+        n = n if n != "" else BLANK_NAME.format(i=i)
         if n in counts:
             counts[n] += 1
-            n = f"{n}.{counts[n]}"
+            n = REPEAT_NAME.format(name=n, k=counts[n])
         else:
             counts[n] = 0
         names.append(n)

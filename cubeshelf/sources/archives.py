@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The local-file-header signature of a ZIP archive, the member
-# extension and the marker of metadata members.
+# extension, the marker of metadata members, and the two member-choice errors.
 ZIP_MAGIC_HEX = "504b0304"
 DATA_EXTENSION = ".csv"
 METADATA_MARK = "MetaData"
+MSG_EMPTY_ARCHIVE = "ZIP archive is empty"
+MSG_NO_CSV = "No CSV file found in ZIP. Files: "
 
 
 def magic_hex(content: Column) -> Column:
@@ -44,8 +46,8 @@ def choose_member(names: Column) -> tuple[Column, Column]:
     member = F.coalesce(F.get(data, 0), F.get(csvs, 0))
     listing = F.concat(F.lit("["), F.array_join(F.transform(names, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "),
                        F.lit("]"))
-    error = (F.when(F.size(names) == 0, F.lit("ZIP archive is empty"))
-             .when(F.size(csvs) == 0, F.concat(F.lit("No CSV file found in ZIP. Files: "), listing)))
+    error = (F.when(F.size(names) == 0, F.lit(MSG_EMPTY_ARCHIVE))
+             .when(F.size(csvs) == 0, F.concat(F.lit(MSG_NO_CSV), listing)))
     return member, error
 
 
