@@ -477,7 +477,7 @@ def _members_expr_sql():
 
 
 @register("archive_member", f"""
-select p_partkey as product_id, names,
+select p_partkey as product_id, array_to_string(names, '|') as member_list,
   case when len(names) > 0 then coalesce(list_filter(list_filter(names, lambda x: lower(x) like '%.csv'),
                                                  lambda x: not contains(x, 'MetaData'))[1],
                                      list_filter(names, lambda x: lower(x) like '%.csv')[1]) end as member,
@@ -489,7 +489,8 @@ from (select p_partkey, {_members_expr_sql()} as names from part)""")
 def q_archive_member(spark, d):
     p = tb.table(spark, d, "part").select("p_partkey", _members_expr_spark().alias("names"))
     member, error = arc.choose_member(F.col("names"))
-    return p.select(F.col("p_partkey").alias("product_id"), "names", member.alias("member"), error.alias("error"))
+    return p.select(F.col("p_partkey").alias("product_id"), F.array_join("names", "|").alias("member_list"),
+                    member.alias("member"), error.alias("error"))
 
 
 def _page_bytes_spark():
