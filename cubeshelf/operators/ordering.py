@@ -26,12 +26,19 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Data
     return best.select([F.col(c) if c in keys else F.col("_first").getField(c).alias(c) for c in df.columns])
 
 
-def _block_expr(order_col: str, bounds: list[float]):
-    """Index of the value-range block of each row: the number of bounds <= value."""
+def _with_block(df: DataFrame, order_col: str, bounds: list[float], out: str = "_blk") -> DataFrame:
+    """Adds the value-range block of each row (the number of bounds <= value),
+    found by binary search on the JVM (ML Bucketizer), O(log n_blocks) per row."""
     if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= F.col(order_col).cast("double")))
+        return df.withColumn(out, F.lit(0))
+    from pyspark.ml.feature import Bucketizer
+    splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
+    tmp = df.withColumn("_blk_in", F.col(order_col).cast("double"))
+    bucketed = Bucketizer(splits=splits, inputCol="_blk_in", outputCol=out, handleInvalid="keep").transform(tmp)
+    return bucketed.withColumn(out, F.col(out).cast("int")).drop("_blk_in")
+
+
+MAX_BLOCKS = 1024
 
 
 def running_total_before(df: DataFrame, value: str, order: str, out: str = "total_before",
@@ -55,10 +62,11 @@ def running_total_before(df: DataFrame, value: str, order: str, out: str = "tota
         from ..session import materialize as write_once
         df = write_once(df, "running-total-input")
     if n_blocks is None:
-        n_blocks = max(2, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+        n_blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_blocks = min(max(2, n_blocks), MAX_BLOCKS)
     probs = [i / n_blocks for i in range(1, n_blocks)]
     bounds = sorted(set(b for b in df.approxQuantile(order, probs, rel_error) if b is not None))
-    blocked = df.withColumn("_blk", _block_expr(order, bounds))
+    blocked = _with_block(df, order, bounds)
 
     in_block = Window.partitionBy("_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     whole_block = Window.partitionBy("_blk")
