@@ -43,9 +43,13 @@ class RefreshConfig:
 
 
 def plan_run(fresh: DataFrame, stored: DataFrame, as_of, limit: int | None = None,
-             mapping: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """Work list (fixed schema, empty when nothing is due) and its summary."""
+             mapping: dict | None = None, write_to: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Work list (fixed schema, empty when nothing is due) and its summary.
+    With `write_to`, the classification is written once there and both the
+    limited list and the summary read it back (no second classification)."""
     work = planning.classify(fresh, stored, as_of, mapping=mapping)
+    if write_to:
+        work = _materialize(work, write_to)
     limited = planning.limit_new(work, limit)
     return limited, planning.plan_summary(work, limited)
 
@@ -109,8 +113,8 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
         todo = choose_work(fresh, None, existing, cfg.limit, cfg.skip_invisible)
         summary = None
     else:
-        work, summary_df = plan_run(fresh, stored, as_of, cfg.limit, cfg.frequency_mapping)
-        work = _materialize(work, f"{run}/worklist")
+        work, summary_df = plan_run(fresh, stored, as_of, cfg.limit, cfg.frequency_mapping,
+                                    write_to=f"{run}/classified")
         summary = summary_df.first().asDict()
         todo = choose_work(fresh, work, None)
 
@@ -128,8 +132,9 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
                                  f"{run}/extracted", n_tasks=cfg.workers * 2),
         f"{run}/extracted_index")
 
+    # built on the driver from the job outcomes: no lineage to cut
     report = convert.convert_batch(spark, extracted, f"{run}/data", workers=cfg.workers, size_bytes="csv_bytes")
-    report = _materialize(report, f"{run}/report")
+    report.write.parquet(f"{run}/report")
     manifest = convert.manifest_of(report)
     manifest.coalesce(1).write.option("header", "true").csv(f"{run}/manifest")
 

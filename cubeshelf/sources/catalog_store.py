@@ -15,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from . import fs
+
 POINTER = "_latest"
 
 
@@ -43,13 +45,9 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | None, f
 
 
 def latest_version(spark: SparkSession, catalog_dir: str) -> str | None:
-    try:
-        row = spark.read.text(f"{catalog_dir}/{POINTER}").first()
-    except AnalysisException as e:
-        if not is_missing_path(e):
-            raise
-        return None
-    return row[0].strip() if row else None
+    """The current snapshot folder name; None before the first write."""
+    text = fs.read_text(spark, f"{catalog_dir}/{POINTER}/pointer.txt")
+    return text.strip() or None if text is not None else None
 
 
 def read_catalog(spark: SparkSession, catalog_dir: str, schema: T.StructType) -> DataFrame:
@@ -66,6 +64,5 @@ def write_catalog(df: DataFrame, catalog_dir: str, files: int = 1) -> str:
     version = f"v={dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     path = f"{catalog_dir}/{version}"
     df.coalesce(files).write.mode("errorifexists").parquet(path)
-    (spark.createDataFrame([(version,)], "value string").coalesce(1)
-     .write.mode("overwrite").text(f"{catalog_dir}/{POINTER}"))
+    fs.write_text(spark, f"{catalog_dir}/{POINTER}/pointer.txt", version + "\n")
     return path

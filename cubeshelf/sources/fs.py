@@ -55,3 +55,44 @@ def du(spark: SparkSession, path: str) -> int:
     """Total bytes under `path` (one metadata call)."""
     f, p = _fs(spark, path)
     return int(f.getContentSummary(p).getLength())
+
+
+def move(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename `src` to `dst` (replacing `dst`), creating the parent folder.
+    A metadata operation on HDFS-like file systems."""
+    f, s = _fs(spark, src)
+    jvm = spark.sparkContext._jvm
+    d = jvm.org.apache.hadoop.fs.Path(dst)
+    if f.exists(d):
+        f.delete(d, True)
+    f.mkdirs(d.getParent())
+    if not f.rename(s, d):
+        raise OSError(f"rename failed: {src} -> {dst}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small text file: write a sibling, then rename it over."""
+    f, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    out = f.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if f.exists(p):
+        f.delete(p, False)
+    if not f.rename(tmp, p):
+        raise OSError(f"rename failed: {tmp} -> {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Contents of a small text file, or None when it does not exist."""
+    f, p = _fs(spark, path)
+    if not f.exists(p):
+        return None
+    stream = f.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +115,23 @@ def test_line_mode_chosen_only_when_safe(spark, tmp_path):
         rows = {r.a: r.b for r in spark.read.parquet(out).collect()}
         assert len(rows) == 2000
         assert rows["7"] == ("v, 7" if path == plain else "line\n7")
+
+
+def test_small_datasets_with_same_header_convert_together(spark, tmp_path):
+    files = {
+        1: "REF_DATE,GEO,VALUE\n2020,Canada,1\n2021,A,x\n",
+        2: "REF_DATE,GEO,VALUE\n2020,Ontario,..\n",
+        3: "REF_DATE,GEO,VALUE\n",                      # header only
+        4: "Other Header,V\nk,1\n",
+    }
+    rows = [(k, f"t{k}", f"{k}-t", _write(tmp_path, f"{k}.csv", text), len(text), None) for k, text in files.items()]
+    items = spark.createDataFrame(rows, "productId long, title string, folder string, csv_path string, length long, error string")
+    data = str(tmp_path / "data")
+    report = {r.productId: r for r in C.convert_batch(spark, items, data).collect()}
+    assert all(r.status == "ok" for r in report.values())
+    read = lambda k: sorted(tuple(x) for x in spark.read.parquet(f"{data}/{k}-t/{k}.parquet").collect())
+    assert read(1) == [("2020", "Canada", "1"), ("2021", None, None)]
+    assert read(2) == [("2020", "Ontario", None)]
+    assert read(3) == [] and spark.read.parquet(f"{data}/3-t/3.parquet").columns == ["REF_DATE", "GEO", "VALUE"]
+    assert spark.read.parquet(f"{data}/4-t/4.parquet").columns == ["Other_Header", "V"]
+    assert sorted(os.listdir(data)) == ["1-t", "2-t", "3-t", "4-t"]
