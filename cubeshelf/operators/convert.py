@@ -173,11 +173,12 @@ def convert_group(spark: SparkSession, members: list[tuple[str, str]], raw_heade
 
     `members` are (dataset key, csv path). Each file is scanned separately
     (one task per file) and tagged with its key; the union is written
-    partitioned by key. Returns key -> folder of that dataset's parquet files
-    (an empty dataset gets an empty, schema-only folder)."""
+    partitioned by key. Returns (key -> folder of that dataset's parquet
+    files, renamed columns); an empty dataset gets an empty, schema-only
+    folder."""
     original = header_names(raw_header)
     positional = [f"c{i}" for i in range(len(original))]
-    clean, _ = unique_names(sanitize_names(original))
+    clean, renamed = unique_names(sanitize_names(original))
     parts = [read_all_string(spark, p, positional, True).withColumn("_key", F.lit(str(k))) for k, p in members]
     union = parts[0]
     for more in parts[1:]:
@@ -190,7 +191,7 @@ def convert_group(spark: SparkSession, members: list[tuple[str, str]], raw_heade
         if not fs.exists(spark, part):
             spark.createDataFrame([], all_string(clean)).write.parquet(part)
         done[str(k)] = part
-    return done
+    return done, renamed
 
 
 def _uri(p: str) -> str:
@@ -253,28 +254,32 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
             if timer:
                 timer.cancel()
 
-    def ok_row(r, rel):
-        return (r[key], r[title], "ok", fs.du(spark, f"{data_root}/{rel}") / 1e6, rel, None, None)
+    def ok_row(r, rel, renamed=()):
+        notes = "renamed: " + ", ".join(f"{a} -> {b}" for a, b in renamed) if renamed else None
+        return (r[key], r[title], "ok", fs.du(spark, f"{data_root}/{rel}") / 1e6, rel, None, None, notes)
+
+    def failed_row(r, cls, msg):
+        return (r[key], r[title], "failed", None, None, cls, msg, None)
 
     def timeout_row(r):
-        return (r[key], r[title], "failed", None, None, "ConversionTimeout", f"Conversion timeout (>{timeout_s:g}s)")
+        return failed_row(r, "ConversionTimeout", f"Conversion timeout (>{timeout_s:g}s)")
 
     def one(r):
         if r[error] is not None or r[csv_path] is None:
-            return (r[key], r[title], "failed", None, None, "ArchiveError", r[error] or "no data member")
+            return failed_row(r, "ArchiveError", r[error] or "no data member")
         rel = f"{r[folder]}/{r[key]}.parquet"
         try:
-            _, expired = guarded(f"convert dataset {r[key]}",
-                                 lambda: convert_csv(spark, r[csv_path], f"{data_root}/{rel}", r[size_bytes],
-                                                     split_threshold=split_threshold))
-            return timeout_row(r) if expired else ok_row(r, rel)
+            info, expired = guarded(f"convert dataset {r[key]}",
+                                    lambda: convert_csv(spark, r[csv_path], f"{data_root}/{rel}", r[size_bytes],
+                                                        split_threshold=split_threshold))
+            return timeout_row(r) if expired else ok_row(r, rel, info["renamed"])
         except Exception as e:  # noqa: BLE001 - isolated per dataset
-            return (r[key], r[title], "failed", None, None, type(e).__name__, str(e).split("\n")[0])
+            return failed_row(r, type(e).__name__, str(e).split("\n")[0])
 
     def group(batch, header):
         try:
             staging = f"{data_root}-groups/{uuid.uuid4().hex}"
-            done, expired = guarded(f"convert {len(batch)} datasets",
+            (done, renamed), expired = guarded(f"convert {len(batch)} datasets",
                                     lambda: convert_group(spark, [(r[key], r[csv_path]) for r in batch],
                                                           header, staging))
             if expired:
@@ -284,7 +289,7 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
         def place(r):
             rel = f"{r[folder]}/{r[key]}.parquet"
             fs.move(spark, done[str(r[key])], f"{data_root}/{rel}")
-            return ok_row(r, rel)
+            return ok_row(r, rel, renamed)
 
         # renames and sizes are metadata calls: issue them side by side
         with ThreadPoolExecutor(max_workers=8) as movers:

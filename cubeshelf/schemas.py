@@ -60,6 +60,7 @@ INGEST_REPORT = T.StructType([
     T.StructField("file_path", T.StringType()),
     T.StructField("error_class", T.StringType()),
     T.StructField("error_message", T.StringType()),
+    T.StructField("notes", T.StringType()),          # e.g. columns renamed to stay unique
 ])
 
 FOLDERS = T.StructType([

@@ -135,3 +135,12 @@ def test_small_datasets_with_same_header_convert_together(spark, tmp_path):
     assert read(3) == [] and spark.read.parquet(f"{data}/3-t/3.parquet").columns == ["REF_DATE", "GEO", "VALUE"]
     assert spark.read.parquet(f"{data}/4-t/4.parquet").columns == ["Other_Header", "V"]
     assert sorted(os.listdir(data)) == ["1-t", "2-t", "3-t", "4-t"]
+
+
+def test_report_notes_renamed_columns(spark, tmp_path):
+    src = _write(tmp_path, "r.csv", "x y,x-y,GEO,Geo\n1,2,3,4\n")
+    items = spark.createDataFrame([(1, "r", "1-r", src, 30, None)],
+                                  "productId long, title string, folder string, csv_path string, length long, error string")
+    for grouped in (True, False):
+        r = C.convert_batch(spark, items, str(tmp_path / f"data{grouped}"), group_small=grouped).first()
+        assert r.status == "ok" and r.notes == "renamed: x_y -> x_y_2, Geo -> Geo_2"
