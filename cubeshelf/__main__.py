@@ -1,8 +1,9 @@
 """Command line: `python -m cubeshelf <command> ...`
 
     refresh  whole refresh: plan, archives, convert, publish, catalog, tables
+    discover listing -> fresh catalog parquet
     plan     only the plan: which datasets are new or due (nothing is written
-             to the warehouse)
+             to the warehouse; --out writes the work list)
     query    run SQL over the warehouse tables, print {"columns", "data"} JSON
     watch    plan every listing document that landed since the last call
 
@@ -38,12 +39,17 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--legacy", action="store_true", help="no planning: take what is not landed yet")
     r.add_argument("--strict-parity", action="store_true")
 
+    d = sub.add_parser("discover")
+    d.add_argument("--listing", required=True, help="JSON array document(s)")
+    d.add_argument("--out", required=True)
+
     pl = sub.add_parser("plan")
     pl.add_argument("--landing", required=True)
     pl.add_argument("--root", required=True)
     pl.add_argument("--as-of", default=None)
     pl.add_argument("--limit", type=int, default=_limit_default())
     pl.add_argument("--show", type=int, default=20, help="work-list rows to print")
+    pl.add_argument("--out", default=None, help="write the work list here (parquet)")
 
     q = sub.add_parser("query")
     q.add_argument("--root", required=True)
@@ -84,10 +90,17 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             strict_parity=args.strict_parity))
         out.pop("report")
         print(json.dumps(out, default=str))
+    elif args.command == "discover":
+        fresh = listing.read_listing(spark, args.listing)
+        fresh.write.mode("overwrite").parquet(args.out)
+        print(json.dumps({"datasets": spark.read.parquet(args.out).count(), "out": args.out}))
     elif args.command == "plan":
         fresh = listing.read_listing(spark, f"{args.landing.rstrip('/')}/listing.json")
         stored = catalog_store.read_catalog(spark, f"{args.root.rstrip('/')}/catalog", STORED_CATALOG)
         work, summary = R.plan_run(fresh, stored, R._now(args.as_of), args.limit)
+        if args.out:
+            work.write.mode("overwrite").parquet(args.out)
+            work = spark.read.parquet(args.out)
         print(json.dumps(summary.first().asDict()))
         for row in work.orderBy("ordinal").limit(args.show).collect():
             print(json.dumps(row.asDict(), default=str))

@@ -11,10 +11,18 @@ def test_cli_plan_refresh_query(spark, tmp_path, capsys, monkeypatch):
     landing_build.build_landing(spark, SF, landing, n_tasks=2)
     monkeypatch.setenv("LIMIT", "3")
 
-    assert main(["plan", "--landing", landing, "--root", root, "--as-of", "2001-09-01 00:00:00"], spark=spark) == 0
+    assert main(["discover", "--listing", landing + "/listing.json", "--out", str(tmp_path / "catalog.parquet")],
+                spark=spark) == 0
+    n = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["datasets"]
+    assert n == spark.read.parquet(f"{SF}/customer.parquet").select("c_nationkey").distinct().count()
+
+    work_out = str(tmp_path / "catalog_filtered.parquet")
+    assert main(["plan", "--landing", landing, "--root", root, "--as-of", "2001-09-01 00:00:00",
+                 "--out", work_out], spark=spark) == 0
     lines = capsys.readouterr().out.strip().splitlines()
     summary = json.loads(lines[0])
     assert summary["new_after"] == 3 and len(lines) == 4
+    assert spark.read.parquet(work_out).count() == 3
 
     assert main(["refresh", "--landing", landing, "--root", root, "--db", "cli_db",
                  "--as-of", "2001-09-01 00:00:00"], spark=spark) == 0
