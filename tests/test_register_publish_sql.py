@@ -103,3 +103,25 @@ def test_update_action_picks_up_new_schema(spark, tmp_path):
     R.apply_register_plan(spark, plan, db)
     assert spark.table(f"{db}.`1_t`").columns == ["a", "b", "c"]
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_publish_twice_replaces(spark, tmp_path):
+    src = tmp_path / "data"
+    dest = str(tmp_path / "published") + "/"
+    manifest = spark.createDataFrame([(1, "a", 0.1, "1-a/1.parquet")],
+                                     "productId long, title string, size_mb double, file_path string")
+    for rows in ([("1",)], [("1",), ("2",)]):
+        spark.createDataFrame(rows, "a string").write.mode("overwrite").parquet(str(src / "1-a" / "1.parquet"))
+        plan = P.publish_plan(manifest, fs.landed_files(spark, str(src)), dest)
+        assert [r.status for r in P.execute_publish(plan, str(src), n_tasks=1).collect()] == ["published"]
+        assert spark.read.parquet(dest + "1-a/1.parquet").count() == len(rows)
+    leftovers = [n for n in os.listdir(dest + "1-a") if "publishing" in n]
+    assert leftovers == []
+
+
+def test_text_pointer_helpers(spark, tmp_path):
+    p = str(tmp_path / "ptr" / "pointer.txt")
+    assert fs.read_text(spark, p) is None
+    fs.write_text(spark, p, "v=1\n")
+    fs.write_text(spark, p, "v=2\n")
+    assert fs.read_text(spark, p) == "v=2\n"
