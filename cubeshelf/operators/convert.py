@@ -168,23 +168,24 @@ def read_headers(spark: SparkSession, paths: list[str], n_tasks: int = 8) -> dic
 
 
 def convert_group(spark: SparkSession, members: list[tuple[str, str]], raw_header: list[str],
-                  staging: str) -> dict[str, str]:
+                  staging: str) -> tuple[dict[str, str], list]:
     """Several small CSV files with the same header -> one job.
 
-    `members` are (dataset key, csv path). Each file is scanned separately
-    (one task per file) and tagged with its key; the union is written
-    partitioned by key. Returns (key -> folder of that dataset's parquet
-    files, renamed columns); an empty dataset gets an empty, schema-only
-    folder."""
+    `members` are (dataset key, csv path), at most GROUP_SIZE. One scan reads
+    all files (Spark packs small files into shared tasks); each row is tied
+    to its dataset through its file path, joined with a key table of
+    len(members) rows, and the result is written partitioned by key.
+    Returns (key -> folder of that dataset's parquet files, renamed
+    columns); an empty dataset gets an empty, schema-only folder."""
     original = header_names(raw_header)
     positional = [f"c{i}" for i in range(len(original))]
     clean, renamed = unique_names(sanitize_names(original))
-    parts = [read_all_string(spark, p, positional, True).withColumn("_key", F.lit(str(k))) for k, p in members]
-    union = parts[0]
-    for more in parts[1:]:
-        union = union.unionByName(more)
-    out = map_null_symbols(union.toDF(*clean, "_key"), clean)
-    out.write.partitionBy("_key").parquet(staging)
+    keys = spark.createDataFrame([(_file_uri(spark, p), str(k)) for k, p in members], "_fp string, _key string")
+    scan = read_all_string(spark, [p for _, p in members], positional, True)
+    rows = scan.select(*positional, _norm_uri(F.col("_metadata.file_path")).alias("_fp"))
+    tagged = rows.join(F.broadcast(keys), "_fp").select(
+        *[F.col(c).alias(n) for c, n in zip(positional, clean)], "_key")
+    map_null_symbols(tagged, clean).write.partitionBy("_key").parquet(staging)
     done = {}
     for k, _ in members:
         part = f"{staging}/_key={k}"
@@ -194,6 +195,19 @@ def convert_group(spark: SparkSession, members: list[tuple[str, str]], raw_heade
     return done, renamed
 
 
+def _norm_uri(c):
+    return F.regexp_replace(c, "^file:///", "file:/")
+
+
+def _file_uri(spark: SparkSession, path: str) -> str:
+    """The form in which a scan reports a file (`_metadata.file_path`)."""
+    import re
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    uri = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hp).toUri().toString()
+    return re.sub(r"^file:///", "file:/", uri)
+
+
 def _uri(p: str) -> str:
     if "://" in p:
         return p

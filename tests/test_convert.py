@@ -144,3 +144,18 @@ def test_report_notes_renamed_columns(spark, tmp_path):
     for grouped in (True, False):
         r = C.convert_batch(spark, items, str(tmp_path / f"data{grouped}"), group_small=grouped).first()
         assert r.status == "ok" and r.notes == "renamed: x_y -> x_y_2, Geo -> Geo_2"
+
+
+def test_group_maps_rows_to_files_with_odd_names(spark, tmp_path):
+    names = ["with space.csv", "plus+sign.csv", "hash#1.csv", "pct%20x.csv", "héllo.csv"]
+    rows = []
+    for k, n in enumerate(names, start=1):
+        p = tmp_path / n
+        p.write_text(f"A,B\n{k},{n}\n{k},again\n")
+        rows.append((k, n, f"{k}-d", str(p), 30, None))
+    items = spark.createDataFrame(rows, "productId long, title string, folder string, csv_path string, length long, error string")
+    data = str(tmp_path / "data")
+    assert {r.status for r in C.convert_batch(spark, items, data).collect()} == {"ok"}
+    for k, n in enumerate(names, start=1):
+        got = sorted(tuple(r) for r in spark.read.parquet(f"{data}/{k}-d/{k}.parquet").collect())
+        assert got == sorted([(str(k), n), (str(k), "again")])
