@@ -141,6 +141,8 @@ def read_headers(spark: SparkSession, paths: list[str], n_tasks: int = 8) -> dic
     """First record of every file, read on the executors in one pass (the
     CSV module parses one quoted record, BOM included). Returns path ->
     header cells, or path -> error text."""
+    from ..session import ship_package
+    ship_package(spark)
     def heads(batches):
         import csv
         import io

@@ -38,6 +38,8 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int = 8) -> DataFra
     executors (paths travel, never file contents). Returns
     (file_path, target, status, bytes)."""
     src_root = src_root.rstrip("/")
+    from ..session import ship_package
+    ship_package(plan.sparkSession)
 
     def copy(batches):
         import uuid

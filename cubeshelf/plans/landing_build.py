@@ -25,6 +25,8 @@ def dataset_id(nationkey):
 
 def build_landing(spark: SparkSession, sf_dir: str, landing: str, n_tasks: int = 8) -> DataFrame:
     landing = landing.rstrip("/")
+    from ..session import ship_package
+    ship_package(spark)
     cust = tb.table(spark, sf_dir, "customer")
     csv_dir = f"{landing}/_csv"
     (cust.select(F.col("c_nationkey").alias("ds"), F.col("c_custkey").alias("Customer Key"),

@@ -66,3 +66,42 @@ def materialize(df, purpose: str = "materialized"):
     path = staging_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `cubeshelf` importable by the Python workers (once per
+    application): the package is zipped into the shared folder and added
+    with `addPyFile`, as `--py-files` would. Needed by every operator that
+    runs Python on the executors (mapInPandas)."""
+    import hashlib
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, dirs, files in os.walk(pkg):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    data = buf.getvalue()
+    path = f"{shared_root(spark)}/cubeshelf-pyfiles/cubeshelf-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    from pyarrow import fs as pafs
+    if "://" in path:
+        fsys, rel = pafs.FileSystem.from_uri(path)
+    else:
+        fsys, rel = pafs.LocalFileSystem(), path[5:] if path.startswith("file:") else path
+    fsys.create_dir(rel.rsplit("/", 1)[0], recursive=True)
+    with fsys.open_output_stream(rel) as out:
+        out.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 # The local-file-header signature of a ZIP archive, the member
 # extension, the marker of metadata members, and the two member-choice errors.
 ZIP_MAGIC_HEX = "504b0304"
@@ -54,6 +56,7 @@ def choose_member(names: Column) -> tuple[Column, Column]:
 def inspect_archives(archives: DataFrame, path: str = "archive_path") -> DataFrame:
     """Per archive: length, first-bytes hex and member names, read on the
     executors. Zero-byte and missing files are reported, not dropped."""
+    ship_package(archives.sparkSession)
     def facts(batches):
         import zipfile
         import pandas as pd
@@ -103,6 +106,7 @@ def extract_members(plan: DataFrame, staging: str, path: str = "archive_path", k
     """Stream each chosen member to `staging/<key>/<member file>` on the
     executors. Returns the plan rows with `csv_path` and `csv_bytes` (null on
     failure)."""
+    ship_package(plan.sparkSession)
     staging = staging.rstrip("/")
 
     def extract(batches):

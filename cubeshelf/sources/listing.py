@@ -73,6 +73,8 @@ def write_listing(cubes: DataFrame, path: str, order: str = "productId", parts:
     range-partitioned on `order`, and each task writes its own slice as one
     array, so file-name order is listing order and no task holds more than
     its slice."""
+    from ..session import ship_package
+    ship_package(cubes.sparkSession)
     ranged = cubes.repartitionByRange(parts, order).sortWithinPartitions(order)
 
     def as_array(batches):
