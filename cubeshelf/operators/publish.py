@@ -56,13 +56,16 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int = 8) -> DataFra
                         sel = pafs.FileSelector(src, recursive=True)
                         files = [i for i in src_fs.get_file_info(sel) if i.type == pafs.FileType.File]
                         nbytes = sum(i.size for i in files)
-                        # copy next to the target, then swap it in: readers never
-                        # see a half-copied dataset, and a retry starts clean
-                        tmp = f"{dst.rstrip('/')}.publishing-{uuid.uuid4().hex[:8]}"
+                        # copy outside the data root, then swap it in: readers never
+                        # see a half-copied dataset, and a task lost mid-copy leaves
+                        # nothing inside a folder that a table scans
+                        prefix = dst[: len(dst) - len(fp)] if dst.endswith(fp) else dst.rsplit("/", 1)[0] + "/"
+                        tmp = f"{prefix.rstrip('/')}-publishing/{uuid.uuid4().hex}"
                         dst_fs.create_dir(tmp, recursive=True)
                         pafs.copy_files(src, tmp, source_filesystem=src_fs, destination_filesystem=dst_fs)
                         if dst_fs.get_file_info(dst).type == pafs.FileType.Directory:
                             dst_fs.delete_dir(dst)
+                        dst_fs.create_dir(dst.rstrip("/").rsplit("/", 1)[0], recursive=True)
                         dst_fs.move(tmp, dst)
                     else:
                         dst_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
