@@ -64,3 +64,17 @@ def test_inspect_and_extract(spark, tmp_path):
     assert "3c68746d" in out[3].error
     assert out[4].magic == "empty" and out[4].length == 0 and "empty" in out[4].error
     assert out[5].read_error is not None and out[5].csv_path is None
+
+
+def test_extraction_is_idempotent(spark, tmp_path):
+    """A retried task writes the same member to the same place."""
+    land = tmp_path / "landing"
+    land.mkdir()
+    _zip(land / "1.zip", {"1.csv": "a,b\n1,2\n"})
+    arch = spark.createDataFrame([(1, str(land / "1.zip"))], "productId long, archive_path string")
+    plan = A.plan_extraction(A.inspect_archives(arch))
+    staging = str(tmp_path / "staging")
+    first = [tuple(r) for r in A.extract_members(plan, staging, n_tasks=1).collect()]
+    second = [tuple(r) for r in A.extract_members(plan, staging, n_tasks=1).collect()]
+    assert first == second
+    assert open(first[0][-2]).read() == "a,b\n1,2\n"

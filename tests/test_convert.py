@@ -159,3 +159,12 @@ def test_group_maps_rows_to_files_with_odd_names(spark, tmp_path):
     for k, n in enumerate(names, start=1):
         got = sorted(tuple(r) for r in spark.read.parquet(f"{data}/{k}-d/{k}.parquet").collect())
         assert got == sorted([(str(k), n), (str(k), "again")])
+
+
+def test_missing_file_in_group_fails_alone(spark, tmp_path):
+    good = _write(tmp_path, "g.csv", "a,b\n1,2\n")
+    gone = str(tmp_path / "gone.csv")
+    rows = [(1, "g", "1-g", good, 10, None), (2, "x", "2-x", gone, 10, None)]
+    items = spark.createDataFrame(rows, "productId long, title string, folder string, csv_path string, length long, error string")
+    got = {r.productId: r.status for r in C.convert_batch(spark, items, str(tmp_path / "data")).collect()}
+    assert got == {1: "ok", 2: "failed"}
