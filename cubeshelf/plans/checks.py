@@ -433,7 +433,8 @@ def q_publish_plan(spark, d):
     manifest = o.select(F.col("o_orderkey").alias("productId"),
                         F.concat(F.lit("Orders of customer "), F.col("o_custkey").cast("string")).alias("title"),
                         F.col("o_totalprice").alias("size_mb"), fp.alias("file_path"))
-    li = tb.table(spark, d, "lineitem").select("l_orderkey")
+    # one landed folder per order with lines (a listing has one row per folder)
+    li = tb.table(spark, d, "lineitem").select("l_orderkey").distinct()
     landed = li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit("-orders/"),
                                 F.col("l_orderkey").cast("string"), F.lit(".parquet")).alias("rel_dir"))
     return pub.publish_plan(manifest, landed, PUBLISH_PREFIX)
