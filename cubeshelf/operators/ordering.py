@@ -83,6 +83,22 @@ def running_total_before(df: DataFrame, value: str, order: str, out: str = "tota
     return joined.select(*df.columns, (F.col("_blk_offset") + F.col("_local")).alias(out))
 
 
+TOPK_MAX = 100_000
+
+
+def first_n(df: DataFrame, n: int, order: str, topk_max: int = TOPK_MAX) -> DataFrame:
+    """The first `n` rows in `order`. Up to `topk_max` a top-k (each task
+    keeps k rows, then k rows per task are merged); beyond it, holding k
+    rows per task would not fit, so the rank comes from the two-level
+    running count (numeric, unique `order`)."""
+    if n <= 0:
+        return df.limit(0)
+    if n <= topk_max:
+        return df.orderBy(order).limit(int(n))
+    ranked = running_total_before(df.withColumn("_one", F.lit(1)), "_one", order, "_rank")
+    return ranked.where(F.col("_rank") < F.lit(int(n))).drop("_one", "_rank")
+
+
 def within_budget(df: DataFrame, size_mb: str, order: str, cap_mb: float,
                   out_total: str = "mb_before", out_flag: str = "started",
                   materialize: bool = True) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cadence import is_due, days_between, frequency_days, timestamp_literal
-from .ordering import first_per_key
+from .ordering import TOPK_MAX, first_n, first_per_key
 
 # Work-list reasons and the marker of hidden internal tables.
 REASON_NEW = "new"
@@ -68,17 +68,19 @@ def due_pairs(fresh: DataFrame, stored: DataFrame, as_of, key: str = "productId"
                     is_due(F.col(frequency), F.col(date), now, mapping).alias("due"))
 
 
-def limit_new(work: DataFrame, limit: int | None, order: str = "ordinal", reason: str = "reason") -> DataFrame:
+def limit_new(work: DataFrame, limit: int | None, order: str = "ordinal", reason: str = "reason",
+              topk_max: int = TOPK_MAX) -> DataFrame:
     """Keep the first `limit` new rows (in `order`) and every due row.
 
-    None leaves the list unchanged; 0 keeps no new rows. The limited branch is
-    a top-k (per-task top-k, then a merge of k rows per task), so no task sees
-    all new rows.
+    None leaves the list unchanged; 0 keeps no new rows. Up to `topk_max` the
+    limited branch is a top-k (per-task top-k, then a merge of k rows per
+    task). Beyond it, holding k rows per task would not fit, so the rank
+    comes from the two-level running count instead (no task holds more than
+    one block); `order` must then be numeric and unique.
     """
     if limit is None:
         return work
-    new = work.where(F.col(reason) == REASON_NEW)
-    new = new.orderBy(order).limit(int(limit)) if limit > 0 else new.limit(0)
+    new = first_n(work.where(F.col(reason) == REASON_NEW), int(limit), order, topk_max)
     return new.unionByName(work.where(F.col(reason) == REASON_DUE))
 
 
@@ -112,7 +114,7 @@ def legacy_filter(catalog: DataFrame, existing_ids: DataFrame, skip_invisible: b
     if skip_invisible:
         out = out.where(~F.coalesce(F.col(title).contains(INVISIBLE_MARK), F.lit(False)))
     if limit:
-        out = out.orderBy(order).limit(int(limit))
+        out = first_n(out, int(limit), order)
     return out
 
 

@@ -129,3 +129,14 @@ def test_within_budget_includes_crossing_item(spark):
     df = spark.createDataFrame([(1, 4000.0), (2, 5000.0), (3, 2000.0), (4, 10.0)], "o long, mb double")
     got = {r.o: r.started for r in ordering.within_budget(df, "mb", "o", 10_000.0).collect()}
     assert got == {1: True, 2: True, 3: True, 4: False}
+
+
+@pytest.mark.parametrize("limit", [0, 1, 37, 500, 5000])
+def test_limit_new_large_limit_path_matches_topk(limit, spark):
+    rng = random.Random(limit)
+    ords = rng.sample(range(1_000_000), 1200)
+    rows = [(f"p{o}", "new" if i % 4 else "update_due", o) for i, o in enumerate(ords)]
+    work = spark.createDataFrame(rows, "productId string, reason string, ordinal long")
+    small = {r.productId for r in planning.limit_new(work, limit).collect()}
+    large = {r.productId for r in planning.limit_new(work, limit, topk_max=0).collect()}
+    assert small == large
