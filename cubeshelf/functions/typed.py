@@ -7,7 +7,6 @@ failing the query, which plain CAST does under ANSI mode.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .._compat import qcol
 

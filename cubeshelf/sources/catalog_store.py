@@ -34,10 +34,7 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | None, f
         reader = spark.read.format(fmt)
         if schema is not None:
             reader = reader.schema(schema)
-        df = reader.load(path)
-        if schema is None:
-            return df
-        return df
+        return reader.load(path)
     except AnalysisException as e:
         if not is_missing_path(e):
             raise
