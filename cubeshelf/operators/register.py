@@ -69,7 +69,7 @@ def register_plan(folders: DataFrame, tables: DataFrame, prefix: str, catalog_pa
 
 
 def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str = "parquet",
-                        workers: int = 8) -> dict:
+                        workers: int = 8, db_location: str | None = None) -> dict:
     """Issue the catalog DDL for every action except `keep`.
 
     Only changed datasets reach the driver (DDL is a driver-side call
@@ -79,7 +79,8 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    where = f" LOCATION '{db_location}'" if db_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{where}")
     todo = plan.where(F.col("action") != "keep").select("folder", "table_name", "action", "path").collect()
     counts: dict[str, int] = {}
     for r in todo:

@@ -78,13 +78,15 @@ def sync_tables(spark: SparkSession, data_root: str, catalog_path: str, db: str,
                 refreshed: DataFrame | None = None) -> dict:
     """Register folders that have no table yet, re-register re-published
     ones (their schema may have changed), flag vanished ones, and point the
-    catalog table at the newest snapshot."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    catalog table at the newest snapshot. The database folder lives beside
+    the data (`<root>/_db`), in the warehouse's own storage."""
+    db_location = data_root.rstrip("/").rsplit("/", 1)[0] + "/_db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{db_location}'")
     folders = inventory.folder_inventory(spark, data_root)
     tables = inventory.table_inventory(spark, db)
     plan = register.register_plan(folders, tables, data_root.rstrip("/") + "/", catalog_path,
                                   refreshed=refreshed)
-    return register.apply_register_plan(spark, plan, db)
+    return register.apply_register_plan(spark, plan, db, db_location=db_location)
 
 
 def _now(as_of) -> str:
