@@ -48,11 +48,14 @@ def latest_version(spark: SparkSession, catalog_dir: str) -> str | None:
 
 
 def read_catalog(spark: SparkSession, catalog_dir: str, schema: T.StructType) -> DataFrame:
-    """The latest stored catalog, or an empty frame on the first run."""
+    """The latest stored catalog, or an empty frame on the first run (no
+    pointer yet)."""
     v = latest_version(spark, catalog_dir)
     if v is None:
         return spark.createDataFrame([], schema)
-    return read_optional(spark, f"{catalog_dir}/{v}", schema)
+    # a pointer to a missing snapshot is damage, not a first run: fail loudly
+    # rather than treat every dataset as new
+    return spark.read.schema(schema).parquet(f"{catalog_dir}/{v}")
 
 
 def write_catalog(df: DataFrame, catalog_dir: str, files: int = 1) -> str:

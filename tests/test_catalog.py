@@ -71,3 +71,14 @@ def test_read_optional_propagates_other_errors(spark, tmp_path):
     import pytest
     with pytest.raises(Exception):
         catalog_store.read_optional(spark, str(bad), STORED_CATALOG).collect()
+
+
+def test_dangling_pointer_is_an_error(spark, tmp_path):
+    import pytest
+    root = str(tmp_path / "catalog")
+    v1 = spark.createDataFrame([(1, "a", None, None, None, 0, 1, 0, None, True)], STORED_CATALOG)
+    path = catalog_store.write_catalog(v1, root)
+    import shutil
+    shutil.rmtree(path)
+    with pytest.raises(Exception):
+        catalog_store.read_catalog(spark, root, STORED_CATALOG).collect()
