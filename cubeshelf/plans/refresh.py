@@ -39,6 +39,7 @@ class RefreshConfig:
     legacy: bool = False              # no update planning: everything not yet landed
     skip_invisible: bool = True       # legacy mode only, as in the original workflow
     strict_parity: bool = False       # stamp every manifest row, even if not published
+    keep_staging: bool = False        # keep extracted CSVs and converted copies of the run
     frequency_mapping: dict = field(default_factory=dict)
 
 
@@ -159,6 +160,11 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
                                 "file_path").select("productId")
     registered = sync_tables(spark, data_root, catalog_path, cfg.db, refreshed=republished)
     counts = convert.ingest_summary(report).first().asDict()
+    if not cfg.keep_staging:
+        # published and registered: the bulky copies of this run are no longer
+        # needed (work list, report, manifest and publish result stay for audit)
+        for leftover in ("extracted", "data", "data-groups"):
+            fs.delete(spark, f"{run}/{leftover}")
     return {"run": run, "as_of": as_of, "plan": summary, "ingest": counts, "registered": registered,
             "catalog_path": catalog_path, "report": report}
 

@@ -96,3 +96,9 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder tree; False when it did not exist."""
+    f, p = _fs(spark, path)
+    return bool(f.delete(p, True)) if f.exists(p) else False

@@ -23,6 +23,10 @@ def test_three_runs(spark, tmp_path):
     cat = catalog_store.read_catalog(spark, f"{root}/catalog", STORED_CATALOG)
     assert cat.where("available and last_ingestion_date is not null").count() == n_ds
     assert spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data").count() == n_customers
+    import os
+    run_dir = first["run"]
+    assert not os.path.exists(f"{run_dir}/extracted") and not os.path.exists(f"{run_dir}/data")
+    assert os.path.exists(f"{run_dir}/manifest") and os.path.exists(f"{run_dir}/report")
 
     # Same day again: nothing is due; an empty plan is a normal outcome.
     second = run_refresh(spark, RefreshConfig(landing, root, db=db, as_of="2001-09-02 00:00:00"))
