@@ -41,9 +41,12 @@ def _with_block(df: DataFrame, order_col: str, bounds: list[float], out: str = "
 MAX_BLOCKS = 1024
 
 
+SINGLE_TASK_MAX = 2_000_000
+
+
 def running_total_before(df: DataFrame, value: str, order: str, out: str = "total_before",
                          n_blocks: int | None = None, rel_error: float = 0.001,
-                         materialize: bool = True) -> DataFrame:
+                         materialize: bool = True, single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
     """Adds `out` = sum of `value` over all rows strictly before each row in
     `order` (0 for the first row). `order` must be numeric and unique.
 
@@ -56,11 +59,19 @@ def running_total_before(df: DataFrame, value: str, order: str, out: str = "tota
     The quantile pass reads the input a second time; with `materialize` the
     input is written once to the shared folder first, so an expensive
     upstream (a join over a large table) runs once.
+
+    Size check: when the input is written first, its row count is read
+    cheaply from the files; at most `single_task_max` rows fit one task, and
+    a plain ordered window (one task) is faster than three small jobs.
     """
     spark = df.sparkSession
     if materialize:
         from ..session import materialize as write_once
         df = write_once(df, "running-total-input")
+        if df.count() <= single_task_max:
+            # proven small: one task sorts it (this is the only unpartitioned window)
+            whole = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+            return df.withColumn(out, F.coalesce(F.sum(value).over(whole), F.lit(0).cast(df.schema[value].dataType)))
     if n_blocks is None:
         n_blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_blocks = min(max(2, n_blocks), MAX_BLOCKS)

@@ -118,7 +118,8 @@ def test_running_total_before_matches_cumsum(n_blocks, spark):
     ords = rng.sample(range(100_000), 2000)
     rows = [(o, float(rng.randint(0, 100))) for o in ords]
     df = spark.createDataFrame(rows, "o long, v double")
-    got = {r.o: r.before for r in ordering.running_total_before(df, "v", "o", "before", n_blocks=n_blocks).collect()}
+    got = {r.o: r.before for r in ordering.running_total_before(df, "v", "o", "before", n_blocks=n_blocks,
+                                                                  single_task_max=0).collect()}
     pdf = pd.DataFrame(rows, columns=["o", "v"]).sort_values("o")
     pdf["before"] = pdf["v"].cumsum() - pdf["v"]
     assert got == dict(zip(pdf["o"], pdf["before"]))
@@ -139,3 +140,14 @@ def test_limit_new_large_limit_path_matches_topk(limit, spark):
     small = {r.productId for r in planning.limit_new(work, limit).collect()}
     large = {r.productId for r in planning.limit_new(work, limit, topk_max=0).collect()}
     assert small == large
+
+
+@pytest.mark.parametrize("single_task_max", [0, 10**9])
+def test_running_total_paths_agree(single_task_max, spark):
+    rng = random.Random(11)
+    rows = [(o, float(rng.randint(0, 9))) for o in rng.sample(range(50_000), 3000)]
+    df = spark.createDataFrame(rows, "o long, v double")
+    got = {r.o: r.b for r in ordering.running_total_before(df, "v", "o", "b", single_task_max=single_task_max).collect()}
+    pdf = pd.DataFrame(rows, columns=["o", "v"]).sort_values("o")
+    pdf["b"] = pdf["v"].cumsum() - pdf["v"]
+    assert got == dict(zip(pdf["o"], pdf["b"]))
