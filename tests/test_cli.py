@@ -35,3 +35,14 @@ def test_cli_plan_refresh_query(spark, tmp_path, capsys, monkeypatch):
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert res["columns"] == ["n", "a"] and int(res["data"][0][1]) == 3
     spark.sql("DROP DATABASE cli_db CASCADE")
+
+
+def test_cli_watch(spark, tmp_path, capsys):
+    listings, root, out = tmp_path / "listings", str(tmp_path / "wh"), str(tmp_path / "out")
+    listings.mkdir()
+    (listings / "a.json").write_text(json.dumps([{"productId": 1, "cubeTitleEn": "a", "frequencyCode": "Daily"},
+                                                 {"productId": 2, "cubeTitleEn": "b", "frequencyCode": "Daily"}]))
+    assert main(["watch", "--listings", str(listings), "--root", root, "--out", out,
+                 "--as-of", "2024-06-01 00:00:00"], spark=spark) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"out": out}
+    assert sorted((r.productId, r.reason) for r in spark.read.parquet(out).collect()) == [(1, "new"), (2, "new")]
