@@ -33,7 +33,7 @@ def publish_plan(manifest: DataFrame, landed: DataFrame, prefix: str, file_col:
                     F.concat(F.lit(prefix), F.col(file_col)).alias("target"))
 
 
-def execute_publish(plan: DataFrame, src_root: str, n_tasks: int = 8) -> DataFrame:
+def execute_publish(plan: DataFrame, src_root: str, n_tasks: int | None = None) -> DataFrame:
     """Copy every `publish` row from `src_root/file_path` to `target` on the
     executors (paths travel, never file contents). Returns
     (file_path, target, status, bytes)."""
@@ -76,6 +76,7 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int = 8) -> DataFra
                     out.append((fp, target, f"failed: {type(e).__name__}", 0))
             yield pd.DataFrame(out, columns=["file_path", "target", "status", "bytes"])
 
+    n_tasks = n_tasks or plan.sparkSession.sparkContext.defaultParallelism
     todo = plan.where(F.col("action") == "publish").select("file_path", "target").repartition(n_tasks)
     return todo.mapInPandas(copy, "file_path string, target string, status string, bytes long")
 

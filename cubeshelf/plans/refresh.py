@@ -125,14 +125,16 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
                         folder_slug("productId", "title").alias("folder"),
                         F.concat(F.lit(f"{landing}/archives/"), F.col("productId").cast("string"),
                                  F.lit(".zip")).alias("archive_path"))
-    facts = _materialize(archives.inspect_archives(items.repartition(cfg.workers * 2)), f"{run}/archives")
+    # one archive per task slot: inspection, extraction and copies use the whole cluster
+    facts = _materialize(archives.inspect_archives(items.repartition(spark.sparkContext.defaultParallelism)),
+                         f"{run}/archives")
     sized = facts.withColumn("archive_mb", mb(F.coalesce(F.col("length"), F.lit(0))))
     # facts are already written once, so the budget reads them directly
     started = within_budget(sized, "archive_mb", "ordinal", cfg.max_total_gb * 1000.0,
                             materialize=False).where("started")
     extracted = _materialize(
         archives.extract_members(archives.plan_extraction(started).drop("mb_before", "started"),
-                                 f"{run}/extracted", n_tasks=cfg.workers * 2),
+                                 f"{run}/extracted"),
         f"{run}/extracted_index")
 
     # built on the driver from the job outcomes: no lineage to cut
@@ -144,7 +146,7 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
     landed = fs.landed_files(spark, f"{run}/data") if fs.exists(spark, f"{run}/data") else \
         spark.createDataFrame([], "rel_path string, rel_dir string, length long")
     pub_plan = publish.publish_plan(manifest, landed, data_root + "/")
-    published = _materialize(publish.execute_publish(pub_plan, f"{run}/data", n_tasks=cfg.workers * 2),
+    published = _materialize(publish.execute_publish(pub_plan, f"{run}/data"),
                              f"{run}/published")
 
     if cfg.strict_parity:

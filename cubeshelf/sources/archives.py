@@ -102,7 +102,7 @@ def plan_extraction(facts: DataFrame) -> DataFrame:
 
 
 def extract_members(plan: DataFrame, staging: str, path: str = "archive_path", key: str = "productId",
-                    n_tasks: int = 8) -> DataFrame:
+                    n_tasks: int | None = None) -> DataFrame:
     """Stream each chosen member to `staging/<key>/<member file>` on the
     executors. Returns the plan rows with `csv_path` and `csv_bytes` (null on
     failure)."""
@@ -140,6 +140,7 @@ def extract_members(plan: DataFrame, staging: str, path: str = "archive_path", k
 
     schema = T.StructType(plan.schema.fields + [T.StructField("csv_path", T.StringType()),
                                                 T.StructField("csv_bytes", T.LongType())])
+    n_tasks = n_tasks or plan.sparkSession.sparkContext.defaultParallelism
     return plan.repartition(n_tasks).mapInPandas(extract, schema)
 
 
