@@ -2,7 +2,8 @@
 
 Both avoid windows that put a whole key (or the whole table) into one task:
 `first_per_key` is an aggregation with map-side partial results, and
-`running_total_before` is a two-level prefix sum over value-range blocks.
+`running_total_before` is a two-level prefix sum over value-range blocks (a
+one-task window only behind a row-count check).
 """
 
 from __future__ import annotations
@@ -39,14 +40,13 @@ def _with_block(df: DataFrame, order_col: str, bounds: list[float], out: str = "
 
 
 MAX_BLOCKS = 1024
-
-
 SINGLE_TASK_MAX = 2_000_000
 
 
 def running_total_before(df: DataFrame, value: str, order: str, out: str = "total_before",
                          n_blocks: int | None = None, rel_error: float = 0.001,
-                         materialize: bool = True, single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
+                         materialize: bool = True, single_task_max: int = SINGLE_TASK_MAX,
+                         input_written: bool = False) -> DataFrame:
     """Adds `out` = sum of `value` over all rows strictly before each row in
     `order` (0 for the first row). `order` must be numeric and unique.
 
@@ -60,18 +60,21 @@ def running_total_before(df: DataFrame, value: str, order: str, out: str = "tota
     input is written once to the shared folder first, so an expensive
     upstream (a join over a large table) runs once.
 
-    Size check: when the input is written first, its row count is read
-    cheaply from the files; at most `single_task_max` rows fit one task, and
-    a plain ordered window (one task) is faster than three small jobs.
+    Size check: when the input is written first (or `input_written` says it
+    already is), its row count is read cheaply from the files. At most
+    `single_task_max` rows fit one task, and there a plain ordered window is
+    faster than three small jobs.
     """
     spark = df.sparkSession
-    if materialize:
+    if materialize and not input_written:
         from ..session import materialize as write_once
         df = write_once(df, "running-total-input")
+    if materialize or input_written:
         if df.count() <= single_task_max:
             # proven small: one task sorts it (this is the only unpartitioned window)
             whole = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-            return df.withColumn(out, F.coalesce(F.sum(value).over(whole), F.lit(0).cast(df.schema[value].dataType)))
+            zero = F.lit(0).cast(df.schema[value].dataType)
+            return df.withColumn(out, F.coalesce(F.sum(value).over(whole), zero))
     if n_blocks is None:
         n_blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_blocks = min(max(2, n_blocks), MAX_BLOCKS)
@@ -112,8 +115,9 @@ def first_n(df: DataFrame, n: int, order: str, topk_max: int = TOPK_MAX) -> Data
 
 def within_budget(df: DataFrame, size_mb: str, order: str, cap_mb: float,
                   out_total: str = "mb_before", out_flag: str = "started",
-                  materialize: bool = True) -> DataFrame:
+                  materialize: bool = True, input_written: bool = False) -> DataFrame:
     """Size cap: an item is started while the total of the items before it is
     below the cap, so the item that crosses the line is still included."""
-    with_total = running_total_before(df, size_mb, order, out_total, materialize=materialize)
+    with_total = running_total_before(df, size_mb, order, out_total, materialize=materialize,
+                                      input_written=input_written)
     return with_total.withColumn(out_flag, F.col(out_total) < F.lit(cap_mb))

@@ -131,7 +131,7 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
     sized = facts.withColumn("archive_mb", mb(F.coalesce(F.col("length"), F.lit(0))))
     # facts are already written once, so the budget reads them directly
     started = within_budget(sized, "archive_mb", "ordinal", cfg.max_total_gb * 1000.0,
-                            materialize=False).where("started")
+                            materialize=False, input_written=True).where("started")
     extracted = _materialize(
         archives.extract_members(archives.plan_extraction(started).drop("mb_before", "started"),
                                  f"{run}/extracted"),
