@@ -10,8 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import planning, ordering
+from ..functions import names as nm
+from ..functions.nulls import NULL_SYMBOLS, map_null_symbols
+from ..functions.typed import typed_view
+from ..operators import catalog as cat_ops
+from ..operators import convert as conv
+from ..operators import ordering, planning
+from ..operators import publish as pub
+from ..operators import register as reg
+from ..schemas import INGEST_REPORT, STORED_CATALOG
+from ..session import staging_dir
+from ..sources import archives as arc
+from ..sources import catalog_store, listing
+from ..streaming.listing_watch import watch_listings
+from . import landing_build
 from . import testbed as tb
+from .refresh import RefreshConfig, run_refresh
+from .sql import sql_strings
 from .testbed import AS_OF, CTES, DAYS_SQL
 
 QUERIES: dict = {}
@@ -149,10 +164,6 @@ def q_id_set_ops(spark, d):
 
 # --- catalog refresh -------------------------------------------------------
 
-from ..operators import catalog as cat_ops  # noqa: E402
-from ..sources import catalog_store, listing  # noqa: E402
-from ..session import staging_dir  # noqa: E402
-
 
 @register("merge_catalog", f"""{CTES}
 select f.*, s.last_ingestion_date from fresh f left join stored s on f.product_id = s.product_id""")
@@ -236,8 +247,6 @@ def q_catalog_flatten(spark, d):
 
 # --- names and symbols ----------------------------------------------------
 
-from ..functions import names as nm  # noqa: E402
-from ..functions.nulls import NULL_SYMBOLS, map_null_symbols  # noqa: E402
 
 _SYMBOLS_SQL = ", ".join("'" + s.replace("'", "''") + "'" for s in NULL_SYMBOLS)
 
@@ -279,8 +288,6 @@ def q_folder_slug_text(spark, d):
 
 # --- folders, tables, registration -----------------------------------------
 
-from ..operators import register as reg  # noqa: E402
-
 
 def _slugs(spark, d):
     f = tb.fresh_catalog(spark, d)
@@ -394,8 +401,6 @@ def q_register_plan(spark, d):
 
 # --- manifest and publishing ----------------------------------------------
 
-from ..operators import publish as pub  # noqa: E402
-
 
 @register("manifest_status", f"""
 select c_mktsegment as segment, n_rows, message is null as is_valid, message from (
@@ -442,7 +447,6 @@ def q_publish_plan(spark, d):
 
 # --- archives ---------------------------------------------------------------
 
-from ..sources import archives as arc  # noqa: E402
 
 _MEMBER_LISTS = {
     0: "{k}_MetaData.csv|{k}.csv",
@@ -523,9 +527,6 @@ def q_archive_signature(spark, d):
 
 # --- conversion report --------------------------------------------------------
 
-from ..operators import convert as conv  # noqa: E402
-from ..schemas import INGEST_REPORT  # noqa: E402
-
 
 def _report_from_parts(spark, d):
     p = tb.table(spark, d, "part")
@@ -582,8 +583,6 @@ def q_error_label(spark, d):
 
 # --- query-time typing and ad-hoc SQL ---------------------------------------
 
-from ..functions.typed import typed_view  # noqa: E402
-
 
 @register("typed_view", """
 select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k,
@@ -595,7 +594,6 @@ def q_typed_view(spark, d):
         F.col("props").alias("props_number"), F.col("event_type").alias("type_number"))
     return typed_view(ev, {"k": "bigint", "props_number": "double", "type_number": "double"})
 
-from .sql import sql_strings  # noqa: E402
 
 _NATION_SQL = """
 select n.n_nationkey, n.n_name, r.r_name,
@@ -642,9 +640,6 @@ def q_csv_to_strings(spark, d):
 
 # --- landing archives and the whole refresh ----------------------------------
 
-from . import landing_build  # noqa: E402
-from .refresh import RefreshConfig, run_refresh  # noqa: E402
-
 
 @register("archive_expand", f"""
 select cast({landing_build.ID_BASE} + c_nationkey as bigint) as productId, concat({landing_build.ID_BASE} + c_nationkey, '.csv') as member,
@@ -674,9 +669,6 @@ def q_warehouse_refresh(spark, d):
 
 # --- incremental planning on Structured Streaming ------------------------------
 
-from ..schemas import STORED_CATALOG  # noqa: E402
-from ..streaming.listing_watch import watch_listings  # noqa: E402
-
 
 @register("incremental_plan", IDENTIFY_SQL + """
 select product_id as productId, title, frequency, reason from classified where reason is not null""")
