@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--workers", type=int, default=4)
     r.add_argument("--legacy", action="store_true", help="no planning: take what is not landed yet")
     r.add_argument("--strict-parity", action="store_true")
+    r.add_argument("--quarantine", action="store_true", help="ragged rows go aside instead of failing")
 
     d = sub.add_parser("discover")
     d.add_argument("--listing", required=True, help="JSON array document(s)")
@@ -87,7 +88,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         out = R.run_refresh(spark, R.RefreshConfig(
             landing=args.landing, root=args.root, db=args.db, as_of=args.as_of, limit=args.limit,
             max_total_gb=args.max_total_gb, workers=args.workers, legacy=args.legacy,
-            strict_parity=args.strict_parity))
+            strict_parity=args.strict_parity, quarantine=args.quarantine))
         out.pop("report")
         print(json.dumps(out, default=str))
     elif args.command == "discover":

@@ -104,7 +104,7 @@ def has_quoted_newlines(spark: SparkSession, csv_path: str) -> bool:
 
 def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: int | None = None,
                 multiline: bool | None = None, quarantine: bool = False,
-                split_threshold: int = TARGET_FILE_BYTES) -> dict:
+                split_threshold: int = TARGET_FILE_BYTES, rejects_dir: str | None = None) -> dict:
     """One dataset: header -> clean unique names -> all-string read ->
     missing-value symbols to null -> parquet folder (overwritten).
 
@@ -125,7 +125,7 @@ def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: in
         bad = df.where(F.col("_corrupt_record").isNotNull())
         rejects = bad.count()
         if rejects:
-            bad.select("_corrupt_record").write.mode("overwrite").text(out_dir.rstrip("/") + "_rejects")
+            bad.select("_corrupt_record").write.mode("overwrite").text(rejects_dir or out_dir.rstrip("/") + "_rejects")
         df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     out = map_null_symbols(df.toDF(*clean))
     n_files = max(1, math.ceil((size_bytes or 0) / TARGET_FILE_BYTES))
@@ -225,7 +225,8 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
                   key: str = "productId", title: str = "title", folder: str = "folder",
                   csv_path: str = "csv_path", size_bytes: str = "length",
                   error: str = "error", timeout_s: float | None = CONVERSION_TIMEOUT_S,
-                  group_small: bool = True, split_threshold: int = TARGET_FILE_BYTES) -> DataFrame:
+                  group_small: bool = True, split_threshold: int = TARGET_FILE_BYTES,
+                  quarantine: bool = False) -> DataFrame:
     """Convert every item; one failure never stops the others.
 
     `items` carries one row per dataset with its extracted CSV path (or an
@@ -239,6 +240,8 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
     Large files are converted one by one (with the parallel split check).
     Every job runs in its own job group; a timer cancels it after
     `timeout_s`, and the dataset is reported as a `ConversionTimeout`.
+    With `quarantine`, rows of the wrong width go to `<dataset>_rejects`
+    instead of failing the dataset (one job per dataset then).
     """
     rows = items.select(key, title, folder, csv_path, size_bytes, error).collect()
     data_root = data_root.rstrip("/")
@@ -270,8 +273,13 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
             if timer:
                 timer.cancel()
 
-    def ok_row(r, rel, renamed=()):
-        notes = "renamed: " + ", ".join(f"{a} -> {b}" for a, b in renamed) if renamed else None
+    def ok_row(r, rel, renamed=(), rejects=0):
+        parts = []
+        if renamed:
+            parts.append("renamed: " + ", ".join(f"{a} -> {b}" for a, b in renamed))
+        if rejects:
+            parts.append(f"rejected rows: {rejects}")
+        notes = "; ".join(parts) or None
         return (r[key], r[title], "ok", fs.du(spark, f"{data_root}/{rel}") / 1e6, rel, None, None, notes)
 
     def failed_row(r, cls, msg):
@@ -287,8 +295,9 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
         try:
             info, expired = guarded(f"convert dataset {r[key]}",
                                     lambda: convert_csv(spark, r[csv_path], f"{data_root}/{rel}", r[size_bytes],
-                                                        split_threshold=split_threshold))
-            return timeout_row(r) if expired else ok_row(r, rel, info["renamed"])
+                                                        split_threshold=split_threshold, quarantine=quarantine,
+                                                        rejects_dir=f"{data_root}-rejects/{rel}"))
+            return timeout_row(r) if expired else ok_row(r, rel, info["renamed"], info["rejects"])
         except Exception as e:  # noqa: BLE001 - isolated per dataset
             return failed_row(r, type(e).__name__, str(e).split("\n")[0])
 
@@ -312,7 +321,8 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
             return list(movers.map(place, batch))
 
     convertible = [r for r in rows if r[error] is None and r[csv_path] is not None]
-    small = [r for r in convertible if group_small and (r[size_bytes] or 0) <= split_threshold]
+    grouping = group_small and not quarantine
+    small = [r for r in convertible if grouping and (r[size_bytes] or 0) <= split_threshold]
     singles = [r for r in rows if r not in small]
     tasks = []
     if small:

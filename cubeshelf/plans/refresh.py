@@ -40,6 +40,7 @@ class RefreshConfig:
     skip_invisible: bool = True       # legacy mode only, as in the original workflow
     strict_parity: bool = False       # stamp every manifest row, even if not published
     keep_staging: bool = False        # keep extracted CSVs and converted copies of the run
+    quarantine: bool = False          # ragged rows go aside instead of failing the dataset
     frequency_mapping: dict = field(default_factory=dict)
 
 
@@ -138,7 +139,8 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
         f"{run}/extracted_index")
 
     # built on the driver from the job outcomes: no lineage to cut
-    report = convert.convert_batch(spark, extracted, f"{run}/data", workers=cfg.workers, size_bytes="csv_bytes")
+    report = convert.convert_batch(spark, extracted, f"{run}/data", workers=cfg.workers, size_bytes="csv_bytes",
+                                   quarantine=cfg.quarantine)
     report.write.parquet(f"{run}/report")
     manifest = convert.manifest_of(report)
     manifest.coalesce(1).write.option("header", "true").csv(f"{run}/manifest")

@@ -167,3 +167,15 @@ def test_missing_file_in_group_fails_alone(spark, tmp_path):
     items = spark.createDataFrame(rows, "productId long, title string, folder string, csv_path string, length long, error string")
     got = {r.productId: r.status for r in C.convert_batch(spark, items, str(tmp_path / "data")).collect()}
     assert got == {1: "ok", 2: "failed"}
+
+
+def test_batch_quarantine_keeps_dataset(spark, tmp_path):
+    bad = _write(tmp_path, "b.csv", "a,b\n1,2\n3\n4,5\n")
+    items = spark.createDataFrame([(1, "b", "1-b", bad, 20, None)],
+                                  "productId long, title string, folder string, csv_path string, length long, error string")
+    strict = C.convert_batch(spark, items, str(tmp_path / "d1")).first()
+    assert strict.status == "failed"
+    kept = C.convert_batch(spark, items, str(tmp_path / "d2"), quarantine=True).first()
+    assert kept.status == "ok" and kept.notes == "rejected rows: 1"
+    assert spark.read.parquet(str(tmp_path / "d2" / "1-b" / "1.parquet")).count() == 2
+    assert [r.value for r in spark.read.text(str(tmp_path / "d2-rejects" / "1-b" / "1.parquet")).collect()] == ["3"]
