@@ -23,3 +23,15 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThanOrEqual(l_quantity,49.0)" in plan
     # the lineitem scan reads only the three columns the stored catalog needs
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in plan
+
+
+PROJECTIONS = ["null_symbols", "sanitize_names", "folder_slug", "folder_slug_text", "display_title",
+               "error_label", "typed_view", "archive_member", "archive_signature", "catalog_flatten",
+               "frequency_days"]
+
+
+@pytest.mark.parametrize("name", PROJECTIONS)
+def test_scalar_logic_stays_in_codegen(name, spark):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # JVM-side and whole-stage codegen'd (from_json itself runs outside codegen)
+    assert "*(1) Project" in plan or "*(2) Project" in plan, plan[:500]
