@@ -689,3 +689,30 @@ def q_incremental_plan(spark, d):
     catalog_store.write_catalog(snapshot, f"{stage}/catalog")
     watch_listings(spark, f"{stage}/listings", f"{stage}/catalog", f"{stage}/out", f"{stage}/checkpoint", as_of=AS_OF)
     return spark.read.parquet(f"{stage}/out").select("productId", "title", "frequency", "reason")
+
+
+# --- manifests on disk ---------------------------------------------------------
+
+@register("manifest_files", f"""
+select c_mktsegment as segment, count(*) filter (where c_acctbal > 9900) as n_rows,
+       count(*) filter (where c_acctbal > 9900) > 0 as is_valid,
+       case when count(*) filter (where c_acctbal > 9900) = 0 then '{pub.MSG_NOT_FOUND}' end as message
+from customer group by c_mktsegment""")
+def q_manifest_files(spark, d):
+    """One manifest per market segment (its top-balance customers), written
+    by a partitioned CSV write: a segment without rows gets no file. Each
+    manifest is then checked and read from disk (one check per segment)."""
+    stage = staging_dir(spark, "manifests")
+    c = tb.table(spark, d, "customer")
+    rows = c.where(F.col("c_acctbal") > 9900).select(
+        F.col("c_custkey").alias("productId"), F.col("c_name").alias("title"), F.col("c_acctbal").alias("size_mb"),
+        F.concat(F.col("c_custkey").cast("string"), F.lit("-"), F.lower("c_mktsegment"), F.lit("/"),
+                 F.col("c_custkey").cast("string"), F.lit(".parquet")).alias("file_path"),
+        F.col("c_mktsegment").alias("segment"))
+    rows.write.partitionBy("segment").option("header", "true").csv(stage)
+    segments = [r[0] for r in c.select("c_mktsegment").distinct().collect()]  # a handful of labels
+    out = []
+    for seg in segments:
+        ok, msg, manifest = pub.manifest_status(spark, f"{stage}/segment={seg}")
+        out.append((seg, manifest.count() if ok else 0, ok, msg))
+    return spark.createDataFrame(out, "segment string, n_rows long, is_valid boolean, message string")

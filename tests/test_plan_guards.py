@@ -6,7 +6,7 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 # these run side effects (files, streams) while being built; covered elsewhere
-SIDE_EFFECTS = {"csv_to_strings", "archive_expand", "warehouse_refresh", "incremental_plan"}
+SIDE_EFFECTS = {"csv_to_strings", "archive_expand", "warehouse_refresh", "incremental_plan", "manifest_files"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
 
 
