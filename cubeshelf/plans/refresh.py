@@ -37,7 +37,8 @@ class RefreshConfig:
     max_total_gb: float = 10.0        # archive bytes started per run
     workers: int = 4                  # datasets converted at the same time
     legacy: bool = False              # no update planning: everything not yet landed
-    skip_invisible: bool = True       # legacy mode only, as in the original workflow
+    skip_invisible: bool = True       # legacy mode drops hidden tables, as in the original workflow
+    skip_invisible_planned: bool = False  # also drop them from the planned work list (off: parity)
     strict_parity: bool = False       # stamp every manifest row, even if not published
     keep_staging: bool = False        # keep extracted CSVs and converted copies of the run
     quarantine: bool = False          # ragged rows go aside instead of failing the dataset
@@ -57,11 +58,17 @@ def plan_run(fresh: DataFrame, stored: DataFrame, as_of, limit: int | None = Non
 
 
 def choose_work(fresh: DataFrame, work: DataFrame | None, existing: DataFrame | None,
-                limit: int | None = None, skip_invisible: bool = True) -> DataFrame:
+                limit: int | None = None, skip_invisible: bool = True,
+                skip_invisible_planned: bool = False) -> DataFrame:
     """Catalog rows to ingest: the planned work list when there is one,
-    otherwise everything not yet in the warehouse (legacy mode)."""
+    otherwise everything not yet in the warehouse (legacy mode). Hidden
+    tables are dropped in legacy mode; in planned mode only on request
+    (the original workflow keeps them there)."""
     if work is not None:
-        return planning.worklist_join(fresh, work)
+        todo = planning.worklist_join(fresh, work)
+        if skip_invisible_planned:
+            todo = todo.where(~F.coalesce(F.col("title").contains(planning.INVISIBLE_MARK), F.lit(False)))
+        return todo
     legacy = planning.legacy_filter(fresh, existing, skip_invisible=skip_invisible, limit=limit)
     return legacy.withColumn("reason", F.lit(planning.REASON_NEW))
 
@@ -120,7 +127,7 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
         work, summary_df = plan_run(fresh, stored, as_of, cfg.limit, cfg.frequency_mapping,
                                     write_to=f"{run}/classified")
         summary = summary_df.first().asDict()
-        todo = choose_work(fresh, work, None)
+        todo = choose_work(fresh, work, None, skip_invisible_planned=cfg.skip_invisible_planned)
 
     items = todo.select("productId", "title", "ordinal", "reason",
                         folder_slug("productId", "title").alias("folder"),

@@ -57,3 +57,13 @@ def test_budget_and_legacy_mode(spark, tmp_path):
     r2 = run_refresh(spark, RefreshConfig(landing, root, db=db, as_of="2001-09-01 00:00:00", legacy=True, limit=2))
     assert r2["ingest"]["n_ok"] == 2
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_choose_work_invisible_switch(spark):
+    from cubeshelf.plans.refresh import choose_work
+    fresh = spark.createDataFrame([(1, "a", 0), (2, "b INVISIBLE", 1)], "productId long, title string, ordinal long")
+    work = spark.createDataFrame([(1, "new"), (2, "new")], "productId long, reason string")
+    assert choose_work(fresh, work, None).count() == 2
+    assert [r.productId for r in choose_work(fresh, work, None, skip_invisible_planned=True).collect()] == [1]
+    existing = spark.createDataFrame([], "productId long")
+    assert [r.productId for r in choose_work(fresh, None, existing).collect()] == [1]
