@@ -124,3 +124,29 @@ def test_text_pointer_helpers(spark, tmp_path):
     fs.write_text(spark, p, "v=1\n")
     fs.write_text(spark, p, "v=2\n")
     assert fs.read_text(spark, p) == "v=2\n"
+
+
+def test_retitled_dataset_and_deprecation(spark, tmp_path):
+    data = tmp_path / "data"
+    for folder in ("1-old-title", "1-new-title", "2-b"):
+        pid = folder.split("-")[0]
+        spark.createDataFrame([(pid,)], "a string").write.parquet(str(data / folder / f"{pid}.parquet"))
+    cat = str(tmp_path / "catalog" / "v=1")
+    spark.createDataFrame([(1, "t")], "productId long, title string").write.parquet(cat)
+    db = "cubeshelf_retitle_db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    # table 1 was registered under the old title; table 3 has lost its folder
+    spark.sql(f"CREATE TABLE {db}.`1_old_title` USING parquet OPTIONS (recursiveFileLookup 'true') "
+              f"LOCATION '{data / '1-old-title'}'")
+    spark.sql(f"CREATE TABLE {db}.`3_gone` (a string) USING parquet LOCATION '{tmp_path / 'gone'}'")
+    folders = inventory.folder_inventory(spark, str(data))
+    plan = R.register_plan(folders, inventory.table_inventory(spark, db), str(data) + "/", cat)
+    got = sorted((r.product_id, r.folder, r.action) for r in plan.collect() if r.product_id is not None)
+    assert got == [(1, "1-new-title", "relocated"), (1, "1-old-title", "keep"), (2, "2-b", "create"),
+                   (3, None, "deprecate")]
+    counts = R.apply_register_plan(spark, plan, db)
+    assert counts == {"relocated": 1, "create": 1, "deprecate": 1, "refresh": 1}
+    props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {db}.`3_gone`").collect()}
+    assert props.get("deprecated") == "true"
+    assert spark.catalog.tableExists(f"{db}.`1_new_title`") and spark.catalog.tableExists(f"{db}.`3_gone`")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
