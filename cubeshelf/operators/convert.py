@@ -7,6 +7,7 @@ they are separate jobs; a small driver-side pool submits several at once
 
 from __future__ import annotations
 
+import json
 import math
 import threading
 import uuid
@@ -170,7 +171,7 @@ def read_headers(spark: SparkSession, paths: list[str], n_tasks: int = 8) -> dic
 
 
 def convert_group(spark: SparkSession, members: list[tuple[str, str]], raw_header: list[str],
-                  staging: str) -> tuple[dict[str, str], list]:
+                  staging: str) -> tuple[dict[str, str], list, list[str]]:
     """Several small CSV files with the same header -> one job.
 
     `members` are (dataset key, csv path), at most GROUP_SIZE. One scan reads
@@ -178,7 +179,8 @@ def convert_group(spark: SparkSession, members: list[tuple[str, str]], raw_heade
     to its dataset through its file path, joined with a key table of
     len(members) rows, and the result is written partitioned by key.
     Returns (key -> folder of that dataset's parquet files, renamed
-    columns); an empty dataset gets an empty, schema-only folder."""
+    columns, output columns); an empty dataset gets an empty, schema-only
+    folder."""
     original = header_names(raw_header)
     positional = [f"c{i}" for i in range(len(original))]
     clean, renamed = unique_names(sanitize_names(original))
@@ -194,7 +196,7 @@ def convert_group(spark: SparkSession, members: list[tuple[str, str]], raw_heade
         if not fs.exists(spark, part):
             spark.createDataFrame([], all_string(clean)).write.parquet(part)
         done[str(k)] = part
-    return done, renamed
+    return done, renamed, clean
 
 
 def _norm_uri(c):
@@ -273,17 +275,18 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
             if timer:
                 timer.cancel()
 
-    def ok_row(r, rel, renamed=(), rejects=0):
+    def ok_row(r, rel, renamed=(), rejects=0, columns=None):
         parts = []
         if renamed:
             parts.append("renamed: " + ", ".join(f"{a} -> {b}" for a, b in renamed))
         if rejects:
             parts.append(f"rejected rows: {rejects}")
         notes = "; ".join(parts) or None
-        return (r[key], r[title], "ok", fs.du(spark, f"{data_root}/{rel}") / 1e6, rel, None, None, notes)
+        cols = json.dumps(list(columns)) if columns is not None else None
+        return (r[key], r[title], "ok", fs.du(spark, f"{data_root}/{rel}") / 1e6, rel, None, None, notes, cols)
 
     def failed_row(r, cls, msg):
-        return (r[key], r[title], "failed", None, None, cls, msg, None)
+        return (r[key], r[title], "failed", None, None, cls, msg, None, None)
 
     def timeout_row(r):
         return failed_row(r, "ConversionTimeout", f"Conversion timeout (>{timeout_s:g}s)")
@@ -297,14 +300,14 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
                                     lambda: convert_csv(spark, r[csv_path], f"{data_root}/{rel}", r[size_bytes],
                                                         split_threshold=split_threshold, quarantine=quarantine,
                                                         rejects_dir=f"{data_root}-rejects/{rel}"))
-            return timeout_row(r) if expired else ok_row(r, rel, info["renamed"], info["rejects"])
+            return timeout_row(r) if expired else ok_row(r, rel, info["renamed"], info["rejects"], info["columns"])
         except Exception as e:  # noqa: BLE001 - isolated per dataset
             return failed_row(r, type(e).__name__, str(e).split("\n")[0])
 
     def group(batch, header):
         try:
             staging = f"{data_root}-groups/{uuid.uuid4().hex}"
-            (done, renamed), expired = guarded(f"convert {len(batch)} datasets",
+            (done, renamed, columns), expired = guarded(f"convert {len(batch)} datasets",
                                     lambda: convert_group(spark, [(r[key], r[csv_path]) for r in batch],
                                                           header, staging))
             if expired:
@@ -314,7 +317,7 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
         def place(r):
             rel = f"{r[folder]}/{r[key]}.parquet"
             fs.move(spark, done[str(r[key])], f"{data_root}/{rel}")
-            return ok_row(r, rel, renamed)
+            return ok_row(r, rel, renamed, columns=columns)
 
         # renames and sizes are metadata calls: issue them side by side
         with ThreadPoolExecutor(max_workers=8) as movers:

@@ -69,19 +69,33 @@ def register_plan(folders: DataFrame, tables: DataFrame, prefix: str, catalog_pa
 
 
 def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str = "parquet",
-                        workers: int = 8, db_location: str | None = None) -> dict:
+                        workers: int = 8, db_location: str | None = None,
+                        schemas: dict | None = None) -> dict:
     """Issue the catalog DDL for every action except `keep`.
 
     Only changed datasets reach the driver (DDL is a driver-side call
-    anyway); statements for different tables go out from a small pool, since
-    each one lists its folder and reads parquet footers. Returns counts per
-    action.
+    anyway); statements for different tables go out from a small pool.
+    `schemas` (product id -> output columns) lets a table be declared
+    directly; without it a statement lists the folder and reads parquet
+    footers to infer the schema. Returns counts per action.
     """
+    schemas = schemas or {}
+
+    def columns_ddl(pid) -> str:
+        """Declared columns (all STRING) of a dataset converted in this run:
+        the table is then created without listing its folder or reading
+        parquet footers. Other folders have their schema inferred."""
+        cols = schemas.get(pid)
+        if not cols:
+            return ""
+        return " (" + ", ".join("`" + c.replace("`", "``") + "` STRING" for c in cols) + ")"
+
     from concurrent.futures import ThreadPoolExecutor
 
     where = f" LOCATION '{db_location}'" if db_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{where}")
-    todo = plan.where(F.col("action") != "keep").select("folder", "table_name", "action", "path").collect()
+    todo = (plan.where(F.col("action") != "keep")
+            .select("product_id", "folder", "table_name", "action", "path").collect())
     counts: dict[str, int] = {}
     for r in todo:
         counts[r.action] = counts.get(r.action, 0) + 1
@@ -90,13 +104,13 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
         if r.action in ("create", "relocated"):
             name = r.folder.replace("-", "_")
             # a dataset folder holds `<id>.parquet/` part-file folders
-            spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` USING {fmt} "
+            spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}`{columns_ddl(r.product_id)} USING {fmt} "
                       f"OPTIONS (recursiveFileLookup 'true') LOCATION '{r.path}'")
         elif r.action == "update":
             # external table: dropping the entry leaves the files; recreating it
             # picks up the schema of the re-published data
             spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{r.table_name}`")
-            spark.sql(f"CREATE TABLE `{db}`.`{r.table_name}` USING {fmt} "
+            spark.sql(f"CREATE TABLE `{db}`.`{r.table_name}`{columns_ddl(r.product_id)} USING {fmt} "
                       f"OPTIONS (recursiveFileLookup 'true') LOCATION '{r.path}'")
         elif r.action == "deprecate":
             spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET TBLPROPERTIES ('deprecated' = 'true')")

@@ -541,6 +541,7 @@ def _report_from_parts(spark, d):
         F.when(failed, F.concat(F.lit("conversion of "), F.col("p_name"), F.lit(" failed in brand "),
                                 F.col("p_brand"))).alias("error_message"),
         F.lit(None).cast("string").alias("notes"),
+        F.lit(None).cast("string").alias("columns"),
     ).select([F.col(f.name).cast(f.dataType) for f in INGEST_REPORT.fields])
 
 

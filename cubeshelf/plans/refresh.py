@@ -12,6 +12,7 @@ so a lost executor never re-runs an extraction or a conversion.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass, field
 
@@ -84,7 +85,7 @@ def refresh_catalog(fresh: DataFrame, stored: DataFrame, stamped_ids: DataFrame,
 
 
 def sync_tables(spark: SparkSession, data_root: str, catalog_path: str, db: str,
-                refreshed: DataFrame | None = None) -> dict:
+                refreshed: DataFrame | None = None, schemas: dict | None = None) -> dict:
     """Register folders that have no table yet, re-register re-published
     ones (their schema may have changed), flag vanished ones, and point the
     catalog table at the newest snapshot. The database folder lives beside
@@ -95,7 +96,7 @@ def sync_tables(spark: SparkSession, data_root: str, catalog_path: str, db: str,
     tables = inventory.table_inventory(spark, db)
     plan = register.register_plan(folders, tables, data_root.rstrip("/") + "/", catalog_path,
                                   refreshed=refreshed)
-    return register.apply_register_plan(spark, plan, db, db_location=db_location)
+    return register.apply_register_plan(spark, plan, db, db_location=db_location, schemas=schemas)
 
 
 def _now(as_of) -> str:
@@ -169,7 +170,12 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
 
     republished = manifest.join(published.where(F.col("status") == "published").select("file_path"),
                                 "file_path").select("productId")
-    registered = sync_tables(spark, data_root, catalog_path, cfg.db, refreshed=republished)
+    # output columns of this run's datasets (one entry per dataset): tables are
+    # declared with them instead of inferring schemas from the files
+    schemas = {r.productId: json.loads(r.columns)
+               for r in report.where(F.col("status") == "ok").select("productId", "columns").collect()
+               if r.columns}
+    registered = sync_tables(spark, data_root, catalog_path, cfg.db, refreshed=republished, schemas=schemas)
     counts = convert.ingest_summary(report).first().asDict()
     if not cfg.keep_staging:
         # published and registered: the bulky copies of this run are no longer

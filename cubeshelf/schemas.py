@@ -61,6 +61,7 @@ INGEST_REPORT = T.StructType([
     T.StructField("error_class", T.StringType()),
     T.StructField("error_message", T.StringType()),
     T.StructField("notes", T.StringType()),          # e.g. columns renamed to stay unique
+    T.StructField("columns", T.StringType()),        # JSON list of output column names (all STRING)
 ])
 
 FOLDERS = T.StructType([

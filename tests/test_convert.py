@@ -128,6 +128,9 @@ def test_small_datasets_with_same_header_convert_together(spark, tmp_path):
     data = str(tmp_path / "data")
     report = {r.productId: r for r in C.convert_batch(spark, items, data).collect()}
     assert all(r.status == "ok" for r in report.values())
+    import json
+    assert json.loads(report[1].columns) == ["REF_DATE", "GEO", "VALUE"]
+    assert json.loads(report[4].columns) == ["Other_Header", "V"]
     read = lambda k: sorted(tuple(x) for x in spark.read.parquet(f"{data}/{k}-t/{k}.parquet").collect())
     assert read(1) == [("2020", "Canada", "1"), ("2021", None, None)]
     assert read(2) == [("2020", "Ontario", None)]

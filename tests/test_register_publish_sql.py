@@ -150,3 +150,17 @@ def test_retitled_dataset_and_deprecation(spark, tmp_path):
     assert props.get("deprecated") == "true"
     assert spark.catalog.tableExists(f"{db}.`1_new_title`") and spark.catalog.tableExists(f"{db}.`3_gone`")
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_declared_schema_skips_inference(spark, tmp_path):
+    data = tmp_path / "data"
+    spark.createDataFrame([("1", "x")], "a string, `b c` string").write.parquet(str(data / "1-t" / "1.parquet"))
+    cat = str(tmp_path / "catalog" / "v=1")
+    spark.createDataFrame([(1, "t")], "productId long, title string").write.parquet(cat)
+    db = "cubeshelf_declared_db"
+    folders = inventory.folder_inventory(spark, str(data))
+    plan = R.register_plan(folders, inventory.table_inventory(spark, "default"), str(data) + "/", cat)
+    R.apply_register_plan(spark, plan, db, schemas={1: ["a", "b c"]})
+    t = spark.table(f"{db}.`1_t`")
+    assert t.columns == ["a", "b c"] and [tuple(r) for r in t.collect()] == [("1", "x")]
+    spark.sql(f"DROP DATABASE {db} CASCADE")
