@@ -46,8 +46,8 @@ def choose_member(names: Column) -> tuple[Column, Column]:
     csvs = F.filter(names, lambda x: F.lower(x).endswith(DATA_EXTENSION))
     data = F.filter(csvs, lambda x: ~x.contains(METADATA_MARK))
     member = F.coalesce(F.get(data, 0), F.get(csvs, 0))
-    listing = F.concat(F.lit("["), F.array_join(F.transform(names, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "),
-                       F.lit("]"))
+    quoted = F.transform(names, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
+    listing = F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
     error = (F.when(F.size(names) == 0, F.lit(MSG_EMPTY_ARCHIVE))
              .when(F.size(csvs) == 0, F.concat(F.lit(MSG_NO_CSV), listing)))
     return member, error
