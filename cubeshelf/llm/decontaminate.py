@@ -128,21 +128,21 @@ def remove(docs: DataFrame, benchmark: DataFrame, whole: bool = True, window: in
     words, and what follows each up to the next word, cut from their texts."""
     found = scan(docs, benchmark, window, id_col, text_col, **names).where("contaminated")
     found = found.groupBy(F.col("doc_id").alias("hit_id"), F.col("key_hash").alias("hit_hash")).agg(F.first("hits").alias("hits"))
-    found = staged(found, "contaminated")
+    found = staged(found.withColumn("cuts", _merged(F.col("hits"))), "contaminated")
     cols = [F.col(quoted(c)) for c in docs.columns]
     key_id, key_hash = row_key(id_col, text_col)
     own = docs.select(F.struct(*cols).alias("row"), key_id, key_hash)
     same = F.col("key_id").eqNullSafe(F.col("hit_id")) & F.col("key_hash").eqNullSafe(F.col("hit_hash"))
     if whole:
         return own.join(found, same, "left_anti").select("row.*")
-    both = own.join(found, same, "left")
     text = F.col("row." + quoted(text_col))
     letter = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
     tokens = F.regexp_extract_all(text, F.lit(f"[^{letter}]+[{letter}]*"), F.lit(0))
+    # The explode keeps the tokens a column: they are computed once a text, not for every cut.
+    both = own.join(found, same, "left").select("row", "hits", "cuts", F.explode(F.array(F.when(F.col("hits").isNotNull(), tokens))).alias("tokens"))
+    ends = F.concat(F.array(F.lit(0)), F.transform("cuts", lambda c: c.end))
+    starts = F.concat(F.transform("cuts", lambda c: c.start), F.array(F.size("tokens")))
+    left = F.flatten(F.zip_with(starts, ends, lambda s, e: F.slice("tokens", e + 1, s - e)))
     lead = F.regexp_extract(text, f"^[{letter}]*", 0)
-    cuts = _merged(F.col("hits"))
-    ends = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda c: c.end))
-    starts = F.concat(F.transform(cuts, lambda c: c.start), F.array(F.size(tokens)))
-    left = F.flatten(F.zip_with(starts, ends, lambda s, e: F.slice(tokens, e + 1, s - e)))
     clean = F.when(F.col("hits").isNull(), text).otherwise(F.concat(lead, F.array_join(left, "")))
     return both.select(*[clean.alias(c) if c == text_col else F.col("row." + quoted(c)).alias(c) for c in docs.columns])

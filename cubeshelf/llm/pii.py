@@ -71,10 +71,12 @@ def _proposals(kind: str, text: Column, pattern: str, likely: Column) -> Column:
     """array<struct<kind, at, gap, match, before>>: the pattern's matches, the
     code points between the last match and this one, and what stands before."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    rows = F.transform(found, lambda m, i: F.struct(
-        F.lit(KINDS.index(kind)).alias("kind"), i.alias("at"), F.length(F.get(gaps, i)).alias("gap"), m.alias("match"),
-        F.translate(F.right(F.get(gaps, i), F.lit(CONTEXT)), ASCII_UPPER, ASCII_LOWER).alias("before")))
+    # Zipped, so that each side is computed once and not anew for every match; the last gap has no match.
+    pairs = F.filter(F.zip_with(found, F.split(text, pattern, -1), lambda m, g: F.struct(m.alias("m"), g.alias("g"))),
+                     lambda x: x.m.isNotNull())
+    rows = F.transform(pairs, lambda x, i: F.struct(
+        F.lit(KINDS.index(kind)).alias("kind"), i.alias("at"), F.length(x.g).alias("gap"), x.m.alias("match"),
+        F.translate(F.right(x.g, F.lit(CONTEXT)), ASCII_UPPER, ASCII_LOWER).alias("before")))
     return F.when(likely, rows).otherwise(F.array())
 
 
