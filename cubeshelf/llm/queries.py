@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeshelf.llm import decontaminate, line_dedup, pii, simhash, topk, url_filter
+import public_tokenizers
+
+from cubeshelf.llm import (decontaminate, language_id, line_dedup, lm_score, packing, pii, simhash, topk, toxicity,
+                           url_filter)
+from cubeshelf.llm.common import held_out
 from cubeshelf.plans.testbed import table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    got = language_id.identify(docs, ~held_out("doc_id", 3, 1))
+    return got.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return got.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
@@ -40,24 +53,50 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def severity(labels: DataFrame) -> Column:
+    """Grades: 0 not toxic, 1 toxic, 2 toxic and of low quality as well."""
+    return F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    got = toxicity.predict(docs, toxicity.learn(docs, labels, severity(labels)))
+    return got.select("doc_id", "grade", "expected_severity", "p_toxic", (F.col("grade") > 0).alias("toxic"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
     return got.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    got = lm_score.score(docs, ~held_out("doc_id", 10, 0))
+    return got.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
     "op4_topk": op4_topk,
     "op5_line_dedup": op5_line_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
+    "op8_packing": op8_packing,
     "op9_decontaminate": op9_decontaminate,
+    "op10_lm_score": op10_lm_score,
 }
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
