@@ -13,7 +13,7 @@ compacted. Every task sends k rows for each query at most.
 Vectors that are null, or hold null or non-finite components, take no part;
 neither do rows with a null id. Of vectors of different length the shorter one
 counts as zero beyond its end. A query's own row is every row with its id.
-Repeated query rows each get their ranks. An empty table gives an empty
+Repeated query rows each get their ranks. A score beyond a long fails the job; it never wraps. An empty table gives an empty
 result; other columns are ignored.
 """
 

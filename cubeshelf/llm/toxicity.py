@@ -11,7 +11,7 @@ The model is fitted in one task on a sample of at most about `max_rows`
 labelled rows, taken by a hash of the id; a bounded sample whatever the input.
 Every row of the table is scored on its whole text.
 
-Null and empty texts have no features. Rows without a label are scored all the
+Null texts and texts without words get the lowest grade. Rows without a label are scored all the
 same; of repeated labels each counts. With no labels the grade and the scores
 are null; with a single grade it is predicted for all. An empty table gives an
 empty result. Other columns are ignored.
@@ -121,7 +121,10 @@ class Grader:
         """(likeliest grade, expected grade, chance of a grade over the lowest)."""
         if not len(self.classes):
             return None, None, None
-        f = sum(sorted(map(self._word, words(text))))
+        own = words(text)
+        if not own:
+            return int(self.classes[0]), float(self.classes[0]), float(self.classes[0] > 0)
+        f = sum(sorted(map(self._word, own)))
         up = np.concatenate([[1.0], _sigmoid(f - self.t), [0.0]])
         mass = up[:-1] - up[1:]
         return (int(self.classes[mass.argmax()]), float((mass * self.classes).sum()),
