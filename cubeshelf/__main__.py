@@ -34,7 +34,12 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--db", default="warehouse")
     r.add_argument("--as-of", default=None)
     r.add_argument("--limit", type=int, default=_limit_default())
-    r.add_argument("--max-total-gb", type=float, default=10.0)
+    r.add_argument("--max-total-gb", type=float, default=None, help="default: no cap")
+    r.add_argument("--timeout", type=float, default=None, help="seconds per conversion job (default: none)")
+    r.add_argument("--skip-invisible-planned", action="store_true")
+    r.add_argument("--keep-staging", action="store_true")
+    r.add_argument("--allow-empty-listing", action="store_true")
+    r.add_argument("--frequency-map", type=json.loads, default={}, help='JSON, listing code -> label or days')
     r.add_argument("--workers", type=int, default=4)
     r.add_argument("--legacy", action="store_true", help="no planning: take what is not landed yet")
     r.add_argument("--strict-parity", action="store_true")
@@ -49,6 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     pl.add_argument("--root", required=True)
     pl.add_argument("--as-of", default=None)
     pl.add_argument("--limit", type=int, default=_limit_default())
+    pl.add_argument("--frequency-map", type=json.loads, default={}, help='JSON, listing code -> label or days')
     pl.add_argument("--show", type=int, default=20, help="work-list rows to print")
     pl.add_argument("--out", default=None, help="write the work list here (parquet)")
 
@@ -65,6 +71,7 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--out", required=True)
     w.add_argument("--as-of", default=None)
     w.add_argument("--limit", type=int, default=_limit_default())
+    w.add_argument("--frequency-map", type=json.loads, default={}, help='JSON, listing code -> label or days')
     return p
 
 
@@ -88,7 +95,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         out = R.run_refresh(spark, R.RefreshConfig(
             landing=args.landing, root=args.root, db=args.db, as_of=args.as_of, limit=args.limit,
             max_total_gb=args.max_total_gb, workers=args.workers, legacy=args.legacy,
-            strict_parity=args.strict_parity, quarantine=args.quarantine))
+            strict_parity=args.strict_parity, quarantine=args.quarantine, timeout_s=args.timeout,
+            skip_invisible_planned=args.skip_invisible_planned, keep_staging=args.keep_staging,
+            allow_empty_listing=args.allow_empty_listing, frequency_mapping=args.frequency_map))
         out.pop("report")
         print(json.dumps(out, default=str))
     elif args.command == "discover":
@@ -98,7 +107,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.command == "plan":
         fresh = listing.read_listing(spark, f"{args.landing.rstrip('/')}/listing.json")
         stored = catalog_store.read_catalog(spark, f"{args.root.rstrip('/')}/catalog", STORED_CATALOG)
-        work, summary = R.plan_run(fresh, stored, R._now(args.as_of), args.limit)
+        work, summary = R.plan_run(fresh, stored, R._now(args.as_of), args.limit, args.frequency_map)
         if args.out:
             work.write.mode("overwrite").parquet(args.out)
             work = spark.read.parquet(args.out)
@@ -118,7 +127,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from .streaming.listing_watch import watch_listings
         root = args.root.rstrip("/")
         watch_listings(spark, args.listings, f"{root}/catalog", args.out,
-                       checkpoint=f"{root}/streams/listing-watch", as_of=args.as_of, limit=args.limit)
+                       checkpoint=f"{root}/streams/listing-watch", as_of=args.as_of, limit=args.limit,
+                       mapping=args.frequency_map)
         print(json.dumps({"out": args.out}))
     return 0
 

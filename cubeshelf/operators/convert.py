@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.names import error_label, sanitize_names, unique_names
 from ..functions.nulls import map_null_symbols
 from ..schemas import INGEST_REPORT, MANIFEST, all_string
+from ..session import materialize
 from ..sources import fs
 
 # The CSV dialect of the statistical tables.
@@ -35,7 +36,6 @@ BOM = "\ufeff"
 # ('Unnamed: 4'; 'a', 'a.1', 'a.2').
 BLANK_NAME = "Unnamed: {i}"
 REPEAT_NAME = "{name}.{k}"
-CONVERSION_TIMEOUT_S = 600.0
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -93,14 +93,25 @@ def read_all_string(spark: SparkSession, csv_path: str, names: list[str], multil
 
 
 def has_quoted_newlines(spark: SparkSession, csv_path: str) -> bool:
-    """True when some physical line holds an odd number of quote characters.
+    """True when some physical line of the file holds an odd number of quote characters.
 
     With '"' as quote and '""' as escape, a line that starts outside quotes
     and ends inside them has an odd count; if no line does, by induction no
     quoted value spans lines and the file can be parsed line by line, split
     across tasks. One parallel pass; stops at the first odd line."""
+    return _odd_lines(spark.read.text(csv_path)).limit(1).count() > 0
+
+
+def _odd_lines(lines: DataFrame) -> DataFrame:
     quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
-    return spark.read.text(csv_path).where(quotes % 2 == 1).limit(1).count() > 0
+    return lines.where(quotes % 2 == 1)
+
+
+def files_with_quoted_newlines(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Those of `paths` that `has_quoted_newlines` holds for, in one job."""
+    by_uri = {_file_uri(spark, p): p for p in paths}
+    found = _odd_lines(spark.read.text(paths).select("value", _norm_uri(F.col("_metadata.file_path")).alias("_fp")))
+    return {by_uri[r[0]] for r in found.select("_fp").distinct().collect()}
 
 
 def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: int | None = None,
@@ -109,20 +120,21 @@ def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: in
     """One dataset: header -> clean unique names -> all-string read ->
     missing-value symbols to null -> parquet folder (overwritten).
 
-    `multiline=None` decides per file: files larger than one split are
-    checked with `has_quoted_newlines` and parsed line by line (in parallel)
-    when that is safe; otherwise the multi-line reader parses the file in one
-    task and the rows are spread over ~128 MB output files before the
-    write."""
+    `multiline=None` decides per file, by its content and not by its size:
+    files without quoted newlines (`has_quoted_newlines`) are parsed line by
+    line, in parallel; in the others the multi-line reader parses the file in
+    one task and the rows are spread over ~128 MB output files before the
+    write. Lines of blanks alone are no rows."""
     if multiline is None:
-        multiline = not (size_bytes and size_bytes > split_threshold) or has_quoted_newlines(spark, csv_path)
+        multiline = has_quoted_newlines(spark, csv_path)
     original = read_header(spark, csv_path, True)
     positional = [f"c{i}" for i in range(len(original))]
     clean, renamed = unique_names(sanitize_names(original))
     df = read_all_string(spark, csv_path, positional, multiline, quarantine)
     rejects = 0
     if quarantine:
-        df = df.cache()
+        # written once: counting and splitting must not parse the file again
+        df = materialize(df, "quarantine")
         bad = df.where(F.col("_corrupt_record").isNotNull())
         rejects = bad.count()
         if rejects:
@@ -133,8 +145,6 @@ def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: in
     if multiline and n_files > 1:
         out = out.repartition(n_files)
     out.write.mode("overwrite").parquet(out_dir)
-    if quarantine:
-        df.unpersist()
     return {"columns": clean, "renamed": renamed, "rejects": rejects, "multiline": multiline}
 
 
@@ -149,12 +159,12 @@ def read_headers(spark: SparkSession, paths: list[str], n_tasks: int = 8) -> dic
         import io
         import json
         import pandas as pd
-        from pyarrow import fs as pafs
+        from cubeshelf.sources.paths import open_fs
         for pdf in batches:
             out = []
             for p in pdf["path"]:
                 try:
-                    f, rel = pafs.FileSystem.from_uri(_uri(p))
+                    f, rel = open_fs(p)
                     with f.open_input_stream(rel) as raw:
                         text = io.TextIOWrapper(raw, encoding="utf-8", newline="")
                         rec = next(csv.reader(text), None)
@@ -185,7 +195,7 @@ def convert_group(spark: SparkSession, members: list[tuple[str, str]], raw_heade
     positional = [f"c{i}" for i in range(len(original))]
     clean, renamed = unique_names(sanitize_names(original))
     keys = spark.createDataFrame([(_file_uri(spark, p), str(k)) for k, p in members], "_fp string, _key string")
-    scan = read_all_string(spark, [p for _, p in members], positional, True)
+    scan = read_all_string(spark, [p for _, p in members], positional, False)
     rows = scan.select(*positional, _norm_uri(F.col("_metadata.file_path")).alias("_fp"))
     tagged = rows.join(F.broadcast(keys), "_fp").select(
         *[F.col(c).alias(n) for c, n in zip(positional, clean)], "_key")
@@ -212,13 +222,6 @@ def _file_uri(spark: SparkSession, path: str) -> str:
     return re.sub(r"^file:///", "file:/", uri)
 
 
-def _uri(p: str) -> str:
-    if "://" in p:
-        return p
-    if p.startswith("file:"):
-        return "file:///" + p[5:].lstrip("/")
-    return "file://" + p if p.startswith("/") else p
-
 
 GROUP_SIZE = 256
 
@@ -226,7 +229,7 @@ GROUP_SIZE = 256
 def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers: int = 4,
                   key: str = "productId", title: str = "title", folder: str = "folder",
                   csv_path: str = "csv_path", size_bytes: str = "length",
-                  error: str = "error", timeout_s: float | None = CONVERSION_TIMEOUT_S,
+                  error: str = "error", timeout_s: float | None = None,
                   group_small: bool = True, split_threshold: int = TARGET_FILE_BYTES,
                   quarantine: bool = False) -> DataFrame:
     """Convert every item; one failure never stops the others.
@@ -302,7 +305,7 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
                                                         rejects_dir=f"{data_root}-rejects/{rel}"))
             return timeout_row(r) if expired else ok_row(r, rel, info["renamed"], info["rejects"], info["columns"])
         except Exception as e:  # noqa: BLE001 - isolated per dataset
-            return failed_row(r, type(e).__name__, str(e).split("\n")[0])
+            return failed_row(r, type(e).__name__, str(e))
 
     def group(batch, header):
         try:
@@ -316,17 +319,32 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
             return [one(r) for r in batch]
         def place(r):
             rel = f"{r[folder]}/{r[key]}.parquet"
-            fs.move(spark, done[str(r[key])], f"{data_root}/{rel}")
-            return ok_row(r, rel, renamed, columns=columns)
+            try:
+                fs.move(spark, done[str(r[key])], f"{data_root}/{rel}")
+                return ok_row(r, rel, renamed, columns=columns)
+            except Exception as e:  # noqa: BLE001 - isolated per dataset
+                return failed_row(r, type(e).__name__, str(e))
 
         # renames and sizes are metadata calls: issue them side by side
         with ThreadPoolExecutor(max_workers=8) as movers:
             return list(movers.map(place, batch))
 
-    convertible = [r for r in rows if r[error] is None and r[csv_path] is not None]
     grouping = group_small and not quarantine
-    small = [r for r in convertible if grouping and (r[size_bytes] or 0) <= split_threshold]
-    singles = [r for r in rows if r not in small]
+    small, singles, repeated, seen = [], [], [], set()
+    for r in rows:
+        if r[key] in seen:  # one dataset is converted once a run
+            repeated.append(failed_row(r, "DuplicateId", f"dataset {r[key]} stands twice in the work list"))
+            continue
+        seen.add(r[key])
+        fits = grouping and r[error] is None and r[csv_path] is not None and (r[size_bytes] or 0) <= split_threshold
+        (small if fits else singles).append(r)
+    if small:
+        try:
+            spanning = files_with_quoted_newlines(spark, [r[csv_path] for r in small])
+        except Exception:  # noqa: BLE001 - an unreadable file: each dataset finds out for itself
+            spanning = {r[csv_path] for r in small}
+        singles += [r for r in small if r[csv_path] in spanning]
+        small = [r for r in small if r[csv_path] not in spanning]
     tasks = []
     if small:
         headers = read_headers(spark, [r[csv_path] for r in small], n_tasks=workers * 2)
@@ -344,7 +362,7 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
 
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         results = [row for rows_ in pool.map(lambda t: t[0](*t[1]), tasks) for row in rows_]
-    return spark.createDataFrame(results, INGEST_REPORT)
+    return spark.createDataFrame(results + repeated, INGEST_REPORT)
 
 
 def with_error_labels(report: DataFrame, max_len: int = 50) -> DataFrame:

@@ -2,8 +2,7 @@
 
 Both avoid windows that put a whole key (or the whole table) into one task:
 `first_per_key` is an aggregation with map-side partial results, and
-`running_total_before` is a two-level prefix sum over value-range blocks (a
-one-task window only behind a row-count check).
+`running_total_before` is a two-level prefix sum over ranges of rows.
 """
 
 from __future__ import annotations
@@ -27,97 +26,64 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Data
     return best.select([F.col(c) if c in keys else F.col("_first").getField(c).alias(c) for c in df.columns])
 
 
-def _with_block(df: DataFrame, order_col: str, bounds: list[float], out: str = "_blk") -> DataFrame:
-    """Adds the value-range block of each row (the number of bounds <= value),
-    found by binary search on the JVM (ML Bucketizer), O(log n_blocks) per row."""
-    if not bounds:
-        return df.withColumn(out, F.lit(0))
-    from pyspark.ml.feature import Bucketizer
-    splits = [float("-inf")] + [float(b) for b in bounds] + [float("inf")]
-    tmp = df.withColumn("_blk_in", F.col(order_col).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_blk_in", outputCol=out, handleInvalid="keep").transform(tmp)
-    return bucketed.withColumn(out, F.col(out).cast("int")).drop("_blk_in")
+ROWS_PER_BLOCK = 1_000_000
 
 
-MAX_BLOCKS = 1024
-SINGLE_TASK_MAX = 2_000_000
+def _ordered(df: DataFrame, order: str) -> list:
+    """`order` ascending (nulls first), then all other columns, so that rows
+    equal in `order` have one defined sequence too."""
+    return [F.col(order).asc_nulls_first(), *[F.col(c) for c in df.columns if c != order]]
 
 
 def running_total_before(df: DataFrame, value: str, order: str, out: str = "total_before",
-                         n_blocks: int | None = None, rel_error: float = 0.001,
-                         materialize: bool = True, single_task_max: int = SINGLE_TASK_MAX,
-                         input_written: bool = False) -> DataFrame:
+                         n_blocks: int | None = None, input_written: bool = False) -> DataFrame:
     """Adds `out` = sum of `value` over all rows strictly before each row in
-    `order` (0 for the first row). `order` must be numeric and unique.
-
-    Two-level prefix sum: rows are cut into ~n_blocks ranges of `order` using
-    approximate quantiles (n_blocks numbers reach the driver); one shuffle by
-    block feeds both the in-block running sum and the block totals (the
-    exchange is reused), and block offsets come from a tiny window over the
-    per-block totals, broadcast back. No task ever holds more than one block.
-
-    The quantile pass reads the input a second time; with `materialize` the
-    input is written once to the shared folder first, so an expensive
-    upstream (a join over a large table) runs once.
-
-    Size check: when the input is written first (or `input_written` says it
-    already is), its row count is read cheaply from the files. At most
-    `single_task_max` rows fit one task, and there a plain ordered window is
-    faster than three small jobs.
+    `order` (0 for the first row). `order` may be of any type with an order;
+    null comes first, and rows equal in it follow their other columns.
+
+    Two-level prefix sum, the same at every size: rows are cut into ranges of
+    `order` of about ROWS_PER_BLOCK rows, written with their range number
+    (so a lost executor can't shift a boundary), summed within each range,
+    and offset by the totals of the ranges before. Only one row per range
+    meets in one task.
     """
-    spark = df.sparkSession
-    if materialize and not input_written:
-        from ..session import materialize as write_once
+    from ..session import materialize as write_once
+    if not input_written:
         df = write_once(df, "running-total-input")
-    if materialize or input_written:
-        if df.count() <= single_task_max:
-            # proven small: one task sorts it (this is the only unpartitioned window)
-            whole = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-            zero = F.lit(0).cast(df.schema[value].dataType)
-            return df.withColumn(out, F.coalesce(F.sum(value).over(whole), zero))
     if n_blocks is None:
-        n_blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_blocks = min(max(2, n_blocks), MAX_BLOCKS)
-    probs = [i / n_blocks for i in range(1, n_blocks)]
-    bounds = sorted(set(b for b in df.approxQuantile(order, probs, rel_error) if b is not None))
-    blocked = _with_block(df, order, bounds)
-
-    in_block = Window.partitionBy("_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    whole_block = Window.partitionBy("_blk")
-    windowed = (blocked.withColumn("_local", F.coalesce(F.sum(value).over(in_block), F.lit(0)))
-                .withColumn("_blk_total", F.sum(value).over(whole_block)))
-
-    totals = windowed.groupBy("_blk").agg(F.max("_blk_total").alias("_blk_total"))
-    # At most n_blocks rows: a single-partition window is fine here.
-    offsets = totals.select(
-        "_blk",
-        F.coalesce(F.sum("_blk_total").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0).cast(totals.schema["_blk_total"].dataType)).alias("_blk_offset"))
-    joined = windowed.join(F.broadcast(offsets), "_blk")
-    return joined.select(*df.columns, (F.col("_blk_offset") + F.col("_local")).alias(out))
+        n_blocks = max(2, -(-df.count() // ROWS_PER_BLOCK))
+    blocked = write_once(df.repartitionByRange(n_blocks, F.col(order).asc_nulls_first())
+                         .withColumn("_blk", F.spark_partition_id()), "running-total-blocks")
+    zero = F.lit(0).cast(df.schema[value].dataType)
+    in_block = Window.partitionBy("_blk").orderBy(*_ordered(df, order)).rowsBetween(Window.unboundedPreceding, -1)
+    totals = blocked.groupBy("_blk").agg(F.coalesce(F.sum(value), zero).alias("_blk_total"))
+    # One row per range of a million rows: a single-partition window is fine here.
+    offsets = totals.select(F.col("_blk").alias("_off_blk"), F.coalesce(
+        F.sum("_blk_total").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), zero).alias("_blk_offset"))
+    return (blocked.withColumn("_local", F.coalesce(F.sum(value).over(in_block), zero))
+            .join(offsets, F.col("_blk") == F.col("_off_blk"))
+            .select(*df.columns, (F.col("_blk_offset") + F.col("_local")).alias(out)))
 
 
 TOPK_MAX = 100_000
 
 
 def first_n(df: DataFrame, n: int, order: str, topk_max: int = TOPK_MAX) -> DataFrame:
-    """The first `n` rows in `order`. Up to `topk_max` a top-k (each task
-    keeps k rows, then k rows per task are merged); beyond it, holding k
-    rows per task would not fit, so the rank comes from the two-level
-    running count (numeric, unique `order`)."""
+    """The first `n` rows in `order` (nulls first, ties by the other columns).
+    Up to `topk_max` a top-k: each task keeps k rows, then k rows per task
+    are merged. Beyond it, holding k rows per task would not fit, so the rank
+    comes from the two-level running count; the rows are the same."""
     if n <= 0:
         return df.limit(0)
     if n <= topk_max:
-        return df.orderBy(order).limit(int(n))
-    ranked = running_total_before(df.withColumn("_one", F.lit(1)), "_one", order, "_rank")
+        return df.orderBy(*_ordered(df, order)).limit(int(n))
+    ranked = running_total_before(df.withColumn("_one", F.lit(1).cast("long")), "_one", order, "_rank")
     return ranked.where(F.col("_rank") < F.lit(int(n))).drop("_one", "_rank")
 
 
 def within_budget(df: DataFrame, size_mb: str, order: str, cap_mb: float,
-                  out_total: str = "mb_before", out_flag: str = "started",
-                  materialize: bool = True, input_written: bool = False) -> DataFrame:
+                  out_total: str = "mb_before", out_flag: str = "started", input_written: bool = False) -> DataFrame:
     """Size cap: an item is started while the total of the items before it is
     below the cap, so the item that crosses the line is still included."""
-    with_total = running_total_before(df, size_mb, order, out_total, materialize=materialize,
-                                      input_written=input_written)
+    with_total = running_total_before(df, size_mb, order, out_total, input_written=input_written)
     return with_total.withColumn(out_flag, F.col(out_total) < F.lit(cap_mb))

@@ -76,7 +76,7 @@ def limit_new(work: DataFrame, limit: int | None, order: str = "ordinal", reason
     limited branch is a top-k (per-task top-k, then a merge of k rows per
     task). Beyond it, holding k rows per task would not fit, so the rank
     comes from the two-level running count instead (no task holds more than
-    one block); `order` must then be numeric and unique.
+    one block). Both give the same rows.
     """
     if limit is None:
         return work

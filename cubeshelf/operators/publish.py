@@ -45,12 +45,13 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int | None = None)
         import uuid
         import pandas as pd
         from pyarrow import fs as pafs
+        from cubeshelf.sources.paths import open_fs
         for pdf in batches:
             out = []
             for fp, target in zip(pdf["file_path"], pdf["target"]):
                 try:
-                    src_fs, src = pafs.FileSystem.from_uri(_uri(f"{src_root}/{fp}"))
-                    dst_fs, dst = pafs.FileSystem.from_uri(_uri(target))
+                    src_fs, src = open_fs(f"{src_root}/{fp}")
+                    dst_fs, dst = open_fs(target)
                     info = src_fs.get_file_info(src)
                     if info.type == pafs.FileType.Directory:
                         sel = pafs.FileSelector(src, recursive=True)
@@ -81,13 +82,6 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int | None = None)
     return todo.mapInPandas(copy, "file_path string, target string, status string, bytes long")
 
 
-def _uri(path: str) -> str:
-    if "://" in path:
-        return path
-    if path.startswith("file:"):
-        return "file://" + "/" + path[5:].lstrip("/")
-    return "file://" + path if path.startswith("/") else path
-
 
 def manifest_status(spark, path: str):
     """Check a manifest on disk: (is_valid, message, manifest DataFrame).

@@ -12,8 +12,13 @@ CATALOG_TABLE = "catalog"
 
 
 def table_name_for(folder) -> F.Column:
-    """The table a dataset folder is registered as: '-' becomes '_'."""
-    return F.translate(F.col(folder) if isinstance(folder, str) else folder, "-", "_")
+    """The table a dataset folder is registered as: '-' becomes '_'. Names
+    with other characters than the catalog takes have those replaced by '_'
+    and a checksum of the folder added, so two folders never share a table."""
+    name = F.translate(F.col(folder) if isinstance(folder, str) else folder, "-", "_")
+    plain = F.regexp_replace(name, "[^A-Za-z0-9_]", "_")
+    mark = F.lower(F.lpad(F.hex(F.crc32(F.encode(name, "UTF-8"))), 8, "0"))
+    return F.when(plain == name, name).otherwise(F.concat(plain, F.lit("_x"), mark))
 
 
 def new_folders(folders: DataFrame, tables: DataFrame, folder: str = "folder",
@@ -36,25 +41,37 @@ def register_plan(folders: DataFrame, tables: DataFrame, prefix: str, catalog_pa
                    (`refreshed` ids): its schema may have changed
     * relocated  - table exists for the id but under another folder's name
                    (the title, hence the slug, changed)
-    * deprecate  - table whose folder is gone (never dropped)
+    * deprecate  - table whose folder is gone, or that another table of the
+                   id has replaced (never dropped)
     * refresh    - the catalog table, always
 
-    Tables are reduced to one per id first, so the full outer join is
-    many-to-one and never emits pairs.
+    Folders and tables are matched by id and name. Only folders without such
+    a table then look for any other table of their id (the first by name),
+    so neither join emits pairs.
     """
     f = (folders.select(loose_folder_id(F.col(folder)).alias("product_id"), F.col(folder).alias("folder"))
-         .where(F.col("product_id").isNotNull()))
+         .where(F.col("product_id").isNotNull()).distinct())
     t = (tables.select(table_product_id(F.col(table)).alias("product_id"), F.col(table).alias("table_name"))
-         .where(F.col("product_id").isNotNull())
-         .groupBy("product_id").agg(F.min("table_name").alias("table_name")))
-    j = f.join(t, "product_id", "full_outer")
+         .where(F.col("product_id").isNotNull()).distinct())
+    f = f.withColumn("_name", table_name_for("folder"))
+    both = f.join(t, (f.product_id == t.product_id) & (F.lower(f["_name"]) == F.lower(t.table_name)), "full_outer").select(
+        F.coalesce(f.product_id, t.product_id).alias("product_id"), "folder", "table_name")
+    # of the tables of an id: the first stale one, else the first of all
+    unused = F.when(F.col("folder").isNull(), F.col("table_name"))
+    stale = both.groupBy("product_id").agg(F.coalesce(F.min(unused), F.min("table_name")).alias("_stale"))
+    open_ids = both.where(F.col("table_name").isNull()).select(F.col("product_id").alias("_open")).distinct()
+    # a folder without its table takes over the first stale table of its id; that one is named in its row, not in one of its own
+    j = both.join(stale, "product_id", "left").join(open_ids, F.col("product_id") == F.col("_open"), "left")
+    taken = F.col("_open").isNotNull() & (F.col("table_name") == F.col("_stale"))
+    j = j.where(~(F.col("folder").isNull() & F.coalesce(taken, F.lit(False))))
+    j = j.select("product_id", "folder", F.when(F.col("table_name").isNull(), F.col("_stale")).otherwise(F.col("table_name")).alias("table_name"))
     if refreshed is not None:
         r = (refreshed.select(F.col(refreshed_key).cast("bigint").alias("product_id"))
              .where(F.col("product_id").isNotNull()).distinct().withColumn("_refreshed", F.lit(True)))
         j = j.join(r, "product_id", "left")
     else:
         j = j.withColumn("_refreshed", F.lit(None).cast("boolean"))
-    same = F.col("table_name") == table_name_for("folder")
+    same = F.lower("table_name") == F.lower(table_name_for("folder"))
     action = (F.when(F.col("table_name").isNull(), F.lit("create"))
               .when(F.col("folder").isNull(), F.lit("deprecate"))
               .when(same & F.coalesce(F.col("_refreshed"), F.lit(False)), F.lit("update"))
@@ -92,36 +109,51 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
 
     from concurrent.futures import ThreadPoolExecutor
 
+    def literal(path: str) -> str:
+        return path.replace("\\", "\\\\").replace("'", "\\'")
+
     where = f" LOCATION '{db_location}'" if db_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{where}")
-    todo = (plan.where(F.col("action") != "keep")
-            .select("product_id", "folder", "table_name", "action", "path").collect())
+    kept = plan.where(F.col("action").isin("keep", "update")).select(F.col("table_name").alias("kept_table")).distinct()
+    todo = (plan.where(F.col("action") != "keep").join(kept, F.col("table_name") == F.col("kept_table"), "left")
+            .select("kept_table", "product_id", "folder", "table_name", "action", "path", table_name_for("folder").alias("new_table")).collect())
     counts: dict[str, int] = {}
-    for r in todo:
-        counts[r.action] = counts.get(r.action, 0) + 1
 
     def one(r) -> None:
         if r.action in ("create", "relocated"):
-            name = r.folder.replace("-", "_")
             # a dataset folder holds `<id>.parquet/` part-file folders
-            spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}`{columns_ddl(r.product_id)} USING {fmt} "
-                      f"OPTIONS (recursiveFileLookup 'true') LOCATION '{r.path}'")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{r.new_table}`{columns_ddl(r.product_id)} USING {fmt} "
+                      f"OPTIONS (recursiveFileLookup 'true') LOCATION '{literal(r.path)}'")
+            if r.action == "relocated" and r.kept_table is None:
+                spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET TBLPROPERTIES ('deprecated' = 'true')")
         elif r.action == "update":
             # external table: dropping the entry leaves the files; recreating it
             # picks up the schema of the re-published data
             spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{r.table_name}`")
             spark.sql(f"CREATE TABLE `{db}`.`{r.table_name}`{columns_ddl(r.product_id)} USING {fmt} "
-                      f"OPTIONS (recursiveFileLookup 'true') LOCATION '{r.path}'")
+                      f"OPTIONS (recursiveFileLookup 'true') LOCATION '{literal(r.path)}'")
         elif r.action == "deprecate":
             spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET TBLPROPERTIES ('deprecated' = 'true')")
         elif r.action == "refresh":
-            loc = r.path.rstrip("/")
+            loc = literal(r.path.rstrip("/"))
             if spark.catalog.tableExists(f"`{db}`.`{r.table_name}`"):
                 spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET LOCATION '{loc}'")
             else:
                 spark.sql(f"CREATE TABLE `{db}`.`{r.table_name}` USING {fmt} LOCATION '{loc}'")
             spark.sql(f"REFRESH TABLE `{db}`.`{r.table_name}`")
 
+    def isolated(r) -> str | None:
+        try:
+            one(r)
+        except Exception as e:  # noqa: BLE001 - one bad table must not stop the others
+            return f"{r.action} {r.folder or r.table_name}: {type(e).__name__}: {e}"
+        return None
+
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        list(pool.map(one, todo))
+        failed = list(pool.map(isolated, todo))
+    for r, problem in zip(todo, failed):
+        what = "failed" if problem else r.action
+        counts[what] = counts.get(what, 0) + 1
+    if any(failed):
+        counts["errors"] = [x for x in failed if x]
     return counts

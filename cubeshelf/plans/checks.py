@@ -18,7 +18,7 @@ from ..operators import convert as conv
 from ..operators import ordering, planning
 from ..operators import publish as pub
 from ..operators import register as reg
-from ..schemas import INGEST_REPORT, STORED_CATALOG
+from ..schemas import INGEST_REPORT, MANIFEST, STORED_CATALOG
 from ..session import staging_dir
 from ..sources import archives as arc
 from ..sources import catalog_store, listing
@@ -508,8 +508,8 @@ def _page_bytes_spark():
 
 @register("archive_signature", """
 select page_id, magic = '504b0304' as valid, magic,
-       case when magic <> '504b0304' then concat('Not a valid ZIP file (magic bytes: ', magic,
-            '). The source may have returned an error page instead of the dataset.') end as reason
+       case when magic <> '504b0304' then concat('no ZIP archive: the first bytes are ', magic,
+            '; the provider probably answered with a web page') end as reason
 from (select page_id,
         case when url like 'https://m.%' then 'empty'
              when url like 'https%' then '504b0304'
@@ -711,9 +711,11 @@ def q_manifest_files(spark, d):
                  F.col("c_custkey").cast("string"), F.lit(".parquet")).alias("file_path"),
         F.col("c_mktsegment").alias("segment"))
     rows.write.partitionBy("segment").option("header", "true").csv(stage)
-    segments = [r[0] for r in c.select("c_mktsegment").distinct().collect()]  # a handful of labels
-    out = []
-    for seg in segments:
-        ok, msg, manifest = pub.manifest_status(spark, f"{stage}/segment={seg}")
-        out.append((seg, manifest.count() if ok else 0, ok, msg))
-    return spark.createDataFrame(out, "segment string, n_rows long, is_valid boolean, message string")
+    # one scan over all manifests on disk, counted by the folder that each row came from
+    held = spark.read.schema(MANIFEST).option("header", "true").option("recursiveFileLookup", "true").csv(stage)
+    segment = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "/segment=([^/]*)/", 1))
+    counts = held.groupBy(segment.alias("held")).agg(F.count(F.lit(1)).alias("n"))
+    wanted = c.select(F.col("c_mktsegment").alias("segment")).distinct()
+    both = wanted.join(counts, F.col("segment") == F.col("held"), "left").withColumn("n_rows", F.coalesce("n", F.lit(0)).cast("long"))
+    valid, message = pub.manifest_check(F.col("n").isNotNull(), F.lit(None).cast("string"), F.col("n_rows"))
+    return both.select("segment", "n_rows", valid.alias("is_valid"), message.alias("message"))

@@ -24,7 +24,7 @@ def dataset_id(nationkey):
 
 def build_landing(spark: SparkSession, sf_dir: str, landing: str, n_tasks: int = 8) -> DataFrame:
     landing = landing.rstrip("/")
-    from ..session import ship_package
+    from ..session import materialize, ship_package
     ship_package(spark)
     cust = tb.table(spark, sf_dir, "customer")
     csv_dir = f"{landing}/_csv"
@@ -40,13 +40,13 @@ def build_landing(spark: SparkSession, sf_dir: str, landing: str, n_tasks: int =
     def zip_datasets(batches):
         import zipfile
         import pandas as pd
-        from pyarrow import fs as pafs
+        from cubeshelf.sources.paths import open_fs
         for pdf in batches:
             out = []
             for nation, names in zip(pdf["nation"], pdf["files"]):
                 pid = ID_BASE + int(nation)
-                local, base = pafs.FileSystem.from_uri(_uri(csv_dir))
-                dst_fs, dst = pafs.FileSystem.from_uri(_uri(f"{landing}/archives/{pid}.zip"))
+                local, base = open_fs(csv_dir)
+                dst_fs, dst = open_fs(f"{landing}/archives/{pid}.zip")
                 dst_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
                 with dst_fs.open_output_stream(dst) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
                     z.writestr(f"{pid}_MetaData.csv", f'"Cube Title","Product Id"\n"Customers","{pid}"\n')
@@ -74,8 +74,7 @@ def build_landing(spark: SparkSession, sf_dir: str, landing: str, n_tasks: int =
             yield pd.DataFrame(out, columns=["productId", "archive_path"])
 
     made = per_ds.repartition(n_tasks).mapInPandas(zip_datasets, "productId long, archive_path string")
-    made = made.cache()
-    made.count()
+    made = materialize(made, "landing-archives")  # a lost executor must not zip again
 
     nation = tb.table(spark, sf_dir, "nation")
     region = tb.table(spark, sf_dir, "region")
@@ -91,10 +90,3 @@ def build_landing(spark: SparkSession, sf_dir: str, landing: str, n_tasks: int =
     listing.write_listing(cubes.select("cube.*"), f"{landing}/listing.json", parts=n_tasks)
     return made
 
-
-def _uri(p: str) -> str:
-    if "://" in p:
-        return p
-    if p.startswith("file:"):
-        return "file:///" + p[5:].lstrip("/")
-    return "file://" + p if p.startswith("/") else p

@@ -23,8 +23,8 @@ from ..functions.names import folder_slug
 from ..functions.sizes import mb
 from ..operators import catalog as cat_ops
 from ..operators import convert, planning, publish, register
-from ..operators.ordering import within_budget
-from ..schemas import MANIFEST, STORED_CATALOG
+from ..operators.ordering import first_per_key, within_budget
+from ..schemas import INGEST_REPORT, MANIFEST, STORED_CATALOG
 from ..sources import archives, catalog_store, fs, inventory, listing
 
 
@@ -35,7 +35,9 @@ class RefreshConfig:
     db: str = "warehouse"
     as_of: str | None = None          # "now"; UTC wall clock when None
     limit: int | None = None          # new datasets per run (updates always run)
-    max_total_gb: float = 10.0        # archive bytes started per run
+    max_total_gb: float | None = None  # archive bytes started per run; the others are reported as deferred
+    timeout_s: float | None = None    # per conversion job
+    allow_empty_listing: bool = False  # let a listing without datasets empty the catalog
     workers: int = 4                  # datasets converted at the same time
     legacy: bool = False              # no update planning: everything not yet landed
     skip_invisible: bool = True       # legacy mode drops hidden tables, as in the original workflow
@@ -110,6 +112,16 @@ def _materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def check_listing(fresh: DataFrame, stored: DataFrame, allow_empty: bool = False) -> None:
+    """Refuse a listing with unreadable ids, and one without datasets where
+    the catalog has some: both are signs of a bad response, not of news."""
+    n, ids = fresh.agg(F.count(F.lit(1)), F.count("productId")).first()
+    if ids < n:
+        raise ValueError(f"{n - ids} of {n} datasets in the listing have no integer id")
+    if not n and not allow_empty and not stored.isEmpty():
+        raise ValueError("the listing has no datasets, but the catalog has; allow_empty_listing empties it")
+
+
 def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
     """One complete refresh. Returns the run summary and the report frame."""
     as_of = _now(cfg.as_of)
@@ -117,8 +129,10 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
     data_root, catalog_dir = f"{root}/data", f"{root}/catalog"
     run = f"{root}/runs/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
-    fresh = listing.read_listing(spark, f"{landing}/listing.json")
+    # parsed once: planning, the work list and the catalog read the same rows, hours later as well
+    fresh = _materialize(listing.read_listing(spark, f"{landing}/listing.json"), f"{run}/catalog.parquet")
     stored = catalog_store.read_catalog(spark, catalog_dir, STORED_CATALOG)
+    check_listing(fresh, stored, cfg.allow_empty_listing)
 
     if cfg.legacy:
         existing = inventory.existing_ids(inventory.folder_inventory(spark, data_root))
@@ -130,6 +144,8 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
         summary = summary_df.first().asDict()
         todo = choose_work(fresh, work, None, skip_invisible_planned=cfg.skip_invisible_planned)
 
+    # a listing may name an id twice: its first row is the work item
+    todo = first_per_key(todo.where(F.col("productId").isNotNull()), "productId", ["ordinal"])
     items = todo.select("productId", "title", "ordinal", "reason",
                         folder_slug("productId", "title").alias("folder"),
                         F.concat(F.lit(f"{landing}/archives/"), F.col("productId").cast("string"),
@@ -137,21 +153,26 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
     # one archive per task slot: inspection, extraction and copies use the whole cluster
     facts = _materialize(archives.inspect_archives(items.repartition(spark.sparkContext.defaultParallelism)),
                          f"{run}/archives")
-    sized = facts.withColumn("archive_mb", mb(F.coalesce(F.col("length"), F.lit(0))))
-    # facts are already written once, so the budget reads them directly
-    started = within_budget(sized, "archive_mb", "ordinal", cfg.max_total_gb * 1000.0,
-                            materialize=False, input_written=True).where("started")
-    extracted = _materialize(
-        archives.extract_members(archives.plan_extraction(started).drop("mb_before", "started"),
-                                 f"{run}/extracted"),
-        f"{run}/extracted_index")
+    checked = archives.plan_extraction(facts)
+    deferred = spark.createDataFrame([], "productId long, title string")
+    if cfg.max_total_gb is not None:
+        # only archives that can be converted use the budget up
+        sized = checked.withColumn("archive_mb", F.when(F.col("error").isNull(), mb(F.coalesce(F.col("length"), F.lit(0))))
+                                   .otherwise(F.lit(0.0)))
+        budgeted = _materialize(within_budget(sized, "archive_mb", "ordinal", cfg.max_total_gb * 1000.0), f"{run}/budget")
+        deferred = budgeted.where(~F.col("started")).select("productId", "title")
+        checked = budgeted.where("started").drop("archive_mb", "mb_before", "started")
+    extracted = _materialize(archives.extract_members(checked, f"{run}/extracted"), f"{run}/extracted_index")
 
     # built on the driver from the job outcomes: no lineage to cut
     report = convert.convert_batch(spark, extracted, f"{run}/data", workers=cfg.workers, size_bytes="csv_bytes",
-                                   quarantine=cfg.quarantine)
-    report.write.parquet(f"{run}/report")
-    manifest = convert.manifest_of(report)
-    manifest.coalesce(1).write.option("header", "true").csv(f"{run}/manifest")
+                                   quarantine=cfg.quarantine, timeout_s=cfg.timeout_s)
+    late = deferred.select(*[F.col(f.name) if f.name in deferred.columns
+                             else F.lit("deferred" if f.name == "status" else None).cast(f.dataType).alias(f.name)
+                             for f in INGEST_REPORT.fields])
+    report = _materialize(report.unionByName(late), f"{run}/report")
+    convert.manifest_of(report).write.option("header", "true").csv(f"{run}/manifest")
+    manifest = read_manifest(spark, run)
 
     landed = fs.landed_files(spark, f"{run}/data") if fs.exists(spark, f"{run}/data") else \
         spark.createDataFrame([], "rel_path string, rel_dir string, length long")
@@ -176,7 +197,8 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
                for r in report.where(F.col("status") == "ok").select("productId", "columns").collect()
                if r.columns}
     registered = sync_tables(spark, data_root, catalog_path, cfg.db, refreshed=republished, schemas=schemas)
-    counts = convert.ingest_summary(report).first().asDict()
+    counts = convert.ingest_summary(report.where(F.col("status") != "deferred")).first().asDict()
+    counts["n_deferred"] = deferred.count()
     if not cfg.keep_staging:
         # published and registered: the bulky copies of this run are no longer
         # needed (work list, report, manifest and publish result stay for audit)

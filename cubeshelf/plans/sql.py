@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 
 def as_strings(df: DataFrame) -> DataFrame:
-    return df.select([F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
+    """Every column as text. Columns go by position, so repeated names and
+    names with backticks are no matter."""
+    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return flat.select([F.coalesce(F.col(f"c{i}").cast("string"), F.lit("")) for i in range(len(df.columns))]).toDF(*df.columns)
 
 
 def sql_strings(spark: SparkSession, sql: str, db: str | None = None, **frames: DataFrame) -> DataFrame:
@@ -24,6 +27,8 @@ def sql_strings(spark: SparkSession, sql: str, db: str | None = None, **frames:
 
 
 def render(df: DataFrame, max_rows: int = 1000) -> dict:
-    """{'columns': [...], 'data': [[...], ...]} for the first `max_rows` rows."""
-    rows = df.limit(max_rows).collect()
-    return {"columns": list(df.columns), "data": [list(r) for r in rows]}
+    """{'columns': [...], 'data': [[...], ...], 'truncated': bool} for the
+    first `max_rows` rows; `truncated` tells that there are more. Whole
+    results are written with Spark (`sql_strings(...).write`)."""
+    rows = df.limit(max_rows + 1).collect()
+    return {"columns": list(df.columns), "data": [list(r) for r in rows[:max_rows]], "truncated": len(rows) > max_rows}

@@ -49,6 +49,8 @@ def shared_root(spark: SparkSession, fallback: str = "/tmp/cubeshelf-checkpoints
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current.rstrip("/")
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(fallback)
         root = fallback
     return root.rstrip("/")
@@ -95,13 +97,7 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     data = buf.getvalue()
     path = f"{shared_root(spark)}/cubeshelf-pyfiles/cubeshelf-{hashlib.sha1(data).hexdigest()[:12]}.zip"
-    from pyarrow import fs as pafs
-    if "://" in path:
-        fsys, rel = pafs.FileSystem.from_uri(path)
-    else:
-        fsys, rel = pafs.LocalFileSystem(), path[5:] if path.startswith("file:") else path
-    fsys.create_dir(rel.rsplit("/", 1)[0], recursive=True)
-    with fsys.open_output_stream(rel) as out:
-        out.write(data)
+    from .sources import fs
+    fs.write_bytes(spark, path, data)
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)

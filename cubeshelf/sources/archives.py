@@ -32,8 +32,8 @@ def magic_hex(content: Column) -> Column:
 def signature_check(magic: Column) -> tuple[Column, Column]:
     """(valid, reason) from the hex of the first bytes."""
     valid = magic == F.lit(ZIP_MAGIC_HEX)
-    reason = F.when(~valid, F.concat(F.lit("Not a valid ZIP file (magic bytes: "), magic,
-                                     F.lit("). The source may have returned an error page instead of the dataset.")))
+    reason = F.when(~valid, F.concat(F.lit("no ZIP archive: the first bytes are "), magic,
+                                     F.lit("; the provider probably answered with a web page")))
     return valid, reason
 
 
@@ -60,12 +60,12 @@ def inspect_archives(archives: DataFrame, path: str = "archive_path") -> DataFra
     def facts(batches):
         import zipfile
         import pandas as pd
-        from pyarrow import fs as pafs
+        from cubeshelf.sources.paths import open_fs
         for pdf in batches:
             lengths, magics, members, errors = [], [], [], []
             for p in pdf[path]:
                 try:
-                    f, rel = pafs.FileSystem.from_uri(_uri(p))
+                    f, rel = open_fs(p)
                     with f.open_input_file(rel) as fh:
                         size = fh.size()
                         head = fh.read(4)
@@ -111,9 +111,10 @@ def extract_members(plan: DataFrame, staging: str, path: str = "archive_path", k
 
     def extract(batches):
         import shutil
-        import pandas as pd
+        import uuid
         import zipfile
-        from pyarrow import fs as pafs
+        import pandas as pd
+        from cubeshelf.sources.paths import open_fs
         for pdf in batches:
             outs, errs, sizes = [], [], []
             for k, p, m, err in zip(pdf[key], pdf[path], pdf["member"], pdf["error"]):
@@ -121,14 +122,17 @@ def extract_members(plan: DataFrame, staging: str, path: str = "archive_path", k
                     outs.append(None); errs.append(err); sizes.append(None)
                     continue
                 try:
-                    src_fs, rel = pafs.FileSystem.from_uri(_uri(p))
+                    src_fs, rel = open_fs(p)
                     target = f"{staging}/{k}/{m.rsplit('/', 1)[-1]}"
-                    dst_fs, dst = pafs.FileSystem.from_uri(_uri(target))
+                    dst_fs, dst = open_fs(target)
                     dst_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
+                    # a repeated or speculative task writes its own file; the last rename wins
+                    tmp = f"{dst}.{uuid.uuid4().hex[:8]}.tmp"
                     with src_fs.open_input_file(rel) as fh, zipfile.ZipFile(fh) as z, \
-                            z.open(m) as src, dst_fs.open_output_stream(dst) as out:
+                            z.open(m) as src, dst_fs.open_output_stream(tmp) as out:
                         shutil.copyfileobj(src, out, 1 << 20)
                         size = out.tell()
+                    dst_fs.move(tmp, dst)
                     outs.append(target); errs.append(None); sizes.append(size)
                 except Exception as e:  # noqa: BLE001 - reported per archive
                     outs.append(None); errs.append(f"{type(e).__name__}: {e}"); sizes.append(None)
@@ -143,10 +147,3 @@ def extract_members(plan: DataFrame, staging: str, path: str = "archive_path", k
     n_tasks = n_tasks or plan.sparkSession.sparkContext.defaultParallelism
     return plan.repartition(n_tasks).mapInPandas(extract, schema)
 
-
-def _uri(p: str) -> str:
-    if "://" in p:
-        return p
-    if p.startswith("file:"):
-        return "file:///" + p[5:].lstrip("/")
-    return "file://" + p if p.startswith("/") else p

@@ -44,7 +44,13 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | None, f
 def latest_version(spark: SparkSession, catalog_dir: str) -> str | None:
     """The current snapshot folder name; None before the first write."""
     text = fs.read_text(spark, f"{catalog_dir}/{POINTER}/pointer.txt")
-    return text.strip() or None if text is not None else None
+    if text is not None and text.strip():
+        return text.strip()
+    # a lost pointer is no first run: the newest complete snapshot stands
+    for name in reversed(fs.list_dirs(spark, catalog_dir)):
+        if name.startswith("v=") and fs.exists(spark, f"{catalog_dir}/{name}/_SUCCESS"):
+            return name
+    return None
 
 
 def read_catalog(spark: SparkSession, catalog_dir: str, schema: T.StructType) -> DataFrame:
@@ -58,11 +64,11 @@ def read_catalog(spark: SparkSession, catalog_dir: str, schema: T.StructType) ->
     return spark.read.schema(schema).parquet(f"{catalog_dir}/{v}")
 
 
-def write_catalog(df: DataFrame, catalog_dir: str, files: int = 1) -> str:
+def write_catalog(df: DataFrame, catalog_dir: str) -> str:
     """Write a new snapshot, then switch the pointer. Returns the version path."""
     spark = df.sparkSession
     version = f"v={dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     path = f"{catalog_dir}/{version}"
-    df.coalesce(files).write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     fs.write_text(spark, f"{catalog_dir}/{POINTER}/pointer.txt", version + "\n")
     return path

