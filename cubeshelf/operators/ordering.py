@@ -52,7 +52,8 @@ def running_total_before(df: DataFrame, value: str, order: str, out: str = "tota
         df = write_once(df, "running-total-input")
     if n_blocks is None:
         n_blocks = max(2, -(-df.count() // ROWS_PER_BLOCK))
-    blocked = write_once(df.repartitionByRange(n_blocks, F.col(order).asc_nulls_first())
+    # ranges of the whole sequence: a value of `order` that many rows share is split as well
+    blocked = write_once(df.repartitionByRange(n_blocks, *_ordered(df, order))
                          .withColumn("_blk", F.spark_partition_id()), "running-total-blocks")
     zero = F.lit(0).cast(df.schema[value].dataType)
     in_block = Window.partitionBy("_blk").orderBy(*_ordered(df, order)).rowsBetween(Window.unboundedPreceding, -1)

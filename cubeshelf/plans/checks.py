@@ -21,11 +21,11 @@ from ..operators import register as reg
 from ..schemas import INGEST_REPORT, MANIFEST, STORED_CATALOG
 from ..session import staging_dir
 from ..sources import archives as arc
-from ..sources import catalog_store, listing
+from ..sources import catalog_store, inventory, listing
 from ..streaming.listing_watch import watch_listings
 from . import landing_build
 from . import testbed as tb
-from .refresh import RefreshConfig, run_refresh
+from .refresh import RefreshConfig, read_manifest, run_refresh
 from .sql import sql_strings
 from .testbed import AS_OF, CTES, DAYS_SQL
 
@@ -668,6 +668,54 @@ def q_warehouse_refresh(spark, d):
     return spark.read.option("recursiveFileLookup", "true").parquet(f"{stage}/wh/data")
 
 
+# folder names drop every character but letters, digits, blanks and hyphens
+_SLUG_SQL = (f"concat({landing_build.ID_BASE} + n_nationkey, '-customers-in-', "
+             "lower(replace(regexp_replace(n_name, '[^A-Za-z0-9 -]', '', 'g'), ' ', '-')))")
+
+
+@register("refresh_outputs", f"""
+with n as (select distinct n_nationkey, n_name, cast({landing_build.ID_BASE} + n_nationkey as bigint) as productId
+           from nation join customer on n_nationkey = c_nationkey)
+select 'catalog' as part, productId, concat('Customers in ', n_name, ' | {AS_OF} | true') as value from n
+union all select 'manifest', productId, concat({_SLUG_SQL}, '/', productId, '.parquet') from n
+union all select 'size', productId, 'true' from n
+union all select 'planned', productId, 'new' from n
+union all select 'folder', productId, {_SLUG_SQL} from n
+union all select 'table', productId, replace({_SLUG_SQL}, '-', '_') from n
+union all select 'table', null, 'catalog'
+union all select 'second run', 0, '0 planned, catalog kept'""")
+def q_refresh_outputs(spark, d):
+    """What a refresh leaves behind, read back from where it was put: the
+    catalog snapshot, the manifest (with its sizes), the planned list, the
+    folders and the tables; then a second run, with nothing due."""
+    stage = staging_dir(spark, "outputs")
+    landing_build.build_landing(spark, d, f"{stage}/landing")
+    db, root = "wo_" + stage.rsplit("-", 1)[-1][:12], f"{stage}/wh"
+    cfg = RefreshConfig(landing=f"{stage}/landing", root=root, db=db, as_of=AS_OF)
+    run = run_refresh(spark, cfg)
+    cols = lambda df, part, key, value: df.select(F.lit(part).alias("part"), key.cast("bigint").alias("productId"),
+                                                  value.cast("string").alias("value"))
+    stored = catalog_store.read_catalog(spark, f"{root}/catalog", STORED_CATALOG)
+    stamp = F.date_format("last_ingestion_date", "yyyy-MM-dd HH:mm:ss")
+    facts = F.concat_ws(" | ", "title", stamp, F.col("available").cast("string"))
+    manifest = read_manifest(spark, run["run"])
+    planned = spark.read.parquet(f"{run['run']}/classified").where(F.col("reason").isNotNull())
+    folders = inventory.folder_inventory(spark, f"{root}/data")
+    tables = inventory.table_inventory(spark, db)
+    again = run_refresh(spark, cfg)
+    kept = spark.read.parquet(again["catalog_path"]).exceptAll(spark.read.parquet(run["catalog_path"])).isEmpty()
+    n = again["report"].count()
+    second = spark.range(1).select(F.lit("second run").alias("part"), F.col("id").alias("productId"),
+                                   F.lit(f"{n} planned, catalog {'kept' if kept else 'changed'}").alias("value"))
+    return (cols(stored, "catalog", F.col("productId"), facts)
+            .unionByName(cols(manifest, "manifest", F.col("productId"), F.col("file_path")))
+            .unionByName(cols(manifest, "size", F.col("productId"), F.col("size_mb") > 0))
+            .unionByName(cols(planned, "planned", F.col("productId"), F.col("reason")))
+            .unionByName(cols(folders, "folder", nm.folder_product_id(F.col("folder")), F.col("folder")))
+            .unionByName(cols(tables, "table", nm.table_product_id(F.col("table_name")), F.col("table_name")))
+            .unionByName(second))
+
+
 # --- incremental planning on Structured Streaming ------------------------------
 
 
