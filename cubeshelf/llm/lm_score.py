@@ -21,7 +21,7 @@ word.
    word, or its failure arc is taken and its weight added.
 
 Null texts count as empty ones: only the end token. Every row is scored, also
-repeated ones; a null id is not held out. Nothing to learn from gives the
+repeated ones. Nothing to learn from gives the
 smoothed count of an empty corpus. An empty table gives an empty result. Other
 columns are ignored.
 """
