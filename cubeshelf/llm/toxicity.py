@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cubeshelf.llm.common import quoted
 
-BITS, MAX_ROWS, L1, STEPS, CACHE_WORDS = 20, 8_000, 3e-4, 150, 300_000
+BITS, MAX_ROWS, L1, STEPS, CACHE_WORDS = 20, 8_000, 4e-4, 300, 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
