@@ -3,7 +3,8 @@
 Vectors are cut to integers, floor(scale * x), so scores are exact. Queries go
 to the tasks in blocks of at most `block_queries` (their bytes are checked
 before they are sent); every block is one pass over the candidates, which stay
-where they are. In a task the candidates of a batch lie in vertical layout, a
+where they are. With several blocks, each one's findings are written before
+the next block is read, so driver and tasks hold one block at a time. In a task the candidates of a batch lie in vertical layout, a
 row for each dimension. Scores grow dimension block by dimension block; after
 each block a candidate is dropped for a query when its score so far plus the
 most that the remaining dimensions can add (Cauchy-Schwarz over the remaining
@@ -108,7 +109,8 @@ def _usable(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
         F.col(quoted(id_col)).cast("long").alias("id"), cut.alias("v"))
 
 
-def _search(cands: DataFrame, block: list, k: int) -> DataFrame:
+def _search(cands: DataFrame, block: list, k: int):
+    """The k best of each task for each query, and the broadcast block."""
     spark = cands.sparkSession
     sent = spark.sparkContext.broadcast((np.array([r.q for r in block]), np.array([r.id for r in block], np.int64),
                                          _matrix([r.v for r in block])))
@@ -130,7 +132,7 @@ def _search(cands: DataFrame, block: list, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
                                              ["q", "query_id", "vec_id", "score"])
 
-    return cands.mapInArrow(run, "q long, query_id long, vec_id long, score long")
+    return cands.mapInArrow(run, "q long, query_id long, vec_id long, score long"), sent
 
 
 def exact_top_k(cands: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_col: str = "vec_id",
@@ -143,7 +145,15 @@ def exact_top_k(cands: DataFrame, queries: DataFrame, k: int = 10, scale: int =
     n = 1 if size[0] <= per else -(-5 * size[0] // (4 * per))  # blocks dealt by hash stay under their size
     rows = _usable(cands, id_col, vec_col, scale)
     dealt = F.pmod(F.xxhash64("q"), F.lit(n))
-    found = [_search(rows, block, k) for i in range(n) if (block := mine.where(dealt == i).collect())]
+    found = []
+    for i in range(n):
+        block = mine.where(dealt == i).collect()
+        if block:
+            part, sent = _search(rows, block, k)
+            if n > 1:
+                part = staged(part, "top-k")
+                sent.destroy()
+            found.append(part)
     if not found:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     w = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
