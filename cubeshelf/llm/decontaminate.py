@@ -9,9 +9,11 @@ training document becomes one row per word position inside the running stage
 comparing the words themselves. Only hits and one closing row per document
 reach the shuffle. All of it is DataFrame functions.
 
-A broadcast holds at most `max_windows` windows. A larger benchmark is looked
-up in that many passes over the documents, each with its own share of the
-windows; the result is the same.
+A broadcast holds at most `max_windows` rows and `max_mb` of texts and ids,
+both counted before it is sent. The items of a window that very many items
+share stand in several rows. A larger benchmark is looked up in more passes
+over the documents (written once for that), each with its own share of the
+rows; the result is the same.
 
 Null texts have no words. Rows without words are returned with zeros. Repeated
 rows get a row each. A null item id hits words, but isn't listed. An empty
@@ -22,14 +24,15 @@ are ignored.
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubeshelf.llm.common import ASCII_LOWER, ASCII_UPPER, quoted, row_key, staged
 
-#: Windows in one broadcast at most (some 100 bytes each).
-MAX_WINDOWS = 500_000
+#: Rows and MB of windows in one broadcast at most, and about the most items in a row.
+MAX_WINDOWS, MAX_MB, ITEMS_PER_ROW = 500_000, 128, 10_000
 
 # Every ASCII character that is no word character.
 _BREAKS = "".join(chr(c) for c in [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
@@ -44,18 +47,25 @@ def _window_hash(hashes: Column, at: Column, length: int) -> Column:
     return F.xxhash64(*[F.get(hashes, at + i) for i in range(length)])
 
 
-def benchmark_windows(benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(win_len, win_text, win_key, items): the distinct windows with the ids,
-    as sorted strings, of the items that hold them."""
+def benchmark_windows(benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text",
+                      slots: int = 1) -> DataFrame:
+    """(win_len, win_text, win_key, slot, items): the distinct windows with the
+    ids, as sorted strings, of the items that hold them, dealt to `slots` rows."""
     w = benchmark.select(F.col(quoted(id_col)).cast("string").alias("item"), words(F.col(quoted(text_col))).alias("w"))
     w = w.where(F.size("w") > 0).withColumn("win_len", F.least(F.size("w"), F.lit(window)))
     w = w.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
     w = w.select("item", "w", "h", "win_len", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("win_len"))).alias("at"))
     key = reduce(lambda out, n: F.when(F.col("win_len") == n, _window_hash(F.col("h"), F.col("at"), n)).otherwise(out),
                  range(1, window + 1), F.lit(None).cast("long"))
-    w = w.select("item", "win_len", key.alias("win_key"),
+    w = w.select("item", "win_len", key.alias("win_key"), F.pmod(F.xxhash64("item"), F.lit(slots)).alias("slot"),
                  F.array_join(F.slice("w", F.col("at") + 1, F.col("win_len")), " ").alias("win_text"))
-    return w.groupBy("win_len", "win_key", "win_text").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return w.groupBy("win_len", "win_key", "win_text", "slot").agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+
+def _row_bytes() -> Column:
+    """About the memory of a row of windows."""
+    ids = F.aggregate("items", F.lit(0).cast("long"), lambda acc, x: acc + 24 + F.octet_length(x))
+    return 100 + F.octet_length("win_text") + ids
 
 
 def _positions(docs: DataFrame, keep: list, lengths: list[int], text_col: str) -> DataFrame:
@@ -93,19 +103,26 @@ def _covered(hits: Column) -> Column:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
-         item_id_col: str = "item_id", item_text_col: str = "text", max_windows: int = MAX_WINDOWS) -> DataFrame:
+         item_id_col: str = "item_id", item_text_col: str = "text", max_windows: int = MAX_WINDOWS,
+         max_mb: float = MAX_MB, items_per_row: int = ITEMS_PER_ROW) -> DataFrame:
     """(doc_id, key_hash, n_words, n_hit, hits, items, contaminated) of every
     row: `hits` are the verified windows as [start, end) word positions,
     `items` the ids of the items whose windows occur, sorted as strings."""
-    wins = staged(benchmark_windows(benchmark, window, item_id_col, item_text_col), "benchmark-windows")
-    lengths = [r[0] for r in wins.select("win_len").distinct().orderBy("win_len").collect()]
-    passes = max(1, -(-wins.count() // max_windows))
+    slots = -(-benchmark.count() // items_per_row) or 1
+    wins = staged(benchmark_windows(benchmark, window, item_id_col, item_text_col, slots), "benchmark-windows")
+    found = wins.groupBy("win_len").agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes()).alias("size")).orderBy("win_len").collect()
+    lengths = [r.win_len for r in found]
+    full = max(sum(r.n for r in found) / max_windows, sum(r["size"] for r in found) / (max_mb * 1e6))
+    passes = 1 if full <= 1 else ceil(1.25 * full)  # shares dealt by hash stay under the bound
     key_id, key_hash = row_key(id_col, text_col)
     keep = [F.monotonically_increasing_id().alias("uid"), key_id, key_hash]
+    if passes > 1:  # every pass must see the same row numbers
+        docs = staged(docs.select(*keep, F.col(quoted(text_col)).alias("text")), "decontaminate-texts")
+        keep, text_col = ["uid", "key_id", "key_hash"], "text"
     rows = _positions(docs, keep, lengths or [window], text_col)
     hits = []
     for i in range(passes):
-        part = wins.where(F.pmod("win_key", F.lit(passes)) == i) if passes > 1 else wins
+        part = wins.where(F.pmod(F.xxhash64("win_key", "slot"), F.lit(passes)) == i) if passes > 1 else wins
         same = (F.col("key") == F.col("win_key")) & (F.col("len") == F.col("win_len"))
         same &= F.array_join(F.slice("w", F.col("at") + 1, F.col("len")), " ") == F.col("win_text")
         closing = (F.col("at") == F.col("n_words")) if i == 0 else F.lit(False)

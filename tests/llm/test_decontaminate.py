@@ -43,10 +43,10 @@ def bench(spark):
     return spark.createDataFrame(ITEMS, "item_id long, text string")
 
 
-@pytest.mark.parametrize("max_windows", [10**6, 2])
-def test_scan_is_the_slow_one(spark, bench, max_windows):
+@pytest.mark.parametrize("bounds", [{}, {"max_windows": 2}, {"max_mb": 0.0005}, {"items_per_row": 1}])
+def test_scan_is_the_slow_one(spark, bench, bounds):
     rows = ROWS + TEXTS
-    got = decontaminate.scan(docs(spark, rows), bench, max_windows=max_windows).collect()
+    got = decontaminate.scan(docs(spark, rows), bench, **bounds).collect()
     key = lambda r: repr(r)
     assert sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in got), key=key) == sorted(
         ((i, *(s := slow(t, ITEMS)), s[1] > 0) for i, t, _ in rows), key=key)
