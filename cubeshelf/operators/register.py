@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import loose_folder_id, table_product_id, target_path
+from ..functions.names import folder_slug, loose_folder_id, table_product_id, target_path
 
 CATALOG_TABLE = "catalog"
 
@@ -30,6 +30,17 @@ def new_folders(folders: DataFrame, tables: DataFrame, folder: str = "folder",
     return f.join(t, "_id", "left_anti").drop("_id")
 
 
+def current_folders(folders: DataFrame, catalog: DataFrame, folder: str = "folder", key: str = "productId",
+                    title: str = "title") -> DataFrame:
+    """`folders` without those that a retitled dataset has left behind: where
+    an id has the folder of its title in `catalog`, its other folders go."""
+    now = catalog.select(folder_slug(key, title).alias("_now")).distinct()
+    f = folders.select(F.col(folder), loose_folder_id(F.col(folder)).alias("_id")).join(now, F.col(folder) == F.col("_now"), "left")
+    settled = f.where(F.col("_now").isNotNull() & F.col("_id").isNotNull()).select(F.col("_id").alias("_settled")).distinct()
+    return (f.join(settled, F.col("_id") == F.col("_settled"), "left")
+            .where(F.col("_now").isNotNull() | F.col("_settled").isNull()).select(folder))
+
+
 def register_plan(folders: DataFrame, tables: DataFrame, prefix: str, catalog_path: str,
                   folder: str = "folder", table: str = "table_name",
                   refreshed: DataFrame | None = None, refreshed_key: str = "productId") -> DataFrame:

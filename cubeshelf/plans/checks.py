@@ -7,6 +7,8 @@ Column names and types agree between the two.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from ..operators import register as reg
 from ..schemas import INGEST_REPORT, MANIFEST, STORED_CATALOG
 from ..session import staging_dir
 from ..sources import archives as arc
-from ..sources import catalog_store, inventory, listing
+from ..sources import catalog_store, fs, inventory, listing
 from ..streaming.listing_watch import watch_listings
 from . import landing_build
 from . import testbed as tb
@@ -716,6 +718,73 @@ def q_refresh_outputs(spark, d):
             .unionByName(second))
 
 
+@register("ingest_report_cases", f"""
+with n as (select n_nationkey % 7 as fault, cast({landing_build.ID_BASE} + n_nationkey as bigint) as productId, count(*) as customers
+           from nation join customer on n_nationkey = c_nationkey group by n_nationkey)
+select productId, case when fault in (0, 6) then 'ok' else 'failed' end as status,
+       case fault when 1 then '3c68746d' when 2 then 'empty' when 3 then '{arc.MSG_NO_CSV}[''readme.txt'']'
+                  when 4 then 'conversion' when 5 then 'FileNotFoundError' end as reason,
+       case when fault in (0, 6) then customers + fault // 6 end as n_rows,
+       fault in (0, 6) as stamped, fault in (0, 6) as registered, fault not in (0, 6) as planned_again
+from n""")
+def q_ingest_report_cases(spark, d):
+    """A refresh over a bad delivery (`faults`): the outcome of every dataset,
+    its rows in the warehouse, its stamp in the catalog, its table, and
+    whether a second run plans it again."""
+    stage = staging_dir(spark, "bad-delivery")
+    landing = f"{stage}/lan ding é"
+    landing_build.build_landing(spark, d, landing, faults=True)
+    db, root = "wf_" + stage.rsplit("-", 1)[-1][:12], f"{stage}/ware house"
+    cfg = RefreshConfig(landing=landing, root=root, db=db, as_of=AS_OF)
+    run = run_refresh(spark, cfg)
+    msg = F.col("error_message")
+    reason = (F.when(F.col("status") == "ok", F.lit(None).cast("string")).when(F.col("error_class") != "ArchiveError", "conversion")
+              .when(msg.startswith("no ZIP"), F.regexp_extract(msg, "bytes are ([0-9a-z]+)", 1))
+              .when(msg.startswith(arc.MSG_NO_CSV), msg).otherwise(F.regexp_extract(msg, "^[A-Za-z]+", 0)))
+    report = run["report"].select("productId", "status", reason.alias("reason"))
+    held = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data")
+    in_path = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)\.parquet/", 1).cast("bigint")
+    rows = held.groupBy(in_path.alias("held_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+    stored = catalog_store.read_catalog(spark, f"{root}/catalog", STORED_CATALOG)
+    dated = stored.where(F.col("last_ingestion_date").isNotNull()).select(F.col("productId").alias("dated_id")).distinct()
+    names = inventory.table_inventory(spark, db)
+    named = names.select(nm.table_product_id(F.col("table_name")).alias("table_id")).distinct()
+    again = run_refresh(spark, cfg)["report"].select(F.col("productId").alias("again_id"))
+    on = lambda c: F.col("productId") == F.col(c)
+    return (report.join(rows, on("held_id"), "left").join(dated, on("dated_id"), "left").join(named, on("table_id"), "left")
+            .join(again, on("again_id"), "left")
+            .select("productId", "status", "reason", "n_rows", F.col("dated_id").isNotNull().alias("stamped"),
+                    F.col("table_id").isNotNull().alias("registered"), F.col("again_id").isNotNull().alias("planned_again")))
+
+
+_NEW_SLUG_SQL = _SLUG_SQL.replace("-customers-in-", "-clients-of-")
+
+
+@register("registered_tables", f"""
+with n as (select distinct n_nationkey, n_name, n_nationkey % 2 = 0 as retitled from nation join customer on n_nationkey = c_nationkey)
+select replace({_SLUG_SQL}, '-', '_') as table_name, {_SLUG_SQL} as folder, retitled as deprecated from n
+union all select replace({_NEW_SLUG_SQL}, '-', '_'), {_NEW_SLUG_SQL}, false from n where retitled
+union all select 'catalog', null, false""")
+def q_registered_tables(spark, d):
+    """The tables after a first run, new titles for half of the datasets, and
+    a second run a month later: name, folder below the data root, and whether
+    the table is flagged as left behind."""
+    stage = staging_dir(spark, "retitled")
+    landing = f"{stage}/landing"
+    landing_build.build_landing(spark, d, landing)
+    db = "wt_" + stage.rsplit("-", 1)[-1][:12]
+    cfg = RefreshConfig(landing=landing, root=f"{stage}/wh", db=db, as_of=AS_OF)
+    run_refresh(spark, cfg)
+    fs.delete(spark, f"{landing}/listing.json")
+    title = F.concat(F.when(F.col("n_nationkey") % 2 == 0, "Clients of ").otherwise("Customers in "), "n_name")
+    listing.write_listing(landing_build.customer_cubes(spark, d, title), f"{landing}/listing.json")
+    run_refresh(spark, replace(cfg, as_of="2001-10-15 00:00:00"))
+    shown = spark.sql(f"SHOW TABLE EXTENDED IN `{db}` LIKE '*'").where(~F.col("isTemporary"))
+    folder = F.regexp_extract("information", r"Location: [^\n]*/wh/data/([^/\n]+)", 1)
+    return shown.select(F.col("tableName").alias("table_name"), F.when(folder != "", folder).alias("folder"),
+                        F.col("information").contains("deprecated=true").alias("deprecated"))
+
+
 # --- incremental planning on Structured Streaming ------------------------------
 
 

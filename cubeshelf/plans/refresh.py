@@ -87,14 +87,18 @@ def refresh_catalog(fresh: DataFrame, stored: DataFrame, stamped_ids: DataFrame,
 
 
 def sync_tables(spark: SparkSession, data_root: str, catalog_path: str, db: str,
-                refreshed: DataFrame | None = None, schemas: dict | None = None) -> dict:
+                refreshed: DataFrame | None = None, schemas: dict | None = None,
+                catalog: DataFrame | None = None) -> dict:
     """Register folders that have no table yet, re-register re-published
-    ones (their schema may have changed), flag vanished ones, and point the
+    ones (their schema may have changed), flag vanished ones and, with
+    `catalog` (ids and titles), those of earlier titles, and point the
     catalog table at the newest snapshot. The database folder lives beside
     the data (`<root>/_db`), in the warehouse's own storage."""
     db_location = data_root.rstrip("/").rsplit("/", 1)[0] + "/_db"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{db_location}'")
     folders = inventory.folder_inventory(spark, data_root)
+    if catalog is not None:
+        folders = register.current_folders(folders, catalog)
     tables = inventory.table_inventory(spark, db)
     plan = register.register_plan(folders, tables, data_root.rstrip("/") + "/", catalog_path,
                                   refreshed=refreshed)
@@ -196,7 +200,7 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
     schemas = {r.productId: json.loads(r.columns)
                for r in report.where(F.col("status") == "ok").select("productId", "columns").collect()
                if r.columns}
-    registered = sync_tables(spark, data_root, catalog_path, cfg.db, refreshed=republished, schemas=schemas)
+    registered = sync_tables(spark, data_root, catalog_path, cfg.db, refreshed=republished, schemas=schemas, catalog=fresh)
     counts = convert.ingest_summary(report.where(F.col("status") != "deferred")).first().asDict()
     counts["n_deferred"] = deferred.count()
     if not cfg.keep_staging:

@@ -75,13 +75,18 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return flatten_documents(docs).repartition(n, "productId")
 
 
+#: Rows of a written listing document.
+ROWS_PER_DOCUMENT = 10_000
+
+
 def write_listing(cubes: DataFrame, path: str, order: str = "productId", parts: int = 8) -> None:
     """Write cube rows (CUBE fields) as JSON array documents: rows are
     range-partitioned on `order`, and each task writes its own slice as one
-    array, so file-name order is listing order and no task holds more than
-    its slice."""
+    array, so file-name order is listing order. There are `parts` slices, or
+    more so that none has much over ROWS_PER_DOCUMENT rows."""
     from ..session import ship_package
     ship_package(cubes.sparkSession)
+    parts = max(parts, -(-cubes.count() // ROWS_PER_DOCUMENT))
     ranged = cubes.repartitionByRange(parts, order).sortWithinPartitions(order)
 
     def as_array(batches):

@@ -167,3 +167,12 @@ def test_declared_schema_skips_inference(spark, tmp_path):
     t = spark.table(f"{db}.`1_t`")
     assert t.columns == ["a", "b c"] and [tuple(r) for r in t.collect()] == [("1", "x")]
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_folder_of_an_earlier_title_is_left_behind(spark):
+    folders = spark.createDataFrame([("1-old-title",), ("1-new-title",), ("2-same",), ("3-not-yet-again",), ("notes",)], "folder string")
+    catalog = spark.createDataFrame([(1, "New title"), (2, "Same"), (2, "Same"), (3, "Renamed, not ingested"), (None, None)],
+                                    "productId long, title string")
+    got = R.current_folders(folders, catalog)
+    assert sorted(r.folder for r in got.collect()) == ["1-new-title", "2-same", "3-not-yet-again", "notes"]
+    assert R.current_folders(folders.limit(0), catalog).collect() == []
