@@ -33,10 +33,14 @@ def publish_plan(manifest: DataFrame, landed: DataFrame, prefix: str, file_col:
                     F.concat(F.lit(prefix), F.col(file_col)).alias("target"))
 
 
-def execute_publish(plan: DataFrame, src_root: str, n_tasks: int | None = None) -> DataFrame:
+def execute_publish(plan: DataFrame, src_root: str, n_tasks: int | None = None, move: bool = False) -> DataFrame:
     """Copy every `publish` row from `src_root/file_path` to `target` on the
     executors (paths travel, never file contents). Returns
-    (file_path, target, status, bytes)."""
+    (file_path, target, status, bytes).
+
+    With `move`, a dataset folder on the target's file system is renamed
+    instead, so no byte is copied; a task that runs again finds its dataset
+    published. The old dataset is put aside first and deleted last."""
     src_root = src_root.rstrip("/")
     from ..session import ship_package
     ship_package(plan.sparkSession)
@@ -53,6 +57,9 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int | None = None)
                     src_fs, src = open_fs(f"{src_root}/{fp}")
                     dst_fs, dst = open_fs(target)
                     info = src_fs.get_file_info(src)
+                    renamed = move and src_fs.equals(dst_fs)
+                    if renamed and info.type == pafs.FileType.NotFound:  # moved by an earlier run of this task
+                        src, info = dst, dst_fs.get_file_info(dst)
                     if info.type == pafs.FileType.Directory:
                         sel = pafs.FileSelector(src, recursive=True)
                         files = [i for i in src_fs.get_file_info(sel) if i.type == pafs.FileType.File]
@@ -62,12 +69,18 @@ def execute_publish(plan: DataFrame, src_root: str, n_tasks: int | None = None)
                         # nothing inside a folder that a table scans
                         prefix = dst[: len(dst) - len(fp)] if dst.endswith(fp) else dst.rsplit("/", 1)[0] + "/"
                         tmp = f"{prefix.rstrip('/')}-publishing/{uuid.uuid4().hex}"
-                        dst_fs.create_dir(tmp, recursive=True)
-                        pafs.copy_files(src, tmp, source_filesystem=src_fs, destination_filesystem=dst_fs)
-                        if dst_fs.get_file_info(dst).type == pafs.FileType.Directory:
-                            dst_fs.delete_dir(dst)
-                        dst_fs.create_dir(dst.rstrip("/").rsplit("/", 1)[0], recursive=True)
-                        dst_fs.move(tmp, dst)
+                        if src != dst:
+                            dst_fs.create_dir(tmp.rsplit("/", 1)[0], recursive=True)
+                            if not renamed:
+                                dst_fs.create_dir(tmp)
+                                pafs.copy_files(src, tmp, source_filesystem=src_fs, destination_filesystem=dst_fs)
+                            had_old = dst_fs.get_file_info(dst).type == pafs.FileType.Directory
+                            if had_old:
+                                dst_fs.move(dst, f"{tmp}-old")
+                            dst_fs.create_dir(dst.rstrip("/").rsplit("/", 1)[0], recursive=True)
+                            dst_fs.move(src if renamed else tmp, dst)
+                            if had_old:
+                                dst_fs.delete_dir(f"{tmp}-old")
                     else:
                         dst_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
                         pafs.copy_files(src, dst, source_filesystem=src_fs, destination_filesystem=dst_fs)

@@ -180,8 +180,9 @@ def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
 
     landed = fs.landed_files(spark, f"{run}/data") if fs.exists(spark, f"{run}/data") else \
         spark.createDataFrame([], "rel_path string, rel_dir string, length long")
-    pub_plan = publish.publish_plan(manifest, landed, data_root + "/")
-    published = _materialize(publish.execute_publish(pub_plan, f"{run}/data"),
+    # written before any folder moves: a repeated task must not look for what has moved
+    pub_plan = _materialize(publish.publish_plan(manifest, landed, data_root + "/"), f"{run}/publish_plan")
+    published = _materialize(publish.execute_publish(pub_plan, f"{run}/data", move=not cfg.keep_staging),
                              f"{run}/published")
 
     if cfg.strict_parity:

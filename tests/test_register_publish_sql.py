@@ -176,3 +176,18 @@ def test_folder_of_an_earlier_title_is_left_behind(spark):
     got = R.current_folders(folders, catalog)
     assert sorted(r.folder for r in got.collect()) == ["1-new-title", "2-same", "3-not-yet-again", "notes"]
     assert R.current_folders(folders.limit(0), catalog).collect() == []
+
+
+def test_publish_by_rename_can_run_again(spark, tmp_path):
+    src, dst = tmp_path / "src", tmp_path / "data"
+    plan = spark.createDataFrame([("7-t/7.parquet", f"{dst}/7-t/7.parquet", "publish"), ("8-t/8.parquet", f"{dst}/8-t/8.parquet", "publish")],
+                                 "file_path string, target string, action string")
+    for value in ("old", "new"):
+        spark.createDataFrame([(value,)], "v string").write.parquet(str(src / "7-t" / "7.parquet"))
+        for _ in range(2):  # the second time the folder has moved already
+            done = {r.file_path: r for r in P.execute_publish(plan, str(src), n_tasks=1, move=True).collect()}
+            assert done["7-t/7.parquet"].status == "published" and done["7-t/7.parquet"].bytes > 0
+            assert done["8-t/8.parquet"].status.startswith("failed")
+            assert not (src / "7-t" / "7.parquet").exists()
+            assert [r.v for r in spark.read.parquet(str(dst / "7-t" / "7.parquet")).collect()] == [value]
+    assert not list((tmp_path / "data-publishing").glob("*"))
