@@ -5,20 +5,23 @@ and one end token, the empty word, which is also the history of a text's first
 word.
 
 1. Counting. Documents are packed into chunks of about `chunk_bytes` of text,
-   written once. Each chunk lists its distinct tokens with their training
-   counts; one window sum by token gives every chunk the corpus count of each
-   of its own tokens. No vocabulary is broadcast or gathered.
-2. States. Words with at least `word_share` of all training tokens can form
-   histories (at most 1 / word_share of them, whatever the corpus). Their
-   2- and 3-grams are counted over all training text; those with at least
-   `gram_share` of all tokens are kept (at most 1 / gram_share of each order)
-   and become arcs. A history that has arcs is a state; its failure arc leads
-   to the next shorter history with the weight that makes all words' chances
-   add up to one (absolute discounting). The root scores any token by its
-   smoothed count.
-3. Scoring. A chunk meets its own token counts in one task, and each text is
-   read once from left to right: the current state either has an arc for the
-   word, or its failure arc is taken and its weight added.
+   written once. Each chunk lists its distinct 1-, 2- and 3-grams with their
+   training counts under 79-bit hashes, cut by hash into SLICES rows. A slice of
+   all chunks meets in one task, which sends every chunk the corpus counts of
+   its own n-grams, in the order they were listed. Nothing is left out,
+   gathered on the driver or broadcast, whatever the size of the corpus.
+2. Arcs. Every n-gram found in training is an arc. Each chunk builds those it
+   needs. A history that has arcs is a state; its failure arc leads to the next
+   shorter history with the weight that makes all words' chances add up to one
+   (absolute discounting). For these weights the first chunk of each n-gram
+   sends its share to the history, whose sums travel back like the counts.
+   The root scores any token by its smoothed count.
+3. Scoring. Each text is read once from left to right: the state (the longest
+   history that has arcs) either has an arc for the word, or its failure arc is
+   taken and its weight added.
+
+`word_share` and `gram_share` are off by default; a caller that wants a smaller
+model can set them: arcs then need that share of all training tokens.
 
 Null texts count as empty ones: only the end token. Every row is scored, also
 repeated ones. Nothing to learn from gives the
@@ -28,19 +31,20 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+import hashlib
 from math import log10
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubeshelf.llm.common import quoted, staged
 
-CHUNK_BYTES, WORD_SHARE, GRAM_SHARE, ADD, DISCOUNT, END = 16 << 20, 1e-5, 5e-6, 0.1, 0.5, b""
-_BITS = 17  # of a history word's number; 1 / WORD_SHARE is under 2**17
+CHUNK_BYTES, WORD_SHARE, GRAM_SHARE, ADD, DISCOUNT, END = 16 << 20, 0.0, 0.0, 0.1, 0.5, b""
+SLICES = 4096  # rows in which a chunk lists its n-grams; a slice of all chunks meets in one task
+_BITS = 17  # of a word's number in `Model`
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -48,8 +52,11 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def _pack(ids, texts, learn, id_type) -> bytes:
-    batch = pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array(texts, pa.binary()), pa.array(learn, pa.bool_())],
-                                       ["doc_id", "text", "learn"])
+    return _packed(pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array(texts, pa.binary()), pa.array(learn, pa.bool_())],
+                                              ["doc_id", "text", "learn"]))
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(batch)
@@ -61,28 +68,16 @@ def _unpack(blob: bytes) -> pa.Table:
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, blob, token, n): for each chunk one row with its packed
-    documents, and one for each distinct token with its training count.
+    """(chunk, blob, n): the packed documents and their training tokens.
     `docs`: (doc_id, text as binary, learn)."""
     def run(batches):
         part, made = TaskContext.get().partitionId() << 24, 0
         ids, texts, learn, size, id_type = [], [], [], 0, None
 
         def flush():
-            seen, counts = set(), Counter()
-            for t, y in zip(texts, learn):
-                ws = tokens(t)
-                counts.update(ws) if y else seen.update(ws)
-            every = [*counts, *(seen - counts.keys())]
-            chunk = part + made
-            yield [chunk], [_pack(ids, texts, learn, id_type)], [None], [None]
-            for at in range(0, len(every), 100_000):
-                some = every[at:at + 100_000]
-                yield [chunk] * len(some), [None] * len(some), some, [counts.get(t, 0) for t in some]
-
-        def batch(c, b, t, n):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(b, pa.binary()), pa.array(t, pa.binary()),
-                                               pa.array(n, pa.int64())], ["chunk", "blob", "token", "n"])
+            n = sum(len(tokens(t)) for t, y in zip(texts, learn) if y)
+            return pa.RecordBatch.from_arrays([pa.array([part + made], pa.int64()), pa.array([_pack(ids, texts, learn, id_type)], pa.binary()),
+                                               pa.array([n], pa.int64())], ["chunk", "blob", "n"])
 
         for b in batches:
             id_type = b.schema.field(0).type
@@ -92,16 +87,200 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                 learn.append(y)
                 size += len(t)
                 if size >= chunk_bytes:
-                    yield from (batch(*x) for x in flush())
+                    yield flush()
                     ids, texts, learn, size, made = [], [], [], 0, made + 1
         if ids:
-            yield from (batch(*x) for x in flush())
+            yield flush()
+
+    return docs.mapInArrow(run, "chunk long, blob binary, n long")
+
+
+class _Numbers(dict):
+    def __missing__(self, word):
+        self[word] = n = len(self)
+        return n
+
+
+def _mix(x: np.ndarray, y: np.ndarray, odd: int) -> np.ndarray:
+    z = (x + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(odd)
+    z ^= z >> np.uint64(32)
+    z = (z + y) * np.uint64(0xBF58476D1CE4E5B9)
+    z ^= z >> np.uint64(29)
+    z *= np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(32))
+
+
+class Chunk:
+    """A chunk's texts as numbers, with its distinct n-grams of orders 1 to 3:
+    `n` their training counts, `a` and `b` their hashes, each a list by order."""
+
+    def __init__(self, blob: bytes):
+        table = _unpack(blob)
+        self.table = table.select(["doc_id", "learn"])
+        number = _Numbers({END: 0})
+        get, parts = number.__getitem__, []
+        for t in table.column("text"):
+            parts.append(np.array([0, *map(get, t.as_py().lower().split()), 0], dtype=np.int32))
+        size = np.array([len(p) for p in parts], dtype=np.int32)
+        w = np.concatenate(parts)
+        del table, parts
+        read = np.ones(len(w), bool)
+        read[np.cumsum(size) - size] = False
+        self.size, self.w, self.before = size, w[read], w[np.flatnonzero(read) - 1]
+        del w, read
+        self.doc = np.repeat(np.arange(len(size), dtype=np.int32), size - 1)
+        y = self.table.column("learn").to_numpy().astype(bool)[self.doc]
+        second = np.ones(len(self.w), bool)
+        second[np.cumsum(size - 1) - (size - 1)] = False
+        self.third = np.flatnonzero(second).astype(np.int32)  # the tokens with two words before them
+        two, self.at2 = _distinct(self.before, self.w)
+        self.u, self.v = (two >> 32).astype(np.int32), (two & 0xFFFFFFFF).astype(np.int32)
+        three, self.at3 = _distinct(self.at2[self.third - 1], self.w[self.third])
+        self.prefix, last = (three >> 32).astype(np.int32), (three & 0xFFFFFFFF).astype(np.int32)
+        del two, three
+        self.suffix = np.zeros(len(last), np.int32)
+        self.suffix[self.at3] = self.at2[self.third]
+        self.n = [np.bincount(x, minlength=n).astype("<u4") for x, n in
+                  ((self.w[y], len(number)), (self.at2[y], len(self.u)), (self.at3[y[self.third]], len(last)))]
+        raw = np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in number), "<u8").reshape(-1, 2)
+        h = np.ascontiguousarray(raw[:, 0])
+        h2 = _mix(h[self.u], h[self.v], 0xD6E8FEB86659FD93)
+        self.a = [h, h2, _mix(h2[self.prefix], h[last], 0xD6E8FEB86659FD95)]
+        h = np.ascontiguousarray(raw[:, 1])
+        h2 = _mix(h[self.u], h[self.v], 0xA0761D6478BD642F)
+        # The lowest bit tells single words from the others.
+        self.b = [(x >> np.uint64(48)).astype("<u2") & np.uint16(0xFFFE) | np.uint16(i == 0)
+                  for i, x in enumerate((h, h2, _mix(h2[self.prefix], h[last], 0xA0761D6478BD6431)))]
+
+
+def _distinct(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, at = np.unique((x.astype(np.int64) << 32) | y, return_inverse=True)
+    return found, at.astype(np.int32)
+
+
+def _planes(n: int, columns: list[np.ndarray]) -> bytes:
+    """Columns of `n` entries as compressed bytes, each split into the planes of its bytes."""
+    raw = b"".join(c.view(np.uint8).reshape(n, c.itemsize).T.tobytes() for c in columns)
+    return n.to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _columns(blob: bytes, kinds: list[str]) -> list[np.ndarray]:
+    n, sizes = int.from_bytes(blob[:4], "little"), [np.dtype(k).itemsize for k in kinds]
+    raw = np.frombuffer(pa.decompress(blob[4:], decompressed_size=n * sum(sizes), codec="zstd", asbytes=True), np.uint8)
+    parts = np.split(raw, np.cumsum(sizes)[:-1] * n)
+    return [np.ascontiguousarray(p.reshape(i, n).T).view(k).ravel() for p, i, k in zip(parts, sizes, kinds)]
+
+
+def _slices(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the hashes and where each slice starts in it."""
+    order = np.argsort(a, kind="stable")
+    return order, np.searchsorted(a[order] >> np.uint64(64 - SLICES.bit_length() + 1), np.arange(SLICES + 1, dtype=np.uint64))
+
+
+def _rows(chunk: int, columns: list[np.ndarray]) -> dict:
+    """A chunk's rows (chunk, slice, blob): `columns`, the first one the
+    hashes, for each slice that isn't empty. Hashes go as differences."""
+    order, at = _slices(columns[0])
+    columns = [c[order] for c in columns]
+    full = np.flatnonzero(at[1:] > at[:-1])
+    a = columns[0]
+    columns[0] = np.diff(a, prepend=np.uint64(0))
+    columns[0][at[full]] = a[at[full]]
+    blobs = [_planes(int(at[i + 1] - at[i]), [c[at[i]:at[i + 1]] for c in columns]) for i in full]
+    return {"chunk": pa.array(np.full(len(full), chunk), pa.int64()), "slice": pa.array(full, pa.int32()), "blob": pa.array(blobs, pa.binary())}
+
+
+def _met(rows: DataFrame, kinds: list[str], answer, schema: str) -> DataFrame:
+    """Rows (chunk, slice, blob) of all chunks, met slice by slice. `answer`
+    gets the columns after the two hashes in the order of hash and chunk and
+    where each hash starts, and gives each entry's answer and a number for
+    the rows' last column."""
+    def run(batches):
+        held, keys = [], 0
+
+        def flush():
+            read = [_columns(x[2], kinds) for x in held]
+            lens = [len(x[0]) for x in read]
+            cols = [np.concatenate(x) for x in zip(*([np.cumsum(x[0]), *x[1:]] for x in read))]
+            del read
+            a, b = cols[:2]
+            order = np.argsort(a, kind="stable")
+            new_a = a[order][1:] != a[order][:-1]
+            new_b = b[order][1:] != b[order][:-1]
+            if (new_b & ~new_a).any():
+                order = np.lexsort((b, a))
+                new_a, new_b = a[order][1:] != a[order][:-1], b[order][1:] != b[order][:-1]
+            starts = np.flatnonzero(np.concatenate([[True], new_a | new_b]))
+            got, extra = answer([c[order] for c in cols[1:]], starts)
+            out = np.empty_like(got)
+            out[order] = got
+            ends = np.cumsum(lens)
+            blobs = [_planes(n, [out[e - n:e]]) for e, n in zip(ends, lens)]
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.int32()),
+                                               pa.array(blobs, pa.binary()), pa.array([extra] + [0] * (len(held) - 1), pa.int64())],
+                                              ["chunk", "slice", "blob", "extra"])
+
+        for batch in batches:
+            for c, s, x in zip(*(col.to_pylist() for col in batch.columns)):
+                if held and s != held[-1][1] and keys >= 500_000:
+                    yield flush()
+                    held, keys = [], 0
+                held.append((c, s, x))
+                keys += int.from_bytes(x[:4], "little")
+        if held:
+            yield flush()
+
+    return (rows.select("chunk", "slice", "blob").repartition("slice").sortWithinPartitions("slice", "chunk")
+            .mapInArrow(run, schema))
+
+
+def _spread(starts: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(starts, n))
+
+
+def corpus_counts(blobs: DataFrame) -> DataFrame:
+    """(chunk, slice, blob, extra): for each n-gram a chunk lists twice its
+    corpus count, and one more in the first chunk that has it. `extra` adds up
+    to the number of distinct training tokens."""
+    def run(batches):
+        for b in batches:
+            for i, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                c = Chunk(blob)
+                rows = _rows(i, [np.concatenate(c.a), np.concatenate(c.b), np.concatenate(c.n)])
+                yield pa.RecordBatch.from_arrays(list(rows.values()), list(rows))
+
+    def answer(cols, starts):
+        b, n = cols
+        total = np.add.reduceat(n.astype(np.int64), starts)
+        out = np.repeat(total * 2, _spread(starts, len(n)))
+        out[starts] += 1
+        return out, int(((total > 0) & (b[starts] & 1 == 1)).sum())
 
-    return docs.mapInArrow(run, "chunk long, blob binary, token binary, n long")
+    return _met(blobs.mapInArrow(run, "chunk long, slice int, blob binary"), ["<u8", "<u2", "<u4"], answer,
+                "chunk long, slice int, blob binary, extra long")
+
+
+def _weights(rows: DataFrame) -> DataFrame:
+    """(chunk, slice, blob, extra): the failure weights of the histories that
+    the chunks list, from the shares that their arcs' first chunks sent."""
+    def answer(cols, starts):
+        _, own, lower = cols
+        left = np.log10((1 - np.add.reduceat(own, starts)) / (1 - np.add.reduceat(lower, starts)))
+        return np.repeat(left, _spread(starts, len(own))), 0
+
+    return _met(rows, ["<u8", "<u2", "<f8", "<f8"], answer, "chunk long, slice int, blob binary, extra long")
+
+
+def _joined(rows: pa.Table, kind: str) -> np.ndarray:
+    """A chunk's answers in the order of its hashes."""
+    got = np.argsort(rows.column("slice").to_numpy(), kind="stable").tolist()
+    blobs = rows.column("blob")
+    return np.concatenate([np.zeros(0, kind), *(_columns(blobs[i].as_py(), [kind])[0] for i in got)])
 
 
 class Model:
-    """The automaton. `words`: history words and their counts; `grams`: one
+    """The whole automaton in memory, for a small corpus; the chunks' parts of
+    it give the same scores. `words`: history words and their counts; `grams`: one
     (codes, counts) pair for orders 2 and 3, a code being the words' numbers."""
 
     def __init__(self, words: list[tuple[bytes, int]], grams: list, total: int, distinct: int):
@@ -165,34 +344,48 @@ class Model:
         return out
 
 
-def _grams(chunks: DataFrame, number, least: float) -> list:
-    """[(codes, counts)] of the 2- and 3-grams over numbered words that stand
-    at least `least` times in the training texts."""
-    def run(batches):
-        known = number.value
-        for b in batches:
-            for blob in b.column(0).to_pylist():
-                t = _unpack(blob)
-                two, three = [], []
-                for text, y in zip(t.column("text").to_pylist(), t.column("learn").to_pylist()):
-                    if y:
-                        w = np.array([known.get(x, -1) for x in (END, *tokens(text))], dtype=np.int64)
-                        ok = w >= 0
-                        two.append(((w[:-1] << _BITS) | w[1:])[ok[:-1] & ok[1:]])
-                        three.append(((w[:-2] << 2 * _BITS) | (w[1:-1] << _BITS) | w[2:])[ok[:-2] & ok[1:-1] & ok[2:]])
-                for order, parts in ((2, two), (3, three)):
-                    if parts:
-                        code, n = np.unique(np.concatenate(parts), return_counts=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), order), pa.int64()), pa.array(code, pa.int64()),
-                                                          pa.array(n, pa.int64())], ["size", "code", "n"])
-
-    kept = (chunks.mapInArrow(run, "size long, code long, n long").groupBy("size", "code").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= least).collect())
-    out = []
-    for order in (2, 3):
-        rows = sorted((r.code, r.n) for r in kept if r["size"] == order)
-        out.append((np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)))
-    return out
+def _part(c: Chunk, counts: np.ndarray, total: int, distinct: int, word_share: float, gram_share: float):
+    """The chunk's part of the automaton: (known tokens, root score, score
+    without failure weights) of its texts, (text, history) of the failure arcs
+    taken, and the histories' hashes and shares."""
+    order, _ = _slices(np.concatenate(c.a))
+    own = np.empty(len(order), np.int64)
+    own[order] = counts
+    del order, counts
+    ends = np.cumsum([len(x) for x in c.n])[:-1]
+    (n1, n2, n3), (_, lead2, lead3) = np.split(own >> 1, ends), np.split((own & 1) == 1, ends)
+    del own
+    least, u, v = max(1, total * gram_share), c.u, c.v
+    one = (n1 + ADD) / (total + ADD * (distinct + 1))
+    root, often = np.log10(one), (n1 > 0) & (n1 >= total * word_share)
+    kept2 = (n2 >= least) & often[u] & often[v]
+    kept3 = (n3 >= least) & kept2[c.prefix] & kept2[c.suffix]
+    p2 = np.where(kept2, (n2 - DISCOUNT) / np.maximum(n1[u], 1), 1.0)
+    p3 = np.where(kept3, (n3 - DISCOUNT) / np.maximum(n2[c.prefix], 1), 1.0)
+    # One traversal of each text: the arc of the longest history, else its failure arc, and so on to the root.
+    step = np.where(kept2[c.at2], np.log10(p2)[c.at2], root[c.w])
+    has = kept3[c.at3]
+    step[c.third[has]] = np.log10(p3)[c.at3[has]]
+    fell2 = c.third[~has & kept2[c.at2[c.third - 1]]]
+    fell1 = ~kept2[c.at2] & often[c.before]
+    fell1[c.third[has]] = False
+    fell1 = np.flatnonzero(fell1)
+    taken = np.concatenate([c.before[fell1], len(n1) + c.at2[fell2 - 1].astype(np.int64)])
+    docs = len(c.size)
+    texts = (np.bincount(c.doc, (n1 > 0)[c.w], docs).astype(np.int64), np.bincount(c.doc, root[c.w], docs),
+             np.bincount(c.doc, step, docs))
+    del step, has
+    first2, first3 = np.flatnonzero(kept2 & lead2), np.flatnonzero(kept3 & lead3)
+    share = np.concatenate([np.bincount(u[first2], p2[first2], len(n1)), np.bincount(c.prefix[first3], p3[first3], len(n2))])
+    lower = np.concatenate([np.bincount(u[first2], one[v[first2]], len(n1)),
+                            np.bincount(c.prefix[first3], p2[c.suffix[first3]], len(n2))])
+    asked = lower > 0
+    asked[taken] = True
+    listed = np.flatnonzero(asked)
+    a, b = np.concatenate(c.a[:2])[listed], np.concatenate(c.b[:2])[listed]
+    place = np.empty(len(asked), np.int64)
+    place[listed[_slices(a)[0]]] = np.arange(len(listed))
+    return texts, (c.doc[np.concatenate([fell1, fell2])], place[taken]), [a, b, share[listed], lower[listed]]
 
 
 def score(docs: DataFrame, learn: Column, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE,
@@ -200,56 +393,49 @@ def score(docs: DataFrame, learn: Column, word_share: float = WORD_SHARE, gram_s
     """(doc_id, learn, n_tokens, n_known, train_tokens, base_score, score) of
     every row: log10 probabilities without histories and by the automaton,
     learned from the rows where `learn` holds."""
-    if 1 / word_share >= 1 << _BITS:
-        raise ValueError(f"word_share must be over 2**-{_BITS}")
-    spark = docs.sparkSession
     src = docs.select(F.col(quoted(id_col)).alias("doc_id"),
                       F.coalesce(F.col(quoted(text_col)), F.lit("")).cast("binary").alias("text"),
                       F.coalesce(learn, F.lit(False)).alias("learn"))
-    cut = staged(chunked(src, chunk_bytes), "lm-chunks")
-    of_token = Window.partitionBy("token")
-    counts = cut.where(F.col("token").isNotNull()).select(
-        "chunk", "token", F.sum("n").over(of_token).alias("c"),
-        (F.min("chunk").over(of_token) == F.col("chunk")).alias("lead"))
-    counts = staged(counts, "lm-counts")
-    lead = counts.where("lead")
-    total, distinct = lead.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    often = lead.where((F.col("c") > 0) & (F.col("c") >= total * word_share)).select("token", "c").collect()
-    words = sorted((bytes(r.token), r.c) for r in often)
-    number = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(words)})
-    blobs = cut.where(F.col("blob").isNotNull()).select("chunk", "blob")
-    least = max(1, total * gram_share)
-    grams = _grams(blobs.select("blob"), number, least) if words else [(np.zeros(0, np.int64),) * 2] * 2
-    model = spark.sparkContext.broadcast(Model(words, grams, total, distinct))
-    id_field = src.schema["doc_id"]
+    chunks = staged(chunked(src, chunk_bytes), "lm-chunks")
+    total = chunks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    blobs = chunks.select("chunk", "blob")
+    counts = staged(corpus_counts(blobs), "lm-counts")
+    distinct = counts.agg(F.coalesce(F.sum("extra"), F.lit(0))).first()[0]
+
+    def part(left: pa.Table, right: pa.Table) -> pa.Table:
+        c = Chunk(left.column("blob")[0].as_py())
+        chunk = left.column("chunk")[0].as_py()
+        (known, base, fixed), (doc, place), shares = _part(c, _joined(right, "<i8"), total, distinct, word_share, gram_share)
+        by_doc = np.argsort(doc, kind="stable")
+        falls = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[by_doc], np.arange(len(c.size) + 1)), pa.int32()),
+                                         pa.array(place[by_doc], pa.int32()))
+        done = pa.RecordBatch.from_arrays([*(x.combine_chunks() for x in (c.table.column("doc_id"), c.table.column("learn"))),
+                                           pa.array(c.size - 1).cast(pa.int64()), pa.array(known), pa.array(base), pa.array(fixed), falls],
+                                          ["doc_id", "learn", "n_tokens", "n_known", "base_score", "fixed", "falls"])
+        rows = _rows(chunk, shares)
+        return pa.table([pa.concat_arrays([rows["chunk"], pa.array([chunk], pa.int64())]),
+                         pa.concat_arrays([rows["slice"], pa.array([None], pa.int32())]),
+                         pa.concat_arrays([rows["blob"], pa.array([_packed(done)], pa.binary())])], names=list(rows))
+
+    parts = (blobs.groupBy("chunk").cogroup(counts.select("chunk", "slice", "blob").groupBy("chunk"))
+             .applyInArrow(part, "chunk long, slice int, blob binary"))
+    parts = staged(parts, "lm-parts")
+    weights = staged(_weights(parts.where(F.col("slice").isNotNull())).drop("extra"), "lm-weights")
     schema = src.select("doc_id", "learn").schema
     for n, t in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")):
         schema = schema.add(n, t)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        m = model.value
-        found = right.column("token").to_pylist()
-        at = {t: i for i, t in enumerate(found)}
-        c = right.column("c").to_numpy().astype(np.float64)
-        root, known = m.root(c), c > 0
-        get = m.number.get
-        nums = np.array([get(t, -1) for t in found], dtype=np.int64)
-        parts = []
-        for blob in left.column("blob").to_pylist():
-            t = _unpack(blob)
-            rows = []
-            for text in t.column("text").to_pylist():
-                i = np.array([at[w] for w in tokens(text)], dtype=np.int64)
-                base = root[i]
-                rows.append((len(i), int(known[i].sum()), m.total, float(base.sum()), m.walk(nums[i].tolist(), base.tolist())))
-            cols = list(zip(*rows))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            parts.append(pa.Table.from_arrays([t.column("doc_id"), t.column("learn"), *(pa.array(x, k) for x, k in zip(cols, kinds))],
-                                              names=schema.names))
-        return pa.concat_tables(parts)
-
-    assert id_field.name == schema.names[0]
-    return (blobs.groupBy("chunk").cogroup(counts.select("chunk", "token", "c").groupBy("chunk"))
+        t = _unpack(left.column("blob")[0].as_py())
+        falls = t.column("falls").combine_chunks()
+        at = falls.offsets.to_numpy()
+        weight = _joined(right, "<f8")[falls.values.to_numpy()[at[0]:at[-1]]]
+        fell = np.bincount(np.repeat(np.arange(len(t)), np.diff(at)), weight, len(t))
+        return pa.Table.from_arrays([*(t.column(n) for n in ("doc_id", "learn", "n_tokens", "n_known")),
+                                     pa.array(np.full(len(t), total), pa.int64()), t.column("base_score"),
+                                     pa.array(t.column("fixed").to_numpy() + fell)], names=schema.names)
+
+    return (parts.where(F.col("slice").isNull()).groupBy("chunk").cogroup(weights.groupBy("chunk"))
             .applyInArrow(run, schema))
 
 

@@ -244,6 +244,33 @@ def test_automaton_adds_up_to_one():
     assert mask == 0 and len(m.fail) > len(words)
 
 
+def test_every_trained_ngram_has_its_arc(spark):
+    """Scores of many chunks against the automaton of the whole corpus, in
+    which 5e-6 of all tokens are more than one occurrence."""
+    import numpy as np
+    rnd = random.Random(3)
+    rows = [(i, "x y " * 6000, None) for i in range(40)]
+    rows += [(100 + i, " ".join(rnd.choice("abcdefghij") + rnd.choice("klmno") for _ in range(rnd.randrange(60))), None) for i in range(60)]
+    learn = lambda i: i % 4 != 0
+    seqs = {i: [b"", *t.encode().split(), b""] for i, t, _ in rows}
+    c = Counter(w for i, q in seqs.items() if learn(i) for w in q[1:])
+    words = sorted(c.items())
+    num = {w: i for i, (w, _) in enumerate(words)}
+    b, n2, n3 = lm_score._BITS, Counter(), Counter()
+    for i, q in seqs.items():
+        if learn(i):
+            x = [num[w] for w in q]
+            n2.update(p << b | q for p, q in zip(x, x[1:]))
+            n3.update(p << 2 * b | q << b | r for p, q, r in zip(x, x[1:], x[2:]))
+    total = sum(c.values())
+    assert min(n2.values()) == min(n3.values()) == 1 < total * 5e-6
+    m = lm_score.Model(words, [tuple(np.array(z, np.int64) for z in zip(*sorted(n.items()))) for n in (n2, n3)], total, len(c))
+    base = lambda q: m.root(np.array([c[w] for w in q], float)).tolist()
+    want = {i: m.walk([num.get(w, -1) for w in q[1:]], base(q[1:])) for i, q in seqs.items()}
+    got = lm_score.score(docs(spark, rows), F.col("doc_id") % 4 != 0, chunk_bytes=3000).collect()
+    assert {r.doc_id: r.score for r in got} == pytest.approx(want, abs=1e-8) and len(got) == len(rows)
+
+
 # toxicity
 
 def test_toxicity(spark):
