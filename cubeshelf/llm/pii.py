@@ -31,8 +31,10 @@ from cubeshelf.llm.common import ASCII_LOWER, ASCII_UPPER, quoted
 KINDS = ["email", "ip", "card", "phone", "iban", "local_phone", "national_id"]
 BASE_KINDS = KINDS[:4]
 
-#: Code points before a span that are searched for context words.
-CONTEXT = 40
+#: Code points before a span that are searched for context words, and the
+#: proposals before it that hold as many at least (no kind's take under 3 with
+#: what parts them).
+CONTEXT, CONTEXT_ROWS = 40, 14
 
 # Where a run of these characters starts, or the last match ended within one.
 _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++\.[A-Za-z0-9.-]*+"
@@ -69,7 +71,8 @@ def _mod97(s: Column) -> Column:
 
 def _proposals(kind: str, text: Column, pattern: str, likely: Column) -> Column:
     """array<struct<kind, at, gap, match, before>>: the pattern's matches, the
-    code points between the last match and this one, and what stands before."""
+    code points between the last match and this one, and what stands in front
+    of it there (at most CONTEXT, in lower case)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     # Zipped, so that each side is computed once and not anew for every match; the last gap has no match.
     pairs = F.filter(F.zip_with(found, F.split(text, pattern, -1), lambda m, g: F.struct(m.alias("m"), g.alias("g"))),
@@ -98,9 +101,9 @@ def find_spans(docs: DataFrame, min_score: float = 0.75, id_col: str = "doc_id",
     score) in code points, end exclusive, by kind as in KINDS and start."""
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     t = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(quoted(id_col)).alias("doc_id"), text.alias("t"))
-    # Separators next to another one end a card number: they become a letter, which keeps all offsets.
+    # Separators next to another one end a card number: they become a sign that no word holds, which keeps all offsets.
     t = t.withColumn("cards", F.when(F.col("t").rlike("[0-9][0-9 -]{11,}[0-9]"),
-                                     F.regexp_replace("t", "(?<=[ -])[ -]|[ -](?=[ -])", "x")))
+                                     F.regexp_replace("t", "(?<=[ -])[ -]|[ -](?=[ -])", "|")))
     # A dot that no label follows ends an email's domain; in front of the @ it may be any local character.
     t = t.withColumn("mails", F.when(F.contains("t", F.lit("@")), F.regexp_replace("t", r"\.(?![A-Za-z0-9-])", "_")))
     has = lambda s: F.contains(F.col("t"), F.lit(s))
@@ -119,6 +122,11 @@ def find_spans(docs: DataFrame, min_score: float = 0.75, id_col: str = "doc_id",
     w = Window.partitionBy("uid", "kind").orderBy("at")
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.length("match")).over(w))
     rows = rows.withColumn("start", F.col("end") - F.length("match"))
+    # The text in front of a span, also where earlier matches stand in it.
+    rows = rows.withColumn("tail", F.right(F.concat("before", F.translate("match", ASCII_UPPER, ASCII_LOWER)), F.lit(CONTEXT)))
+    earlier = F.array_join(F.collect_list("tail").over(w.rowsBetween(-CONTEXT_ROWS, -1)), "")
+    rows = rows.withColumn("before", F.right(F.concat(F.when(F.length("before") < CONTEXT, earlier).otherwise(F.lit("")), "before"),
+                                             F.lit(CONTEXT)))
     near = F.lit(None).cast("double")
     for i, k in enumerate(KINDS):
         said, base, gain = _CONTEXT_WORDS[k]

@@ -63,6 +63,18 @@ def test_context_raises_the_score(spark):
     assert a > b
 
 
+def test_a_context_word_serves_all_spans_within_reach(spark):
+    texts = ["Call 212-555-0147 or 212-555-0199", "SSN 123-45-6789, 987-65-4321", "tel" + " 212-555-0147" * 5,
+             "ssn " + "x" * 36 + "123-45-6789 987-65-4321", "fax 1 2 3 4 212-555-0147", "my  card  4111 1111 1111 1111"]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s.kind not in pii.BASE_KINDS] for r in pii.find_spans(plain(spark, texts)).collect()}
+    assert got == {0: [("local_phone", 5, 17), ("local_phone", 21, 33)], 1: [("national_id", 4, 15), ("national_id", 17, 28)],
+                   # "tel" stands 1, 14 and 27 code points before the first three, over 37 before the others
+                   2: [("local_phone", 4 + 13 * i, 16 + 13 * i) for i in range(3)],
+                   3: [("national_id", 40, 51)], 4: [("local_phone", 12, 24)], 5: []}
+    low, high = (pii.find_spans(plain(spark, [t])).first().spans[0].score for t in ("x 4111 1111 1111 1111", texts[5]))
+    assert low < high
+
+
 def test_rows_and_empty_table(spark):
     got = pii.find_spans(docs(spark)).collect()
     assert sorted(map(repr, (r.doc_id for r in got))) == sorted(map(repr, (r[0] for r in ROWS)))
