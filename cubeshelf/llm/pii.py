@@ -7,7 +7,9 @@ score. The base kinds (email, ip, card, phone) stay whatever their score; the
 added kinds stay from `min_score` up:
 
 * iban: two letters, two check digits, 11 to 30 letters and digits, single
-  spaces allowed, mod-97 remainder 1.
+  spaces allowed, mod-97 remainder 1. The country's length decides where it
+  ends; where that doesn't fit or isn't known, the longest possible end. Every
+  start proposes; a span that starts within an earlier valid one is dropped.
 * local_phone: 3-3-4 digits, not within a longer number; stays only with a
   phone word before it.
 * national_id: 3-2-4 digits joined by hyphens, likewise with an id word.
@@ -41,7 +43,19 @@ _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++\.[A-Za-
 _IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _DIGITS = r"[0-9][0-9 -]*[0-9]"
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# The length of an IBAN by country: the registry and the codes in use beside it.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_KNOWN = "|".join(
+    "(?:" + codes.replace(" ", "|") + ")[0-9]{2}(?: ?[A-Z0-9]{4}){" + str(n // 4 - 1) + "}" + (" ?[A-Z0-9]{" + str(n % 4) + "}" if n % 4 else "")
+    for n, codes in _IBAN_LENGTHS.items())
+_IBAN_ANY = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+# Takes no text, so that a proposal that turns out wrong hides none that starts within it.
+_IBAN = rf"(?<![A-Za-z0-9])(?=((?:{_IBAN_KNOWN})(?![A-Za-z0-9])|{_IBAN_ANY}(?![A-Za-z0-9])))"
 _LOCAL = r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])"
 _NATIONAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
@@ -73,12 +87,16 @@ def _proposals(kind: str, text: Column, pattern: str, likely: Column) -> Column:
     """array<struct<kind, at, gap, match, before>>: the pattern's matches, the
     code points between the last match and this one, and what stands in front
     of it there (at most CONTEXT, in lower case)."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    takes = kind != "iban"
+    # A pattern that takes no text doesn't part the text at its very start: a blank stands before it.
+    text = text if takes else F.concat(F.lit(" "), text)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0 if takes else 1))
     # Zipped, so that each side is computed once and not anew for every match; the last gap has no match.
     pairs = F.filter(F.zip_with(found, F.split(text, pattern, -1), lambda m, g: F.struct(m.alias("m"), g.alias("g"))),
                      lambda x: x.m.isNotNull())
     rows = F.transform(pairs, lambda x, i: F.struct(
-        F.lit(KINDS.index(kind)).alias("kind"), i.alias("at"), F.length(x.g).alias("gap"), x.m.alias("match"),
+        F.lit(KINDS.index(kind)).alias("kind"), i.alias("at"),
+        (F.length(x.g) - (F.lit(0) if takes else F.when(i == 0, 1).otherwise(0))).alias("gap"), x.m.alias("match"),
         F.translate(F.right(x.g, F.lit(CONTEXT)), ASCII_UPPER, ASCII_LOWER).alias("before")))
     return F.when(likely, rows).otherwise(F.array())
 
@@ -120,10 +138,13 @@ def find_spans(docs: DataFrame, min_score: float = 0.75, id_col: str = "doc_id",
     rows = t.select("uid", "doc_id", F.explode_outer(every).alias("p"))
     rows = rows.repartition(F.col("uid")).select("uid", "doc_id", "p.*")
     w = Window.partitionBy("uid", "kind").orderBy("at")
-    rows = rows.withColumn("end", F.sum(F.col("gap") + F.length("match")).over(w))
-    rows = rows.withColumn("start", F.col("end") - F.length("match"))
+    is_iban = F.col("kind") == KINDS.index("iban")
+    taken = F.when(is_iban, 0).otherwise(F.length("match"))  # of an iban stands in the next gap
+    rows = rows.withColumn("start", F.sum(F.col("gap") + taken).over(w) - taken)
+    rows = rows.withColumn("end", F.col("start") + F.length("match"))
     # The text in front of a span, also where earlier matches stand in it.
-    rows = rows.withColumn("tail", F.right(F.concat("before", F.translate("match", ASCII_UPPER, ASCII_LOWER)), F.lit(CONTEXT)))
+    rows = rows.withColumn("tail", F.when(is_iban, F.col("before")).otherwise(
+        F.right(F.concat("before", F.translate("match", ASCII_UPPER, ASCII_LOWER)), F.lit(CONTEXT))))
     earlier = F.array_join(F.collect_list("tail").over(w.rowsBetween(-CONTEXT_ROWS, -1)), "")
     rows = rows.withColumn("before", F.right(F.concat(F.when(F.length("before") < CONTEXT, earlier).otherwise(F.lit("")), "before"),
                                              F.lit(CONTEXT)))
@@ -133,6 +154,9 @@ def find_spans(docs: DataFrame, min_score: float = 0.75, id_col: str = "doc_id",
         near = F.when(F.col("kind") == i, F.when(F.col("before").rlike(rf"\b(?:{said})"), base + gain).otherwise(F.lit(base))).otherwise(near)
     rows = rows.withColumn("score", near)
     stays = _valid(F.col("kind"), F.col("match")) & ((F.col("kind") < len(BASE_KINDS)) | (F.col("score") >= min_score))
+    rows = rows.withColumn("stays", stays)
+    rows = rows.withColumn("shut", F.max(F.when(is_iban & F.col("stays"), F.col("end"))).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    stays = F.col("stays") & (F.col("start") >= F.coalesce("shut", F.lit(0)))
     span = F.struct("kind", "start", "end", "score")
     got = rows.groupBy("uid", "doc_id").agg(F.array_sort(F.collect_list(F.when(stays, span))).alias("s"))
     names = F.array(*map(F.lit, KINDS))

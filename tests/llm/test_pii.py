@@ -63,6 +63,13 @@ def test_context_raises_the_score(spark):
     assert a > b
 
 
+def test_ibans_end_where_the_country_says(spark):
+    es, se, at = "ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "AT611904300234573201"
+    texts = [f"{es} BIC X", f"{se} SEK", f"{es} {se}", f"ä {at} EUR, {es}", f"ES91 2100 0418 {se}", f"{es}Q {se[:-1]}", f"x{es}", es]
+    got = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "iban"] for r in pii.find_spans(plain(spark, texts)).collect()}
+    assert got == {0: [es], 1: [se], 2: [es, se], 3: [at, es], 4: [se], 5: [], 6: [], 7: [es]}
+
+
 def test_a_context_word_serves_all_spans_within_reach(spark):
     texts = ["Call 212-555-0147 or 212-555-0199", "SSN 123-45-6789, 987-65-4321", "tel" + " 212-555-0147" * 5,
              "ssn " + "x" * 36 + "123-45-6789 987-65-4321", "fax 1 2 3 4 212-555-0147", "my  card  4111 1111 1111 1111"]
