@@ -85,8 +85,8 @@ def _mod97(s: Column) -> Column:
 
 def _proposals(kind: str, text: Column, pattern: str, likely: Column) -> Column:
     """array<struct<kind, at, gap, match, before>>: the pattern's matches, the
-    code points between the last match and this one, and what stands in front
-    of it there (at most CONTEXT, in lower case)."""
+    code points between the last match and this one, and the
+    CONTEXT code points in front of it in lower case, earlier matches included."""
     takes = kind != "iban"
     # A pattern that takes no text doesn't part the text at its very start: a blank stands before it.
     text = text if takes else F.concat(F.lit(" "), text)
@@ -94,10 +94,16 @@ def _proposals(kind: str, text: Column, pattern: str, likely: Column) -> Column:
     # Zipped, so that each side is computed once and not anew for every match; the last gap has no match.
     pairs = F.filter(F.zip_with(found, F.split(text, pattern, -1), lambda m, g: F.struct(m.alias("m"), g.alias("g"))),
                      lambda x: x.m.isNotNull())
-    rows = F.transform(pairs, lambda x, i: F.struct(
+    tail = lambda y: F.right(F.concat(y.g, y.m) if takes else y.g, F.lit(CONTEXT))
+    earlier = lambda every, i: F.array_join(F.transform(
+        F.slice(every, F.greatest(i - CONTEXT_ROWS, F.lit(0)) + 1, F.least(i, F.lit(CONTEXT_ROWS))), tail), "")
+    before = lambda every, x, i: F.when(F.length(x.g) < CONTEXT, F.right(F.concat(earlier(every, i), x.g), F.lit(CONTEXT))).otherwise(
+        F.right(x.g, F.lit(CONTEXT)))
+    # `every` is the one element of an array, so that it, too, is computed once.
+    rows = F.flatten(F.transform(F.array(pairs), lambda every: F.transform(every, lambda x, i: F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), i.alias("at"),
         (F.length(x.g) - (F.lit(0) if takes else F.when(i == 0, 1).otherwise(0))).alias("gap"), x.m.alias("match"),
-        F.translate(F.right(x.g, F.lit(CONTEXT)), ASCII_UPPER, ASCII_LOWER).alias("before")))
+        F.translate(before(every, x, i), ASCII_UPPER, ASCII_LOWER).alias("before")))))
     return F.when(likely, rows).otherwise(F.array())
 
 
@@ -142,12 +148,6 @@ def find_spans(docs: DataFrame, min_score: float = 0.75, id_col: str = "doc_id",
     taken = F.when(is_iban, 0).otherwise(F.length("match"))  # of an iban stands in the next gap
     rows = rows.withColumn("start", F.sum(F.col("gap") + taken).over(w) - taken)
     rows = rows.withColumn("end", F.col("start") + F.length("match"))
-    # The text in front of a span, also where earlier matches stand in it.
-    rows = rows.withColumn("tail", F.when(is_iban, F.col("before")).otherwise(
-        F.right(F.concat("before", F.translate("match", ASCII_UPPER, ASCII_LOWER)), F.lit(CONTEXT))))
-    earlier = F.array_join(F.collect_list("tail").over(w.rowsBetween(-CONTEXT_ROWS, -1)), "")
-    rows = rows.withColumn("before", F.right(F.concat(F.when(F.length("before") < CONTEXT, earlier).otherwise(F.lit("")), "before"),
-                                             F.lit(CONTEXT)))
     near = F.lit(None).cast("double")
     for i, k in enumerate(KINDS):
         said, base, gain = _CONTEXT_WORDS[k]
