@@ -18,7 +18,8 @@ from cubeshelf.plans.testbed import table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (no text or no letter) go."""
+    """Documents whose language can't be told (no text, no letter, or no
+    n-gram that a language's profile has) go."""
     return language_id.keep_identified(docs, ~held_out("doc_id", 3, 1))
 
 

@@ -135,9 +135,10 @@ def identify(docs: DataFrame, train: Column, profile: int = PROFILE, id_col: str
 
 def keep_identified(docs: DataFrame, train: Column, profile: int = PROFILE, text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """`docs` without the rows whose language can't be told."""
+    """`docs` without the rows whose language can't be told: no letter, or no
+    n-gram that any profile has (score 0)."""
     names = [F.col(quoted(c)) for c in docs.columns]
     rows = docs.select(F.struct(*names).alias("row"), train.alias("learn"), F.col(quoted(text_col)).alias("text"),
                        F.col(quoted(lang_col)).alias("lang"))
     got = identify(rows, F.col("learn"), profile, text_col="text", lang_col="lang", carry=("row",))
-    return got.where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).select("row.*")

@@ -24,6 +24,12 @@ def same(a, b):
     assert sorted(map(repr, a)) == sorted(map(repr, b))
 
 
+def test_unlearned_script_is_not_identified(spark):
+    rows = [(1, "the cat sat", "en"), (2, "die katze sitzt", "de"), (3, "η γάτα κάθεται", None), (4, "a cat", None), (5, "42", None)]
+    got = language_id.keep_identified(docs(spark, rows), F.col("lang").isNotNull())
+    assert sorted(r.doc_id for r in got.collect()) == [1, 2, 4]
+
+
 # line dedup
 
 def slow_lines(rows, least):
