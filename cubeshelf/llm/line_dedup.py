@@ -2,15 +2,16 @@
 
 1. Every text is split at line feeds; a line's key is the line stripped of
    ASCII white space at both ends, with A-Z lower-cased. Each document sends
-   every distinct key once, as a 128-bit hash.
-2. The number of documents of a hash is counted (combined before the shuffle).
+   every distinct key once, as a 128-bit hash, with its id.
+2. Copies of a (hash, id) pair are merged, then the ids of a hash are counted
+   (combined before the shuffle).
 3. Lines whose key reached the threshold are dropped and the others are
    joined again in their order. Up to `broadcast_rows` frequent hashes (16
    bytes each) go to the tasks as one sorted array; beyond that the hashes
    are joined to the documents that hold them.
 
-A document is a row: repeated rows count as several documents. Null and empty
-texts have one empty line, whose key is too short to be counted. An empty
+Rows with the same id count as one document, rows without an id as none; each
+row is cleaned and returned. Null and empty texts have one empty line, whose key is too short to be counted. An empty
 table gives an empty result. Input columns named like a result column give
 way to it.
 """
@@ -73,9 +74,11 @@ def document_hashes(docs: DataFrame, min_chars: int = 1, text_col: str = "text",
     return src.mapInArrow(hashes, schema)
 
 
-def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text_col: str = "text") -> DataFrame:
-    """(hash, n_docs) of the line keys found in at least `min_docs` rows."""
-    return (document_hashes(docs, min_chars, text_col).groupBy("hash")
+def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text_col: str = "text",
+                   id_col: str = "doc_id") -> DataFrame:
+    """(hash, n_docs) of the line keys found in at least `min_docs` documents."""
+    held = document_hashes(docs, min_chars, text_col, keyed_by=id_col).where(F.col("key_id").isNotNull())
+    return (held.select("hash", "key_id").distinct().groupBy("hash")
             .agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= min_docs))
 
 
@@ -124,7 +127,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     """`docs` with the frequent lines dropped from the text, and `n_lines`
     (before) and `n_dropped`. A null text that loses nothing stays null."""
     spark = docs.sparkSession
-    often = staged(frequent_lines(docs, min_docs, min_chars, text_col), "frequent-lines")
+    often = staged(frequent_lines(docs, min_docs, min_chars, text_col, id_col), "frequent-lines")
     if often.count() <= broadcast_rows:
         rows = [bytes(r.hash) for r in often.select("hash").collect()]
         return _drop(docs, None, spark.sparkContext.broadcast(np.sort(np.array(rows, dtype="S16"))), min_chars, text_col)

@@ -50,6 +50,15 @@ def test_line_dedup(spark, broadcast_rows):
     assert line_dedup.drop_frequent_lines(docs(spark, []), broadcast_rows=broadcast_rows).collect() == []
 
 
+@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
+def test_line_dedup_counts_distinct_ids(spark, broadcast_rows):
+    rows = [(1, f"copied\nown {i}", None) for i in range(6)] + [(None, "copied\nno id", None)] * 6
+    rows += [(10 + i, f"common\nown {i}", None) for i in range(4)]
+    got = line_dedup.drop_frequent_lines(docs(spark, rows), min_docs=4, broadcast_rows=broadcast_rows).collect()
+    same([(r.doc_id, r.n_dropped, r.text) for r in got],
+         [(i, int(t.startswith("common")), t.removeprefix("common\n")) for i, t, _ in rows])
+
+
 # exact top-k
 
 def slow_top(rows, queries, k):
