@@ -22,13 +22,15 @@ def without(df: DataFrame, names) -> list[Column]:
     return [F.col(quoted(c)) for c in df.columns if c.lower() not in taken]
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, by: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back. Later steps
     start from these files, so a lost executor never recomputes what stands
     before them, and both sides of a later join are plain shuffles that
-    adaptive execution can split when a key is hot."""
+    adaptive execution can split when a key is hot. With `by`, files are laid
+    out by that column, and a filter on it reads only its own."""
     path = staging_dir(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    out = df.write.option("compression", "zstd")
+    (out.partitionBy(by) if by else out).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

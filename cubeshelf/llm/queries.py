@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cubeshelf.llm import (decontaminate, language_id, line_dedup, lm_score, packing, pii, simhash, topk, toxicity,
+from cubeshelf.llm import (collocations, decontaminate, language_id, line_dedup, lm_score, packing, pii, simhash, topk, toxicity,
                            url_filter)
 from cubeshelf.llm.common import held_out
 from cubeshelf.plans.testbed import table
@@ -86,6 +86,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
@@ -97,6 +101,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_decontaminate": op9_decontaminate,
     "op10_lm_score": op10_lm_score,
+    "op13_collocations": op13_collocations,
 }
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -156,4 +161,32 @@ items as (
 select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
        cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join words using (doc_id) left join items using (doc_id)""",
+    "op13_collocations": f"""
+with p as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents),
+w as (select lang, list_filter(string_split_regex(piece, '[\\x20\\x09]'), lambda x: x <> '') as w from p),
+totals as (select lang, cast(sum(len(w)) as hugeint) as n from w group by lang),
+f as (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, cast(count(*) as hugeint) as a
+  from (select lang, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from w, generate_series(1, 5) as s(k) where len(w) >= k)
+  group by all having count(*) >= 100),
+c as (select *, string_split(phrase, ' ') as pw from f where k >= 2),
+inner_part as (
+  select lang, phrase, max(a) as a from (
+    select lang, array_to_string(pw[1:k - 1], ' ') as phrase, a from c where k >= 3
+    union all select lang, array_to_string(pw[2:k], ' '), a from c where k >= 3) group by all),
+cand as (select c.* from c left join inner_part i on c.lang = i.lang and c.phrase = i.phrase where i.a is null or 100 * i.a < 100 * c.a),
+cut as (
+  select lang, phrase, a, j, array_to_string(pw[1:j], ' ') as lp, array_to_string(pw[j + 1:k], ' ') as rp
+  from (select *, unnest(generate_series(1, k - 1)) as j from cand)),
+s as (
+  select cut.lang, cut.phrase, cut.a, j, x.a as l, y.a as r, n, (1000 * cut.a * n) // (x.a * y.a) as score
+  from cut join f x on x.lang = cut.lang and x.phrase = lp join f y on y.lang = cut.lang and y.phrase = rp
+  join totals t on t.lang = cut.lang),
+best as (select * from s qualify row_number() over (partition by lang, phrase order by score, j) = 1)
+select lang, cast(row_number() over (partition by lang order by score desc, a desc, phrase) as bigint) as rank, phrase,
+       cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from best qualify rank <= 2000""",
 }
