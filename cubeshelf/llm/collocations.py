@@ -122,7 +122,9 @@ class _Scan:
             got = runs.mixed(h[at], self.hash[at + k - 1])
             yield k, at, got, first
             h, reached = np.zeros_like(h), np.zeros_like(reached)
-            h[at], reached[at] = got, self.since[got >> self.shift]
+            # A shared cell may be set before the phrase itself was counted.
+            own = self.since[got >> self.shift]
+            h[at], reached[at] = got, np.where(own > 0, np.maximum(own, first), 0)
 
     def phrase(self, at: int, k: int) -> bytes:
         return b" ".join(self.words[c - _FIRST] for c in self.codes[at:at + k])
@@ -196,7 +198,8 @@ def frequent(chunks: DataFrame, total: int, least: int = LEAST, longest: int = L
                  pa.array([cells.tobytes()], pa.binary())], ["cut", "old", "blob", "cells"])
         return run
 
-    while step < last + shards:
+    # Over shared cells a phrase may activate a longer one only when it is active itself: a step later for each length.
+    while step < last + shards + max(0, longest - 2):
         step += 1
         sent = broadcast()
         rows = chunks.where(F.col("shard") == (step - 1) % shards).select("lang", "blob").mapInArrow(scanned(sent, step), "cut long, old boolean, blob binary")
