@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cubeshelf.llm import (collocations, decontaminate, language_id, line_dedup, lm_score, packing, pii, simhash, topk, toxicity,
+from cubeshelf.llm import (alignment, collocations, decontaminate, language_id, line_dedup, lm_score, packing, pii, simhash, topk, toxicity,
                            url_filter)
 from cubeshelf.llm.common import held_out
 from cubeshelf.plans.testbed import table
@@ -17,6 +17,7 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
 
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -101,6 +106,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_decontaminate": op9_decontaminate,
     "op10_lm_score": op10_lm_score,
+    "op12_alignment": op12_alignment,
     "op13_collocations": op13_collocations,
 }
 
