@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cubeshelf.llm import (alignment, collocations, decontaminate, language_id, line_dedup, lm_score, packing, pii, simhash, topk, toxicity,
+from cubeshelf.llm import (alignment, collocations, decontaminate, jaccard, language_id, line_dedup, lm_score, packing, pii, simhash, topk, toxicity,
                            url_filter)
 from cubeshelf.llm.common import held_out
 from cubeshelf.plans.testbed import table
@@ -87,6 +87,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
 
@@ -106,6 +110,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_decontaminate": op9_decontaminate,
     "op10_lm_score": op10_lm_score,
+    "op11_ngram_jaccard": op11_ngram_jaccard,
     "op12_alignment": op12_alignment,
     "op13_collocations": op13_collocations,
 }
@@ -167,6 +172,21 @@ items as (
 select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
        cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join words using (doc_id) left join items using (doc_id)""",
+    "op11_ngram_jaccard": f"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+  from documents),
+s as (
+  select distinct doc_id, array_to_string(w[i:i + least(len(w), 4) - 1], ' ') as g
+  from (select doc_id, w, unnest(generate_series(1, len(w) - least(len(w), 4) + 1)) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+both_in as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+links as (select x, y from both_in join n p on p.doc_id = x join n q on q.doc_id = y where 100 * c >= 85 * (p.n + q.n - c)),
+reach(doc_id, low) as (
+  select doc_id, doc_id from documents
+  union select l.y, r.low from reach r join (select x, y from links union all select y, x from links) l on r.doc_id = l.x)
+select reach.doc_id, cast(coalesce(any_value(n.n), 0) as bigint) as n_shingles, min(low) as component_id
+from reach left join n using (doc_id) group by reach.doc_id""",
     "op13_collocations": f"""
 with p as (
   select coalesce(lang, 'und') as lang,

@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -55,7 +57,8 @@ def ranges(total: int, held: int, least: int = 6, most: int = 20) -> int:
 
 def packed_texts(src: DataFrame, chunk_bytes: int) -> DataFrame:
     """(chunk, blob): the rows of `src` (its column `text` is binary) in
-    chunks of about `chunk_bytes` of text; `unpack_texts` reads a blob."""
+    chunks of about `chunk_bytes` of text (16 more for each row);
+    `unpack_texts` reads a blob."""
     def run(batches):
         part, made, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
 
@@ -67,7 +70,7 @@ def packed_texts(src: DataFrame, chunk_bytes: int) -> DataFrame:
                                               ["chunk", "blob"])
 
         for b in batches:
-            size_of = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(b.column("text")), 0), dtype=np.int64))
+            size_of = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(b.column("text")), 0), dtype=np.int64) + 16)
             at = 0
             while at < b.num_rows:
                 before = size_of[at - 1] if at else 0
@@ -109,8 +112,6 @@ def met(rows: DataFrame, key: str, schema: str, answer: Callable[[int, list[tupl
 
 
 def hashed(words, seed: int) -> np.ndarray:
-    import xxhash
-
     digest = xxhash.xxh64_intdigest
     return np.fromiter((digest(w, seed) for w in words), np.uint64)
 
