@@ -1,6 +1,7 @@
 """Command line: `python -m cubeshelf <command> ...`
 
-    refresh  whole refresh: plan, archives, convert, publish, catalog, tables
+    refresh  whole refresh: plan, archives, convert, publish, catalog, tables;
+             --until ends after a step, --resume goes on with a run
     discover listing -> fresh catalog parquet
     plan     only the plan: which datasets are new or due (nothing is written
              to the warehouse; --out writes the work list)
@@ -24,13 +25,18 @@ def _limit_default():
 
 
 def _parser() -> argparse.ArgumentParser:
+    from .plans.refresh import STEPS
+
     p = argparse.ArgumentParser(prog="cubeshelf")
     p.add_argument("--master", default=None, help="Spark master (default: the environment's)")
     sub = p.add_subparsers(dest="command", required=True)
 
     r = sub.add_parser("refresh")
-    r.add_argument("--landing", required=True)
-    r.add_argument("--root", required=True)
+    r.add_argument("--landing", help="new run: listing.json and archives/")
+    r.add_argument("--root", help="new run: the warehouse")
+    r.add_argument("--resume", metavar="RUN", help="take up a run (its folder) at its first unfinished step, with its settings")
+    r.add_argument("--until", metavar="STEP", help="end after this step: " + ", ".join(STEPS))
+    r.add_argument("--worklist", help="ingest this work list (as `plan --out` writes it) instead of planning")
     r.add_argument("--db", default="warehouse")
     r.add_argument("--as-of", default=None)
     r.add_argument("--limit", type=int, default=_limit_default())
@@ -62,7 +68,8 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--root", required=True)
     q.add_argument("--db", default="warehouse")
     q.add_argument("--max-rows", type=int, default=1000)
-    q.add_argument("--no-sync", action="store_true", help="tables are already registered")
+    q.add_argument("--sync", action="store_true", help="register every dataset first (default: those that the SQL names)")
+    q.add_argument("--no-sync", action="store_true", help=argparse.SUPPRESS)  # what is the default now
     q.add_argument("sql")
 
     w = sub.add_parser("watch")
@@ -76,7 +83,8 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
     if spark is None:
         from pyspark.sql import SparkSession
         from .session import DEFAULT_CONF
@@ -92,13 +100,19 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from .sources import catalog_store, listing
 
     if args.command == "refresh":
-        out = R.run_refresh(spark, R.RefreshConfig(
+        if args.resume is None and (args.landing is None or args.root is None):
+            parser.error("refresh: --landing and --root, or --resume")
+        cfg = None if args.resume else R.RefreshConfig(
             landing=args.landing, root=args.root, db=args.db, as_of=args.as_of, limit=args.limit,
-            max_total_gb=args.max_total_gb, workers=args.workers, legacy=args.legacy,
+            max_total_gb=args.max_total_gb, workers=args.workers, legacy=args.legacy, worklist=args.worklist,
             strict_parity=args.strict_parity, quarantine=args.quarantine, timeout_s=args.timeout,
             skip_invisible_planned=args.skip_invisible_planned, keep_staging=args.keep_staging,
-            allow_empty_listing=args.allow_empty_listing, frequency_mapping=args.frequency_map))
-        out.pop("report")
+            allow_empty_listing=args.allow_empty_listing, frequency_mapping=args.frequency_map)
+        try:
+            out = R.run_refresh(spark, cfg, resume=args.resume, until=args.until)
+            out.pop("report")
+        except R.RunStopped as e:
+            out = {"run": e.run, "stopped_after": e.step}
         print(json.dumps(out, default=str))
     elif args.command == "discover":
         fresh = listing.read_listing(spark, args.listing)
@@ -115,14 +129,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         for row in work.orderBy("ordinal").limit(args.show).collect():
             print(json.dumps(row.asDict(), default=str))
     elif args.command == "query":
-        from .plans.sql import render, sql_strings
+        from .plans.sql import render, warehouse_sql
         root = args.root.rstrip("/")
-        if not args.no_sync:
-            # a session-local catalog starts empty: register what the warehouse holds
+        if args.sync:
             v = catalog_store.latest_version(spark, f"{root}/catalog")
             if v is not None:
                 R.sync_tables(spark, f"{root}/data", f"{root}/catalog/{v}", args.db)
-        print(json.dumps(render(sql_strings(spark, args.sql, db=args.db), args.max_rows)))
+        print(json.dumps(render(warehouse_sql(spark, args.sql, root, args.db), args.max_rows)))
     elif args.command == "watch":
         from .streaming.listing_watch import watch_listings
         root = args.root.rstrip("/")

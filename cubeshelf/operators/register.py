@@ -11,6 +11,16 @@ from ..functions.names import folder_slug, loose_folder_id, table_product_id, ta
 CATALOG_TABLE = "catalog"
 
 
+def literal(path: str) -> str:
+    """A path as it stands between quotes in a statement."""
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def columns_ddl(columns) -> str:
+    """Declared columns, all STRING; nothing for unknown ones."""
+    return " (" + ", ".join("`" + c.replace("`", "``") + "` STRING" for c in columns) + ")" if columns else ""
+
+
 def table_name_for(folder) -> F.Column:
     """The table a dataset folder is registered as: '-' becomes '_'. Names
     with other characters than the catalog takes have those replaced by '_'
@@ -109,21 +119,15 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
     """
     schemas = schemas or {}
 
-    def columns_ddl(pid) -> str:
-        """Declared columns (all STRING) of a dataset converted in this run:
-        the table is then created without listing its folder or reading
-        parquet footers. Other folders have their schema inferred."""
-        cols = schemas.get(pid)
-        if not cols:
-            return ""
-        return " (" + ", ".join("`" + c.replace("`", "``") + "` STRING" for c in cols) + ")"
+    def declared(pid) -> str:
+        """Columns of a dataset converted in this run: the table is then
+        created without listing its folder or reading parquet footers. Other
+        folders have their schema inferred."""
+        return columns_ddl(schemas.get(pid))
 
     from concurrent.futures import ThreadPoolExecutor
 
-    def literal(path: str) -> str:
-        return path.replace("\\", "\\\\").replace("'", "\\'")
-
-    where = f" LOCATION '{db_location}'" if db_location else ""
+    where = f" LOCATION '{literal(db_location)}'" if db_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{where}")
     kept = plan.where(F.col("action").isin("keep", "update")).select(F.col("table_name").alias("kept_table")).distinct()
     todo = (plan.where(F.col("action") != "keep").join(kept, F.col("table_name") == F.col("kept_table"), "left")
@@ -133,7 +137,7 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
     def one(r) -> None:
         if r.action in ("create", "relocated"):
             # a dataset folder holds `<id>.parquet/` part-file folders
-            spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{r.new_table}`{columns_ddl(r.product_id)} USING {fmt} "
+            spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{r.new_table}`{declared(r.product_id)} USING {fmt} "
                       f"OPTIONS (recursiveFileLookup 'true') LOCATION '{literal(r.path)}'")
             if r.action == "relocated" and r.kept_table is None:
                 spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET TBLPROPERTIES ('deprecated' = 'true')")
@@ -141,7 +145,7 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
             # external table: dropping the entry leaves the files; recreating it
             # picks up the schema of the re-published data
             spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{r.table_name}`")
-            spark.sql(f"CREATE TABLE `{db}`.`{r.table_name}`{columns_ddl(r.product_id)} USING {fmt} "
+            spark.sql(f"CREATE TABLE `{db}`.`{r.table_name}`{declared(r.product_id)} USING {fmt} "
                       f"OPTIONS (recursiveFileLookup 'true') LOCATION '{literal(r.path)}'")
         elif r.action == "deprecate":
             spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET TBLPROPERTIES ('deprecated' = 'true')")

@@ -3,18 +3,18 @@
     listing -> plan (new / due) -> archives -> CSV -> parquet -> publish
             -> catalog snapshot -> table registration
 
-Hand-offs between steps are DataFrames; the ones that are expensive or have
-side effects (archive facts, extracted members, conversion report) are
-written once to the run folder and read back, which also cuts the lineage,
-so a lost executor never re-runs an extraction or a conversion.
+Hand-offs between steps are tables in the run folder, written once and read
+back, which also cuts the lineage: a lost executor never re-runs an extraction
+or a conversion, and a run that died is taken up by another process at its
+first step without a mark (`journal.Journal`).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,8 @@ from ..operators import catalog as cat_ops
 from ..operators import convert, planning, publish, register
 from ..operators.ordering import first_per_key, within_budget
 from ..schemas import INGEST_REPORT, MANIFEST, STORED_CATALOG
-from ..sources import archives, catalog_store, fs, inventory, listing
+from ..sources import archives, catalog_store, fs, inventory, listing, schema_history
+from .journal import Journal, RunStopped
 
 
 @dataclass
@@ -39,6 +40,7 @@ class RefreshConfig:
     timeout_s: float | None = None    # per conversion job
     allow_empty_listing: bool = False  # let a listing without datasets empty the catalog
     workers: int = 4                  # datasets converted at the same time
+    worklist: str | None = None       # a planned work list (productId, reason) to take instead of planning
     legacy: bool = False              # no update planning: everything not yet landed
     skip_invisible: bool = True       # legacy mode drops hidden tables, as in the original workflow
     skip_invisible_planned: bool = False  # also drop them from the planned work list (off: parity)
@@ -95,7 +97,7 @@ def sync_tables(spark: SparkSession, data_root: str, catalog_path: str, db: str,
     catalog table at the newest snapshot. The database folder lives beside
     the data (`<root>/_db`), in the warehouse's own storage."""
     db_location = data_root.rstrip("/").rsplit("/", 1)[0] + "/_db"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{db_location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{register.literal(db_location)}'")
     folders = inventory.folder_inventory(spark, data_root)
     if catalog is not None:
         folders = register.current_folders(folders, catalog)
@@ -126,91 +128,184 @@ def check_listing(fresh: DataFrame, stored: DataFrame, allow_empty: bool = False
         raise ValueError("the listing has no datasets, but the catalog has; allow_empty_listing empties it")
 
 
-def run_refresh(spark: SparkSession, cfg: RefreshConfig) -> dict:
-    """One complete refresh. Returns the run summary and the report frame."""
-    as_of = _now(cfg.as_of)
-    root, landing = cfg.root.rstrip("/"), cfg.landing.rstrip("/")
-    data_root, catalog_dir = f"{root}/data", f"{root}/catalog"
-    run = f"{root}/runs/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-
-    # parsed once: planning, the work list and the catalog read the same rows, hours later as well
-    fresh = _materialize(listing.read_listing(spark, f"{landing}/listing.json"), f"{run}/catalog.parquet")
-    stored = catalog_store.read_catalog(spark, catalog_dir, STORED_CATALOG)
-    check_listing(fresh, stored, cfg.allow_empty_listing)
-
-    if cfg.legacy:
-        existing = inventory.existing_ids(inventory.folder_inventory(spark, data_root))
-        todo = choose_work(fresh, None, existing, cfg.limit, cfg.skip_invisible)
+# The steps of a run, in order. Each reads what the ones before it have written.
+STEPS = ("plan", "inspect", "extract", "convert", "publish_plan", "publish", "catalog", "register", "clean")
+
+
+def new_run(spark: SparkSession, cfg: RefreshConfig) -> Journal:
+    """A run folder with its settings; "now" is fixed here, for all its steps."""
+    name = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    journal = Journal(spark, f"{cfg.root.rstrip('/')}/runs/{name}")
+    journal.save_settings(replace(cfg, as_of=_now(cfg.as_of)))
+    return journal
+
+
+def run_refresh(spark: SparkSession, cfg: RefreshConfig | None = None, resume: str | None = None, until: str | None = None,
+                before_mark: Callable[[str], None] | None = None) -> dict:
+    """One complete refresh. Returns the run summary and the report frame.
+
+    `resume` takes up an earlier run at its first step without a mark, with
+    the settings of that run (`cfg` isn't needed). `until` ends after a step
+    with `RunStopped`, which names the run. `before_mark` is called when a
+    step's work is done and its mark isn't written yet (for tests: whatever it
+    raises is a run that died there)."""
+    if until is not None and until not in STEPS:
+        raise ValueError(f"until: one of {', '.join(STEPS)}")
+    journal = Journal(spark, resume) if resume else new_run(spark, cfg)
+    run = _Run(spark, RefreshConfig(**journal.settings()), journal)
+    for name in STEPS:
+        def work(name=name):
+            facts = getattr(run, name)()
+            if before_mark is not None:
+                before_mark(name)
+            return facts
+
+        journal.step(name, work)
+        if name == until:
+            raise RunStopped(journal.run, name)
+    return run.outcome()
+
+
+class _Run:
+    """The work of each step. Steps pass on written hand-offs, never objects."""
+
+    def __init__(self, spark: SparkSession, cfg: RefreshConfig, journal: Journal):
+        self.spark, self.cfg, self.journal, self.as_of = spark, cfg, journal, cfg.as_of
+        root = cfg.root.rstrip("/")
+        self.data_root, self.catalog_dir, self.landing = f"{root}/data", f"{root}/catalog", cfg.landing.rstrip("/")
+        self.schemas_dir = f"{root}/{schema_history.FOLDER}"
+
+    def _items(self) -> DataFrame:
+        return self.journal.read("items")
+
+    def _report(self) -> DataFrame:
+        return self.spark.read.schema(INGEST_REPORT).parquet(self.journal.path("report"))
+
+    def _published(self) -> DataFrame:
+        """Ids of the datasets that this run has published."""
+        ok = self.journal.read("published").where(F.col("status") == "published").select("file_path")
+        return read_manifest(self.spark, self.journal.run).join(ok, "file_path").select("productId")
+
+    def plan(self) -> dict:
+        spark, cfg, journal = self.spark, self.cfg, self.journal
+        # what an interrupted attempt has planned may be older than the stored catalog
+        journal.forget("catalog.parquet", "classified", "items")
+        # parsed once: planning, the work list and the catalog read the same rows, hours later as well
+        fresh = journal.table("catalog.parquet", lambda: listing.read_listing(spark, f"{self.landing}/listing.json"))
+        base = catalog_store.latest_commit(spark, self.catalog_dir)
+        stored = catalog_store.read_commit(spark, self.catalog_dir, base, STORED_CATALOG)
+        check_listing(fresh, stored, cfg.allow_empty_listing)
         summary = None
-    else:
-        work, summary_df = plan_run(fresh, stored, as_of, cfg.limit, cfg.frequency_mapping,
-                                    write_to=f"{run}/classified")
-        summary = summary_df.first().asDict()
-        todo = choose_work(fresh, work, None, skip_invisible_planned=cfg.skip_invisible_planned)
-
-    # a listing may name an id twice: its first row is the work item
-    todo = first_per_key(todo.where(F.col("productId").isNotNull()), "productId", ["ordinal"])
-    items = todo.select("productId", "title", "ordinal", "reason",
-                        folder_slug("productId", "title").alias("folder"),
-                        F.concat(F.lit(f"{landing}/archives/"), F.col("productId").cast("string"),
-                                 F.lit(".zip")).alias("archive_path"))
-    # one archive per task slot: inspection, extraction and copies use the whole cluster
-    facts = _materialize(archives.inspect_archives(items.repartition(spark.sparkContext.defaultParallelism)),
-                         f"{run}/archives")
-    checked = archives.plan_extraction(facts)
-    deferred = spark.createDataFrame([], "productId long, title string")
-    if cfg.max_total_gb is not None:
-        # only archives that can be converted use the budget up
-        sized = checked.withColumn("archive_mb", F.when(F.col("error").isNull(), mb(F.coalesce(F.col("length"), F.lit(0))))
-                                   .otherwise(F.lit(0.0)))
-        budgeted = _materialize(within_budget(sized, "archive_mb", "ordinal", cfg.max_total_gb * 1000.0), f"{run}/budget")
-        deferred = budgeted.where(~F.col("started")).select("productId", "title")
-        checked = budgeted.where("started").drop("archive_mb", "mb_before", "started")
-    extracted = _materialize(archives.extract_members(checked, f"{run}/extracted"), f"{run}/extracted_index")
-
-    # built on the driver from the job outcomes: no lineage to cut
-    report = convert.convert_batch(spark, extracted, f"{run}/data", workers=cfg.workers, size_bytes="csv_bytes",
-                                   quarantine=cfg.quarantine, timeout_s=cfg.timeout_s)
-    late = deferred.select(*[F.col(f.name) if f.name in deferred.columns
-                             else F.lit("deferred" if f.name == "status" else None).cast(f.dataType).alias(f.name)
-                             for f in INGEST_REPORT.fields])
-    report = _materialize(report.unionByName(late), f"{run}/report")
-    convert.manifest_of(report).write.option("header", "true").csv(f"{run}/manifest")
-    manifest = read_manifest(spark, run)
-
-    landed = fs.landed_files(spark, f"{run}/data") if fs.exists(spark, f"{run}/data") else \
-        spark.createDataFrame([], "rel_path string, rel_dir string, length long")
-    # written before any folder moves: a repeated task must not look for what has moved
-    pub_plan = _materialize(publish.publish_plan(manifest, landed, data_root + "/"), f"{run}/publish_plan")
-    published = _materialize(publish.execute_publish(pub_plan, f"{run}/data", move=not cfg.keep_staging),
-                             f"{run}/published")
-
-    if cfg.strict_parity:
-        stamped_ids = manifest.select("productId")
-    else:
-        ok = published.where(F.col("status") == "published").select("file_path")
-        stamped_ids = manifest.join(ok, "file_path").select("productId")
-    folder_ids = inventory.existing_ids(inventory.folder_inventory(spark, data_root))
-    catalog = refresh_catalog(fresh, stored, stamped_ids, folder_ids, as_of)
-    catalog_path = catalog_store.write_catalog(catalog, catalog_dir)
-
-    republished = manifest.join(published.where(F.col("status") == "published").select("file_path"),
-                                "file_path").select("productId")
-    # output columns of this run's datasets (one entry per dataset): tables are
-    # declared with them instead of inferring schemas from the files
-    schemas = {r.productId: json.loads(r.columns)
-               for r in report.where(F.col("status") == "ok").select("productId", "columns").collect()
-               if r.columns}
-    registered = sync_tables(spark, data_root, catalog_path, cfg.db, refreshed=republished, schemas=schemas, catalog=fresh)
-    counts = convert.ingest_summary(report.where(F.col("status") != "deferred")).first().asDict()
-    counts["n_deferred"] = deferred.count()
-    if not cfg.keep_staging:
-        # published and registered: the bulky copies of this run are no longer
-        # needed (work list, report, manifest and publish result stay for audit)
-        for leftover in ("extracted", "data", "data-groups"):
-            fs.delete(spark, f"{run}/{leftover}")
-    return {"run": run, "as_of": as_of, "plan": summary, "ingest": counts, "registered": registered,
-            "catalog_path": catalog_path, "report": report}
+        if cfg.worklist:
+            todo = choose_work(fresh, spark.read.parquet(cfg.worklist).select("productId", "reason"), None,
+                               skip_invisible_planned=cfg.skip_invisible_planned)
+        elif cfg.legacy:
+            existing = inventory.existing_ids(inventory.folder_inventory(spark, self.data_root))
+            todo = choose_work(fresh, None, existing, cfg.limit, cfg.skip_invisible)
+        else:
+            work, summary_df = plan_run(fresh, stored, self.as_of, cfg.limit, cfg.frequency_mapping,
+                                        write_to=journal.path("classified"))
+            summary = summary_df.first().asDict()
+            todo = choose_work(fresh, work, None, skip_invisible_planned=cfg.skip_invisible_planned)
+        # a listing may name an id twice: its first row is the work item
+        todo = first_per_key(todo.where(F.col("productId").isNotNull()), "productId", ["ordinal"])
+        journal.table("items", lambda: todo.select(
+            "productId", "title", "ordinal", "reason", folder_slug("productId", "title").alias("folder"),
+            F.concat(F.lit(f"{self.landing}/archives/"), F.col("productId").cast("string"), F.lit(".zip")).alias("archive_path")))
+        return {"base": base, "summary": summary}
+
+    def inspect(self) -> None:
+        # one archive per task slot: inspection, extraction and copies use the whole cluster
+        items = self._items().repartition(self.spark.sparkContext.defaultParallelism)
+        facts = self.journal.table("archives", lambda: archives.inspect_archives(items))
+        if self.cfg.max_total_gb is not None:
+            # only archives that can be converted use the budget up
+            sized = archives.plan_extraction(facts).withColumn(
+                "archive_mb", F.when(F.col("error").isNull(), mb(F.coalesce(F.col("length"), F.lit(0)))).otherwise(F.lit(0.0)))
+            self.journal.table("budget", lambda: within_budget(sized, "archive_mb", "ordinal", self.cfg.max_total_gb * 1000.0))
+
+    def _deferred(self) -> DataFrame:
+        if self.cfg.max_total_gb is None:
+            return self.spark.createDataFrame([], "productId long, title string")
+        return self.journal.read("budget").where(~F.col("started")).select("productId", "title")
+
+    def extract(self) -> None:
+        checked = archives.plan_extraction(self.journal.read("archives"))
+        if self.cfg.max_total_gb is not None:
+            checked = self.journal.read("budget").where("started").drop("archive_mb", "mb_before", "started")
+        self.journal.table("extracted_index", lambda: archives.extract_members(checked, self.journal.path("extracted")))
+
+    def convert(self) -> None:
+        cfg, journal = self.cfg, self.journal
+
+        def report():
+            journal.forget("data", "data-groups")
+            done = convert.convert_batch(self.spark, journal.read("extracted_index"), journal.path("data"), workers=cfg.workers,
+                                         size_bytes="csv_bytes", quarantine=cfg.quarantine, timeout_s=cfg.timeout_s)
+            deferred = self._deferred()
+            late = deferred.select(*[F.col(f.name) if f.name in deferred.columns
+                                     else F.lit("deferred" if f.name == "status" else None).cast(f.dataType).alias(f.name)
+                                     for f in INGEST_REPORT.fields])
+            return done.unionByName(late)
+
+        written = journal.table("report", report)
+        journal.table("manifest", lambda: convert.manifest_of(written), fmt="csv", header="true")
+
+    def publish_plan(self) -> None:
+        # written before any folder moves: a repeated task or step must not look for what has moved
+        data = self.journal.path("data")
+        landed = fs.landed_files(self.spark, data) if fs.exists(self.spark, data) else \
+            self.spark.createDataFrame([], "rel_path string, rel_dir string, length long")
+        manifest = read_manifest(self.spark, self.journal.run)
+        self.journal.table("publish_plan", lambda: publish.publish_plan(manifest, landed, self.data_root + "/"))
+
+    def publish(self) -> None:
+        plan = self.journal.read("publish_plan")
+        self.journal.table("published", lambda: publish.execute_publish(plan, self.journal.path("data"), move=not self.cfg.keep_staging))
+
+    def catalog(self) -> dict:
+        spark = self.spark
+        stamped = read_manifest(spark, self.journal.run).select("productId") if self.cfg.strict_parity else self._published()
+        fresh = self.journal.read("catalog.parquet")
+        # a step that died behind its commit finds it again: it is not committed twice
+        base = self.journal.facts("plan")["base"]
+        mine = catalog_store.commit_of(spark, self.catalog_dir, self.journal.run, since=base)
+        if mine is None:
+            folder_ids = inventory.existing_ids(inventory.folder_inventory(spark, self.data_root))
+
+            def build(stored: DataFrame, planned_on: DataFrame | None) -> DataFrame:
+                rows = fresh if planned_on is None else catalog_store.with_news(fresh, stored, planned_on)
+                return refresh_catalog(rows, stored, stamped, folder_ids, self.as_of)
+
+            mine = catalog_store.commit(spark, self.catalog_dir, build, STORED_CATALOG, base, note=self.journal.run)
+        return {"path": mine}
+
+    def register(self) -> dict:
+        spark = self.spark
+        # output columns of this run's datasets: tables are declared with them
+        # instead of inferring schemas from the files, also by later sessions
+        held = self._report().where(F.col("status") == "ok").join(self._published(), "productId", "left_semi")
+        schema_history.record(held, self._items(), self.schemas_dir, self.journal.run, self.as_of)
+        schemas = {r.productId: list(r.columns) for r in schema_history.of_run(spark, self.schemas_dir, self.journal.run).collect()}
+        path = self.journal.facts("catalog")["path"]
+        # another run may have committed since
+        newest = catalog_store.snapshot_path(spark, self.catalog_dir, catalog_store.latest_commit(spark, self.catalog_dir)) or path
+        return sync_tables(spark, self.data_root, newest, self.cfg.db, refreshed=self._published(), schemas=schemas,
+                           catalog=self.journal.read("catalog.parquet"))
+
+    def clean(self) -> dict:
+        counts = convert.ingest_summary(self._report().where(F.col("status") != "deferred")).first().asDict()
+        counts["n_deferred"] = self._deferred().count()
+        if not self.cfg.keep_staging:
+            # published and registered: the bulky copies of this run are no longer
+            # needed (work list, report, manifest and publish result stay for audit)
+            self.journal.forget("extracted", "data", "data-groups")
+        return counts
+
+    def outcome(self) -> dict:
+        facts = self.journal.facts
+        return {"run": self.journal.run, "as_of": self.as_of, "plan": facts("plan")["summary"], "ingest": facts("clean"),
+                "registered": facts("register"), "catalog_path": facts("catalog")["path"], "report": self._report()}
 
 
 def read_manifest(spark: SparkSession, run: str) -> DataFrame:

@@ -64,6 +64,14 @@ INGEST_REPORT = T.StructType([
     T.StructField("columns", T.StringType()),        # JSON list of output column names (all STRING)
 ])
 
+# The output columns (all STRING) of a dataset after a run; the run is the folder.
+SCHEMA_HISTORY = T.StructType([
+    T.StructField("productId", T.LongType()),
+    T.StructField("folder", T.StringType()),
+    T.StructField("as_of", T.TimestampType()),
+    T.StructField("columns", T.ArrayType(T.StringType())),
+])
+
 FOLDERS = T.StructType([
     T.StructField("folder", T.StringType()),
     T.StructField("ordinal", T.LongType()),

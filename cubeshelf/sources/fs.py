@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +93,51 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(f.getUri(), conf).rename(f.makeQualified(tmp), f.makeQualified(p), how)
 
 
+def create_new(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Put a small whole file at `path` unless there is one; False then.
+
+    Of several writers exactly one succeeds, where the file system refuses to
+    rename onto a file in one step (HDFS and its like) or to link to a name
+    that is taken (local disks)."""
+    f, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    f.mkdirs(p.getParent())
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(f.getUri(), conf)
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}.tmp")
+    if context.util().exists(f.makeQualified(p)):
+        return False
+    out = f.create(tmp, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    try:
+        if f.getUri().getScheme() == "file":
+            file = lambda x: jvm.java.io.File(f.makeQualified(x).toUri().getPath()).toPath()
+            jvm.java.nio.file.Files.createLink(file(p), file(tmp))
+        else:
+            how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            how[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            context.rename(f.makeQualified(tmp), f.makeQualified(p), how)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        if f.exists(tmp):
+            f.delete(tmp, False)
+    return True
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Immediate file names of `path`, in name order; [] if missing."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small text file in one step."""
     write_bytes(spark, path, text.encode("utf-8"))
