@@ -8,7 +8,6 @@ they are separate jobs; a small driver-side pool submits several at once
 from __future__ import annotations
 
 import json
-import math
 import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -21,6 +20,7 @@ from ..functions.nulls import map_null_symbols
 from ..schemas import INGEST_REPORT, MANIFEST, all_string
 from ..session import materialize
 from ..sources import fs
+from . import split_csv
 
 # The CSV dialect of the statistical tables.
 CSV_OPTIONS = {
@@ -114,23 +114,26 @@ def files_with_quoted_newlines(spark: SparkSession, paths: list[str]) -> set[str
     return {by_uri[r[0]] for r in found.select("_fp").distinct().collect()}
 
 
-def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: int | None = None,
-                multiline: bool | None = None, quarantine: bool = False,
-                split_threshold: int = TARGET_FILE_BYTES, rejects_dir: str | None = None) -> dict:
+def convert_csv(spark: SparkSession, csv_path: str, out_dir: str,
+                multiline: bool | None = None, quarantine: bool = False, rejects_dir: str | None = None,
+                range_bytes: int = split_csv.RANGE_BYTES) -> dict:
     """One dataset: header -> clean unique names -> all-string read ->
     missing-value symbols to null -> parquet folder (overwritten).
 
     `multiline=None` decides per file, by its content and not by its size:
     files without quoted newlines (`has_quoted_newlines`) are parsed line by
-    line, in parallel; in the others the multi-line reader parses the file in
-    one task and the rows are spread over ~128 MB output files before the
-    write. Lines of blanks alone are no rows."""
+    line; the others are cut at records (`split_csv`). Either way a large file
+    is read, parsed and written by many tasks, and lines of blanks alone are
+    no rows."""
     if multiline is None:
         multiline = has_quoted_newlines(spark, csv_path)
     original = read_header(spark, csv_path, True)
     positional = [f"c{i}" for i in range(len(original))]
     clean, renamed = unique_names(sanitize_names(original))
-    df = read_all_string(spark, csv_path, positional, multiline, quarantine)
+    if multiline:
+        df = split_csv.read_all_string(spark, csv_path, positional, CSV_OPTIONS, quarantine, range_bytes)
+    else:
+        df = read_all_string(spark, csv_path, positional, False, quarantine)
     rejects = 0
     if quarantine:
         # written once: counting and splitting must not parse the file again
@@ -140,11 +143,7 @@ def convert_csv(spark: SparkSession, csv_path: str, out_dir: str, size_bytes: in
         if rejects:
             bad.select("_corrupt_record").write.mode("overwrite").text(rejects_dir or out_dir.rstrip("/") + "_rejects")
         df = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    out = map_null_symbols(df.toDF(*clean))
-    n_files = max(1, math.ceil((size_bytes or 0) / TARGET_FILE_BYTES))
-    if multiline and n_files > 1:
-        out = out.repartition(n_files)
-    out.write.mode("overwrite").parquet(out_dir)
+    map_null_symbols(df.toDF(*clean)).write.mode("overwrite").parquet(out_dir)
     return {"columns": clean, "renamed": renamed, "rejects": rejects, "multiline": multiline}
 
 
@@ -300,8 +299,7 @@ def convert_batch(spark: SparkSession, items: DataFrame, data_root: str, workers
         rel = f"{r[folder]}/{r[key]}.parquet"
         try:
             info, expired = guarded(f"convert dataset {r[key]}",
-                                    lambda: convert_csv(spark, r[csv_path], f"{data_root}/{rel}", r[size_bytes],
-                                                        split_threshold=split_threshold, quarantine=quarantine,
+                                    lambda: convert_csv(spark, r[csv_path], f"{data_root}/{rel}", quarantine=quarantine,
                                                         rejects_dir=f"{data_root}-rejects/{rel}"))
             return timeout_row(r) if expired else ok_row(r, rel, info["renamed"], info["rejects"], info["columns"])
         except Exception as e:  # noqa: BLE001 - isolated per dataset

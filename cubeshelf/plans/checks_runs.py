@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as nm
+from ..operators import convert as conv
 from ..schemas import STORED_CATALOG
 from ..session import materialize, staging_dir
-from ..sources import catalog_store, inventory
+from ..sources import catalog_store, fs, inventory
 from . import landing_build
 from . import testbed as tb
 from .checks import _SLUG_SQL, _SYMBOLS_SQL, register
@@ -91,6 +92,22 @@ def _only(folders: DataFrame) -> str:
     return names[0]
 
 
+@register("csv_quoted_newlines", f"""
+select cast(doc_id as varchar) as Doc_Id, case when lang in ({_SYMBOLS_SQL}) then null else lang end as Lang,
+       case when text in ({_SYMBOLS_SQL}) then null else text end as Text, true as many_tasks
+from documents""")
+def q_csv_quoted_newlines(spark: SparkSession, d: str) -> DataFrame:
+    """Documents exported as CSV, their line breaks and quotes inside quoted
+    values, cut at records into stretches of about 64 KB and converted."""
+    stage = staging_dir(spark, "quoted-newlines")
+    docs = tb.table(spark, d, "documents").select(F.col("doc_id").alias("Doc Id"), F.col("lang").alias("Lang"), F.col("text").alias("Text"))
+    keep = {"quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    docs.write.options(header="true", **keep).csv(f"{stage}/csv")
+    info = conv.convert_csv(spark, f"{stage}/csv", f"{stage}/parquet", range_bytes=1 << 16)
+    tasks = len(fs.list_files(spark, f"{stage}/parquet")) - 1  # without _SUCCESS
+    return spark.read.parquet(f"{stage}/parquet").withColumn("many_tasks", F.lit(info["multiline"] and tasks > 1))
+
+
 _LATER = "2001-09-01 06:00:00"
 
 

@@ -109,7 +109,7 @@ def test_line_mode_chosen_only_when_safe(spark, tmp_path):
     assert not C.has_quoted_newlines(spark, plain) and C.has_quoted_newlines(spark, quoted)
     for path, expect_multi in ((plain, False), (quoted, True)):
         out = path + ".parquet"
-        info = C.convert_csv(spark, path, out, size_bytes=10_000, split_threshold=1_000)
+        info = C.convert_csv(spark, path, out, range_bytes=1_000)
         assert info["multiline"] is expect_multi
         rows = {r.a: r.b for r in spark.read.parquet(out).collect()}
         assert len(rows) == 2000

@@ -89,10 +89,10 @@ def test_lost_pointer_is_no_first_run(spark, tmp_path):
     ("a,b\n1,2\n   \n\n3,4\n", [("1", "2"), ("3", "4")]), ("a\n1\n  \n2\n", [("1",), ("2",)]),
     ("﻿a,a\n1,\"x\"\"y\"\n", [("1", 'x"y')]), ('a,b\n1,"two\nlines"\n', [("1", "two\nlines")]),
 ])
-def test_size_does_not_choose_the_parser(spark, tmp_path, text, rows):
+def test_readers_agree_on_rows(spark, tmp_path, text, rows):
     p = tmp_path / "f.csv"
     p.write_text(text, encoding="utf-8")
-    for i, kw in enumerate(({"size_bytes": 10}, {"size_bytes": 10, "split_threshold": 1}, {})):
+    for i, kw in enumerate(({}, {"multiline": True}, {"multiline": True, "range_bytes": 3}, {"range_bytes": 1})):
         convert.convert_csv(spark, str(p), str(tmp_path / f"o{i}"), **kw)
         got = [tuple(r) for r in spark.read.parquet(str(tmp_path / f"o{i}")).collect()]
         assert sorted(got) == sorted(rows), kw
