@@ -70,6 +70,21 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("page_id", "host", "path", "rule", "verdict")
 
 
+def url_alias_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in chains of five: each but the first names the one before as its
+    canonical url, in turn absolute, without scheme, or from the root."""
+    url = F.concat(F.regexp_extract("url", "^[^?#]*", 0), F.lit("?p="), F.col("page_id").cast("string"), F.lit("&x=1"))
+    pages = table(spark, sf_dir, "pages").select("page_id", url.alias("url"))
+    host, tail = F.regexp_extract("to", "^[^:]*://[^/?#]*", 0), F.regexp_extract("to", "^[^:]*://[^/?#]*(.*)$", 1)
+    here = F.regexp_extract("url", "^[^:]*://[^/?#]*", 0)
+    named = (F.when(host == here, F.concat(F.lit("/."), tail)).when(F.col("page_id") % 2 == 0, F.regexp_replace("to", "^[^:]*:", ""))
+             .otherwise(F.col("to")))
+    before = pages.select((F.col("page_id") + 1).alias("next"), F.col("url").alias("to")).where(F.col("next") % 5 != 0)
+    html = F.concat(F.lit('<html><link rel="canonical" href="'), F.regexp_replace(named, "&", "&amp;"), F.lit('"></html>'))
+    linked = pages.join(before, F.col("page_id") == F.col("next"), "left").select("page_id", "url", html.alias("html"))
+    return url_filter.judge(linked, URL_RULES).select("page_id", "rule", "verdict")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -107,6 +122,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
+    "url_alias_decisions": url_alias_decisions,
     "op8_packing": op8_packing,
     "op9_decontaminate": op9_decontaminate,
     "op10_lm_score": op10_lm_score,
@@ -154,6 +170,21 @@ fits as (
 best as (select page_id, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict from fits group by page_id)
 select q.page_id, q.host, q.path, best.rule, coalesce(best.verdict, 'allow') as verdict
 from q left join best using (page_id)""",
+    "url_alias_decisions": f"""
+with p as (
+  select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+q as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UP}', '{_LOW}') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from p),
+rules(verdict, rule_host, rule_path) as (values {", ".join(str(r) for r in URL_RULES)}),
+fits as (
+  select q.page_id, rule_host || rule_path as rule, verdict from q join rules
+  on (q.host = rule_host or ends_with(q.host, '.' || rule_host)) and starts_with(q.path, rule_path)),
+best as (select page_id, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict from fits group by page_id),
+voted as (select q.page_id, q.page_id // 5 as g, best.rule, best.verdict from q left join best using (page_id)),
+chain as (select g, bool_or(verdict = 'allow') as allowed, bool_or(verdict = 'block') as blocked from voted group by g)
+select page_id, rule, coalesce(verdict, case when allowed then 'allow' when blocked then 'block' else 'allow' end) as verdict
+from voted join chain using (g)""",
     "op9_decontaminate": f"""
 with w as (
   select item_id, regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),

@@ -3,7 +3,7 @@
 Grades of severity are ordered classes. One weight vector over sparse features
 is shared by all thresholds t_1 < t_2 < ...: P(grade >= k) = sigmoid(f(x) - t_k),
 and the expected severity is the sum of these. Features are the text's
-distinct words (A-Z lower-cased runs of letters) and their beginnings of 4 and
+distinct words (lower-cased runs of letters, of any script) and their beginnings of 4 and
 5 letters, each hashed to one of 2**20 places. An L1 penalty keeps the few
 places that matter, so a long text collects no noise.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cubeshelf.llm.common import quoted
 
-BITS, MAX_ROWS, L1, STEPS, CACHE_WORDS = 20, 8_000, 3e-4, 150, 300_000
+BITS, MAX_ROWS, L1, STEPS, CACHE_WORDS = 20, 8_000, 4e-4, 300, 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -137,7 +137,8 @@ def learn(docs: DataFrame, labels: DataFrame, grade: Column, max_rows: int = MAX
     lab = labels.select(F.col(quoted(id_col)).alias("lab_id"), grade.cast("int").alias("grade")).dropna()
     n = lab.count()
     if n > max_rows:
-        lab = lab.where(F.pmod(F.xxhash64("lab_id", F.lit(1)), F.lit(1 << 30)) < int((1 << 30) * max_rows / n))
+        # by id and row: an id with very many labels is thinned like the others
+        lab = lab.where(F.pmod(F.xxhash64("lab_id", F.monotonically_increasing_id()), F.lit(1 << 30)) < int((1 << 30) * max_rows / n))
     own = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"))
     both = own.join(lab, F.col("doc_id") == F.col("lab_id")).select("grade", "text")
 

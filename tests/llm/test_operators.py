@@ -193,7 +193,7 @@ def test_language_profiles(spark):
     assert [by[i][0] for i in (20, 21, 22, 23, 24, None)] == ["en", "de", "und", "und", "und", "en"]
     assert by[25][0] == "de" and all(ok for _, ok in by.values())  # no n-gram in common: the first by name
     kept = language_id.keep_identified(df, F.col("doc_id") < 20)
-    assert kept.columns == df.columns and kept.count() == len(got) - 3
+    assert kept.columns == df.columns and kept.count() == len(got) - 5  # no letter, or no n-gram that a language has
     nothing = language_id.identify(df, F.lit(False)).collect()
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
     assert language_id.identify(df.limit(0), F.lit(True)).collect() == []
