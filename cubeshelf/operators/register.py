@@ -3,12 +3,14 @@ DDL plan that keeps the database in step with the folders."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import folder_slug, loose_folder_id, table_product_id, target_path
 
-CATALOG_TABLE = "catalog"
+CATALOG_TABLE, GONE = "catalog", "gone_columns"
 
 
 def literal(path: str) -> str:
@@ -59,7 +61,7 @@ def register_plan(folders: DataFrame, tables: DataFrame, prefix: str, catalog_pa
     * create     - folder without a table
     * keep       - table named after the folder
     * update     - same, but the dataset was re-published in this run
-                   (`refreshed` ids): its schema may have changed
+                   (`refreshed` ids): its columns may have changed
     * relocated  - table exists for the id but under another folder's name
                    (the title, hence the slug, changed)
     * deprecate  - table whose folder is gone, or that another table of the
@@ -106,6 +108,32 @@ def register_plan(folders: DataFrame, tables: DataFrame, prefix: str, catalog_pa
     return plan.unionByName(catalog_row)
 
 
+def update_table(spark: SparkSession, name: str, path: str, columns: list[str] | None = None, fmt: str = "parquet") -> dict:
+    """Bring a table in step with its re-published folder, in place: at no
+    moment is there no table. New columns are added behind the others. Columns
+    that the data no longer has stay, read as null, and are named in the
+    property `gone_columns` (a vanished thing is flagged, never dropped).
+    `columns`: the data's, if known (all STRING); else they are inferred.
+    Returns {'added': [...], 'gone': [...]}."""
+    if columns is None:
+        found = spark.read.format(fmt).option("recursiveFileLookup", "true").load(path).schema
+        columns, types = found.names, {f.name: f.dataType.simpleString() for f in found}
+    else:
+        types = dict.fromkeys(columns, "STRING")
+    have = spark.table(name).columns
+    known, now = {c.lower() for c in have}, {c.lower() for c in columns}
+    added, gone = [c for c in columns if c.lower() not in known], [c for c in have if c.lower() not in now]
+    if added:
+        listed = ", ".join("`" + c.replace("`", "``") + "` " + types[c] for c in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({listed})")
+    if gone:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{GONE}' = '{literal(json.dumps(gone))}')")
+    else:
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{GONE}')")
+    spark.sql(f"REFRESH TABLE {name}")
+    return {"added": added, "gone": gone}
+
+
 def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str = "parquet",
                         workers: int = 8, db_location: str | None = None,
                         schemas: dict | None = None) -> dict:
@@ -142,11 +170,7 @@ def apply_register_plan(spark: SparkSession, plan: DataFrame, db: str, fmt: str
             if r.action == "relocated" and r.kept_table is None:
                 spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET TBLPROPERTIES ('deprecated' = 'true')")
         elif r.action == "update":
-            # external table: dropping the entry leaves the files; recreating it
-            # picks up the schema of the re-published data
-            spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{r.table_name}`")
-            spark.sql(f"CREATE TABLE `{db}`.`{r.table_name}`{declared(r.product_id)} USING {fmt} "
-                      f"OPTIONS (recursiveFileLookup 'true') LOCATION '{literal(r.path)}'")
+            update_table(spark, f"`{db}`.`{r.table_name}`", r.path, schemas.get(r.product_id), fmt)
         elif r.action == "deprecate":
             spark.sql(f"ALTER TABLE `{db}`.`{r.table_name}` SET TBLPROPERTIES ('deprecated' = 'true')")
         elif r.action == "refresh":

@@ -12,7 +12,7 @@ from ..functions import names as nm
 from ..operators import convert as conv
 from ..schemas import STORED_CATALOG
 from ..session import materialize, staging_dir
-from ..sources import catalog_store, fs, inventory
+from ..sources import catalog_store, fs, inventory, schema_history
 from . import landing_build
 from . import testbed as tb
 from .checks import _SLUG_SQL, _SYMBOLS_SQL, register
@@ -162,3 +162,20 @@ def q_lazy_tables(spark: SparkSession, d: str) -> DataFrame:
     got = materialize(warehouse_sql(spark, sql, root, fresh), "lazy-rows")
     spark.catalog.setCurrentDatabase("default")
     return got.withColumn("n_tables", F.lit(inventory.table_inventory(spark, fresh).count()).cast("long"))
+
+
+@register("schema_changes", f"""
+with n as (select distinct cast({landing_build.ID_BASE} + c_nationkey as bigint) as productId from customer)
+select productId, x.change, x."column", x.was from n, (values
+  ('renamed', 'Full_Name', 'Name'), ('gone', 'Nation_Key', null), ('moved', 'Segment', '3'), ('added', 'Key_2', null)) x(change, "column", was)""")
+def q_schema_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Every dataset delivered a month later with other columns: what has
+    changed, by the history that the two runs have written."""
+    stage = staging_dir(spark, "changed")
+    db, root = "ws_" + stage.rsplit("-", 1)[-1][:12], f"{stage}/wh"
+    later = {"Customer Key": "c_custkey", "Full Name": "c_name", "Segment": "c_mktsegment", "Key/2": "c_custkey"}
+    for month, columns in (("2001-09-01", None), ("2001-10-15", later)):
+        landing = f"{stage}/landing-{month}"
+        landing_build.build_landing(spark, d, landing, columns=columns)
+        run_refresh(spark, RefreshConfig(landing=landing, root=root, db=db, as_of=f"{month} 00:00:00"))
+    return schema_history.changes(schema_history.read(spark, f"{root}/{schema_history.FOLDER}")).select("productId", "change", "column", "was")

@@ -42,15 +42,18 @@ def customer_cubes(spark: SparkSession, sf_dir: str, title: Column) -> DataFrame
                     (F.col("n") * 4).alias("nbDatapointsCube")))
 
 
-def build_landing(spark: SparkSession, sf_dir: str, landing: str, n_tasks: int = 8, faults: bool = False) -> DataFrame:
+# Header -> column of `customer`, in order.
+COLUMNS = {"Customer Key": "c_custkey", "Name": "c_name", "Nation Key": "c_nationkey", "Segment": "c_mktsegment"}
+
+
+def build_landing(spark: SparkSession, sf_dir: str, landing: str, n_tasks: int = 8, faults: bool = False,
+                  columns: dict[str, str] | None = None) -> DataFrame:
     landing = landing.rstrip("/")
     from ..session import materialize, ship_package
     ship_package(spark)
     cust = tb.table(spark, sf_dir, "customer")
     csv_dir = f"{landing}/_csv"
-    (cust.select(F.col("c_nationkey").alias("ds"), F.col("c_custkey").alias("Customer Key"),
-                 F.col("c_name").alias("Name"), F.col("c_nationkey").alias("Nation Key"),
-                 F.col("c_mktsegment").alias("Segment"))
+    (cust.select(F.col("c_nationkey").alias("ds"), *[F.col(c).alias(h) for h, c in (columns or COLUMNS).items()])
      .write.partitionBy("ds").option("header", "true").option("escape", '"').csv(csv_dir))
 
     files = fs.landed_files(spark, csv_dir).where(F.col("rel_path").endswith(".csv"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cubeshelf.__main__ import main
-from cubeshelf.operators.register import table_name_for
+from cubeshelf.operators.register import table_name_for, update_table
 from cubeshelf.plans import landing_build
 from cubeshelf.plans.journal import Journal
 from cubeshelf.plans.refresh import STEPS, RefreshConfig, RunStopped, run_refresh
@@ -165,3 +165,22 @@ def test_only_named_tables_are_declared(spark, tmp_path):
     finally:
         spark.catalog.setCurrentDatabase("default")
         spark.sql("DROP DATABASE lazy_db CASCADE")
+
+
+def test_a_table_is_updated_in_place(spark, tmp_path):
+    path, name = str(tmp_path / "1-t"), "inplace_db.`1_t`"
+    spark.sql("CREATE DATABASE IF NOT EXISTS inplace_db")
+    spark.createDataFrame([("x", "y")], "a string, b string").write.parquet(f"{path}/1.parquet")
+    spark.sql(f"CREATE TABLE {name} (`a` STRING, `b` STRING) USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'")
+    property_of = lambda: {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}.get("gone_columns")
+    steps = [("a string, `b c` string", {"added": ["b c"], "gone": ["b"]}, ["a", "b", "b c"], [("x", None, "y")], '["b"]'),
+             ("b string, `b c` string", {"added": [], "gone": ["a"]}, ["a", "b", "b c"], [(None, "x", "y")], '["a"]'),
+             ("a string, b string, `b c` string", {"added": [], "gone": []}, ["a", "b", "b c"], [("x", "y", "z")], None)]
+    for known in (False, True):
+        for schema, changed, columns, rows, gone in steps:
+            spark.createDataFrame([("x", "y", "z")[:schema.count("string")]], schema).write.mode("overwrite").parquet(f"{path}/1.parquet")
+            now = spark.read.parquet(f"{path}/1.parquet").columns
+            got = update_table(spark, name, path, now if known else None)
+            assert got == (changed if not known else {**changed, "added": []})
+            assert spark.table(name).columns == columns and [tuple(r) for r in spark.table(name).collect()] == rows and property_of() == gone
+    spark.sql("DROP DATABASE inplace_db CASCADE")

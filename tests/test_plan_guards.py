@@ -7,7 +7,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 # these run side effects (files, streams) while being built; covered elsewhere
 SIDE_EFFECTS = {"csv_to_strings", "csv_quoted_newlines", "archive_expand", "warehouse_refresh", "incremental_plan", "manifest_files",
-                "registered_tables", "resumed_refresh", "concurrent_refreshes", "lazy_tables"}
+                "registered_tables", "schema_changes", "resumed_refresh", "concurrent_refreshes", "lazy_tables"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
 
 
