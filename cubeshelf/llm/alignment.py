@@ -5,10 +5,9 @@ sentence-piece BPE (B, which adds it itself). Byte offsets where tokens of both
 into groups; the A and the B token that end there are linked. How many links
 of the corpus hold an id pair is counted externally:
 
-1. Encoding. Both tokenizers part a text where a space follows a character
-   that isn't white space (no token of either crosses such a place; for B
-   this is checked against its pieces), so the parts between are encoded once
-   and remembered (`REMEMBERED` at most, then anew).
+1. Encoding. Every text is encoded whole by both tokenizers. (A's merges are
+   looked up as ranks where that gives the same ids; texts with a word or a run
+   of blanks over 500 characters go through the tokenizer itself.)
 2. Runs. A task gathers pair-document records up to `chunk_links` links, sorts
    them by pair, B id first, and writes for each of `radixes` remainders of
    the B id one compressed run: the chunk's pairs and their links. The chunk's
@@ -29,12 +28,13 @@ empty table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-import re
 from heapq import merge
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,20 +43,39 @@ from tokenizers import Tokenizer
 
 from cubeshelf.llm import runs
 from cubeshelf.llm.common import quoted, staged
+from cubeshelf.llm.packing import _byte_letters
 
-CHUNK_LINKS, RADIXES, REMEMBERED = 3 << 20, 256, 150_000
+CHUNK_LINKS, RADIXES = 4 << 20, 256
 
-_BETWEEN = re.compile(r"(?<=\S)(?= .)", re.DOTALL)  # a last space alone would be nothing to B
+# Where a byte-level tokenizer of this kind cuts a text.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _MARK = "▁"
 
 
+def _by_rank(spec: dict) -> tiktoken.Encoding | None:
+    """The same merges as a rank table, which encodes faster; None unless a
+    token's id tells when it is merged and texts are cut by the usual pattern."""
+    vocab, merges = spec["model"]["vocab"], [m if isinstance(m, list) else m.split(" ") for m in spec["model"].get("merges", [])]
+    cut = spec.get("pre_tokenizer") or {}
+    if spec.get("normalizer") or cut.get("type") != "ByteLevel" or not cut.get("use_regex", True) or cut.get("add_prefix_space"):
+        return None
+    order = [vocab["".join(m)] for m in merges]
+    if order != sorted(set(order)) or min(order, default=256) < 256 or len(vocab) - len(order) not in (256, 257):
+        return None
+    byte_of = {c: bytes([i]) for i, c in enumerate(_byte_letters())}
+    single = {byte_of[t]: i for t, i in vocab.items() if t in byte_of}
+    ranks = single | {b"".join(byte_of[c] for c in "".join(m)): i for m, i in zip(merges, order)}
+    return tiktoken.Encoding("merges", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Aligner:
-    """Both tokenizers, and the alignment of the parts met before."""
+    """Both tokenizers, and what they say about texts."""
 
     def __init__(self, byte_bpe: bytes, pieces: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = Tokenizer.from_str(byte_bpe.decode())
         self.a.encode_special_tokens = True
+        self.fast = _by_rank(json.loads(byte_bpe))
         self.b = SentencePieceProcessor(model_proto=pieces)
         vocab = self.a.get_vocab(with_added_tokens=True)
         self.a_size = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -64,72 +83,73 @@ class Aligner:
             self.a_size[i] = len(token)  # one character for each byte
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
-        crossing = re.compile(f"[^{_MARK}]{_MARK}")
-        self.parts = not any(crossing.search(self.b.id_to_piece(i)) for i in range(len(self.b_bytes)) if not self.b.is_byte(i))
-        self.known: dict[str, tuple | None] = {}
-
-    def _align(self, part: str, a: list[int], b: list[int]) -> tuple | None:
-        """(A tokens, B tokens, links, groups as text, pairs as bytes) of a space and `part`; None if bytes differ."""
-        raw = (" " + part).encode()
-        size_a = [int(self.a_size[i]) for i in a]
-        if b"".join(self.b_bytes[i] for i in b) != raw or sum(size_a) != len(raw):
+        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        # An id as it stands in the groups' text: inside a group, then at its end.
+        self.a_text = np.array([f"{i}," for i in range(len(self.a_size))] + [f"{i}|" for i in range(len(self.a_size))], object)
+        self.b_text = np.array([f"{i}," for i in range(len(self.b_size))] + [f"{i};" for i in range(len(self.b_size))], object)
+
+    def _a_ids(self, text: str) -> list[int]:
+        words = text.split()
+        # Ranks take a time that grows with the square of one word or run of blanks.
+        if self.fast is None or max(map(len, words), default=0) > 500 or len(text) - sum(map(len, words)) - len(words) > 500:
+            return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return self.fast.encode_ordinary(text)
+
+    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+        """Both ids of a text; None where it has no tokens."""
+        if not text:
+            return None
+        raw = (" " + text).encode()
+        b = self.b.encode(text)
+        if b"".join(map(self.b_bytes.__getitem__, b)) != raw:
             return None
-        groups, pairs = [], []
-        i = j = at_a = at_b = start_a = start_b = 0
-        while i < len(a) and j < len(b):
-            if at_a + size_a[i] <= at_b + len(self.b_bytes[b[j]]):
-                at_a += size_a[i]
-                i += 1
-                if at_a != at_b + len(self.b_bytes[b[j]]):
-                    continue
-            at_b += len(self.b_bytes[b[j]])
-            j += 1
-            if at_a == at_b:
-                groups.append(",".join(map(str, a[start_a:i])) + "|" + ",".join(map(str, b[start_b:j])))
-                pairs.append(b[j - 1] << 32 | a[i - 1])
-                start_a, start_b = i, j
-        return len(a), len(b), len(pairs), ";".join(groups), np.array(pairs, "<u8").tobytes()
-
-    def learn(self, parts: list[str]) -> dict[str, tuple | None]:
-        tokens_a = [e.ids for e in self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
-        tokens_b = self.b.encode(parts, num_threads=1)
-        return {p: self._align(p, x, y) for p, x, y in zip(parts, tokens_a, tokens_b)}
-
-    def texts(self, texts: list[str | None]):
-        """For each text the list of its parts' alignments; None where it has no tokens."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, cut, new = self.known, [], set()
-        for t in texts:
-            parts = t.split(" ") if t and self.parts else [t] if t else []
-            if any(p not in known for p in parts):
-                # A part that is remembered ends with a character that isn't white space, as cuts here do.
-                parts = [p[1:] for p in _BETWEEN.split(" " + t)] if self.parts else parts
-                new.update(p for p in parts if p not in known)
-            cut.append(parts)
-        mine = self.learn(list(new)) if new else {}
-        found = _Both(known, mine)
-        for parts in cut:
-            got = [found[p] for p in parts]
-            yield got if got and None not in got else None
-        known.update((p, x) for p, x in mine.items() if p and p[-1:].strip() and len(p) < 100)
-
-
-class _Both(dict):
-    def __init__(self, known, mine):
-        super().__init__(mine)
-        self.other = known
-
-    def __missing__(self, key):
-        return self.other[key]
+        a = np.array(self._a_ids(" " + text), np.int64)
+        return (a, np.array(b, np.int64)) if self.a_size[a].sum() == len(raw) else None
+
+    def align(self, texts: list[str | None]) -> list[tuple[int, int, str, np.ndarray]]:
+        """(A tokens, B tokens, digest of the groups, linked pairs) of each text."""
+        found = [self.tokens(t) for t in texts]
+        kept = [x for x in found if x is not None]
+        if not kept:
+            return [_NOTHING] * len(texts)
+        a, b = (np.concatenate(x) for x in zip(*kept))
+        upto_a, upto_b = (np.cumsum([len(x[i]) for x in kept]) for i in (0, 1))
+        end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        at = np.zeros(end_a[-1] + 1, bool)
+        at[end_b] = True
+        last_a = at[end_a]
+        at[:] = False
+        at[end_a] = True
+        last_b = at[end_b]
+        at_a, at_b = np.flatnonzero(last_a), np.flatnonzero(last_b)  # the linked tokens, group by group
+        codes = b[at_b].astype(np.uint64) << np.uint64(32) | a[at_a].astype(np.uint64)
+        # Each group's A ids, then its B ids.
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        words = np.empty(len(a) + len(b), object)
+        words[np.arange(len(a)) + np.concatenate([[0], at_b + 1])[group_a]] = self.a_text[a + last_a * len(self.a_size)]
+        words[np.arange(len(b)) + at_a[group_b] + 1] = self.b_text[b + last_b * len(self.b_size)]
+        upto = np.searchsorted(at_b, upto_b)
+        out, k, start_a, start_b, start = [], 0, 0, 0, 0
+        for x in found:
+            if x is None:
+                out.append(_NOTHING)
+                continue
+            text = "".join(words[start_a + start_b:upto_a[k] + upto_b[k]].tolist())[:-1]
+            out.append((int(upto_a[k] - start_a), int(upto_b[k] - start_b), hashlib.sha256(text.encode()).hexdigest(), codes[start:upto[k]]))
+            start_a, start_b, start = upto_a[k], upto_b[k], upto[k]
+            k += 1
+        return out
+
+
+_NOTHING = (0, 0, "", np.empty(0, np.uint64))
 
 
 _DOC = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 
 
-def _chunk(number: int, ids, id_type, stats: list[tuple], pairs: list[bytes], radixes: int):
+def _chunk(number: int, ids, id_type, stats: list[tuple], pairs: list[np.ndarray], radixes: int):
     """Rows (chunk, radix, blob, docs): the chunk's runs, and under radix -1 its pairs and documents."""
-    codes = np.frombuffer(b"".join(pairs), "<u8")
+    codes = np.concatenate(pairs)
     found, at, n = np.unique(codes, return_inverse=True, return_counts=True)
     sink = pa.BufferOutputStream()
     columns = [pa.array(ids, id_type), *(pa.array(c, pa.int64()) for c in list(zip(*stats))[:4]), pa.array([s[4] for s in stats], pa.string())]
@@ -159,16 +179,11 @@ def _runs(docs: DataFrame, files, chunk_links: int, radixes: int) -> DataFrame:
             id_type = b.schema.field(0).type
             id_list, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lo in range(0, len(texts), 64):
-                for i, got in zip(id_list[lo:lo + 64], aligner.texts(texts[lo:lo + 64])):
+                for i, (n_a, n_b, digest, codes) in zip(id_list[lo:lo + 64], aligner.align(texts[lo:lo + 64])):
                     ids.append(i)
-                    if got is None:
-                        stats.append((0, 0, 0, 0, ""))
-                    else:
-                        a, b_, n, groups, code = zip(*got)
-                        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-                        stats.append((sum(a), sum(b_), sum(n), sum(n), digest))
-                        pairs.append(b"".join(code))
-                        links += stats[-1][3]
+                    stats.append((n_a, n_b, len(codes), len(codes), digest))
+                    pairs.append(codes)
+                    links += len(codes)
                     if links >= chunk_links:
                         yield _chunk(part + made, ids, id_type, stats, pairs, radixes)
                         ids, stats, pairs, links, made = [], [], [], 0, made + 1

@@ -50,8 +50,9 @@ def cuts(keys: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
     return top[at].astype(np.int64), np.append(at, len(keys))
 
 
-def ranges(total: int, held: int, least: int = 6, most: int = 20) -> int:
-    """Bits for the number of ranges that keeps about `held` entries of `total` in each."""
+def ranges(total: int, held: int, least: int = 6, most: int = 12) -> int:
+    """Bits for the number of ranges that keeps about `held` entries of
+    `total` in each. `most` keeps a run's share of a range from getting tiny."""
     return min(most, max(least, (max(1, total) // held).bit_length()))
 
 

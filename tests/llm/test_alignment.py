@@ -74,8 +74,7 @@ def test_alignment(spark, whole, chunk_links, radixes):
     assert alignment.align(df.limit(0), *FILES).collect() == []
 
 
-def test_long_text_and_random_strings(spark, whole, monkeypatch):
-    monkeypatch.setattr(alignment, "REMEMBERED", 50)
+def test_long_text_and_random_strings(spark, whole):
     pick = random.Random(3)
     letters = ["a", "the", " ", "  ", "\n", "\t", "é", "ß", "'s", "1", "23", ".", "▁", "日", "\xa0", "\x1c", " ", "<s>", "T", "ing", "😀", "-", "\x00"]
     rows = [(i, "".join(pick.choices(letters, weights=[9, 9, 20] + [1] * (len(letters) - 3), k=pick.randrange(1, 40)))) for i in range(1500)]
@@ -84,5 +83,13 @@ def test_long_text_and_random_strings(spark, whole, monkeypatch):
     assert rows_of(got) == sorted(map(repr, slow(rows, whole)))
 
 
-def test_parts_are_cut_where_no_piece_crosses():
-    assert alignment.Aligner(*(open(f, "rb").read() for f in FILES)).parts
+def test_ranks_give_the_ids_of_the_tokenizer(whole):
+    aligner = alignment.Aligner(*(open(f, "rb").read() for f in FILES))
+    assert aligner.fast is not None
+    pick = random.Random(4)
+    letters = list("aeinrst  '\n.,1") + ["the", "'ll", " \t", "é", "日", "\x1c", "\x85", "\u2028", "\u0301", "ß", "😀", "²", "\u200b", "<|endoftext|>"]
+    texts = ["".join(pick.choices(letters, k=pick.randrange(1, 60))) for _ in range(20_000)] + HARD
+    same = [e.ids for e in aligner.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert [aligner._a_ids(" " + t) for t in texts] == same
+    long = "x" * 150_000 + " " * 150_000 + "y"
+    assert aligner._a_ids(long) == aligner.a.encode(long, add_special_tokens=False).ids
