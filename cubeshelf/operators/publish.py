@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, ship_package
+from ..sources import fs
+
 # Manifest check outcomes, tested in this order.
 MSG_NOT_FOUND = "No new datasets to upload (ingested.csv not found)"
 MSG_NO_DATA = "No new datasets to upload (manifest has no data)"
@@ -34,66 +37,121 @@ def publish_plan(manifest: DataFrame, landed: DataFrame, prefix: str, file_col:
 
 
 def execute_publish(plan: DataFrame, src_root: str, n_tasks: int | None = None, move: bool = False) -> DataFrame:
-    """Copy every `publish` row from `src_root/file_path` to `target` on the
-    executors (paths travel, never file contents). Returns
+    """Bring every `publish` row from `src_root/file_path` to its `target`, on
+    the executors (paths travel, never file contents). Returns
     (file_path, target, status, bytes).
 
-    With `move`, a dataset folder on the target's file system is renamed
-    instead, so no byte is copied; a task that runs again finds its dataset
-    published. The old dataset is put aside first and deleted last."""
-    src_root = src_root.rstrip("/")
-    from ..session import ship_package
-    ship_package(plan.sparkSession)
+    With `move`, where both are in one file system, a dataset folder is
+    renamed, so no byte is copied. Else its files are copied beside the data
+    root, each by a task of its own, and the folder is put in place when all
+    are there: a dataset of many files is copied by all cores, and one that
+    can't be copied leaves the old one whole. Either way the old dataset is
+    put aside first and deleted last, and a task that runs again finds its
+    dataset published."""
+    spark, src_root = plan.sparkSession, src_root.rstrip("/")
+    ship_package(spark)
+    todo = plan.where(F.col("action") == "publish").select("file_path", "target")
+    n_tasks = n_tasks or spark.sparkContext.defaultParallelism
+    first = todo.select("target").first() if move else None
+    if move and (first is None or fs.same_store(spark, src_root, first.target)):
+        ready = todo.select("file_path", "target", F.concat(F.lit(src_root + "/"), "file_path").alias("source"), F.lit(None).cast("string").alias("error"))
+    else:
+        ready = _copied(todo, src_root)
 
-    def copy(batches):
-        import uuid
+    def place(batches):
         import pandas as pd
-        from pyarrow import fs as pafs
-        from cubeshelf.sources.paths import open_fs
+
+        from cubeshelf.operators.publish import put_in_place
         for pdf in batches:
             out = []
-            for fp, target in zip(pdf["file_path"], pdf["target"]):
+            for fp, target, source, error in zip(pdf["file_path"], pdf["target"], pdf["source"], pdf["error"]):
                 try:
-                    src_fs, src = open_fs(f"{src_root}/{fp}")
-                    dst_fs, dst = open_fs(target)
-                    info = src_fs.get_file_info(src)
-                    renamed = move and src_fs.equals(dst_fs)
-                    if renamed and info.type == pafs.FileType.NotFound:  # moved by an earlier run of this task
-                        src, info = dst, dst_fs.get_file_info(dst)
-                    if info.type == pafs.FileType.Directory:
-                        sel = pafs.FileSelector(src, recursive=True)
-                        files = [i for i in src_fs.get_file_info(sel) if i.type == pafs.FileType.File]
-                        nbytes = sum(i.size for i in files)
-                        # copy outside the data root, then swap it in: readers never
-                        # see a half-copied dataset, and a task lost mid-copy leaves
-                        # nothing inside a folder that a table scans
-                        prefix = dst[: len(dst) - len(fp)] if dst.endswith(fp) else dst.rsplit("/", 1)[0] + "/"
-                        tmp = f"{prefix.rstrip('/')}-publishing/{uuid.uuid4().hex}"
-                        if src != dst:
-                            dst_fs.create_dir(tmp.rsplit("/", 1)[0], recursive=True)
-                            if not renamed:
-                                dst_fs.create_dir(tmp)
-                                pafs.copy_files(src, tmp, source_filesystem=src_fs, destination_filesystem=dst_fs)
-                            had_old = dst_fs.get_file_info(dst).type == pafs.FileType.Directory
-                            if had_old:
-                                dst_fs.move(dst, f"{tmp}-old")
-                            dst_fs.create_dir(dst.rstrip("/").rsplit("/", 1)[0], recursive=True)
-                            dst_fs.move(src if renamed else tmp, dst)
-                            if had_old:
-                                dst_fs.delete_dir(f"{tmp}-old")
-                    else:
-                        dst_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
-                        pafs.copy_files(src, dst, source_filesystem=src_fs, destination_filesystem=dst_fs)
-                        nbytes = info.size
-                    out.append((fp, target, "published", int(nbytes)))
-                except Exception as e:  # noqa: BLE001 - reported per file
-                    out.append((fp, target, f"failed: {type(e).__name__}", 0))
+                    if error is not None:
+                        raise OSError(error)
+                    out.append((fp, target, "published", put_in_place(source, target, fp)))
+                except Exception as e:  # noqa: BLE001 - reported per dataset
+                    out.append((fp, target, f"failed: {error or type(e).__name__}", 0))
             yield pd.DataFrame(out, columns=["file_path", "target", "status", "bytes"])
 
-    n_tasks = n_tasks or plan.sparkSession.sparkContext.defaultParallelism
-    todo = plan.where(F.col("action") == "publish").select("file_path", "target").repartition(n_tasks)
-    return todo.mapInPandas(copy, "file_path string, target string, status string, bytes long")
+    return ready.repartition(n_tasks).mapInPandas(place, "file_path string, target string, status string, bytes long")
+
+
+def _beside(target: str, file_path: str) -> str:
+    """The folder for what is on its way to `target`: outside the data root, in its file system."""
+    prefix = target[: len(target) - len(file_path)] if target.endswith(file_path) else target.rsplit("/", 1)[0] + "/"
+    return f"{prefix.rstrip('/')}-publishing"
+
+
+def put_in_place(source: str, target: str, file_path: str) -> int:
+    """Rename `source` to `target`, whose old content is put aside and then
+    deleted; bytes of the dataset. Done already when there is no source."""
+    import uuid
+
+    from pyarrow import fs as pafs
+
+    from ..sources.paths import open_fs
+    store, src = open_fs(source)
+    _, dst = open_fs(target)
+    done = store.get_file_info(src).type == pafs.FileType.NotFound
+    info = store.get_file_info(dst if done else src)
+    if info.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(source)
+    files = [info] if info.type == pafs.FileType.File else \
+        [i for i in store.get_file_info(pafs.FileSelector(info.path, recursive=True)) if i.type == pafs.FileType.File]
+    if not done:
+        store.create_dir(dst.rstrip("/").rsplit("/", 1)[0], recursive=True)
+        old = None
+        if store.get_file_info(dst).type != pafs.FileType.NotFound:
+            aside = open_fs(_beside(target, file_path))[1]
+            store.create_dir(aside, recursive=True)
+            old = f"{aside}/{uuid.uuid4().hex}-old"
+            store.move(dst, old)
+        store.move(src, dst)
+        if old:
+            (store.delete_dir if store.get_file_info(old).type == pafs.FileType.Directory else store.delete_file)(old)
+    return int(sum(i.size for i in files))
+
+
+def _copied(todo: DataFrame, src_root: str) -> DataFrame:
+    """(file_path, target, source, error): every dataset copied file by file to
+    a folder beside the data root; `error` if a file could not be."""
+    import uuid
+
+    landed = fs.landed_files(todo.sparkSession, src_root)
+    own = landed.select(F.col("rel_dir").alias("own"), "rel_path").union(landed.select(F.col("rel_path").alias("own"), "rel_path"))
+    files = todo.join(own, F.col("file_path") == F.col("own"), "left").select("file_path", "target", "rel_path")
+    mark = uuid.uuid4().hex
 
+    def copy(batches):
+        import uuid
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        from cubeshelf.operators.publish import _beside
+        from cubeshelf.sources.paths import open_fs
+        for pdf in batches:
+            out = []
+            for fp, target, rel in zip(pdf["file_path"], pdf["target"], pdf["rel_path"]):
+                base, error = f"{_beside(target, fp)}/{mark}/{fp}", None
+                try:
+                    if rel is None:
+                        raise FileNotFoundError(fp)
+                    src_fs, src = open_fs(f"{src_root}/{rel}")
+                    dst_fs, dst = open_fs(base + rel[len(fp):])
+                    dst_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
+                    tmp = f"{dst.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.tmp"  # a repeated task writes its own file; the last rename wins
+                    pafs.copy_files(src, tmp, source_filesystem=src_fs, destination_filesystem=dst_fs)
+                    dst_fs.move(tmp, dst)
+                except Exception as e:  # noqa: BLE001 - reported per dataset
+                    error = type(e).__name__
+                out.append((fp, target, base, error))
+            yield pd.DataFrame(out, columns=["file_path", "target", "source", "error"])
+
+    schema = "file_path string, target string, source string, error string"
+    n = max(1, min(files.count(), 64 * todo.sparkSession.sparkContext.defaultParallelism))
+    done = materialize(files.repartition(n).mapInPandas(copy, schema), "publish-copies")
+    return done.groupBy("file_path", "target", "source").agg(F.max("error").alias("error"))
 
 
 def manifest_status(spark, path: str):
@@ -102,7 +160,6 @@ def manifest_status(spark, path: str):
     A missing file, a zero-byte file (no header even) and a header-only file
     give the three messages, in that order of checks."""
     from ..schemas import MANIFEST
-    from ..sources import fs
     if not fs.exists(spark, path):
         df = spark.createDataFrame([], MANIFEST)
         exists, err = False, None

@@ -20,6 +20,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def same_store(spark: SparkSession, a: str, b: str) -> bool:
+    """Whether two paths are in one file system."""
+    return _fs(spark, a)[0].getUri().equals(_fs(spark, b)[0].getUri())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))

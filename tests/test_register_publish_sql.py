@@ -191,3 +191,24 @@ def test_publish_by_rename_can_run_again(spark, tmp_path):
             assert not (src / "7-t" / "7.parquet").exists()
             assert [r.v for r in spark.read.parquet(str(dst / "7-t" / "7.parquet")).collect()] == [value]
     assert not list((tmp_path / "data-publishing").glob("*"))
+
+
+def test_a_dataset_is_copied_file_by_file(spark, tmp_path, monkeypatch):
+    """Many tasks copy one dataset; if a file can't be copied, the old one stays whole."""
+    src, root = tmp_path / "data", tmp_path / "wh" / "data"
+    spark.range(200).repartition(40).write.parquet(str(src / "1-a" / "1.parquet"))
+    spark.range(5).write.parquet(str(src / "2-b" / "2.parquet"))
+    spark.range(7).write.parquet(str(root / "2-b" / "2.parquet"))
+    plan = spark.createDataFrame([(f"{n}/{n[0]}.parquet", f"{root}/{n}/{n[0]}.parquet", "publish") for n in ("1-a", "2-b", "3-gone")],
+                                 "file_path string, target string, action string")
+    copied = P._copied(plan.where("file_path like '1%'").select("file_path", "target"), str(src))
+    assert copied.count() == 1
+    parts = len(list((src / "1-a" / "1.parquet").glob("part-*")))
+    (src / "2-b" / "2.parquet" / "broken.parquet").symlink_to(tmp_path / "nowhere")
+    monkeypatch.setattr(P.fs, "landed_files", lambda s, r: spark.createDataFrame(
+        [(str(p.relative_to(src)), str(p.parent.relative_to(src)), 1) for p in src.glob("*/*/*.parquet")], "rel_path string, rel_dir string, length long"))
+    done = {r.file_path[0]: r for r in P.execute_publish(plan, str(src)).collect()}
+    assert parts > 10 and done["1"].status == "published" and done["1"].bytes > 0
+    assert done["2"].status.startswith("failed") and done["3"].status.startswith("failed")
+    assert spark.read.parquet(str(root / "1-a" / "1.parquet")).count() == 200
+    assert spark.read.parquet(str(root / "2-b" / "2.parquet")).count() == 7
