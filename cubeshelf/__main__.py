@@ -6,6 +6,7 @@
     plan     only the plan: which datasets are new or due (nothing is written
              to the warehouse; --out writes the work list)
     query    run SQL over the warehouse tables, print {"columns", "data"} JSON
+    vacuum   remove old catalog snapshots and the staging of ended applications
     watch    plan every listing document that landed since the last call
 
 `LIMIT` in the environment is the default for --limit (new datasets per run).
@@ -72,6 +73,11 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--no-sync", action="store_true", help=argparse.SUPPRESS)  # what is the default now
     q.add_argument("sql")
 
+    v = sub.add_parser("vacuum")
+    v.add_argument("--root", required=True)
+    v.add_argument("--keep", type=int, default=10, help="catalog commits to keep")
+    v.add_argument("--grace-hours", type=float, default=168.0, help="nothing younger is removed")
+
     w = sub.add_parser("watch")
     w.add_argument("--listings", required=True)
     w.add_argument("--root", required=True)
@@ -85,9 +91,10 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark=None) -> int:
     parser = _parser()
     args = parser.parse_args(argv)
-    if spark is None:
+    own = spark is None
+    if own:
         from pyspark.sql import SparkSession
-        from .session import DEFAULT_CONF
+        from .session import DEFAULT_CONF, drop_staging
         b = SparkSession.builder.appName("cubeshelf")
         if args.master:
             b = b.master(args.master)
@@ -136,6 +143,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             if v is not None:
                 R.sync_tables(spark, f"{root}/data", f"{root}/catalog/{v}", args.db)
         print(json.dumps(render(warehouse_sql(spark, args.sql, root, args.db), args.max_rows)))
+    elif args.command == "vacuum":
+        from .operators import vacuum
+        grace = args.grace_hours * 3600
+        print(json.dumps({"snapshots": vacuum.vacuum_catalog(spark, args.root, args.keep, grace), "staging": vacuum.vacuum_staging(spark, grace)}))
     elif args.command == "watch":
         from .streaming.listing_watch import watch_listings
         root = args.root.rstrip("/")
@@ -143,6 +154,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                        checkpoint=f"{root}/streams/listing-watch", as_of=args.as_of, limit=args.limit,
                        mapping=args.frequency_map)
         print(json.dumps({"out": args.out}))
+    if own:
+        drop_staging(spark)
     return 0
 
 

@@ -56,9 +56,19 @@ def shared_root(spark: SparkSession, fallback: str = "/tmp/cubeshelf-checkpoints
     return root.rstrip("/")
 
 
+STAGING = "cubeshelf-staging"
+
+
 def staging_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never-reused folder under the shared root."""
-    return f"{shared_root(spark)}/cubeshelf-staging/{purpose}-{uuid.uuid4().hex}"
+    """A fresh, never-reused folder under the shared root, among those of this application."""
+    return f"{shared_root(spark)}/{STAGING}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_staging(spark: SparkSession) -> None:
+    """Remove what this application has staged; frames read from it are void then."""
+    from .sources import fs
+
+    fs.delete(spark, f"{shared_root(spark)}/{STAGING}/{spark.sparkContext.applicationId}")
 
 
 def materialize(df, purpose: str = "materialized"):

@@ -59,7 +59,7 @@ def _commit(spark: SparkSession, catalog_dir: str, n: int) -> dict:
     return json.loads(fs.read_text(spark, f"{catalog_dir}/{COMMITS}/{n:020d}.json"))
 
 
-def _uncommitted(spark: SparkSession, catalog_dir: str) -> str | None:
+def uncommitted(spark: SparkSession, catalog_dir: str) -> str | None:
     """The current snapshot of a catalog without commits."""
     text = fs.read_text(spark, f"{catalog_dir}/{POINTER}/pointer.txt")
     if text is not None and text.strip():
@@ -77,13 +77,13 @@ def latest_commit(spark: SparkSession, catalog_dir: str) -> int | None:
     found = commits(spark, catalog_dir)
     if found:
         return found[-1]
-    return None if _uncommitted(spark, catalog_dir) is None else 0
+    return None if uncommitted(spark, catalog_dir) is None else 0
 
 
 def snapshot_path(spark: SparkSession, catalog_dir: str, commit: int | None) -> str | None:
     if commit is None:
         return None
-    name = _commit(spark, catalog_dir, commit)["snapshot"] if commit else _uncommitted(spark, catalog_dir)
+    name = _commit(spark, catalog_dir, commit)["snapshot"] if commit else uncommitted(spark, catalog_dir)
     return f"{catalog_dir}/{name}"
 
 

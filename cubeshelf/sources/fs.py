@@ -38,6 +38,16 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def ages(spark: SparkSession, path: str) -> dict[str, float]:
+    """Immediate sub-folder names of `path` and the seconds since each was last written to."""
+    import time
+
+    f, p = _fs(spark, path)
+    if not f.exists(p):
+        return {}
+    return {s.getPath().getName(): time.time() - s.getModificationTime() / 1000 for s in f.listStatus(p) if s.isDirectory()}
+
+
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
     """(rel_path, rel_dir, length) of every file under `root`, listed by
     Spark's parallel file index. Only metadata columns are selected, so no

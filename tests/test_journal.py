@@ -9,7 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cubeshelf import session
 from cubeshelf.__main__ import main
+from cubeshelf.operators import vacuum
 from cubeshelf.operators.register import table_name_for, update_table
 from cubeshelf.plans import landing_build
 from cubeshelf.plans.journal import Journal
@@ -184,3 +186,35 @@ def test_a_table_is_updated_in_place(spark, tmp_path):
             assert got == (changed if not known else {**changed, "added": []})
             assert spark.table(name).columns == columns and [tuple(r) for r in spark.table(name).collect()] == rows and property_of() == gone
     spark.sql("DROP DATABASE inplace_db CASCADE")
+
+
+def test_vacuum_spares_what_is_read(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    cat = f"{root}/catalog"
+    paths = [catalog_store.write_catalog(spark.createDataFrame([row(i, "t")], STORED_CATALOG), cat) for i in range(6)]
+    names = [p.rsplit("/", 1)[1] for p in paths]
+    spark.range(1).write.parquet(f"{cat}/v=20000101T000000-dead")  # of a writer that died
+    open_run, ended = (Journal(spark, f"{root}/runs/{n}") for n in ("open", "ended"))
+    open_run.mark("plan", {"base": 2})
+    ended.mark("plan", {"base": 3})
+    ended.mark("clean", {})
+    Journal(spark, f"{root}/runs/unplanned").save_settings(RefreshConfig("l", root))
+    assert vacuum.vacuum_catalog(spark, root, keep=2) == []  # all of it is young
+    assert sorted(vacuum.vacuum_catalog(spark, root, keep=2, grace_s=0)) == sorted(["v=20000101T000000-dead", names[0], names[2], names[3]])
+    assert catalog_store.commits(spark, cat) == [2, 5, 6]
+    assert catalog_store.read_commit(spark, cat, 2, STORED_CATALOG).first().productId == 1
+    assert catalog_store.read_catalog(spark, cat, STORED_CATALOG).first().productId == 5
+    catalog_store.write_catalog(spark.createDataFrame([], STORED_CATALOG), cat)
+    assert catalog_store.commits(spark, cat)[-1] == 7
+
+
+def test_staging_of_other_applications(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_root", lambda s: str(tmp_path))
+    monkeypatch.setattr(vacuum, "shared_root", lambda s: str(tmp_path))
+    mine = session.staging_dir(spark, "x")
+    spark.range(1).write.parquet(mine)
+    (tmp_path / session.STAGING / "app-gone" / "y-1").mkdir(parents=True)
+    assert vacuum.vacuum_staging(spark) == []
+    assert vacuum.vacuum_staging(spark, grace_s=0) == ["app-gone"] and fs.exists(spark, mine)
+    session.drop_staging(spark)
+    assert not fs.exists(spark, mine)
