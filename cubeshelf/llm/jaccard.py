@@ -59,19 +59,22 @@ def shingle_sets(texts: list[bytes | None], shingle: int = SHINGLE) -> list[np.n
     for t in texts:
         words = (t or b"").lower().split()
         codes.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-    of_word, out = runs.hashed(number, 42), []
+    # Windows over all texts at once; those that cross texts are not looked at.
+    h = runs.hashed(number, 42)[np.concatenate([np.empty(0, np.int32), *codes])]
+    whole = h[:max(0, len(h) - shingle + 1)]
+    for k in range(1, shingle):
+        whole = runs.mixed(whole, h[k:len(h) - shingle + 1 + k])
+    out, at = [], 0
     for c in codes:
-        h = of_word[c]
-        if 0 < len(h) < shingle:
-            got = h[:1]
-            for x in h[1:]:
-                got = runs.mixed(got, x)
+        n = len(c)
+        if 0 < n < shingle:
+            got = h[at:at + 1]
+            for x in range(at + 1, at + n):
+                got = runs.mixed(got, h[x:x + 1])
             out.append(got)
-            continue
-        got = h[:max(0, len(h) - shingle + 1)]
-        for k in range(1, shingle):
-            got = runs.mixed(got, h[k:len(h) - shingle + 1 + k])
-        out.append(np.unique(got))
+        else:
+            out.append(np.unique(whole[at:at + max(0, n - shingle + 1)]))
+        at += n
     return out
 
 
@@ -169,14 +172,18 @@ def _sets(chunks: DataFrame, answers: DataFrame, shingle: int, least: int) -> Da
         if not chosen:
             return pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.binary(), pa.binary(), place_type)],
                                         ["uid", "n", "hashes", "bits", "places"])
-        listed, _ = _listed(sets)
+        ends_of = np.cumsum([len(h) for h in sets])
+        _, place_of = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]) >> np.uint64(16), return_inverse=True)
         magnitude = np.concatenate([runs.unpack(right.column("blob")[i].as_py(), ["<u1"])[0] for i in order if cut[i] >= 0])
         n, hashes, bits, tokens, places, ends = [], [], [], [], [], [0]
+        nothing = np.empty(0, np.int32)
         for i in chosen[0].tolist():
-            h = sets[i]
-            size = magnitude[np.searchsorted(listed, h >> np.uint64(16))]
-            first = np.lexsort((h, size))[:prefix(len(h), least)]
-            at = np.flatnonzero(size[first] > 1).astype(np.int32)
+            h, k = sets[i], prefix(len(sets[i]), least)
+            size = magnitude[place_of[ends_of[i] - len(h):ends_of[i]]]
+            first = at = nothing
+            if np.count_nonzero(size == 1) < k:
+                first = np.argsort(size, kind="stable")[:k]  # by hash within a magnitude, as h ascends
+                at = np.flatnonzero(size[first] > 1).astype(np.int32)
             n.append(len(h))
             hashes.append(h.tobytes() if len(at) else None)
             bits.append(bitmap(h).tobytes() if len(at) else None)
