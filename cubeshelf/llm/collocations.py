@@ -8,16 +8,16 @@ its subphrases (without its last, without its first word) have reached
 has seen every shard once; so each count is exact. The scan ends when no
 phrase is active any more.
 
-A phrase travels as the 64-bit hash of its language and words. Chunks of a
-shard send their counts as sorted runs cut by hash range; a task meets a range
+A phrase travels as the 64-bit hash of its language and words. A task
+sends its chunks' counts as sorted runs cut by hash range; a task meets a range
 of all chunks with the totals so far. Complete phrases under `least` leave the
 totals. Which phrases reached `least`, and when, goes to the tasks as one
 array over the top `filter_bits` bits of the hash (one byte each, 16 MB), the
 same at any size of the corpus: phrases that share a cell can only activate
 too much, which costs counting, never a count.
 
-The texts of the frequent phrases are read from the chunks at the end. Scores,
-cuts and containment are then joins over frequent phrases; products are exact
+The totals remember one chunk for each phrase; the texts of the frequent
+phrases are read there at the end, each once. Scores, cuts and containment are then joins over frequent phrases; products are exact
 decimals.
 
 Null texts are empty, a null language is `und`; every row counts, also
@@ -37,11 +37,12 @@ from cubeshelf.llm import runs
 from cubeshelf.llm.common import quoted, staged
 
 CHUNK_BYTES, SHARDS, FILTER_BITS, LEAST, LONGEST = 8 << 20, 4, 24, 100, 5
-RANGE_TOKENS = 1 << 18  # tokens of the corpus for each hash range
+RANGE_TOKENS = 1 << 20  # tokens of the corpus for each hash range; from 2**32 tokens on, ranges grow
+RUN_ENTRIES = 1 << 21  # a task sends its chunks' counts as one run when it holds so many
 
 _BREAK, _FIRST = 1, 2  # codes: end of a piece, first word
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
-_KINDS = ["<u8", "<u8", "<u2"]  # hash, count, 8 * first active step + words
+_KINDS = ["<u8", "<u8", "<u2", "<u8"]  # hash, count, 8 * first active step + words, a chunk that holds it
 
 
 class _Numbers(dict):
@@ -76,15 +77,15 @@ def _decoded(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
 
 
 def coded_chunks(docs: DataFrame, shards: int, chunk_bytes: int) -> DataFrame:
-    """(shard, lang, blob, n): chunks of one language each, and their words.
-    `docs`: (lang, text as binary)."""
+    """(shard, chunk, lang, blob, n): chunks, in one row for each language, and
+    their words. `docs`: (lang, text as binary)."""
     def run(batches):
         part, made, held, size = TaskContext.get().partitionId(), 0, {}, 0
 
         def flush():
-            rows = [((part + made) % shards, lang, *_coded(texts)) for lang, texts in held.items()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.string(), pa.binary(), pa.int64()))],
-                                              ["shard", "lang", "blob", "n"])
+            rows = [((part + made) % shards, part << 24 | made, lang, *_coded(texts)) for lang, texts in held.items()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.int64()))],
+                                              ["shard", "chunk", "lang", "blob", "n"])
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -96,7 +97,7 @@ def coded_chunks(docs: DataFrame, shards: int, chunk_bytes: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, "shard int, lang string, blob binary, n long")
+    return docs.mapInArrow(run, "shard int, chunk long, lang string, blob binary, n long")
 
 
 class _Scan:
@@ -130,9 +131,9 @@ class _Scan:
         return b" ".join(self.words[c - _FIRST] for c in self.codes[at:at + k])
 
 
-def _counts(scan: _Scan, step: int, shards: int):
-    """The chunk's counts of the phrases that are active in this step, by ascending hash."""
-    found = []
+def _counts(scan: _Scan, step: int, shards: int) -> list[np.ndarray]:
+    """The chunk's (hash, count, tag) of the phrases that are active in this step."""
+    found = [(np.empty(0, np.uint64), np.empty(0, "<u8"), np.empty(0, "<u2"))]
     if step <= shards and scan.words:
         n = np.bincount(scan.codes, minlength=_FIRST + len(scan.words))
         hashes = np.zeros(len(n), np.uint64)
@@ -142,11 +143,7 @@ def _counts(scan: _Scan, step: int, shards: int):
         live = (first <= step) & (step < first + shards)
         h, at, n = np.unique(got[live], return_index=True, return_counts=True)
         found.append((h, n.astype("<u8"), (first[live][at] * 8 + k).astype("<u2")))
-    if not found:
-        return None
-    h, n, tag = (np.concatenate(x) for x in zip(*found))
-    order = np.argsort(h, kind="stable")
-    return h[order], n[order], tag[order]
+    return [np.concatenate(x) for x in zip(*found)]
 
 
 def frequent(chunks: DataFrame, total: int, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS,
@@ -167,34 +164,49 @@ def frequent(chunks: DataFrame, total: int, least: int = LEAST, longest: int = L
         return np.frombuffer(pa.decompress(sent.value, decompressed_size=1 << filter_bits, codec="zstd", asbytes=True), np.uint8)
 
     def scanned(sent, now):
+        def sorted_run(held):
+            h, n, tag, source = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(h, kind="stable")
+            h, n, tag, source = h[order], n[order], tag[order], source[order]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            run = [h[first], np.add.reduceat(n, first), tag[first], source[first]]
+            tops, at = runs.cuts(run[0], 64 - bits)
+            blobs = [runs.pack_sorted([c[i:j] for c in run]) for i, j in zip(at, at[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(tops, pa.int64()), pa.array([False] * len(tops), pa.bool_()), pa.array(blobs, pa.binary())],
+                                              ["cut", "old", "blob"])
+
         def run(batches):
-            reached = filter_of(sent)
+            reached, held, size = filter_of(sent), [], 0
             for b in batches:
-                for lang, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for chunk, lang, blob in zip(*(c.to_pylist() for c in b.columns)):
                     got = _counts(_Scan(lang, blob, reached, longest), now, shards)
-                    if got is None:
-                        continue
-                    tops, at = runs.cuts(got[0], 64 - bits)
-                    blobs = [runs.pack_sorted([c[i:j] for c in got]) for i, j in zip(at, at[1:])]
-                    yield pa.RecordBatch.from_arrays([pa.array(tops, pa.int64()), pa.array([False] * len(tops), pa.bool_()), pa.array(blobs, pa.binary())],
-                                                     ["cut", "old", "blob"])
+                    if len(got[0]):
+                        held.append([*got, np.full(len(got[0]), chunk, "<u8")])
+                        size += len(got[0])
+                    if size >= RUN_ENTRIES:
+                        yield sorted_run(held)
+                        held, size = [], 0
+            if held:
+                yield sorted_run(held)
         return run
 
     def merged(now):
         def run(cut, rows):
             parts = [[*runs.unpack_sorted(blob, _KINDS), old] for old, blob in rows]
-            h, n, tag = (np.concatenate(x) for x in list(zip(*parts))[:3])
-            old = np.concatenate([np.full(len(p[0]), p[3]) for p in parts])
+            h, n, tag, source = (np.concatenate(x) for x in list(zip(*parts))[:4])
+            if not len(h):  # all that the range held was complete and rare
+                return
+            old = np.concatenate([np.full(len(p[0]), p[4]) for p in parts])
             order = np.argsort(h, kind="stable")
-            h, n, tag, old = h[order], n[order], tag[order], old[order]
+            h, n, tag, source, old = h[order], n[order], tag[order], source[order], old[order]
             at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             count, before = np.add.reduceat(n, at), np.add.reduceat(n * old, at)
-            h, tag = h[at], tag[at]
+            h, tag, source = h[at], tag[at], source[at]
             new = h[(count >= least) & (before < least) & ((tag & 7) < longest)]
             cells = np.unique(new >> np.uint64(64 - filter_bits)).astype("<u4")
             keep = (count >= least) | (now < (tag >> 3).astype(int) + shards - 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([cut], pa.int64()), pa.array([True]), pa.array([runs.pack_sorted([h[keep], count[keep], tag[keep]])], pa.binary()),
+                [pa.array([cut], pa.int64()), pa.array([True]), pa.array([runs.pack_sorted([h[keep], count[keep], tag[keep], source[keep]])], pa.binary()),
                  pa.array([cells.tobytes()], pa.binary())], ["cut", "old", "blob", "cells"])
         return run
 
@@ -202,7 +214,7 @@ def frequent(chunks: DataFrame, total: int, least: int = LEAST, longest: int = L
     while step < last + shards + max(0, longest - 2):
         step += 1
         sent = broadcast()
-        rows = chunks.where(F.col("shard") == (step - 1) % shards).select("lang", "blob").mapInArrow(scanned(sent, step), "cut long, old boolean, blob binary")
+        rows = chunks.where(F.col("shard") == (step - 1) % shards).select("chunk", "lang", "blob").mapInArrow(scanned(sent, step), "cut long, old boolean, blob binary")
         got = staged(runs.met(rows.union(state), "cut", "cut long, old boolean, blob binary, cells binary", merged(step)), f"phrases-{step}")
         state = got.select("cut", "old", "blob")
         # At most one number for each cell of the filter.
@@ -215,37 +227,34 @@ def frequent(chunks: DataFrame, total: int, least: int = LEAST, longest: int = L
     def counted(batches):
         for b in batches:
             for blob in b.column(0).to_pylist():
-                h, n, tag = runs.unpack_sorted(blob, _KINDS)
+                h, n, tag, source = runs.unpack_sorted(blob, _KINDS)
                 enough = n >= least
                 yield pa.RecordBatch.from_arrays([pa.array(h[enough].view(np.int64)), pa.array(n[enough].astype(np.int64)),
-                                                  pa.array((tag[enough] & 7).astype(np.int32))], ["h", "a", "words"])
+                                                  pa.array((tag[enough] & 7).astype(np.int32)), pa.array(source[enough].view(np.int64))],
+                                                 ["h", "a", "words", "chunk"])
 
     sent = broadcast()
 
-    def named(batches):
-        reached = filter_of(sent)
-        for b in batches:
-            for lang, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                scan = _Scan(lang, blob, reached, longest)
-                own = np.zeros(_FIRST + len(scan.words), np.uint64)
-                own[scan.codes] = scan.hash
-                often = np.flatnonzero(reached[own >> scan.shift] > 0)
-                often = often[often >= _FIRST]
-                found, texts = [own[often]], [scan.words[i - _FIRST] for i in often]
-                for k, at, got, _ in scan.levels():
-                    if k < longest:
-                        often = reached[got >> scan.shift] > 0
-                        at, got = at[often], got[often]
-                    h, first = np.unique(got, return_index=True)
-                    found.append(h)
-                    texts.extend(scan.phrase(i, k) for i in at[first])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array([lang] * len(texts), pa.string()),
-                                                  pa.array(texts, pa.binary()).cast(pa.string())], ["h", "lang", "phrase"])
-
-    counts = state.select("blob").mapInArrow(counted, "h long, a long, words int")
-    names = (chunks.select("lang", "blob").mapInArrow(named, "h long, lang string, phrase string")
-             .groupBy(F.col("h").alias("g")).agg(F.min(F.struct("lang", "phrase")).alias("p")))
-    return counts.join(names, F.col("h") == F.col("g")).select("p.lang", "p.phrase", "words", "a")
+    def named(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The texts of the phrases that are to be read from this chunk."""
+        reached, wanted = filter_of(sent), np.sort(right.column("h").to_numpy().view(np.uint64))
+        hashes, langs, texts = [np.empty(0, np.uint64)], [], []
+        for lang, blob in zip(left.column("lang").to_pylist(), left.column("blob").to_pylist()):
+            scan = _Scan(lang, blob, reached, longest)
+            words, at = np.unique(scan.hash, return_index=True)
+            for k, at, got in [(1, at, words), *((k, at, got) for k, at, got, _ in scan.levels())]:
+                here = np.flatnonzero(np.isin(got, wanted))
+                h, first = np.unique(got[here], return_index=True)
+                hashes.append(h)
+                texts.extend(scan.phrase(i, k) for i in at[here[first]])
+                langs.extend([lang] * len(h))
+        return pa.Table.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(langs, pa.string()),
+                                     pa.array(texts, pa.binary()).cast(pa.string())], ["g", "lang", "phrase"])
+
+    counts = staged(state.select("blob").mapInArrow(counted, "h long, a long, words int, chunk long"), "phrase-counts")
+    names = (chunks.select("chunk", "lang", "blob").groupBy("chunk").cogroup(counts.select("h", "chunk").groupBy("chunk"))
+             .applyInArrow(named, "g long, lang string, phrase string"))
+    return counts.join(names, F.col("h") == F.col("g")).select("lang", "phrase", "words", "a")
 
 
 def _part(first: Column, length: Column) -> Column:

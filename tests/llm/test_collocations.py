@@ -58,6 +58,13 @@ def test_first_of_each_language_and_no_rows(spark):
     assert collocations.collocations(docs(spark, [(1, "", "en"), (2, None, None)])).collect() == []
 
 
+def test_nothing_is_frequent(spark):
+    rows = [(i, f"only{i} here{i} once{i}", "en") for i in range(50)]
+    assert collocations.collocations(docs(spark, rows), least=3, shards=2).collect() == []
+    got = collocations.collocations(docs(spark, rows + [(60, "x y x y x y", "de")]), least=3, shards=2, chunk_bytes=50)
+    assert rows_of(got) == sorted(slow(rows + [(60, "x y x y x y", "de")], 3))
+
+
 def test_products_pass_64_bits(spark):
     big = 4_000_000_000
     phrases = spark.createDataFrame([("en", "a b", 2, big), ("en", "a", 1, big + 1), ("en", "b", 1, big + 2)], "lang string, phrase string, words int, a long")
