@@ -19,10 +19,12 @@ ignored.
 from __future__ import annotations
 
 import json
-import re
+import struct
 from collections import deque
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +33,11 @@ from tokenizers import Tokenizer
 from cubeshelf.llm.common import quoted, staged
 
 CAPACITY, OPEN_WINDOWS, SLACK, CACHE_WORDS, LEFT_PER_BUCKET = 4096, 32, 32, 300_000, 64
+PART_BYTES = 16 << 20  # of text encoded at once
 
 # Words of these letters alone are one token run, whatever stands around them.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_MARKS = ".,;:!?"
+_PLAIN = f"^[A-Za-zÀ-ÖØ-öø-ÿ]+[{_MARKS}]*$"
 
 
 def _byte_letters() -> list[str]:
@@ -47,8 +51,9 @@ def _byte_letters() -> list[str]:
 class Encoder:
     """Token ids of whole texts, by a tokenizer that drops white space.
 
-    A text is the sequence of its runs between ASCII blanks, so runs are
-    encoded once and kept (up to `CACHE_WORDS`, then the store starts anew).
+    A text is the sequence of its runs between ASCII blanks, so the distinct
+    runs of many texts are encoded once and their ids dealt back; those of
+    words and other runs are kept (up to `CACHE_WORDS`, then the store starts anew).
     `by_word`: the vocabulary lower-cases and reads words one by one; plain
     words then skip the tokenizer's text normalisation."""
 
@@ -63,7 +68,7 @@ class Encoder:
         self.runs: dict[str, bytes] = {}
 
     def _ids(self, ids) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _whole(self, text: str) -> bytes:
         return self._ids(self.full.encode(text, add_special_tokens=False).ids)
@@ -72,42 +77,66 @@ class Encoder:
         out = self.words.get(word)
         if out is None:
             shown = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
-            out = self._ids(t.id for t in self.model.tokenize(shown))
+            out = self._ids([t.id for t in self.model.tokenize(shown)])
             if len(self.words) >= CACHE_WORDS:
                 self.words.clear()
             self.words[word] = out
         return out
 
-    def _run(self, run: str) -> bytes:
-        m = _PLAIN.fullmatch(run) if self.by_word else None
-        if not m:
-            return self._whole(run)
-        word, tail = m.groups()
-        return self._word(word.lower()) + (self._mark(tail) if tail else b"")
-
-    def _mark(self, tail: str) -> bytes:
-        out = self.runs.get(tail)
+    def _other(self, run: str) -> bytes:
+        out = self.runs.get(run)
         if out is None:
-            out = self.runs[tail] = self._whole(tail)
+            out = self._whole(run)
+            if len(run) <= 64:
+                if len(self.runs) >= CACHE_WORDS:
+                    self.runs.clear()
+                self.runs[run] = out
         return out
 
+    def _distinct(self, values: pa.Array, ids) -> pa.Array:
+        """The ids of each value, those of a distinct one made once."""
+        coded = values.dictionary_encode()
+        return pa.array(map(ids, coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+
+    def _runs(self, runs: pa.Array) -> pa.Array:
+        """The ids of runs that are all distinct."""
+        plain = pc.match_substring_regex(runs, _PLAIN)
+        those = runs.filter(plain)
+        words = self._distinct(pc.utf8_lower(pc.utf8_rtrim(those, _MARKS)), self._word)
+        tails = self._distinct(pc.replace_substring_regex(those, f"^[^{_MARKS}]+", ""), self._other)
+        others = pa.array(map(self._other, runs.filter(pc.invert(plain)).to_pylist()), pa.large_binary())
+        made = pa.concat_arrays([pc.binary_join_element_wise(words, tails, pa.scalar(b"", pa.large_binary())), others])
+        plain = plain.to_numpy(zero_copy_only=False)
+        place = np.where(plain, np.cumsum(plain) - 1, len(those) + np.cumsum(~plain) - 1)
+        return made.take(pa.array(place))
+
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
         if not self.by_word:
-            return self._whole(text)
-        runs = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known, out = self.runs, []
-        known[""] = b""
-        for run in runs:
-            ids = known.get(run)
-            if ids is None:
-                ids = self._run(run)
-                if len(run) <= 64:
-                    if len(known) >= CACHE_WORDS:
-                        known.clear()
-                    known[run] = ids
-            out.append(ids)
-        return b"".join(out)
+            return [self._whole(t) for t in texts.to_pylist()]
+        for blank in "\n\t\r":
+            texts = pc.replace_substring(texts, blank, " ")
+        split = pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        ids = self._runs(coded.dictionary).take(coded.indices)
+        _, offsets, data = ids.buffers()
+        at = split.offsets.to_numpy().astype(np.int64)
+        ends = np.frombuffer(offsets, np.int64)[ids.offset + at - at[0]].tolist()
+        data = memoryview(data or b"")
+        return [data[x:y].tobytes() for x, y in zip(ends, ends[1:])]
+
+
+def _parts(b: pa.RecordBatch, most: int):
+    """A batch's rows in slices of about `most` bytes of text."""
+    upto = np.cumsum(np.asarray(pc.binary_length(b.column(1)), np.int64))
+    at = 0
+    while at < b.num_rows:
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, side="right")))
+        yield b.slice(at, end - at)
+        at = end
 
 
 class _Window:
@@ -227,11 +256,12 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 2, capacity: int =
         shape = None
         for b in batches:
             shape = shape or _arrow(b.schema.field("doc_id").type, True)
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                packer.add(doc, enc.encode(text) + end)
-                if len(packer.closed) >= 1000:
-                    yield _batch([(*p, False) for w in packer.closed for p in w.pieces], shape)
-                    packer.closed = []
+            for part in _parts(b, PART_BYTES):
+                for doc, ids in zip(part.column(0).to_pylist(), enc.encode_all(part.column(1))):
+                    packer.add(doc, ids + end)
+                    if len(packer.closed) >= 1000:
+                        yield _batch([(*p, False) for w in packer.closed for p in w.pieces], shape)
+                        packer.closed = []
         if shape:
             yield _batch([(*p, left) for ws, left in ((packer.closed, False), (packer.open, True)) for w in ws for p in w.pieces], shape)
 

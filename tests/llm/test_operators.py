@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -148,6 +149,20 @@ def test_encoder_is_the_tokenizer(tokenizer):
         assert list(struct.unpack(f"<{len(b := enc.encode(t)) // 4}I", b)) == full.encode(t, add_special_tokens=False).ids, t[:50]
 
 
+def test_runs_of_many_texts_are_encoded_once(tokenizer):
+    enc, full = packing.Encoder(open(tokenizer, encoding="utf-8").read()), Tokenizer.from_file(tokenizer)
+    texts = ["One word, one\tWORD. (a)", "", " ", "word... (a) word,,\n\nOne été", "x" * 70_000, "ÉTÉ! été?  été a\x0bb \x00 ßẞ ½"] * 50
+    seen, whole = Counter(), enc._whole
+    enc._whole = lambda t: seen.update([t]) or whole(t)
+    b = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["doc_id", "text"])
+    parts = list(packing._parts(b, 1 << 16))
+    got = [ids for p in parts for ids in enc.encode_all(p.column(1))]
+    assert len(parts) > 5 and sum(p.num_rows for p in parts) == len(texts)
+    for t, ids in zip(texts, got):
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == full.encode(t, add_special_tokens=False).ids, t[:50]
+    assert seen and max(seen.values()) == 1
+
+
 @pytest.mark.parametrize("capacity,windows,slack", [(4096, 32, 32), (64, 2, 0), (16, 1, 4)])
 def test_packing_is_whole(spark, tokenizer, capacity, windows, slack):
     full = Tokenizer.from_file(tokenizer)
