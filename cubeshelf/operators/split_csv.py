@@ -89,15 +89,25 @@ def _next_line(f, at: int, size: int) -> int:
     if at <= 0:
         return 0
     at -= 1
+    step = 1 << 12  # most lines end soon; a long one is read in longer blocks
     while at < size:
-        block = f.read_at(min(1 << 20, size - at), at)
+        block = f.read_at(min(step, size - at), at)
         found = block.find(b"\n")
         if found >= 0:
             return at + found + 1
         at += len(block)
+        step = min(4 * step, 1 << 20)
     return size
 
 
+def _dealt(spark: SparkSession, rows: DataFrame, size) -> DataFrame:
+    """Ranges or stretches dealt to tasks: one each while they are few, else
+    several, of RANGE_BYTES together at most on average. `size`: a row's bytes."""
+    n, held = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    few = max(4 * spark.sparkContext.defaultParallelism, -(-held // RANGE_BYTES))
+    return rows.repartition(max(1, min(n, few)))
+
+
 def _files(spark: SparkSession, path: str) -> DataFrame:
     """(path, length) of a file, or of the data files of a folder."""
     f, p = fs._fs(spark, path)
@@ -119,10 +129,13 @@ def stretches(spark: SparkSession, csv_path: str, range_bytes: int = RANGE_BYTES
 
         from cubeshelf.operators.split_csv import _next_line, record_ends
         from cubeshelf.sources.paths import open_fs
+        at = {}
         for pdf in batches:
             out = []
             for path, length, i in zip(pdf["path"], pdf["length"], pdf["i"]):
-                where, rel = open_fs(path)
+                if path not in at:
+                    at = {path: open_fs(path)}
+                where, rel = at[path]
                 with where.open_input_file(rel) as f:
                     start, stop = (_next_line(f, min(k * range_bytes, length), length) for k in (i, i + 1))
                     data = f.read_at(stop - start, start)
@@ -133,8 +146,8 @@ def stretches(spark: SparkSession, csv_path: str, range_bytes: int = RANGE_BYTES
             yield pd.DataFrame(out, columns=["path", "length", "i", "end_outside", "end_inside", "first_outside", "first_inside"]).astype(
                 {"first_outside": "Int64", "first_inside": "Int64"})
 
-    n = max(1, ranges.count())
-    told = ranges.repartition(n).mapInPandas(scan, "path string, length long, i long, end_outside boolean, end_inside boolean, "
+    bytes_of = F.least(F.lit(range_bytes), F.col("length") - F.col("i") * range_bytes)
+    told = _dealt(spark, ranges, bytes_of).mapInPandas(scan, "path string, length long, i long, end_outside boolean, end_inside boolean, "
                                                    "first_outside long, first_inside long")
     # A range either ends alike in both cases, which settles what comes behind it,
     # or turns the case round, or leaves it.
@@ -147,15 +160,16 @@ def stretches(spark: SparkSession, csv_path: str, range_bytes: int = RANGE_BYTES
     told = told.withColumn("case", (F.coalesce(F.last("mark", ignorenulls=True).over(earlier), F.lit(0))
                                     + F.coalesce(F.sum(turns).over(earlier), F.lit(0))) % 2)
     told = told.withColumn("start", F.when(F.col("case") == 1, F.col("first_inside")).otherwise(F.col("first_outside")))
-    later = Window.partitionBy("path").orderBy("i").rowsBetween(1, Window.unboundedFollowing)
-    told = told.withColumn("stop", F.coalesce(F.first("start", ignorenulls=True).over(later), F.col("length")))
+    # From the end on, as a frame that reaches to the end is gone through anew for every row.
+    later = Window.partitionBy("path").orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    told = told.withColumn("stop", F.coalesce(F.last("start", ignorenulls=True).over(later), F.col("length")))
     return told.where(F.col("start").isNotNull()).select("path", "start", "stop")
 
 
 def read_records(spark: SparkSession, csv_path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(record): the text of every record but the headers (the first record of
-    each file); lines of blanks are none. Records come from as many tasks as
-    there are stretches."""
+    each file); lines of blanks are none. A task reads its stretches one
+    after the other."""
     cut = materialize(stretches(spark, csv_path, range_bytes), "csv-stretches")  # a lost executor must not move a cut
 
     def read(batches):
@@ -164,9 +178,12 @@ def read_records(spark: SparkSession, csv_path: str, range_bytes: int = RANGE_BY
 
         from cubeshelf.operators.split_csv import record_ends
         from cubeshelf.sources.paths import open_fs
+        at = {}
         for b in batches:
             for path, start, stop in zip(*(c.to_pylist() for c in b.columns)):
-                where, rel = open_fs(path)
+                if path not in at:
+                    at = {path: open_fs(path)}
+                where, rel = at[path]
                 with where.open_input_file(rel) as f:
                     data = f.read_at(stop - start, start)
                 ends, _ = record_ends(data, False)
@@ -179,8 +196,7 @@ def read_records(spark: SparkSession, csv_path: str, range_bytes: int = RANGE_BY
                     # as the line reader: blank down to control characters
                     yield pa.RecordBatch.from_arrays([pa.array([r for r in rows if r.strip(_BLANKS)], pa.string())], ["record"])
 
-    n = max(1, cut.count())
-    return cut.repartition(n).mapInArrow(read, "record string")
+    return _dealt(spark, cut, F.col("stop") - F.col("start")).mapInArrow(read, "record string")
 
 
 _BLANKS = "".join(map(chr, range(33)))

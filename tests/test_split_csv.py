@@ -85,3 +85,31 @@ def test_folder_of_files_and_header_only(spark, tmp_path):
     convert.convert_csv(spark, str(tmp_path / "h.csv"), str(tmp_path / "out3"))
     got = spark.read.parquet(str(tmp_path / "out3"))
     assert got.columns == ["a\nb", "c"] and got.count() == 0
+
+
+def test_many_small_ranges_share_tasks_and_blocks(spark, tmp_path, monkeypatch):
+    p = tmp_path / "x.csv"
+    p.write_text("k,v\n" + "".join(f'{i},"two\nlines {i}"\n' for i in range(2000)))
+    few = 4 * spark.sparkContext.defaultParallelism
+    got = split_csv.read_records(spark, str(p), 32)
+    assert split_csv.stretches(spark, str(p), 32).count() > few >= got.rdd.getNumPartitions() > 1
+    assert sorted(r[0] for r in got.collect()) == sorted(f'{i},"two\nlines {i}"' for i in range(2000))
+    monkeypatch.setattr(split_csv, "RANGE_BYTES", 100)  # large data: as many tasks as hold that much each
+    assert split_csv.read_records(spark, str(p), 32).rdd.getNumPartitions() > few
+
+
+def test_next_line_reads_little_where_lines_are_short():
+    class File:
+        def __init__(self, data):
+            self.data, self.read = data, 0
+
+        def read_at(self, n, at):
+            self.read += n
+            return self.data[at:at + n]
+
+    for line in (10, 5000, 300_000):
+        f = File((b"x" * (line - 1) + b"\n") * (3_000_000 // line))
+        for at in (0, 1, line - 1, line, line + 1, 2_900_000, 3_000_000):
+            f.read = 0
+            assert split_csv._next_line(f, at, len(f.data)) == min(-(-at // line) * line, len(f.data))
+            assert f.read <= 4096 + 8 * line
