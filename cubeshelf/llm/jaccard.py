@@ -13,7 +13,10 @@ sets link when 100 * intersection >= least * union.
 3. Tiles: sets that share such a shingle and whose sizes fall into one band of
    ratio 0.84 or into neighbouring ones; others can't link. First each set is compared
    with one partner, the smallest of its band under most of its shingles;
-   components of these links make large groups of copies one class.
+   components of these links make large groups of copies one class. In further
+   turns each set of a tile that holds several components is compared with one
+   hub of another component, another one each turn, until a turn joins few:
+   near copies that link to some of their group only become one class, too.
    Then, in every tile that still holds several components, pairs across them
    are bounded from above: by size, by the shingle's place, and by bitmaps of
    up to 1024 bits (a shingle flips one bit; the bits in which two bitmaps
@@ -43,6 +46,7 @@ from cubeshelf.llm.common import quoted, staged
 from cubeshelf.llm.graph import connected_components
 
 CHUNK_BYTES, SHINGLE, LEAST, BLOCK = 16 << 20, 4, 85, 2048
+TURNS = 8  # of merging by hubs at most; what they leave is compared pair by pair
 RANGE_WORDS = 1 << 18  # words of the corpus for each hash range
 _RATIO = 0.99  # bands are this much wider than the bound, so that rounding can't part a pair by two
 
@@ -256,11 +260,41 @@ def _near_pairs(tiles: DataFrame, least: int) -> DataFrame:
     return tiles.mapInArrow(run, "x long, y long")
 
 
+def _still_split(posts: DataFrame, links: DataFrame) -> DataFrame:
+    """(uid, n, lone, band, token, place, root): the posts of tokens whose sets are of several components."""
+    roots = staged(connected_components(links).withColumnsRenamed({"node": "own", "component": "top"}), "jaccard-roots")
+    rooted = staged(posts.join(roots, F.col("uid") == F.col("own"), "left").select(*posts.columns, F.coalesce("top", "uid").alias("root")),
+                    "jaccard-rooted")
+    split = rooted.groupBy(F.col("token").alias("t")).agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("t")
+    return staged(rooted.join(split, F.col("token") == F.col("t"), "left_semi"), "jaccard-split")
+
+
+def _tiled(posts: DataFrame) -> DataFrame:
+    """The posts in the tiles of their band and the one below."""
+    both = F.explode(F.array(F.struct(F.col("band").alias("tile"), F.lit(False).alias("upper")), F.struct((F.col("band") - 1).alias("tile"), F.lit(True).alias("upper"))))
+    return posts.select("*", both.alias("q")).select("uid", "n", "lone", "token", "place", "root", "q.tile", "q.upper")
+
+
+def _hub_pairs(posts: DataFrame, least: int, turn: int) -> DataFrame:
+    """(x, y): each set with one partner of another component at most, the hub
+    of most of its tiles. A tile's hub has the fewest shingles of its own, as
+    what is closest to the whole group has; with every turn among another share of the sets."""
+    tiled = _tiled(posts)
+    hubs = (tiled.groupBy(F.col("token").alias("t"), F.col("tile").alias("b"))
+            .agg(F.min(F.struct(F.pmod(F.xxhash64(F.lit(turn), "uid"), F.lit(turn + 1)).alias("h"), "lone", "uid", "n", "root")).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
+            .select("t", "b", F.col("m.uid").alias("y"), F.col("m.n").alias("other"), F.col("m.root").alias("top")))
+    met = tiled.join(hubs, (F.col("token") == F.col("t")) & (F.col("tile") == F.col("b")))
+    met = met.where((F.col("root") != F.col("top")) & (100 * F.least("n", "other") >= least * F.greatest("n", "other")))
+    return (met.groupBy("uid", "y").agg(F.count(F.lit(1)).alias("c")).groupBy("uid").agg(F.max(F.struct("c", "y")).alias("m"))
+            .select(F.col("uid").alias("x"), F.col("m.y").alias("y")))
+
+
 def set_links(sets: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
     """(src, dst): verified links that join just the sets that are linked, directly or over others."""
     band = F.floor(F.log(F.col("n")) / F.lit(-log(_RATIO * least / 100))).cast("int")
-    posts = staged(sets.where(F.size("places") > 0).select("uid", "n", band.alias("band"), F.explode("places").alias("p"))
-                   .select("uid", "n", "band", "p.token", "p.place"), "jaccard-posts")
+    lone = F.expr(f"n - (n * {least} + 99) div 100 + 1 - size(places)").cast("int")  # shingles that no other document has
+    posts = staged(sets.where(F.size("places") > 0).select("uid", "n", lone.alias("lone"), band.alias("band"), F.explode("places").alias("p"))
+                   .select("uid", "n", "lone", "band", "p.token", "p.place"), "jaccard-posts")
     # One partner each: the smallest set of its band under most of its shingles.
     lowest = (posts.groupBy(F.col("token").alias("t"), F.col("band").alias("b")).agg(F.min(F.struct("n", "uid")).alias("m"), F.count(F.lit(1)).alias("c"))
               .where("c > 1").select("t", "b", F.col("m.uid").alias("y")))
@@ -268,14 +302,17 @@ def set_links(sets: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFr
     one = (met.groupBy("uid", "y").agg(F.count(F.lit(1)).alias("c")).groupBy("uid").agg(F.max(F.struct("c", "y")).alias("m"))
            .select(F.col("uid").alias("x"), F.col("m.y").alias("y")))
     sure = staged(verified(staged(one, "jaccard-first"), sets, least), "jaccard-sure")
-    roots = staged(connected_components(sure).withColumnsRenamed({"node": "own", "component": "top"}), "jaccard-roots")
-    # Tiles that still hold several components.
-    rooted = staged(posts.join(roots, F.col("uid") == F.col("own"), "left").select("uid", "n", "band", "token", "place", F.coalesce("top", "uid").alias("root")),
-                    "jaccard-rooted")
-    split = rooted.groupBy(F.col("token").alias("t")).agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("t")
-    left = rooted.join(split, F.col("token") == F.col("t"), "left_semi")
-    both = F.explode(F.array(F.struct(F.col("band").alias("tile"), F.lit(False).alias("upper")), F.struct((F.col("band") - 1).alias("tile"), F.lit(True).alias("upper"))))
-    left = staged(left.select("*", both.alias("q")).select("uid", "n", "token", "place", "root", "q.tile", "q.upper"), "jaccard-tiled")
+    left, links, last = _still_split(posts, sure), sure, 1
+    for turn in range(TURNS):
+        found = staged(verified(staged(_hub_pairs(left, least, turn), "jaccard-hubs"), sets, least), "jaccard-hub-links")
+        now, waiting = found.count(), left.select("uid").distinct().count()
+        if now:
+            links = staged(links.union(found), "jaccard-joined")
+            left = _still_split(left.drop("root"), links)
+        if 50 * max(now, last) < waiting or not waiting:  # two turns with few links
+            break
+        last = now
+    left = staged(_tiled(left), "jaccard-tiled")
     kinds = (left.groupBy(F.col("token").alias("t"), F.col("tile").alias("b"))
              .agg(F.min("root").alias("a"), F.max("root").alias("z"), F.bool_and("upper").alias("high"), F.count(F.lit(1)).alias("c"))
              .where("a < z and not high").select("t", "b", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
@@ -288,7 +325,7 @@ def set_links(sets: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFr
         F.struct("uid", "n", "place", "root", "upper", "block", "bits").alias("m"))
     tiles = dealt.groupBy("token", "tile", "left", "right").agg(F.collect_list("m").alias("members")).where(F.size("members") > 1)
     near = staged(_near_pairs(tiles.select("left", "right", "members"), least).distinct(), "jaccard-near")
-    return staged(sure.union(verified(near, sets, least)), "jaccard-links")
+    return staged(links.union(verified(near, sets, least)), "jaccard-links")
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST, chunk_bytes: int = CHUNK_BYTES, block: int = BLOCK,

@@ -101,3 +101,33 @@ def test_bounds_exclude_no_link():
             if links:
                 first = [set(s[:jaccard.prefix(len(s), least)].tolist()) for s in (x, y)]
                 assert first[0] & first[1]
+
+
+def test_near_copies_are_joined_by_hubs_not_pair_by_pair(spark, monkeypatch):
+    """Copies of one text, each with some words of its own: linked to the text
+    or to the light ones, seldom to each other."""
+    pick = random.Random(5)
+    base, rows = [f"w{i}" for i in range(400)], []
+    for i in range(80):
+        words = list(base)
+        for _ in range(14 - i % 14):  # heavy ones first
+            words[pick.randrange(400)] = f"own{i}x{pick.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    made, near = [], jaccard._near_pairs
+
+    def counted(tiles, least):
+        out = near(tiles, least)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_near_pairs", counted)
+    got = {r.doc_id: r.component_id for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: {tuple(t.split()[k:k + 4]) for k in range(len(t.split()) - 3)} for i, t in rows}
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    assert got == root and len(set(root.values())) < 50
+    assert made and max(made) <= 4 * len(rows)  # all pairs: 3160, most in several tiles
