@@ -301,6 +301,43 @@ def test_every_trained_ngram_has_its_arc(spark):
     assert {r.doc_id: r.score for r in got} == pytest.approx(want, abs=1e-8) and len(got) == len(rows)
 
 
+def test_scores_of_spread_hot_words(spark):
+    """Steps around frequent words, met in several parts, get the same scores,
+    at any number of slices."""
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    text = lambda: " ".join(words[min(int(rnd.paretovariate(0.6)) - 1, 299)] for _ in range(rnd.randrange(120)))
+    rows = [(i, text(), None) for i in range(300)] + [(None, None, None), (None, None, None), (7, "", None)]
+    learn = F.col("doc_id") % 5 != 0
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens)
+    want = sorted(lm_score.score(docs(spark, rows), learn).collect(), key=key)
+    for kwargs in ({"hot": 40, "slice_tokens": 300}, {"hot": 1, "slice_tokens": 100}, {"hot": 40, "word_share": 1e-3, "gram_share": 2e-4}):
+        if "word_share" in kwargs:
+            want = sorted(lm_score.score(docs(spark, rows), learn, word_share=1e-3, gram_share=2e-4, chunk_bytes=1 << 10).collect(), key=key)
+        got = sorted(lm_score.score(docs(spark, rows), learn, chunk_bytes=3000, **kwargs).collect(), key=key)
+        assert [key(r) for r in got] == [key(r) for r in want] and len(got) == len(rows)
+        for g, w in zip(got, want):
+            assert (g.n_known, g.train_tokens) == (w.n_known, w.train_tokens)
+            assert (g.base_score, g.score) == pytest.approx((w.base_score, w.score), abs=1e-8)
+
+
+def test_scoring_stages_less_than_it_reads(spark):
+    """What is written between the steps stays below the texts' own size."""
+    import os
+    from cubeshelf.session import STAGING, shared_root
+
+    def staged():
+        top = f"{shared_root(spark)}/{STAGING}/{spark.sparkContext.applicationId}"
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(top) for f in files if "/lm-" in d and f.endswith(".parquet"))
+
+    rnd = random.Random(5)
+    word = lambda: f"word{min(int(rnd.paretovariate(0.3)), 10 ** 6)}"
+    rows = [(i, " ".join(word() for _ in range(400)), None) for i in range(500)]
+    before = staged()
+    assert lm_score.score(docs(spark, rows), F.col("doc_id") % 10 != 0).count() == len(rows)
+    assert staged() - before < sum(len(t) for _, t, _ in rows)
+
+
 # toxicity
 
 def test_toxicity(spark):
